@@ -1,0 +1,44 @@
+"""E1-E4, batch form: the watermark each row would see in arrival order, and the rows
+a windowed operator would route to its late-data side output.
+
+Watermark after a row = max(event time of all rows so far) - bound (ascending
+extractor: bound 0; bounded out-of-orderness: bound > 0). Arrival order is a
+sequence column; the running max is a prefix max split into sequence buckets
+(per-bucket max, prefix over the small bucket table, then within each bucket), so
+no single task sees the whole input.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from evtlens.functions.time import duration_us, epoch_us
+from evtlens.operators.sequence import running_max
+from evtlens.operators.windows import pane_start
+
+
+def _seq_bucket(order: str, bucket_rows: int):
+    return F.floor(F.col(order) / F.lit(bucket_rows)).cast("bigint")
+
+
+def watermark_per_row(df: DataFrame, ts: str = "ts", order: str = "seq", bound="0 seconds",
+                      keys=(), bucket_rows: int = 1 << 20, exclusive: bool = False,
+                      out: str = "watermark") -> DataFrame:
+    """Add ``out`` = watermark (epoch us) after (or, ``exclusive``, before) each row."""
+    b = duration_us(bound)
+    x = df.withColumn("_u", epoch_us(ts))
+    x = running_max(x, list(keys), [order], "_u", "_wm", _seq_bucket(order, bucket_rows), exclusive)
+    return x.withColumn(out, F.col("_wm") - F.lit(b)).drop("_u", "_wm")
+
+
+def late_flags(df: DataFrame, ts: str = "ts", order: str = "seq", bound="1 second",
+               size="10 minutes", slide="5 seconds", lateness="1 minute",
+               bucket_rows: int = 1 << 20) -> DataFrame:
+    """Add ``watermark`` (before the row, epoch us) and ``is_late``: every sliding
+    window holding the row has passed end - 1 ms + allowed lateness."""
+    S, L, late = duration_us(size), duration_us(slide), duration_us(lateness)
+    x = watermark_per_row(df, ts, order, bound, (), bucket_rows, exclusive=True)
+    last_end = pane_start(ts, L) + F.lit(S)
+    return x.withColumn("is_late", F.coalesce(
+        last_end - F.lit(1000) + F.lit(late) <= F.col("watermark"), F.lit(False)))

@@ -85,47 +85,61 @@ _TIMER_OUT = StructType([StructField("user_id", LongType()), StructField("first_
                          StructField("warning_msg", StringType())])
 
 
-def _greedy_segments(limit_us: int, min_fails: int, msg: str):
-    """Per fail burst: anchor at the first fail, collect fails up to anchor + limit; a
-    success inside the span cancels; at the end of the span warn if >= min_fails."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["u", "seq"], kind="mergesort")
-        is_fail = (pdf["login_state"].to_numpy() == "fail")
-        us = pdf["u"].to_numpy(np.int64)
-        out = []
-        anchor, fails = None, []
-
-        def emit():
-            if len(fails) >= min_fails:
-                out.append((fails[0] // 1000, fails[-1] // 1000, len(fails)))
-
-        for f, t in zip(is_fail, us):
-            if f:
-                if anchor is None:
-                    anchor, fails = t, [t]
-                elif t <= anchor + limit_us:
-                    fails.append(t)
-                else:
-                    emit()
-                    anchor, fails = t, [t]
-            elif anchor is not None:
-                if t > anchor + limit_us:
-                    emit()
-                anchor, fails = None, []
-        if anchor is not None:
-            emit()
-        uid = int(pdf["user_id"].iloc[0])
-        return pd.DataFrame({
-            "user_id": pd.Series([uid] * len(out), dtype="int64"),
-            "first_fail_time": pd.Series([o[0] for o in out], dtype="int64"),
-            "last_fail_time": pd.Series([o[1] for o in out], dtype="int64"),
-            "fail_count": pd.Series([o[2] for o in out], dtype="int64"),
-            "warning_msg": pd.Series([msg.format(n=o[2]) for o in out], dtype="object")})
+def _greedy_scan(limit_us: int, min_fails: int, msg: str):
+    """mapInPandas body over rows sorted by (user_id, burst, u, seq): anchor at the first
+    fail, collect fails up to anchor + limit; a success inside the span cancels; when
+    the span ends (later event, end of burst) warn if >= min_fails. State is O(1) and
+    carried across Arrow batches, so a burst may span batches."""
+
+    def run(batches):
+        key, anchor, first, last, n = None, None, 0, 0, 0
+        out_u, out_f, out_l, out_n = [], [], [], []
+
+        def close():
+            if anchor is not None and n >= min_fails:
+                out_u.append(key[0]); out_f.append(first // 1000)
+                out_l.append(last // 1000); out_n.append(n)
+
+        for pdf in batches:
+            users = pdf["user_id"].to_numpy(np.int64)
+            bursts = pdf["burst"].to_numpy(np.int64)
+            fails = (pdf["login_state"].to_numpy() == "fail")
+            us = pdf["u"].to_numpy(np.int64)
+            for i in range(len(pdf)):
+                k = (int(users[i]), int(bursts[i]))
+                t = int(us[i])
+                if k != key:
+                    close()
+                    key, anchor, n = k, None, 0
+                if fails[i]:
+                    if anchor is None:
+                        anchor, first, last, n = t, t, t, 1
+                    elif t <= anchor + limit_us:
+                        last, n = t, n + 1
+                    else:
+                        close()
+                        anchor, first, last, n = t, t, t, 1
+                elif anchor is not None:
+                    if t > anchor + limit_us:
+                        close()
+                    anchor, n = None, 0
+            if out_u:
+                yield _timer_frame(out_u, out_f, out_l, out_n, msg)
+                out_u, out_f, out_l, out_n = [], [], [], []
+        close()
+        if out_u:
+            yield _timer_frame(out_u, out_f, out_l, out_n, msg)
 
     return run
 
 
+def _timer_frame(u, f, l, n, msg) -> pd.DataFrame:
+    return pd.DataFrame({
+        "user_id": np.asarray(u, dtype=np.int64), "first_fail_time": np.asarray(f, dtype=np.int64),
+        "last_fail_time": np.asarray(l, dtype=np.int64), "fail_count": np.asarray(n, dtype=np.int64),
+        "warning_msg": [msg.format(n=x) for x in n]})
+
+
 def login_fail_timer(logins: DataFrame, limit="2 seconds", min_fails: int = 2, split="1 day",
                      msg: str = MSG_FAIL_TIMER) -> DataFrame:
     """Timer variant - anchor at a fail, ``limit`` later warn once with first, last
@@ -133,8 +147,10 @@ def login_fail_timer(logins: DataFrame, limit="2 seconds", min_fails: int = 2, s
 
     Segments never cross a success or a gap longer than ``limit`` between consecutive
     events, so the events are cut into fail bursts (ids from a bucketed running max,
-    no per-user window) and only the short greedy scan inside one burst runs in
-    Python (``applyInPandas`` on (user, burst) groups).
+    no per-user window). Bursts with fewer than ``min_fails`` fails cannot warn and are
+    dropped by an aggregate; the rest are hash partitioned by (user, burst), sorted,
+    and one ``mapInPandas`` scan per partition runs the greedy segmentation with
+    constant state - no group is ever collected.
     """
     lim = duration_us(limit)
     x = lag_by_key(logins, ["user_id"], _order(logins), ["login_state", "ts"], 1, split)
@@ -150,8 +166,12 @@ def login_fail_timer(logins: DataFrame, limit="2 seconds", min_fails: int = 2, s
     rows = running_max(rows, ["user_id"], ["ts", "seq"], "_start", "burst",
                        time_bucket("ts", split) if split else F.lit(0))
     rows = rows.where(F.col("burst").isNotNull()).select("user_id", "burst", "login_state", "u", "seq")
-    return (rows.groupBy("user_id", "burst")
-            .applyInPandas(_greedy_segments(lim, min_fails, msg), _TIMER_OUT))
+    big = (rows.where(F.col("login_state") == "fail").groupBy("user_id", "burst")
+           .agg(F.count(F.lit(1)).alias("_nf")).where(F.col("_nf") >= min_fails).drop("_nf"))
+    cand = rows.join(big, ["user_id", "burst"], "left_semi")
+    return (cand.repartition("user_id", "burst")
+            .sortWithinPartitions("user_id", "burst", "u", "seq")
+            .mapInPandas(_greedy_scan(lim, min_fails, msg), _TIMER_OUT))
 
 
 # --------------------------------------------------------------------- orders

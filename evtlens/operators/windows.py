@@ -6,8 +6,17 @@ Two physical plans for sliding windows:
   Used for low fan-out (1 h / 5 min = 12 windows per row).
 * ``pane`` - pre-aggregate per (key, slide-sized pane), then ``explode(sequence)`` each
   pane into the size/slide window ends it belongs to and merge. The expansion is per
-  distinct pane instead of per event and stays inside whole-stage codegen; used for
-  high fan-out (10 min / 5 s = 120, 1 h / 5 s = 720).
+  distinct pane instead of per event and stays inside whole-stage codegen, but it
+  still costs panes x size/slide rows.
+* ``runs`` - for additive aggregates (count / sum) and high fan-out (10 min / 5 s =
+  120, 1 h / 5 s = 720): every pane becomes a +value delta at the first window end
+  that holds it and a -value delta one slide after the last; a running sum of the
+  deltas is the window value, constant between change points, so only the runs are
+  expanded into output rows. Work is O(panes + output rows) instead of
+  O(panes x fan-out). The running sum is computed per (key, block of one window
+  size): a block's window ends only see panes of that block and the previous one,
+  so every block is a bounded group (at most 4 x size/slide delta rows) however hot
+  the key is, and the two shuffles move pane-sized data only.
 
 Both give identical rows; the window end is reported as epoch milliseconds.
 Only decomposable aggregates are offered (count / sum / min / max), which is what
@@ -18,7 +27,7 @@ from __future__ import annotations
 
 from typing import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evtlens.functions.time import duration_us, epoch_us
@@ -52,6 +61,10 @@ def _finish(df: DataFrame, aggs: Sequence[Agg]) -> DataFrame:
     return df
 
 
+def _to_ms(us_array: Column) -> Column:
+    return F.transform(us_array, lambda e: (e / F.lit(1000)).cast("bigint"))
+
+
 def pane_start(ts, slide_us: int) -> Column:
     """Epoch-aligned start (us) of the slide-sized pane holding ``ts`` (floor, also before 1970)."""
     u = epoch_us(ts)
@@ -73,7 +86,7 @@ def window_ends(ts, size, slide=None) -> Column:
 def assign_windows(df: DataFrame, ts: str = "ts", size="1 hour", slide=None,
                    end_col: str = "window_end") -> DataFrame:
     """One row per (row, window containing it), with the window end in epoch ms."""
-    return df.withColumn(end_col, (F.explode(window_ends(ts, size, slide)) / 1000).cast("bigint"))
+    return df.withColumn(end_col, F.explode(_to_ms(window_ends(ts, size, slide))))
 
 
 def tumbling_agg(df: DataFrame, ts: str = "ts", size="1 hour", keys: Iterable = (),
@@ -95,7 +108,11 @@ def sliding_agg(df: DataFrame, ts: str = "ts", size="1 hour", slide="5 minutes",
     if S == L:
         return tumbling_agg(df, ts, size, keys, aggs, end_col)
     if plan == "auto":
-        plan = "pane" if (S // L > PANE_FANOUT_THRESHOLD and S % L == 0) else "window"
+        additive = all(k in ("count", "sum") for _, k, _ in aggs)
+        plan = ("window" if (S // L <= PANE_FANOUT_THRESHOLD or S % L)
+                else "runs" if additive else "pane")
+    if plan == "runs":
+        return _runs_plan(df, ts, S, L, keys, aggs, end_col)
     if plan == "window":
         w = F.window(F.col(ts), f"{S} microseconds", f"{L} microseconds")
         out = (df.groupBy(w.alias("_w"), *keys)
@@ -108,12 +125,45 @@ def sliding_agg(df: DataFrame, ts: str = "ts", size="1 hour", slide="5 minutes",
     panes = (df.groupBy(*keys, pane_start(ts, L).alias("_pane"))
              .agg(*[_partial(k, c).alias(n) for n, k, c in aggs]))
     ends = F.sequence(F.col("_pane") + F.lit(L), F.col("_pane") + F.lit(S), F.lit(L))
-    exploded = panes.select(*keys, (F.explode(ends) / 1000).cast("bigint").alias(end_col),
+    exploded = panes.select(*keys, F.explode(_to_ms(ends)).alias(end_col),
                             *[n for n, _, _ in aggs])
     out = exploded.groupBy(*keys, end_col).agg(*[_merge(k, n).alias(n) for n, k, _ in aggs])
     return _finish(out, aggs)
 
 
+def _runs_plan(df: DataFrame, ts: str, S: int, L: int, keys: list, aggs: Sequence[Agg],
+               end_col: str) -> DataFrame:
+    if S % L:
+        raise ValueError("the runs plan needs size to be a multiple of slide")
+    user_aggs = list(aggs)
+    cnt_name = next((n for n, k, c in aggs if k == "count" and c is None), None)
+    if cnt_name is None:  # a window holds rows iff its row count is > 0 (a sum may be 0)
+        cnt_name = "_rows"
+        aggs = user_aggs + [(cnt_name, "count", None)]
+    names = [n for n, _, _ in aggs]
+    panes = (df.groupBy(*keys, pane_start(ts, L).alias("_p"))
+             .agg(*[_partial(k, c).alias(n) for n, k, c in aggs]))
+    blk = ((F.col("_p") - F.pmod(F.col("_p"), F.lit(S))) / F.lit(S)).cast("bigint")
+    # each pane feeds the window ends of its own block and of the next one
+    copies = panes.select(*keys, "_p", *names, F.explode(F.array(blk, blk + 1)).alias("_b"))
+    plus = F.struct((F.col("_p") + F.lit(L)).alias("_e"), *[F.col(n).alias(n) for n in names])
+    minus = F.struct((F.col("_p") + F.lit(S + L)).alias("_e"), *[(-F.col(n)).alias(n) for n in names])
+    deltas = (copies.select(*keys, "_b", F.explode(F.array(plus, minus)).alias("_d"))
+              .select(*keys, "_b", "_d.*")
+              .repartition(*keys, "_b"))
+    at = deltas.groupBy(*keys, "_b", "_e").agg(*[F.sum(n).alias(n) for n in names])
+    w = Window.partitionBy(*keys, "_b").orderBy("_e")
+    runs = at.select(*keys, "_b", "_e", F.lead("_e").over(w).alias("_n"),
+                     *[F.sum(n).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias(n)
+                       for n in names])
+    lo = F.greatest(F.col("_e"), F.col("_b") * F.lit(S))
+    hi = F.least(F.coalesce(F.col("_n"), (F.col("_b") + 1) * F.lit(S)), (F.col("_b") + 1) * F.lit(S))
+    live = runs.where((F.col(cnt_name) > 0) & (lo < hi))
+    out = live.select(*keys, F.explode(_to_ms(F.sequence(lo, hi - F.lit(L), F.lit(L)))).alias(end_col),
+                      *[n for n, _, _ in user_aggs])
+    return _finish(out, user_aggs)
+
+
 def sliding_sql(spark, view: str, ts: str, size: str, slide: str, keys: Sequence[str],
                 where: str | None = None, count_col: str | None = None) -> DataFrame:
     """The same aggregate expressed in Spark SQL with ``window(ts, size, slide)``

@@ -22,6 +22,12 @@ def read_csv_records(spark: SparkSession, path: str, schema, stream: bool = Fals
             .option("emptyValue", "").csv(path))
 
 
+def with_arrival_seq(df: DataFrame, col: str = "seq") -> DataFrame:
+    """Arrival order of a batch read (file order within a split, splits in order);
+    used as the tie-break after event time."""
+    return df.withColumn(col, F.monotonically_increasing_id())
+
+
 def _with_seconds_time(df: DataFrame) -> DataFrame:
     return df.withColumn("ts", F.timestamp_seconds("ts_sec"))
 

@@ -45,7 +45,12 @@ def _case(col: str, mapping: dict, default: str) -> F.Column:
 
 def user_behavior(spark, sf_dir) -> DataFrame:
     """UserBehavior: item = props.k, category = k % 10, 'view' plays 'pv'; seq = event_id."""
-    ev = _events(spark, sf_dir)
+    return user_behavior_from(_events(spark, sf_dir))
+
+
+def user_behavior_from(ev: DataFrame) -> DataFrame:
+    """The UserBehavior projection over an ``events`` DataFrame (batch or stream)."""
+    ev = ev.withColumn("ts", F.col("ts").cast("timestamp"))
     return ev.select(
         "user_id", _k().alias("item_id"), (_k() % 10).cast("int").alias("category_id"),
         _case("event_type", BEHAVIOR_OF_EVENT, "other").alias("behavior"),

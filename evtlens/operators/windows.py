@@ -140,9 +140,16 @@ def _runs_plan(df: DataFrame, ts: str, S: int, L: int, keys: list, aggs: Sequenc
     if cnt_name is None:  # a window holds rows iff its row count is > 0 (a sum may be 0)
         cnt_name = "_rows"
         aggs = user_aggs + [(cnt_name, "count", None)]
-    names = [n for n, _, _ in aggs]
     panes = (df.groupBy(*keys, pane_start(ts, L).alias("_p"))
              .agg(*[_partial(k, c).alias(n) for n, k, c in aggs]))
+    out = runs_from_panes(panes, S, L, keys, [n for n, _, _ in aggs], cnt_name, end_col)
+    return _finish(out.select(*keys, end_col, *[n for n, _, _ in user_aggs]), user_aggs)
+
+
+def runs_from_panes(panes: DataFrame, S: int, L: int, keys: list, names: list, cnt_name: str,
+                    end_col: str = "window_end", end_range: tuple | None = None) -> DataFrame:
+    """Sliding sums from pane sums (columns keys, ``_p`` = pane start us, ``names``).
+    ``end_range`` = (lo, hi] in us restricts the emitted window ends (stream roll-up)."""
     blk = ((F.col("_p") - F.pmod(F.col("_p"), F.lit(S))) / F.lit(S)).cast("bigint")
     # each pane feeds the window ends of its own block and of the next one
     copies = panes.select(*keys, "_p", *names, F.explode(F.array(blk, blk + 1)).alias("_b"))
@@ -158,10 +165,12 @@ def _runs_plan(df: DataFrame, ts: str, S: int, L: int, keys: list, aggs: Sequenc
                        for n in names])
     lo = F.greatest(F.col("_e"), F.col("_b") * F.lit(S))
     hi = F.least(F.coalesce(F.col("_n"), (F.col("_b") + 1) * F.lit(S)), (F.col("_b") + 1) * F.lit(S))
+    if end_range is not None:  # ends e with lo_r < e <= hi_r  <=>  lo_r + L <= e < hi_r + L
+        lo = F.greatest(lo, F.lit(end_range[0] + L))
+        hi = F.least(hi, F.lit(end_range[1] + L))
     live = runs.where((F.col(cnt_name) > 0) & (lo < hi))
-    out = live.select(*keys, F.explode(_to_ms(F.sequence(lo, hi - F.lit(L), F.lit(L)))).alias(end_col),
-                      *[n for n, _, _ in user_aggs])
-    return _finish(out, user_aggs)
+    return live.select(*keys, F.explode(_to_ms(F.sequence(lo, hi - F.lit(L), F.lit(L)))).alias(end_col),
+                       *names)
 
 
 def sliding_sql(spark, view: str, ts: str, size: str, slide: str, keys: Sequence[str],

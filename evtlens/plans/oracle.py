@@ -368,6 +368,11 @@ UNION ALL SELECT order_id, 'payed but not found created log', 'order-timeout' FR
     q["click_blacklist"] = with_(CLICKS, CAPPED) + (
         f"SELECT user_id, ad_id, 'click over {a['cap']}times.' AS warning_msg, u // 1000 AS ts "
         f"FROM capped WHERE n = {a['cap'] + 1}")
+    q["stateful_apply"] = with_(CLICKS, CAPPED) + (
+        f"SELECT user_id, ad_id, province, u // 1000 AS ts_ms, "
+        f"CASE WHEN n <= {a['cap']} THEN 'main' ELSE 'blacklist' END AS route, "
+        f"CASE WHEN n > {a['cap']} THEN 'click over {a['cap']}times.' END AS warning_msg "
+        f"FROM capped WHERE n <= {a['cap'] + 1}")
     return q
 
 

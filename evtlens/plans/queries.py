@@ -425,3 +425,35 @@ def click_cap(spark, sf):
 def click_blacklist(spark, sf):
     x = _capped_routed(spark, sf).where("route = 'blacklist'")
     return x.select("user_id", "ad_id", "warning_msg", _ms())
+
+
+# ------------------------------------------------------------------ U1: stateful streams
+
+def _run_stream_to_table(spark, df, name: str) -> DataFrame:
+    """Run a streaming query over everything available (availableNow) into a parquet
+    folder under the shared checkpoint folder and read the result back."""
+    import uuid
+
+    from evtlens.session import scratch_path
+    run = f"{name}-{uuid.uuid4().hex[:12]}"
+    out, ck = scratch_path(spark, f"{run}/out"), scratch_path(spark, f"{run}/ckpt")
+    q = (df.writeStream.outputMode("append").format("parquet").option("path", out)
+         .option("checkpointLocation", ck).trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    return spark.read.schema(df.schema).parquet(out)
+
+
+@query("stateful_apply")
+def stateful_apply(spark, sf):
+    """The click-cap keyed process function as transformWithState over ``events``
+    read as a stream (one micro-batch here; ad geography by a stream-static join)."""
+    from evtlens.streaming import stateful
+    from evtlens.streaming.eventtime import with_event_time
+    schema = tables.table(spark, sf, "events").schema
+    ev = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+          .parquet(sf).where(F.col("event_type") == "click"))
+    clicks = tables.ad_clicks_from(spark, sf, ev)
+    out = stateful.click_cap_stream(with_event_time(clicks, "ts"), P.AD["cap"], P.AD["period"])
+    return _run_stream_to_table(spark, out, "stateful_apply")

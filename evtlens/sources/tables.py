@@ -97,7 +97,13 @@ def logins(spark, sf_dir) -> DataFrame:
 def ad_clicks(spark, sf_dir) -> DataFrame:
     """AdClickEvent: 'click' events, ad = k % 3, province = nation name of customer user_id,
     city = the customer's market segment. Left joins keep every click."""
-    ev = _events(spark, sf_dir, "click")
+    return ad_clicks_from(spark, sf_dir, _events(spark, sf_dir, "click"))
+
+
+def ad_clicks_from(spark, sf_dir, ev: DataFrame) -> DataFrame:
+    """The AdClickEvent mapping over click events (batch or stream; the customer /
+    nation side is a static table)."""
+    ev = ev.withColumn("ts", F.col("ts").cast("timestamp"))
     cust = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("user_id"), "c_nationkey", F.col("c_mktsegment").alias("city"))
     nation = table(spark, sf_dir, "nation").select(
@@ -110,7 +116,12 @@ def ad_clicks(spark, sf_dir) -> DataFrame:
 
 def marketing(spark, sf_dir) -> DataFrame:
     """MarketingUserBehavior: channel = CHANNELS[k % 3], signup plays UNINSTALL."""
-    ev = _events(spark, sf_dir)
+    return marketing_from(_events(spark, sf_dir))
+
+
+def marketing_from(ev: DataFrame) -> DataFrame:
+    """The marketing mapping over an ``events`` DataFrame (batch or stream)."""
+    ev = ev.withColumn("ts", F.col("ts").cast("timestamp"))
     ch = F.element_at(F.array(*[F.lit(c) for c in CHANNELS]), (_k() % 3 + 1).cast("int"))
     return ev.select("user_id", _case("event_type", MARKETING_OF_EVENT, "CLICK").alias("behavior"),
                      ch.alias("channel"), "ts", F.col("event_id").alias("seq"))

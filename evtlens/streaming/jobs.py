@@ -97,3 +97,48 @@ def tx_match_stream(pays: DataFrame, receipts: DataFrame, lower="-3 seconds", up
         return out
     return out.withColumn("route", F.when(F.col("pay_time").isNull(), "unmatched-receipts")
                           .when(F.col("receipt_time").isNull(), "unmatched-pays").otherwise("matched"))
+
+
+def pane_count_stream(df: DataFrame, keys, slide="5 seconds", ts: str = "ts", bound="0 seconds") -> DataFrame:
+    """W4/W5 stream, stage 1: tumbling pane counts in append mode (state = open panes
+    only). Feed it to :func:`sliding_rollup_writer`."""
+    L = duration_us(slide)
+    rows = with_event_time(df, ts, bound)
+    return (rows.groupBy(_window(ts, f"{L} microseconds").alias("_w"), *keys)
+            .agg(F.count(F.lit(1)).alias("cnt"))
+            .select(*keys, F.unix_micros(F.col("_w.start")).alias("_p"), "cnt"))
+
+
+def sliding_rollup_writer(path: str, keys, size="1 hour", slide="5 seconds"):
+    """W4/W5 stream, stage 2 (``foreachBatch``): append the closed panes to a pane table
+    and emit every window end that became final - all ends up to the newest closed
+    pane end (append mode has emitted every pane below the watermark) - with the
+    runs plan over just the panes those windows need. Output goes to
+    ``path/windows/batch=<id>`` (idempotent per batch). A window is emitted once a
+    later pane has closed; to flush a bounded input send two sentinel rows in later
+    micro-batches (the second closes the first one's pane) and drop the windows at
+    the sentinel with :func:`evtlens.streaming.eventtime.drop_sentinel`."""
+    from evtlens.operators.windows import runs_from_panes
+
+    keys = list(keys)
+    S, L = duration_us(size), duration_us(slide)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch.write.mode("overwrite").parquet(f"{path}/panes/batch={batch_id}")
+        panes = spark.read.parquet(f"{path}/panes").where(F.col("batch") <= batch_id)
+        marks = panes.agg(
+            F.max(F.when(F.col("batch") < batch_id, F.col("_p"))).alias("prev"),
+            F.max("_p").alias("now")).first()
+        if marks["now"] is None:
+            return
+        prev_end = None if marks["prev"] is None else marks["prev"] + L
+        now_end = marks["now"] + L
+        if prev_end is not None and now_end <= prev_end:
+            return
+        lo = prev_end if prev_end is not None else -(1 << 62)
+        need = panes.where((F.col("_p") >= F.lit(lo - S)) & (F.col("_p") < F.lit(now_end))).drop("batch")
+        need = need.groupBy(*keys, "_p").agg(F.sum("cnt").alias("cnt"))
+        out = runs_from_panes(need, S, L, keys, ["cnt"], "cnt", end_range=(lo, now_end))
+        out.write.mode("overwrite").parquet(f"{path}/windows/batch={batch_id}")
+    return run

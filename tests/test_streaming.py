@@ -86,20 +86,23 @@ def test_tx_join_streams(spark):
     assert c == {"matched": 4, "unmatched-pays": 35, "unmatched-receipts": 36}
 
 
-def _events_stream_dir(spark):
+def _events_stream_dir(spark, sentinels=("2099-01-01 00:00:00",)):
     src = "/root/testdata/sf0.001/events.parquet"
     d = stage_files([(src, "a.parquet")])
     ev = spark.read.parquet(src)
-    sentinel = spark.createDataFrame([(-1, "2099-01-01 00:00:00", -1, "view", 0.0, '{"k": 0}')],
-                                     "event_id bigint, t string, user_id bigint, event_type string, value double, props string") \
-        .select("event_id", F.to_timestamp_ntz("t").alias("ts"), "user_id", "event_type", "value", "props")
-    tmp = scratch()
-    sentinel.coalesce(1).write.mode("overwrite").parquet(tmp)
-    part = [f for f in os.listdir(tmp) if f.endswith(".parquet")][0]
     import shutil, time
-    shutil.copy(os.path.join(tmp, part), os.path.join(d, "z.parquet"))
-    t = time.time() + 10
-    os.utime(os.path.join(d, "z.parquet"), (t, t))
+    for i, when in enumerate(sentinels):
+        sentinel = spark.createDataFrame(
+            [(-1, when, -1, "view", 0.0, '{"k": 0}')],
+            "event_id bigint, t string, user_id bigint, event_type string, value double, props string") \
+            .select("event_id", F.to_timestamp_ntz("t").alias("ts"), "user_id", "event_type", "value", "props")
+        tmp = scratch()
+        sentinel.coalesce(1).write.mode("overwrite").parquet(tmp)
+        part = [f for f in os.listdir(tmp) if f.endswith(".parquet")][0]
+        name = f"z{i}.parquet"
+        shutil.copy(os.path.join(tmp, part), os.path.join(d, name))
+        t = time.time() + 10 + i
+        os.utime(os.path.join(d, name), (t, t))
     return d, ev.schema
 
 
@@ -129,3 +132,21 @@ def test_uv_stream_and_keyed_upsert(spark):
     import __spark_entry__ as E
     exp = sorted((r.window_end, r.cnt) for r in E.queries()["uv_bitmap"](spark, "/root/testdata/sf0.001").collect())
     assert got == exp
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="test tables not present")
+def test_pane_rollup_stream_equals_batch(spark):
+    from evtlens.functions.predicates import not_behavior
+    # the roll-up emits windows up to the newest closed pane: a second, later sentinel
+    # closes the first sentinel's pane and so flushes every real window
+    d, schema = _events_stream_dir(spark, ("2099-01-01 00:00:00", "2099-01-02 00:00:00"))
+    mk = tables.marketing_from(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(d))
+    panes = jobs.pane_count_stream(mk.where(not_behavior("UNINSTALL")), ["channel", "behavior"], "5 seconds")
+    out = scratch()
+    run_foreach(panes, jobs.sliding_rollup_writer(out, ["channel", "behavior"], "1 hour", "5 seconds"))
+    got = spark.read.parquet(f"{out}/windows").where("window_end < 4070908800000").drop("batch")
+    got = sorted(tuple(r) for r in got.select("channel", "behavior", "window_end", "cnt").collect())
+    import __spark_entry__ as E
+    exp = sorted(tuple(r) for r in E.queries()["channel_behavior_count"](spark, "/root/testdata/sf0.001")
+                 .select("channel", "behavior", "window_end", "cnt").collect())
+    assert got == exp

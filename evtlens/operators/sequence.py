@@ -60,12 +60,13 @@ def lag_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], values:
              .withColumn("_r", F.row_number().over(
                  Window.partitionBy(*keys, "_b").orderBy(*_order_cols(order, desc=True))))
              .where(F.col("_r") <= k).drop("_r"))
-    # the next k non-empty buckets of each non-empty bucket (one row per bucket)
-    wb = Window.partitionBy(*keys).orderBy("_b")
-    nxt = (tails.select(*keys, "_b").distinct()
-           .select(*keys, "_b", F.array(*[F.lead("_b", i).over(wb) for i in range(1, k + 1)]).alias("_nx"))
-           .select(*keys, "_b", F.explode("_nx").alias("_t")).where(F.col("_t").isNotNull()))
-    carry = (tails.join(nxt, keys + ["_b"]).drop("_b").withColumnRenamed("_t", "_b")
+    # carry each tail row into the next k non-empty buckets: over the tails table (at
+    # most k rows per bucket) the next k distinct buckets are among the next k*k rows
+    wt = Window.partitionBy(*keys).orderBy(F.col("_b"), *_order_cols(order))
+    ahead = tails.select("*", *[F.lead("_b", j).over(wt).alias(f"_a{j}") for j in range(1, k * k + 1)])
+    nxt = F.array(*[F.col(f"_a{j}") for j in range(1, k * k + 1)])
+    targets = F.slice(F.array_distinct(F.filter(nxt, lambda x: x.isNotNull() & (x > F.col("_b")))), 1, k)
+    carry = (ahead.withColumn("_t", targets).select(*keys, *payload, F.explode("_t").alias("_b"))
              .withColumn("_carry", F.lit(True)))
     rows = base.withColumn("_carry", F.lit(False))
     cols = rows.columns

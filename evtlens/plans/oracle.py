@@ -373,6 +373,7 @@ UNION ALL SELECT order_id, 'payed but not found created log', 'order-timeout' FR
         f"CASE WHEN n <= {a['cap']} THEN 'main' ELSE 'blacklist' END AS route, "
         f"CASE WHEN n > {a['cap']} THEN 'click over {a['cap']}times.' END AS warning_msg "
         f"FROM capped WHERE n <= {a['cap'] + 1}")
+    q["final_flush"] = q["pv_total_simple"]
     return q
 
 

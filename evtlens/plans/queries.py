@@ -457,3 +457,27 @@ def stateful_apply(spark, sf):
     clicks = tables.ad_clicks_from(spark, sf, ev)
     out = stateful.click_cap_stream(with_event_time(clicks, "ts"), P.AD["cap"], P.AD["period"])
     return _run_stream_to_table(spark, out, "stateful_apply")
+
+
+@query("final_flush")
+def final_flush(spark, sf):
+    """E5: a bounded stream of ``events`` (hourly pv counts, append mode) plus a
+    far-future sentinel stream; the sentinel lifts the watermark so the last windows
+    close and the stream returns exactly the batch counts."""
+    import uuid
+
+    from evtlens.session import scratch_path
+    from evtlens.streaming import jobs
+    from evtlens.streaming.eventtime import SENTINEL_TS, drop_sentinel
+    schema = tables.table(spark, sf, "events").schema
+    ev = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    sdir = scratch_path(spark, f"sentinel-{uuid.uuid4().hex[:12]}")
+    (spark.createDataFrame([(-1, SENTINEL_TS, -1, "view", 0.0, '{"k": 0}')],
+                           "event_id bigint, ts timestamp, user_id bigint, event_type string, "
+                           "value double, props string")
+     .select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+     .write.mode("overwrite").parquet(sdir))
+    sentinel = spark.readStream.schema(schema).parquet(sdir)
+    ub = tables.user_behavior_from(ev.unionByName(sentinel))
+    counts = jobs.pv_stream(ub, P.PV_WINDOW)
+    return drop_sentinel(_run_stream_to_table(spark, counts, "final_flush"))

@@ -25,6 +25,9 @@ from evtlens.functions.time import duration_us
 from evtlens.operators import patterns as P
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def _us(ts) -> int:
     # Row values of TIMESTAMP columns are naive UTC datetimes (session zone UTC)
     import calendar
@@ -40,6 +43,10 @@ def _sorted(rows: Iterator[Row]) -> list[Row]:
 def stateful_apply(df: DataFrame, keys: Sequence[str], processor: StatefulProcessor,
                    output: StructType, mode: str = "Append") -> DataFrame:
     """Group by ``keys`` and run ``processor`` with event-time timers."""
+    conf = df.sparkSession.conf
+    if "RocksDB" not in (conf.get("spark.sql.streaming.stateStore.providerClass", "") or ""):
+        # transformWithState needs the RocksDB state store provider
+        conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     return df.groupBy(*keys).transformWithState(processor, output, mode, "EventTime")
 
 

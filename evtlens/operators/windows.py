@@ -61,8 +61,15 @@ def _finish(df: DataFrame, aggs: Sequence[Agg]) -> DataFrame:
     return df
 
 
-def _to_ms(us_array: Column) -> Column:
-    return F.transform(us_array, lambda e: (e / F.lit(1000)).cast("bigint"))
+def _ms(us: Column) -> Column:
+    """Microseconds -> milliseconds for values that are whole milliseconds."""
+    return (us / F.lit(1000)).cast("bigint")
+
+
+def _ms_sequence(lo_us: Column, hi_us: Column, step_us: int) -> Column:
+    """sequence(lo, hi, step) of window ends directly in ms (ends are whole ms), so no
+    per-element lambda runs."""
+    return F.sequence(_ms(lo_us), _ms(hi_us), F.lit(step_us // 1000).cast("bigint"))
 
 
 def pane_start(ts, slide_us: int) -> Column:
@@ -86,7 +93,11 @@ def window_ends(ts, size, slide=None) -> Column:
 def assign_windows(df: DataFrame, ts: str = "ts", size="1 hour", slide=None,
                    end_col: str = "window_end") -> DataFrame:
     """One row per (row, window containing it), with the window end in epoch ms."""
-    return df.withColumn(end_col, F.explode(_to_ms(window_ends(ts, size, slide))))
+    S, L = duration_us(size), duration_us(slide or size)
+    if S % L == 0 and L % 1000 == 0:
+        start = pane_start(ts, L)
+        return df.withColumn(end_col, F.explode(_ms_sequence(start + F.lit(L), start + F.lit(S), L)))
+    return df.withColumn(end_col, F.explode(F.transform(window_ends(ts, size, slide), _ms)))
 
 
 def tumbling_agg(df: DataFrame, ts: str = "ts", size="1 hour", keys: Iterable = (),
@@ -124,8 +135,8 @@ def sliding_agg(df: DataFrame, ts: str = "ts", size="1 hour", slide="5 minutes",
         raise ValueError("the pane plan needs size to be a multiple of slide")
     panes = (df.groupBy(*keys, pane_start(ts, L).alias("_pane"))
              .agg(*[_partial(k, c).alias(n) for n, k, c in aggs]))
-    ends = F.sequence(F.col("_pane") + F.lit(L), F.col("_pane") + F.lit(S), F.lit(L))
-    exploded = panes.select(*keys, F.explode(_to_ms(ends)).alias(end_col),
+    ends = _ms_sequence(F.col("_pane") + F.lit(L), F.col("_pane") + F.lit(S), L)
+    exploded = panes.select(*keys, F.explode(ends).alias(end_col),
                             *[n for n, _, _ in aggs])
     out = exploded.groupBy(*keys, end_col).agg(*[_merge(k, n).alias(n) for n, k, _ in aggs])
     return _finish(out, aggs)
@@ -169,8 +180,7 @@ def runs_from_panes(panes: DataFrame, S: int, L: int, keys: list, names: list, c
         lo = F.greatest(lo, F.lit(end_range[0] + L))
         hi = F.least(hi, F.lit(end_range[1] + L))
     live = runs.where((F.col(cnt_name) > 0) & (lo < hi))
-    return live.select(*keys, F.explode(_to_ms(F.sequence(lo, hi - F.lit(L), F.lit(L)))).alias(end_col),
-                       *names)
+    return live.select(*keys, F.explode(_ms_sequence(lo, hi - F.lit(L), L)).alias(end_col), *names)
 
 
 def sliding_sql(spark, view: str, ts: str, size: str, slide: str, keys: Sequence[str],

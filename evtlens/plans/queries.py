@@ -51,7 +51,7 @@ def read_user_behavior(spark, sf):
 
 @query("read_apache_log")
 def read_apache_log(spark, sf):
-    return tables.apache_log(spark, sf).select("seq", "ip", "user_id", _ms(), "method", "url")
+    return tables.apache_log_text(spark, sf).select("seq", "ip", "user_id", _ms(), "method", "url")
 
 
 @query("read_ad_clicks")

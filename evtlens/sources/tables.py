@@ -57,34 +57,48 @@ def user_behavior_from(ev: DataFrame) -> DataFrame:
         "ts", F.col("event_id").alias("seq"))
 
 
-def _url_of_k() -> F.Column:
-    k = _k().cast("string")
-    m = _k() % 10
-    return (F.when(m == 0, F.concat(F.lit("/static/s"), k, F.lit(".css")))
-            .when(m == 1, F.concat(F.lit("/js/app"), k, F.lit(".js")))
-            .when(m == 2, F.concat(F.lit("/img/i"), k, F.lit(".png")))
-            .when(m == 3, F.lit("/favicon.ico"))
-            .when(m == 4, F.concat(F.lit("/static/s"), k, F.lit(".css?v=1")))
-            .otherwise(F.concat(F.lit("/page/"), k)))
+# Url pattern by k % 10 (prefix, then k unless it is the icon, then suffix).
+URL_PREFIX = ["/static/s", "/js/app", "/img/i", "/favicon.ico", "/static/s",
+              "/page/", "/page/", "/page/", "/page/", "/page/"]
+URL_SUFFIX = [".css", ".js", ".png", "", ".css?v=1", "", "", "", "", ""]
 
 
-def apache_log_lines(spark, sf_dir) -> DataFrame:
-    """Access-log text lines built from ``events`` (signup is a POST, everything else a GET),
-    with the arrival sequence (event_id) next to the text."""
+def _url_of_k(k: F.Column) -> F.Column:
+    m = (k % 10 + 1).cast("int")
+    mid = F.when(m == 4, F.lit("")).otherwise(k.cast("string"))
+    return F.concat(F.element_at(F.array(*[F.lit(x) for x in URL_PREFIX]), m), mid,
+                    F.element_at(F.array(*[F.lit(x) for x in URL_SUFFIX]), m))
+
+
+def _log_records(spark, sf_dir) -> DataFrame:
     ev = _events(spark, sf_dir)
-    rec = ev.select(
+    return ev.select(
+        F.col("event_id").alias("seq"),
         F.concat(F.lit("10.0."), (F.col("user_id") % 256).cast("string"), F.lit(".1")).alias("ip"),
-        F.col("user_id").cast("string").alias("user_id"), "ts",
+        F.col("user_id").cast("string").alias("user_id"),
+        F.date_trunc("second", "ts").alias("ts"),
         F.when(F.col("event_type") == "signup", "POST").otherwise("GET").alias("method"),
-        _url_of_k().alias("url"), F.col("event_id").alias("seq"))
-    return format_apache_log(rec, keep=["seq"])
+        _url_of_k(_k()).alias("url"))
 
 
-def apache_log(spark, sf_dir) -> DataFrame:
+def apache_log_lines(spark, sf_dir) -> DataFrame:
+    """Access-log text lines built from ``events`` (signup is a POST, everything else a GET),
+    with the arrival sequence (event_id) next to the text."""
+    return format_apache_log(_log_records(spark, sf_dir), keep=["seq"])
+
+
+def apache_log_text(spark, sf_dir) -> DataFrame:
     """ApacheLogEvent parsed back from the generated text lines."""
     return parse_apache_log(apache_log_lines(spark, sf_dir))
 
 
+def apache_log(spark, sf_dir) -> DataFrame:
+    """ApacheLogEvent records of ``events`` - the same rows as :func:`apache_log_text`
+    (log time has whole seconds), without the text round trip, so filters on method /
+    url push down to plain columns instead of re-building the text."""
+    return _log_records(spark, sf_dir)
+
+
 def logins(spark, sf_dir) -> DataFrame:
     """LoginEvent: an 'error' event is a failed login, anything else a success."""
     ev = _events(spark, sf_dir)

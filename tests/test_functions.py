@@ -64,3 +64,12 @@ def test_kafka_line_codec_roundtrip(spark):
     assert sorted(r.value for r in lines.collect())[0] == "543462,1715,1464,pv,1511658000"
     back = decode_lines(lines, S.USER_BEHAVIOR_CSV)
     assert sorted(tuple(r) for r in back.collect()) == sorted(rows)
+
+
+def test_log_records_equal_text_round_trip(spark):
+    from evtlens.sources import tables
+    sf = "/root/testdata/sf0.001"
+    cols = ["seq", "ip", "user_id", "ts", "method", "url"]
+    a = tables.apache_log(spark, sf).select(*cols)
+    b = tables.apache_log_text(spark, sf).select(*cols)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0 and a.count() == 1000

@@ -142,3 +142,30 @@ def sliding_rollup_writer(path: str, keys, size="1 hour", slide="5 seconds"):
         out = runs_from_panes(need, S, L, keys, ["cnt"], "cnt", end_range=(lo, now_end))
         out.write.mode("overwrite").parquet(f"{path}/windows/batch={batch_id}")
     return run
+
+
+def cep_order_stream(events: DataFrame, within="15 minutes", bound="0 seconds") -> DataFrame:
+    """C5 + C6 stream: creates left-outer-joined with pays of the same order in
+    [create, create + within) (a stream-stream self join; the range bounds the join
+    state). A match is 'payed' (route 'main'); a create still unmatched when the
+    watermark passes its interval is emitted by Spark with a NULL pay and becomes
+    'timeout <create + within ms>' (route 'order-timeout'). Several pays of one create
+    are reduced to one result per create (first pay, like ``followedBy``)."""
+    w = duration_us(within)
+    ev = with_event_time(events, "ts", bound)
+    c = ev.where(F.col("event_type") == "create").select(F.col("order_id").alias("c_oid"),
+                                                         F.col("ts").alias("c_ts"))
+    p = ev.where(F.col("event_type") == "pay").select(F.col("order_id").alias("p_oid"),
+                                                      F.col("ts").alias("p_ts"))
+    cond = ((F.col("c_oid") == F.col("p_oid")) & (F.col("p_ts") >= F.col("c_ts"))
+            & (F.col("p_ts") < F.col("c_ts") + F.expr(f"INTERVAL {w} MICROSECONDS")))
+    # keep one event-time column (the create's) so the per-create dedup is allowed
+    j = (c.join(p, cond, "left_outer")
+         .select("c_oid", "c_ts", F.unix_micros("p_ts").alias("p_us"))
+         .dropDuplicatesWithinWatermark(["c_oid", "c_ts"]))
+    payed = F.col("p_us").isNotNull()
+    return j.select(
+        F.col("c_oid").alias("order_id"),
+        F.when(payed, F.lit("payed")).otherwise(F.concat(
+            F.lit("timeout "), (F.unix_millis("c_ts") + F.lit(w // 1000)).cast("string"))).alias("result_state"),
+        F.when(payed, F.lit("main")).otherwise(F.lit("order-timeout")).alias("route"))

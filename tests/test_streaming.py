@@ -150,3 +150,15 @@ def test_pane_rollup_stream_equals_batch(spark):
     exp = sorted(tuple(r) for r in E.queries()["channel_behavior_count"](spark, "/root/testdata/sf0.001")
                  .select("channel", "behavior", "window_end", "cnt").collect())
     assert got == exp
+
+
+def test_cep_order_stream(spark, order_log):
+    d = stage_files([(fixture_path("OrderLog.csv"), "a.csv")])
+    write_text(d, "z.csv", f"0,create,,{SENTINEL}\n", 5)
+    src = csv_stream(spark, d, S.ORDER_EVENT_CSV)
+    out = read_all(spark, run_to_parquet(jobs.cep_order_stream(src, "15 minutes")))
+    got = sorted((r.order_id, r.result_state) for r in out.where("order_id <> 0").collect())
+    exp = sorted((r.order_id, r.result_state) for r in
+                 C.cep_order_pay(order_log, "15 minutes").unionByName(
+                     C.cep_order_timeout(order_log, "15 minutes")).collect())
+    assert got == exp and len(got) == 39

@@ -13,6 +13,7 @@ final flush of :mod:`evtlens.streaming.eventtime`) the streams emit the same row
 
 from __future__ import annotations
 
+import heapq
 from typing import Iterator, Sequence
 
 from pyspark.sql import DataFrame, Row
@@ -79,21 +80,38 @@ class ClickCapProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[Row]:
         st = self.state.get() if self.state.exists() else None
         period, n, sent = st if st else (None, 0, False)
-        for r in _sorted(rows):
+        # only the earliest cap + 1 - n clicks of each period can pass or warn: keep them
+        # in a bounded max-heap per period instead of materialising the key's rows
+        keep: dict[int, list] = {}
+        for i, r in enumerate(rows):
             u = _us(r["ts"])
             p = self._period(u)
+            room = self.cap + 1 - (n if p == period else 0)
+            if room <= 0 or (p == period and sent):
+                continue
+            h = keep.setdefault(p, [])
+            item = (-u, -(r["seq"] if "seq" in r else 0), -i, r["province"])
+            if len(h) < room:
+                heapq.heappush(h, item)
+            elif item > h[0]:
+                heapq.heapreplace(h, item)
+        for p in sorted(keep):
             if p != period:
+                if period is not None and p < period:
+                    continue  # behind the current period: its state is gone
                 period, n, sent = p, 0, False
                 if self.period is not None:
                     self.handle.registerTimer(((p + 1) * self.period - self.offset) // 1000)
-            if n < self.cap:
-                n += 1
-                yield Row(user_id=key[0], ad_id=key[1], province=r["province"], ts_ms=u // 1000,
-                          route="main", warning_msg=None)
-            elif not sent:
-                sent = True
-                yield Row(user_id=key[0], ad_id=key[1], province=r["province"], ts_ms=u // 1000,
-                          route="blacklist", warning_msg=P.MSG_BLACKLIST.format(cap=self.cap))
+            for neg_u, _, _, province in sorted(keep[p], reverse=True):
+                u = -neg_u
+                if n < self.cap:
+                    n += 1
+                    yield Row(user_id=key[0], ad_id=key[1], province=province, ts_ms=u // 1000,
+                              route="main", warning_msg=None)
+                elif not sent:
+                    sent = True
+                    yield Row(user_id=key[0], ad_id=key[1], province=province, ts_ms=u // 1000,
+                              route="blacklist", warning_msg=P.MSG_BLACKLIST.format(cap=self.cap))
         self.state.update((period, n, sent))
 
     def handleExpiredTimer(self, key, timerValues: TimerValues,

@@ -22,6 +22,16 @@ def read_csv_records(spark: SparkSession, path: str, schema, stream: bool = Fals
             .option("emptyValue", "").csv(path))
 
 
+def route_bad_rows(df: DataFrame, required=None, route_col: str = "route") -> DataFrame:
+    """Mark rows of a PERMISSIVE read whose required fields did not parse (NULL) with
+    route 'bad', the rest 'main'; split with ``filter`` (batch) or a route sink (stream)."""
+    required = list(required or [c for c in df.columns if c != route_col])
+    bad = None
+    for c in required:
+        bad = F.col(c).isNull() if bad is None else (bad | F.col(c).isNull())
+    return df.withColumn(route_col, F.when(bad, F.lit("bad")).otherwise(F.lit("main")))
+
+
 def with_arrival_seq(df: DataFrame, col: str = "seq") -> DataFrame:
     """Arrival order of a batch read (file order within a split, splits in order);
     used as the tie-break after event time."""

@@ -73,3 +73,12 @@ def test_log_records_equal_text_round_trip(spark):
     a = tables.apache_log(spark, sf).select(*cols)
     b = tables.apache_log_text(spark, sf).select(*cols)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0 and a.count() == 1000
+
+
+def test_bad_lines_are_routed_not_fatal(spark, tmp_path):
+    from evtlens.sources.text import read_user_behavior, route_bad_rows
+    p = tmp_path / "ub.csv"
+    p.write_text("543462,1715,1464,pv,1511658000\nnot,a,valid,line\n662867,2244,1575,buy,1511658060\n")
+    df = route_bad_rows(read_user_behavior(spark, str(p)), ["user_id", "item_id", "ts_sec"])
+    got = sorted((r.route, r.user_id) for r in df.collect())
+    assert got == [("bad", None), ("main", 543462), ("main", 662867)]

@@ -37,6 +37,14 @@ def query(name: str):
     return deco
 
 
+def _view(df: DataFrame, base: str) -> str:
+    """Register ``df`` under a per-call view name (queries may run side by side)."""
+    import uuid
+    name = f"{base}_{uuid.uuid4().hex[:10]}"
+    df.createOrReplaceTempView(name)
+    return name
+
+
 def _ms(c="ts"):
     return F.unix_millis(F.col(c)).alias(c)
 
@@ -155,8 +163,8 @@ def _province_counts(spark, sf):
 
 @query("filter_rank_le_n")
 def filter_rank_le_n(spark, sf):
-    _province_counts(spark, sf).createOrReplaceTempView("province_counts")
-    return T.top_n_sql(spark, "province_counts", P.AD["n"], id_col="province")
+    view = _view(_province_counts(spark, sf), "province_counts")
+    return T.top_n_sql(spark, view, P.AD["n"], id_col="province")
 
 
 @query("project_event_time")
@@ -258,8 +266,8 @@ def slide_table_api(spark, sf):
 
 @query("hop_sql")
 def hop_sql(spark, sf):
-    tables.user_behavior(spark, sf).createOrReplaceTempView("data_table")
-    return sliding_sql(spark, "data_table", "ts", "1 hour", "5 minutes", ["item_id"],
+    view = _view(tables.user_behavior(spark, sf), "data_table")
+    return sliding_sql(spark, view, "ts", "1 hour", "5 minutes", ["item_id"],
                        where="behavior = 'pv'", count_col="item_id")
 
 
@@ -277,8 +285,9 @@ def item_view_count(spark, sf):
 
 @query("item_view_count_sql")
 def item_view_count_sql(spark, sf):
-    return A.item_view_count_sql(spark, tables.user_behavior(spark, sf), P.HOT_ITEMS["size"],
-                                 P.HOT_ITEMS["slide"])
+    ub = tables.user_behavior(spark, sf)
+    return A.item_view_count_sql(spark, ub, P.HOT_ITEMS["size"], P.HOT_ITEMS["slide"],
+                                 view=_view(ub, "data_table"))
 
 
 @query("page_view_count")
@@ -340,7 +349,7 @@ def hot_items_topn(spark, sf):
 
 @query("hot_items_topn_sql")
 def hot_items_topn_sql(spark, sf):
-    tables.user_behavior(spark, sf).createOrReplaceTempView("data_table")
+    view = _view(tables.user_behavior(spark, sf), "data_table")
     n, size, slide = P.HOT_ITEMS["n"], P.HOT_ITEMS["size"], P.HOT_ITEMS["slide"]
     return spark.sql(f"""
         SELECT item_id, window_end, cnt, row_num FROM (
@@ -349,7 +358,7 @@ def hot_items_topn_sql(spark, sf):
           FROM (
             SELECT item_id, CAST(count(item_id) AS BIGINT) AS cnt,
                    unix_millis(window(ts, '{size}', '{slide}').end) AS window_end
-            FROM data_table
+            FROM {view}
             WHERE behavior = 'pv'
             GROUP BY item_id, window(ts, '{size}', '{slide}')))
         WHERE row_num <= {n}""")

@@ -79,9 +79,12 @@ def _hour_end(size):
 
 def uv_bitmap(ub: DataFrame, size="1 hour", seed=61, bits=29, label="uv") -> DataFrame:
     """Distinct bitmap offsets (single polynomial hash, 2^bits bits) per window - the
-    same count as setting bits and counting first-time sets; collisions undercount."""
+    same count as setting bits and counting first-time sets; collisions undercount.
+    Users are de-duplicated per window first (map-side), so the per-character hash
+    runs once per distinct visitor and window, not once per page view."""
     pv = ub.where(is_behavior("pv"))
-    return (pv.groupBy(_hour_end(size).alias("window_end"))
+    visitors = pv.select(_hour_end(size).alias("window_end"), "user_id").distinct()
+    return (visitors.groupBy("window_end")
             .agg(F.count_distinct(poly_hash("user_id", seed, bits)).cast("bigint").alias("cnt"))
             .select(F.lit(label).alias("url"), "window_end", "cnt"))
 
@@ -100,9 +103,11 @@ def uv_running(ub: DataFrame, size="1 hour", seed=61, bits=29, split="1 minute")
 
     First occurrence per (window, bit) is an aggregate (min ts); the running number is
     a prefix count split into ``split`` buckets so a busy window is not one task."""
-    pv = ub.where(is_behavior("pv")).withColumn("bit", poly_hash("user_id", seed, bits))
-    first = (pv.groupBy(_hour_end(size).alias("window_end"), "bit")
-             .agg(F.min("ts").alias("ts")))
+    pv = ub.where(is_behavior("pv"))
+    # first visit per (window, user), then per (window, bit): the hash runs per visitor
+    per_user = pv.groupBy(_hour_end(size).alias("window_end"), "user_id").agg(F.min("ts").alias("ts"))
+    first = (per_user.withColumn("bit", poly_hash("user_id", seed, bits))
+             .groupBy("window_end", "bit").agg(F.min("ts").alias("ts")))
     out = running_count(first, ["window_end"], ["ts", "bit"], "cnt", split=split)
     return out.select("window_end", "bit", F.unix_millis("ts").alias("first_ts"), "cnt")
 

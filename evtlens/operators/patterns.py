@@ -152,6 +152,8 @@ def login_fail_timer(logins: DataFrame, limit="2 seconds", min_fails: int = 2, s
     and one ``mapInPandas`` scan per partition runs the greedy segmentation with
     constant state - no group is ever collected.
     """
+    from evtlens.session import ship_package
+    ship_package(logins.sparkSession)
     lim = duration_us(limit)
     x = lag_by_key(logins, ["user_id"], _order(logins), ["login_state", "ts"], 1, split)
     if "seq" not in x.columns:

@@ -14,8 +14,11 @@ final flush of :mod:`evtlens.streaming.eventtime`) the streams emit the same row
 from __future__ import annotations
 
 import heapq
+import sys
 from typing import Iterator, Sequence
 
+from pyspark import cloudpickle
+
 from pyspark.sql import DataFrame, Row
 from pyspark.sql.streaming.stateful_processor import (
     ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues,
@@ -44,6 +47,11 @@ def _sorted(rows: Iterator[Row]) -> list[Row]:
 def stateful_apply(df: DataFrame, keys: Sequence[str], processor: StatefulProcessor,
                    output: StructType, mode: str = "Append") -> DataFrame:
     """Group by ``keys`` and run ``processor`` with event-time timers."""
+    from evtlens.session import ship_package
+    ship_package(df.sparkSession)
+    # the processor is also unpickled by a driver-side Python process that does not see
+    # added py-files: ship this module's classes by value (they only use plain values)
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     conf = df.sparkSession.conf
     if "RocksDB" not in (conf.get("spark.sql.streaming.stateStore.providerClass", "") or ""):
         # transformWithState needs the RocksDB state store provider
@@ -63,12 +71,11 @@ class ClickCapProcessor(StatefulProcessor):
     'main'), warn once at click cap + 1 (route 'blacklist'); a timer at the next
     period start clears the state."""
 
-    def __init__(self, cap: int = 100, period="1 day", zone_offset="+08:00"):
+    def __init__(self, cap: int, period_us: int | None, offset_us: int, msg: str):
         self.cap = cap
-        self.period = duration_us(period) if period else None
-        sign = -1 if zone_offset.startswith("-") else 1
-        hh, mm = zone_offset.lstrip("+-").split(":")
-        self.offset = sign * (int(hh) * 3600 + int(mm) * 60) * 1_000_000
+        self.period = period_us
+        self.offset = offset_us
+        self.msg = msg
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -111,7 +118,7 @@ class ClickCapProcessor(StatefulProcessor):
                 elif not sent:
                     sent = True
                     yield Row(user_id=key[0], ad_id=key[1], province=province, ts_ms=u // 1000,
-                              route="blacklist", warning_msg=P.MSG_BLACKLIST.format(cap=self.cap))
+                              route="blacklist", warning_msg=self.msg)
         self.state.update((period, n, sent))
 
     def handleExpiredTimer(self, key, timerValues: TimerValues,
@@ -123,8 +130,16 @@ class ClickCapProcessor(StatefulProcessor):
         pass
 
 
+def _offset_us(zone_offset: str) -> int:
+    sign = -1 if zone_offset.startswith("-") else 1
+    hh, mm = zone_offset.lstrip("+-").split(":")
+    return sign * (int(hh) * 3600 + int(mm) * 60) * 1_000_000
+
+
 def click_cap_stream(clicks: DataFrame, cap: int = 100, period="1 day", zone_offset="+08:00") -> DataFrame:
-    return stateful_apply(clicks, ["user_id", "ad_id"], ClickCapProcessor(cap, period, zone_offset), CLICK_OUT)
+    proc = ClickCapProcessor(cap, duration_us(period) if period else None, _offset_us(zone_offset),
+                             P.MSG_BLACKLIST.format(cap=cap))
+    return stateful_apply(clicks, ["user_id", "ad_id"], proc, CLICK_OUT)
 
 
 # ------------------------------------------------------------------ C1
@@ -137,8 +152,8 @@ class LoginFailPairsProcessor(StatefulProcessor):
     """Keep only the previous event of the user; a fail after a fail at most ``limit``
     earlier warns. A timer ``limit`` after the last fail drops the state."""
 
-    def __init__(self, limit="2 seconds", msg: str = P.MSG_FAIL_PAIR):
-        self.limit = duration_us(limit)
+    def __init__(self, limit_us: int, msg: str):
+        self.limit = limit_us
         self.msg = msg
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -170,7 +185,8 @@ class LoginFailPairsProcessor(StatefulProcessor):
 
 
 def login_fail_pairs_stream(logins: DataFrame, limit="2 seconds") -> DataFrame:
-    return stateful_apply(logins, ["user_id"], LoginFailPairsProcessor(limit), WARN_OUT)
+    return stateful_apply(logins, ["user_id"], LoginFailPairsProcessor(duration_us(limit), P.MSG_FAIL_PAIR),
+                          WARN_OUT)
 
 
 # ------------------------------------------------------------------ C2
@@ -184,8 +200,8 @@ class LoginFailTimerProcessor(StatefulProcessor):
     """Anchor at a fail and a timer ``limit`` later; a success inside the span cancels;
     at the timer (or when a later event closes the span first) warn if >= min_fails."""
 
-    def __init__(self, limit="2 seconds", min_fails: int = 2, msg: str = P.MSG_FAIL_TIMER):
-        self.limit = duration_us(limit)
+    def __init__(self, limit_us: int, min_fails: int, msg: str):
+        self.limit = limit_us
         self.min_fails = min_fails
         self.msg = msg
 
@@ -236,7 +252,8 @@ class LoginFailTimerProcessor(StatefulProcessor):
 
 
 def login_fail_timer_stream(logins: DataFrame, limit="2 seconds", min_fails: int = 2) -> DataFrame:
-    return stateful_apply(logins, ["user_id"], LoginFailTimerProcessor(limit, min_fails), TIMER_OUT)
+    proc = LoginFailTimerProcessor(duration_us(limit), min_fails, P.MSG_FAIL_TIMER)
+    return stateful_apply(logins, ["user_id"], proc, TIMER_OUT)
 
 
 # ------------------------------------------------------------------ C7
@@ -252,8 +269,9 @@ class OrderPayProcessor(StatefulProcessor):
     Like the reference, a pay that arrives after the deadline timer has fired
     finds no create any more."""
 
-    def __init__(self, within="15 minutes"):
-        self.within = duration_us(within)
+    def __init__(self, within_us: int, msgs: dict):
+        self.within = within_us
+        self.m = dict(msgs)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -266,7 +284,7 @@ class OrderPayProcessor(StatefulProcessor):
             u = _us(r["ts"])
             if r["event_type"] == "create":
                 if pending is not None and pending < u:
-                    yield Row(order_id=oid, result_state=P.MSG_NO_CREATE, route="order-timeout")
+                    yield Row(order_id=oid, result_state=self.m['no_create'], route="order-timeout")
                     self.handle.deleteTimer(pending // 1000 + 1)
                     pending = None
                 if created is None:
@@ -275,7 +293,7 @@ class OrderPayProcessor(StatefulProcessor):
             elif r["event_type"] == "pay":
                 if created is not None and not decided and u >= created:
                     ok = u - created < self.within
-                    yield Row(order_id=oid, result_state=P.MSG_PAYED_OK if ok else P.MSG_PAYED_LATE,
+                    yield Row(order_id=oid, result_state=self.m['ok'] if ok else self.m['late'],
                               route="main" if ok else "order-timeout")
                     self.handle.deleteTimer((created + self.within) // 1000)
                     decided = True
@@ -289,10 +307,10 @@ class OrderPayProcessor(StatefulProcessor):
         t = expiredTimerInfo.getExpiryTimeInMs()
         oid = key[0]
         if pending is not None and t == pending // 1000 + 1:
-            yield Row(order_id=oid, result_state=P.MSG_NO_CREATE, route="order-timeout")
+            yield Row(order_id=oid, result_state=self.m['no_create'], route="order-timeout")
             pending = None
         if created is not None and not decided and t == (created + self.within) // 1000:
-            yield Row(order_id=oid, result_state=P.MSG_TIMEOUT, route="order-timeout")
+            yield Row(order_id=oid, result_state=self.m['timeout'], route="order-timeout")
             decided = True
         if pending is None and (created is None or decided):
             self.st.clear()
@@ -304,4 +322,6 @@ class OrderPayProcessor(StatefulProcessor):
 
 
 def order_pay_classify_stream(events: DataFrame, within="15 minutes") -> DataFrame:
-    return stateful_apply(events, ["order_id"], OrderPayProcessor(within), ORDER_OUT)
+    msgs = {"no_create": P.MSG_NO_CREATE, "ok": P.MSG_PAYED_OK, "late": P.MSG_PAYED_LATE,
+            "timeout": P.MSG_TIMEOUT}
+    return stateful_apply(events, ["order_id"], OrderPayProcessor(duration_us(within), msgs), ORDER_OUT)

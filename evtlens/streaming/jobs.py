@@ -169,3 +169,14 @@ def cep_order_stream(events: DataFrame, within="15 minutes", bound="0 seconds")
         F.when(payed, F.lit("payed")).otherwise(F.concat(
             F.lit("timeout "), (F.unix_millis("c_ts") + F.lit(w // 1000)).cast("string"))).alias("result_state"),
         F.when(payed, F.lit("main")).otherwise(F.lit("order-timeout")).alias("route"))
+
+
+def uv_running_stream(ub: DataFrame, size="1 hour", bound="0 seconds", rsd: float = 0.01) -> DataFrame:
+    """W8/A9 stream: run in ``update`` mode - every micro-batch emits the new running uv
+    of each hour window it touched (HLL++ state, one mergeable sketch per window; an
+    exact per-window set would grow with the visitors). Feed it to
+    ``sinks.keyed_upsert(path, ["window_end"])`` for the store of the newest value."""
+    pv = with_event_time(ub, "ts", bound).where(is_behavior("pv"))
+    return (pv.groupBy(_window("ts", size).alias("_w"))
+            .agg(F.approx_count_distinct("user_id", rsd).alias("cnt"))
+            .select(F.lit("uv").alias("url"), F.unix_millis(F.col("_w.end")).alias("window_end"), "cnt"))

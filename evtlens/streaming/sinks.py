@@ -39,20 +39,25 @@ def append_writer(path: str) -> Callable[[DataFrame, int], None]:
     return run
 
 
-def keyed_upsert(path: str, keys: Sequence[str], version: str) -> Callable[[DataFrame, int], None]:
-    """``store[key] = value``, newest ``version`` wins. Each batch first keeps its
-    newest row per key (aggregate, map-side combined), then appends it as a new
-    log segment; :func:`read_upserted` resolves the newest value per key."""
+def keyed_upsert(path: str, keys: Sequence[str], version: str | None = None) -> Callable[[DataFrame, int], None]:
+    """``store[key] = value``, newest ``version`` wins (``None``: the newest batch
+    wins, as for update-mode output). Each batch first keeps its newest row per key
+    (aggregate, map-side combined), then appends it as a new log segment;
+    :func:`read_upserted` resolves the newest value per key."""
     keys = list(keys)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        _write(T.latest_per_key(batch, keys, version), path, batch_id)
+        if version is None:
+            batch = batch.withColumn("_v", F.lit(batch_id))
+            _write(T.latest_per_key(batch, keys, "_v").drop("_v"), path, batch_id)
+        else:
+            _write(T.latest_per_key(batch, keys, version), path, batch_id)
     return run
 
 
-def read_upserted(spark: SparkSession, path: str, keys: Sequence[str], version: str) -> DataFrame:
+def read_upserted(spark: SparkSession, path: str, keys: Sequence[str], version: str | None = None) -> DataFrame:
     log = spark.read.parquet(path)
-    ver = F.struct(F.col(version), F.col("batch"))
+    ver = F.struct(F.col(version), F.col("batch")) if version else F.col("batch")
     cols = [c for c in log.columns if c not in keys and c != "batch"]
     return (log.groupBy(*keys).agg(F.max_by(F.struct(*cols), ver).alias("_l"))
             .select(*keys, "_l.*"))

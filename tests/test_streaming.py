@@ -162,3 +162,16 @@ def test_cep_order_stream(spark, order_log):
                  C.cep_order_pay(order_log, "15 minutes").unionByName(
                      C.cep_order_timeout(order_log, "15 minutes")).collect())
     assert got == exp and len(got) == 39
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="test tables not present")
+def test_uv_running_stream_update_mode(spark):
+    d, schema = _events_stream_dir(spark)
+    ub = tables.user_behavior_from(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(d))
+    out = scratch()
+    run_foreach(jobs.uv_running_stream(ub), sinks.keyed_upsert(out, ["window_end"]), mode="update")
+    got = sorted(tuple(r) for r in sinks.read_upserted(spark, out, ["window_end"])
+                 .select("window_end", "cnt").where("window_end < 4070908800000").collect())
+    import __spark_entry__ as E
+    exp = sorted((r.window_end, r.cnt) for r in E.queries()["uv_approx"](spark, "/root/testdata/sf0.001").collect())
+    assert got == exp

@@ -175,3 +175,33 @@ def test_uv_running_stream_update_mode(spark):
     import __spark_entry__ as E
     exp = sorted((r.window_end, r.cnt) for r in E.queries()["uv_approx"](spark, "/root/testdata/sf0.001").collect())
     assert got == exp
+
+
+def test_hot_pages_allowed_lateness_update_mode(spark):
+    """E3 + T3 + T4: a row 40 s behind the newest one is still accepted (delay = 1 s
+    bound + 1 min lateness), updates its windows in update mode, and the top-n
+    writer retracts the old counts and inserts the new ones."""
+    import datetime as dt
+    t0 = dt.datetime(2015, 5, 17, 10, 0, 0)
+
+    def line(sec, url):
+        t = (t0 + dt.timedelta(seconds=sec)).strftime("%d/%m/%Y:%H:%M:%S")
+        return f"1.1.1.1 - - {t} +0000 GET {url}\n"
+
+    d = scratch()
+    write_text(d, "a.log", line(0, "/page/1") + line(1, "/page/2") + line(2, "/page/2"), 1)
+    write_text(d, "b.log", line(100, "/page/3"), 2)
+    write_text(d, "c.log", line(60, "/page/1"), 3)
+    from evtlens.sources.text import parse_apache_log
+    logs = parse_apache_log(spark.readStream.option("maxFilesPerTrigger", 1).text(d))
+    counts = jobs.page_view_count_stream(logs, "10 minutes", "5 seconds", "1 second", "1 minute")
+    out = scratch()
+    run_foreach(counts, sinks.topn_writer(out, 3, "url"), mode="update")
+    top = sinks.read_top(spark, out, id_col="url")
+    base = int(t0.replace(tzinfo=dt.timezone.utc).timestamp() * 1000)
+    w = base + 65_000  # window (t0 - 535 s, t0 + 65 s] holds t0 and t0 + 60 s
+    got = sorted((r.url, r.cnt, r.row_num) for r in top.where(F.col("window_end") == w).collect())
+    assert got == [("/page/1", 2, 1), ("/page/2", 2, 2)]
+    log = spark.read.parquet(f"{out}/changelog").where(F.col("window_end") == w)
+    ops = sorted((r.op, r.url, r.cnt) for r in log.collect())
+    assert ("+", "/page/1", 2) in ops and ("-", "/page/1", 1) in ops

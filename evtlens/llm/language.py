@@ -2,7 +2,9 @@
 
 For each language a zstandard dictionary of raw content is made from labelled texts. A
 text is compressed with each dictionary and gets the language whose dictionary leaves the
-fewest bytes; when the best two are nearly equal the answer is rejected.
+fewest bytes; when the best two are nearly equal the answer is rejected. Dictionaries and
+texts are first reduced to lower-case letters and single spaces, so that capitals, digits
+and symbols tell nothing.
 
 A text is compressed in independent blocks of ``block`` bytes, so that the dictionary
 counts all through a long text and not only until the text has taught the compressor its
@@ -13,7 +15,7 @@ bounded, seeded sample, the documented bound of the classifier) up to ``dict_byt
 all, an eighth of that from each; whole texts are classified. Only text and label are read.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0; ties go
-to the first language by code point; with no labelled text all are ``und``; documents
+to the language with more labelled texts, then the first by code point; with no labelled text all are ``und``; documents
 whose id is null are neither held out nor learned from.
 """
 
@@ -28,11 +30,16 @@ from pyspark.sql import functions as F
 from .packing import slabs
 
 _LETTER = re.compile(r"[^\W\d_]")
+_OTHER = re.compile(r"[\W\d_]+")
+
+
+def letters(text: str) -> bytes:
+    return _OTHER.sub(" ", text.lower()).encode()
 
 
 def train(labelled: DataFrame, *, text: str = "text", lang: str = "lang", sample_docs: int = 256,
           dict_bytes: int = 98_304, min_chars: int = 20) -> dict[str, bytes]:
-    """language -> dictionary content. The sample is taken by a per-task top-k before the
+    """language -> dictionary content, most frequent language first. The sample is taken by a per-task top-k before the
     shuffle, so a frequent language sends no more than others."""
     usable = labelled.where(F.col(lang).isNotNull() & (F.char_length(text) >= min_chars)).select(
         F.col(lang).alias("lang"), F.col(text).alias("text"), F.md5(F.col(text)).alias("draw"))
@@ -42,21 +49,22 @@ def train(labelled: DataFrame, *, text: str = "text", lang: str = "lang", sample
     picked = (usable.join(F.broadcast(keys), ["lang", "draw"])       # sample_docs rows a language
               .groupBy("lang", "draw").agg(F.min(F.substring("text", 1, dict_bytes // 8)).alias("text"))
               .orderBy("lang", "draw").collect())
-    out: dict[str, bytes] = {}
+    often = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
+    out = dict.fromkeys(sorted(often, key=lambda k: (-often[k], k)), b"")
     for r in picked:                              # sample_docs texts a language at most
-        have = out.get(r["lang"], b"")
+        have = out[r["lang"]]
         if len(have) < dict_bytes:
-            out[r["lang"]] = (have + r["text"].encode() + b"\n")[:dict_bytes]
+            out[r["lang"]] = (have + letters(r["text"]) + b" ")[:dict_bytes]
     return out
 
 
 def classify(docs: DataFrame, dictionaries: dict[str, bytes], *, text: str = "text",
-             carry: tuple[str, ...] = ("doc_id",), block: int = 4096, level: int = 1,
+             carry: tuple[str, ...] = ("doc_id",), block: int = 4096, level: int = 6,
              min_margin: float = 0.01) -> DataFrame:
     """carry columns, lang_pred, score (0 to 1: the part of its bytes by which the best
     dictionary beats the second, scaled) and rejected (margin below ``min_margin``)."""
     kinds = dict((f.name, f.dataType) for f in docs.schema)
-    names = sorted(dictionaries)
+    names = list(dictionaries)
 
     def run(batches):
         import zstandard
@@ -69,12 +77,14 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes], *, text: str = "te
         for batch in batches:
             for first, texts in slabs(batch.column(len(carry))):
                 lang, score, rejected = [], [], []
-                for t in texts:
-                    if not names or not _LETTER.search(t.decode()):
+                for raw in texts:
+                    plain = raw.decode()
+                    if not names or not _LETTER.search(plain):
                         lang.append("und")
                         score.append(0.0)
                         rejected.append(True)
                         continue
+                    t = letters(plain)
                     size = [0] * len(names)
                     for at in range(0, len(t), block):
                         part = t[at:at + block]

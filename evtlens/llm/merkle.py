@@ -1,7 +1,7 @@
 """Document fingerprints: a Merkle tree over sentences, paragraphs and sections
 (DataFrame functions only).
 
-* Leaves: the sentences of each line (cut after ". "), hashed.
+* Leaves: the clauses of each line (cut after . ! ? , ; : or | and a space), hashed.
 * A paragraph is a line; its node hashes its leaves.
 * A section is a run of paragraphs that ends after a paragraph whose hash starts with
   0 to 3. Borders depend on content only, so an insertion moves no later border.
@@ -11,7 +11,7 @@ A fingerprint is ``root:section,section;paragraph,paragraph|...;leaves`` as text
 ``root ":" sections``, sections separated by ``|``, each ``hash=paragraphs``; paragraphs
 separated by ``;``, each the leaf hashes separated by ``,``. Equal texts have equal
 fingerprints; roots alone test equality. ``locate`` walks down the branches that differ.
-Likeness is the share of common leaves among all leaves of both (sets).
+Likeness is twice the number of common leaves over the leaves of both (sets).
 
 Defined results: a null text is empty; the empty text has one leaf, that of "";
 two empty texts are alike (1.0).
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from .common import written
 
 LEAF, NODE = 12, 16       # hex digits kept of a leaf's and a node's hash
+CLAUSE_END = "([.!?,;:|]) "
 
 
 def tree(text: Column) -> Column:
@@ -32,7 +33,7 @@ def tree(text: Column) -> Column:
     that the plan stays small however long the text is."""
     lines = F.split(text, "\n", -1)
     paragraphs = F.transform(lines, lambda p: F.array_join(F.transform(
-        F.split(F.replace(p, F.lit(". "), F.lit(".\n")), "\n", -1),
+        F.split(F.regexp_replace(p, CLAUSE_END, "$1\n"), "\n", -1),
         lambda s: F.left(F.md5(s), F.lit(LEAF))), ","))
     # the paragraph's hash decides whether a section ends behind it
     marked = F.array_join(F.transform(paragraphs, lambda p: F.concat(
@@ -63,9 +64,8 @@ def leaves(fp: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Shared leaves over all leaves, for two leaf sets."""
-    both = F.size(F.array_intersect(a, b))
-    return both / (F.size(a) + F.size(b) - both).cast("double")
+    """Twice the shared leaves over the leaves of both, for two leaf sets."""
+    return 2.0 * F.size(F.array_intersect(a, b)) / (F.size(a) + F.size(b))
 
 
 def locate(pairs: DataFrame, old: str = "old", new: str = "new") -> DataFrame:

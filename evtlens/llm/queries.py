@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from . import (language, line_dedup, merkle, mixing, packing, quality, secret_scan, simhash,
                suffix_dedup, warc)
 from .common import shared_folder, table
+from .oracle import ORACLE_SQL  # noqa: F401  (registered with the queries)
 
 
 def _tokenizer() -> str:
@@ -46,7 +47,7 @@ def op5_language(spark: SparkSession, sf: str) -> DataFrame:
 
 def op6_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
-    return quality.judged(docs, carry=["doc_id"])
+    return quality.judged(docs, carry=["doc_id"]).drop("class_distance", "word_distance")
 
 
 def op7_warc(spark: SparkSession, sf: str) -> DataFrame:
@@ -82,4 +83,3 @@ def op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
 REGISTRY = {f.__name__: f for f in (
     op1_mixing, op2_packing, op3_fingerprints, op4_secret_scan, op5_language, op6_quality_rules, op7_warc,
     op8_suffix_dedup, op9_simhash, op10_line_dedup)}
-ORACLE_SQL: dict[str, str] = {}

@@ -41,16 +41,16 @@ SELECT doc_id, size, source_size, target, (size * (whole + extra{rounds}::INT)):
 
 def op3() -> str:
     def tree(t: str) -> str:
-        paragraphs = (f"list_transform(string_split({t}, chr(10)), p -> array_to_string(list_transform(string_split("
-                      r"regexp_replace(p, '([.!?,;:|]) ', '\1' || chr(10), 'g'), chr(10)), s -> left(md5(s), 12)), ','))")
-        marked = (f"array_to_string(list_transform({paragraphs}, p -> p || CASE WHEN left(md5(p), 1) < '4' "
+        paragraphs = (f"list_transform(string_split({t}, chr(10)), lambda p: array_to_string(list_transform(string_split("
+                      r"regexp_replace(p, '([.!?,;:|]) ', '\1' || chr(10), 'g'), chr(10)), lambda s: left(md5(s), 12)), ','))")
+        marked = (f"array_to_string(list_transform({paragraphs}, lambda p: p || CASE WHEN left(md5(p), 1) < '4' "
                   "THEN '|' ELSE ';' END), '')")
         sections = f"string_split(regexp_replace({marked}, '[|;]$', ''), '|')"
-        return (f"array_to_string(list_transform({sections}, s -> left(md5(array_to_string(list_transform("
-                "string_split(s, ';'), p -> left(md5(p), 16)), ',')), 16) || '=' || s), '|')")
+        return (f"array_to_string(list_transform({sections}, lambda s: left(md5(array_to_string(list_transform("
+                "string_split(s, ';'), lambda p: left(md5(p), 16)), ',')), 16) || '=' || s), '|')")
 
     def fp(t: str) -> str:
-        return f"md5(array_to_string(list_transform(string_split({t}, '|'), s -> left(s, 16)), ',')) || ':' || {t}"
+        return f"md5(array_to_string(list_transform(string_split({t}, '|'), lambda s: left(s, 16)), ',')) || ':' || {t}"
 
     def leaves(t: str) -> str:
         return (f"list_distinct(regexp_split_to_array(regexp_replace(regexp_replace({t}, '^[0-9a-f]{{16}}=', ''), "
@@ -101,11 +101,11 @@ rep AS (SELECT id, count(DISTINCT j)::BIGINT AS n_repeat_words FROM (SELECT id,
 feat AS (SELECT s.id, doc_id, lang, t, w, len(w)::BIGINT AS n_words,
     length(regexp_replace(t, '[\\x20\\x09-\\x0D]', '', 'g'))::BIGINT AS word_chars,
     (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
-    (len(list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '{WORD}')))
-     - len(list_distinct(list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '{WORD}')))))::BIGINT AS n_dup_lines,
+    (len(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{WORD}')))
+     - len(list_distinct(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{WORD}')))))::BIGINT AS n_dup_lines,
     coalesce(n_repeat_words, 0) AS n_repeat_words, {classes} FROM split s LEFT JOIN rep USING (id)),
 hits AS (SELECT id, word, count(*) / any_value(n_words) AS p FROM (
-    SELECT id, n_words, unnest(list_filter(w, x -> list_contains({vocabulary}, x))) AS word FROM feat) GROUP BY id, word),
+    SELECT id, n_words, unnest(list_filter(w, lambda x: list_contains({vocabulary}, x))) AS word FROM feat) GROUP BY id, word),
 refs AS (SELECT lang, count(*) AS n, {ref_classes} FROM feat WHERE lang IN ({langs}) AND n_words >= {min_words} GROUP BY lang),
 ref_words AS (SELECT f.lang, h.word, round(sum(h.p) / any_value(r.n), 6) AS q FROM feat f JOIN hits h USING (id)
     JOIN refs r ON r.lang = f.lang WHERE f.n_words >= {min_words} GROUP BY f.lang, h.word),
@@ -131,9 +131,9 @@ def op7() -> str:
     return f"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
 d AS (SELECT page_id, strlen(h)::BIGINT AS payload_bytes, sha1(h) AS x FROM p),
-b AS (SELECT *, array_to_string(list_transform(range(1, 41), i -> {bits}[strpos('0123456789abcdef', x[i])]), '') AS bits FROM d),
+b AS (SELECT *, array_to_string(list_transform(range(1, 41), lambda i: {bits}[strpos('0123456789abcdef', x[i])]), '') AS bits FROM d),
 f AS (SELECT *, first_value(page_id) OVER (PARTITION BY x ORDER BY page_id NULLS LAST) AS least FROM b)
-SELECT page_id, payload_bytes, array_to_string(list_transform(range(0, 32), i ->
+SELECT page_id, payload_bytes, array_to_string(list_transform(range(0, 32), lambda i:
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[list_position({fives}, bits[5 * i + 1 : 5 * i + 5])]), '') AS payload_digest,
     CASE WHEN least IS NOT DISTINCT FROM page_id THEN 'response' ELSE 'revisit' END AS record_type,
     CASE WHEN least IS NOT DISTINCT FROM page_id THEN NULL ELSE least END AS refers_to FROM f"""

@@ -109,13 +109,15 @@ def anchors(buf: np.ndarray, starts: np.ndarray, window: int):
     return h[a], a, first, last, doc
 
 
-def read_chunk(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bytes, document starts and document order of a chunk."""
-    texts = table.column("t").to_pylist()
-    buf = np.frombuffer(b"".join(texts), np.uint8)
-    starts = np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(np.int64)
-    order = np.array([_LAST if k is None else k for k in table.column("k").to_pylist()], np.int64)
-    return buf, starts, order
+def read_chunk(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
+    """Bytes, document starts, document order and keys of a chunk. A shuffle delivers rows
+    in any order; here they get one order, so that each pass numbers them alike."""
+    rows = sorted(zip(table.column("k").to_pylist(), table.column("t").to_pylist(), strict=True),
+                  key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    buf = np.frombuffer(b"".join(t for _, t in rows), np.uint8)
+    starts = np.concatenate(([0], np.cumsum([len(t) for _, t in rows]))).astype(np.int64)
+    order = np.array([_LAST if k is None else k for k, _ in rows], np.int64)
+    return buf, starts, order, [k for k, _ in rows]
 
 
 # --- packed arrays ---------------------------------------------------------------------
@@ -157,7 +159,7 @@ def hash_range(keys: np.ndarray, buckets: int) -> np.ndarray:
 def chunk_keys(window: int, buckets: int):
     def run(table: pa.Table) -> pa.Table:
         chunk = table.column("chunk")[0].as_py()
-        buf, starts, _ = read_chunk(table)
+        buf, starts, _, _ = read_chunk(table)
         keys = np.unique(anchors(buf, starts, window)[0])
         b = hash_range(keys, buckets)
         cut = np.flatnonzero(np.diff(b, prepend=b[:1] + np.uint64(1)))
@@ -198,7 +200,7 @@ def repeated_keys(table: pa.Table) -> pa.Table:
 def chunk_suffixes(docs: pa.Table, replies: list[bytes], splitters: np.ndarray, window: int) -> dict:
     """Distinct surroundings (bytes that the windows of one anchor cover) of the chunk's
     repeating anchors, in order of bucket and leading bytes, and where they occur."""
-    buf, starts, order = read_chunk(docs)
+    buf, starts, order, keys = read_chunk(docs)
     key, a, lo, hi, doc = anchors(buf, starts, window)
     known = np.unique(np.concatenate([unpack_keys(r) for r in replies])) if replies else np.zeros(0, np.uint64)
     # hashes that two documents of this chunk share
@@ -227,7 +229,7 @@ def chunk_suffixes(docs: pa.Table, replies: list[bytes], splitters: np.ndarray,
     rank = np.lexsort((np.arange(len(texts)), lead, bucket))
     place = np.empty(len(texts), np.int64)
     place[rank] = np.arange(len(texts))
-    return {"buf": buf, "starts": starts, "order": order, "lo": lo, "doc": doc, "entry": place[entry],
+    return {"buf": buf, "starts": starts, "order": order, "keys": keys, "lo": lo, "doc": doc, "entry": place[entry],
             "texts": [texts[i] for i in rank], "offs": np.array(offs, np.uint8)[rank],
             "least": least[rank], "multi": (most > least)[rank], "bucket": bucket[rank]}
 
@@ -238,8 +240,8 @@ def send_suffixes(splitters: np.ndarray, window: int):
         rows: list[tuple] = []
         if docs.num_rows:
             c = chunk_suffixes(docs, replies.column("data").to_pylist(), splitters, window)
-            cut = np.flatnonzero(np.diff(c["bucket"], prepend=-1))
-            for s, e in zip(cut.tolist(), [*cut[1:].tolist(), len(c["bucket"])], strict=True):
+            cut = np.flatnonzero(np.diff(c["bucket"], prepend=-1))[:len(c["bucket"])]
+            for s, e in zip(cut.tolist(), np.append(cut, len(c["bucket"]))[1:].tolist(), strict=True):
                 sizes = np.array([len(t) for t in c["texts"][s:e]], "<u4")
                 rows.append((int(c["bucket"][s]), s, pack(sizes, c["offs"][s:e], c["least"][s:e], c["multi"][s:e].view(np.uint8)),
                              zstandard.ZstdCompressor(level=1).compress(b"".join(c["texts"][s:e]))))
@@ -376,7 +378,7 @@ def cut_chunk(splitters: np.ndarray, window: int, with_text: bool):
         kept = buf[~gone].tobytes()
         left = starts - sums[starts]
         parts = [kept[s:e] for s, e in zip(left[:-1].tolist(), left[1:].tolist(), strict=True)]
-        out = {"k": docs.column("k"), "n_bytes": pa.array(np.diff(starts)),
+        out = {"k": pa.array(c["keys"], pa.int64()), "n_bytes": pa.array(np.diff(starts)),
                "n_removed": pa.array(np.diff(sums[starts]).astype(np.int64)),
                "n_spans": pa.array(np.diff(spans[starts]).astype(np.int64)),
                "kept_sha256": pa.array([hashlib.sha256(p).hexdigest() for p in parts], pa.string())}

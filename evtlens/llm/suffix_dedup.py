@@ -279,7 +279,31 @@ def _ragged(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return row, np.repeat(starts - first, sizes) + np.arange(int(sizes.sum()))
 
 
+def equal_runs(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """An order in which rows equal in all parts stand together, and where each run of equal
+    rows begins. Rows are sorted by a hash; if different rows meet by chance, by the parts."""
+    n = len(parts[0])
+    h = np.zeros(n, np.uint64)
+    for i, x in enumerate(parts):
+        h += x.astype(np.uint64)
+        h *= _MIX[i % len(_MIX)]
+        h ^= h >> np.uint64(31)
+    order = np.argsort(h, kind="stable")
+    equal = h[order][1:] == h[order][:-1]
+    for x in parts:
+        y = x[order]
+        if not np.array_equal(y[1:][equal], y[:-1][equal]):
+            order = np.lexsort(parts)
+            equal = np.ones(max(n - 1, 0), bool)
+            for z in parts:
+                equal &= z[order][1:] == z[order][:-1]
+            break
+    return order, np.flatnonzero(np.concatenate((np.ones(min(n, 1), bool), ~equal)))
+
+
 def least_documents(window: int):
+    steps = [*range(0, window - 7, 8), window - 8]       # eight-byte loads that cover a window
+
     def run(table: pa.Table) -> pa.Table:
         """Of a bucket: for each suffix the runs of its windows that another suffix or another
         document has, with the least document."""
@@ -290,56 +314,56 @@ def least_documents(window: int):
         heads = [unpack(d, "<u4", "u1", "<i8", "u1") for d in table.column("head").to_pylist()]
         buf = np.frombuffer(b"".join(zstandard.ZstdDecompressor().decompress(d) for d in table.column("data").to_pylist()), np.uint8)
         size, off, least, multi = (np.concatenate([h[i] for h in heads]) for i in range(4))
+        size = size.astype(np.int64)
         source = np.repeat(np.arange(len(heads)), [len(h[0]) for h in heads])
         number = np.concatenate([np.arange(len(h[0])) + f for h, f in zip(heads, first, strict=True)])
-        begin = np.cumsum(size, dtype=np.int64) - size
+        begin = np.cumsum(size) - size
         x = loads(buf)
-        at = begin + off
-        order, group = multikey_order(np.stack([x[at].byteswap(), x[at + 8].byteswap(), x[at + 16].byteswap()], axis=1))
-        shared = np.zeros(len(size), bool)
-        shared[order] = np.bincount(group)[group] > 1
-        keep = np.flatnonzero(shared | (multi > 0))
-        count = size[keep].astype(np.int64) - window + 1
-        row, place = _ragged(begin[keep], count)
-        h = np.zeros(len(place), np.uint64)
-        steps = [*range(0, window - 7, 8), window - 8]
-        for i, s in enumerate(steps):
-            h += x[place + s]
-            h *= _MIX[i % len(_MIX)]
-            h ^= h >> np.uint64(31)
-        rank = np.argsort(h, kind="stable")
-        p = place[rank]
-        equal = h[rank][1:] == h[rank][:-1]
-        for s in steps:               # hashes that meet by chance: sort by the bytes
-            if not np.array_equal(x[p[1:] + s][equal], x[p[:-1] + s][equal]):
-                rank = np.lexsort([x[place + s] for s in steps])
-                p = place[rank]
-                equal = np.ones(max(len(p) - 1, 0), bool)
-                for t in steps:
-                    equal &= x[p[1:] + t] == x[p[:-1] + t]
-                break
-        start = np.flatnonzero(np.concatenate(([True], ~equal)))[:len(p)]
+        # whole surroundings that several chunks sent are one from here on (a surrounding is
+        # shorter than two windows, so its first and last window cover it)
+        order, start = equal_runs([size, off, *[x[begin + s] for s in steps], *[x[begin + size - window + s] for s in steps]])
+        same = np.diff(np.append(start, len(order)))
+        whole = np.empty(len(size), np.int64)             # entry -> distinct surrounding
+        whole[order] = np.repeat(np.arange(len(start)), same)
+        one = order[start]
+        d_least = np.minimum.reduceat(least[order], start)
+        d_begin, d_count = begin[one], size[one] - window + 1
+        # suffixes from the anchor on, in order; those with the anchor in common are compared
+        at = d_begin + off[one]
+        rank, group = multikey_order(np.stack([x[at].byteswap(), x[at + 8].byteswap(), x[at + 16].byteswap()], axis=1))
+        shared = np.zeros(len(one), bool)
+        shared[rank] = np.bincount(group)[group] > 1
+        keep = np.flatnonzero(shared)
+        row, place = _ragged(d_begin[keep], d_count[keep])
+        run_of, run_lo, run_hi, run_low = [np.flatnonzero(~shared)], [np.zeros((~shared).sum(), np.int64)], [d_count[~shared] - 1], [d_least[~shared]]
+        if len(place):
+            by, begins = equal_runs([x[place + s] for s in steps])
+            low = np.empty(len(place), np.int64)
+            low[by] = np.repeat(np.minimum.reduceat(d_least[keep][row][by], begins), np.diff(np.append(begins, len(by))))
+            cut = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (low[1:] != low[:-1]))))
+            last = np.append(cut[1:], len(place)) - 1
+            of = keep[row[cut]]
+            run_of.append(of)
+            run_lo.append(place[cut] - d_begin[of])
+            run_hi.append(place[last] - d_begin[of])
+            run_low.append(low[cut])
+        run_of, run_lo, run_hi, run_low = (np.concatenate(r) for r in (run_of, run_lo, run_hi, run_low))
+        by = np.argsort(run_of, kind="stable")
+        runs = np.bincount(run_of, minlength=len(one))
+        head = np.cumsum(runs) - runs
+        entry, i = _ragged(head[whole], runs[whole])
+        i = by[i]
+        # a chunk whose only document with this surrounding is the least one cuts nothing
+        hit = (run_low[i] < least[entry]) | (multi[entry] > 0)
+        entry, i = entry[hit], i[hit]
+        src = source[entry]
+        by = np.argsort(src, kind="stable")
+        entry, i, src = entry[by], i[by], src[by]
         out_c, out_d = [], []
-        if len(p):
-            sizes = np.diff(np.append(start, len(p)))
-            e = keep[row]
-            low = np.empty(len(p), np.int64)
-            low[rank] = np.repeat(np.minimum.reduceat(least[e][rank], start), sizes)
-            hit = np.empty(len(p), bool)
-            hit[rank] = np.repeat(sizes > 1, sizes)
-            hit |= multi[e] > 0
-            j = place - begin[e]
-            cut = np.concatenate(([True], (row[1:] != row[:-1]) | (low[1:] != low[:-1]) | (hit[1:] != hit[:-1])))
-            s = np.flatnonzero(cut)
-            t = np.append(s[1:], len(p)) - 1
-            s, t = s[hit[s]], t[hit[s]]
-            src = source[e[s]]
-            by = np.argsort(src, kind="stable")
-            s, t, src = s[by], t[by], src[by]
-            for g in np.split(np.arange(len(s)), np.flatnonzero(np.diff(src)) + 1) if len(s) else []:
-                i, k = s[g], t[g]
-                out_c.append(chunks[int(src[g[0]])])
-                out_d.append(pack(number[e[i]].astype("<u4"), j[i].astype("<u2"), j[k].astype("<u2"), low[i].astype("<i8")))
+        for g in np.split(np.arange(len(src)), np.flatnonzero(np.diff(src)) + 1) if len(src) else []:
+            out_c.append(chunks[int(src[g[0]])])
+            out_d.append(pack(number[entry[g]].astype("<u4"), run_lo[i[g]].astype("<u2"), run_hi[i[g]].astype("<u2"),
+                              run_low[i[g]].astype("<i8")))
         return pa.table({"chunk": pa.array(out_c, pa.int64()), "kind": pa.array([1] * len(out_c), pa.int32()),
                          "bucket": pa.array([bucket] * len(out_c), pa.int64()), "data": pa.array(out_d, pa.binary())})
     return run

@@ -11,8 +11,7 @@ The streams are joined in partition order; the table of the first pass holds one
 successful attempt of each task, so a lost executor can't change the offsets.
 
 Tokenizing goes word by word: white space never joins a token of the word tokenizer, so
-the ids of a text are those of its words in order. Each slab of texts is split into
-words, each distinct word is encoded once, and the ids are laid out by array indexing.
+the ids of a text are those of its words in order. Texts are split into words, and each distinct word is encoded once.
 
 Defined results: a null text is empty; every document, empty ones too, ends with the end
 id, so it has at least one token; an empty table has no windows; repeated rows are packed
@@ -21,8 +20,15 @@ as often as they occur.
 
 from __future__ import annotations
 
+import json
+import re
+import sys
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
+from functools import lru_cache
+from itertools import accumulate
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -32,63 +38,90 @@ from pyspark.sql import functions as F
 
 from .common import written
 
-#: Separates distinct words when they are encoded together; a token of its own.
-MARK = "\x1e"
 SLAB_BYTES = 4_000_000
-CACHE_WORDS = 200_000
-
-
-def word_tokenizer(path: str) -> Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]:
-    """Texts (UTF-8) to (ids of all, ids per text) for a tokenizer file whose
-    pre-tokenizer ends tokens at white space."""
+#: A worker remembers the ids of so many words, and of as many older ones.
+CACHE_WORDS = 450_000
+
+# How the word tokenizer's file cuts lower-case text, and what that comes
+# to for printable ASCII without white space.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+ASCII_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+
+
+def _byte_chars() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary: printable
+    Latin-1 stands for itself, the others get the characters from 256 on in turn."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [x for x in range(256) if x not in printable]
+    return [chr(x) if x in printable else chr(256 + others.index(x)) for x in range(256)]
+
+
+class WordIds(dict):
+    """word -> ids, as bytes; missing words are encoded. When it is full, what it holds
+    becomes the older half, from which words in use come back."""
+
+    def __init__(self, encode: Callable[[bytes], bytes], limit: int):
+        self.encode, self.limit, self.older = encode, limit, {}
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= self.limit:
+            self.older = dict(self)
+            self.clear()
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.encode(word)
+        self[word] = ids
+        return ids
+
+
+@lru_cache(maxsize=4)
+def word_tokenizer(path: str) -> tuple[Callable[[bytes], bytes], int]:
+    """For a tokenizer file whose pre-tokenizer ends tokens at white space: a function from
+    UTF-8 text to its ids as little-endian bytes, and the bytes of an id.
+
+    Each distinct word is cut into pieces as the file says and its pieces are encoded by the
+    library's model. Words of Latin letters (a comma or full stop behind them) and
+    printable ASCII are cut here, others by the library; words that may hold special tokens
+    go through the whole tokenizer. A Python worker keeps what it has learnt for its
+    next tasks."""
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(path)
-    mark = tok.encode(MARK, add_special_tokens=False).ids
-    words_of: dict[bytes, int] = {}       # word -> row of the ragged table below
-    state = {"ids": np.zeros(0, np.uint32), "start": np.zeros(1, np.int64)}
-
-    def add(new: list[bytes]) -> None:
-        plain = [w.decode() for w in new]
-        found = None
-        if len(mark) == 1 and not any(MARK in w for w in plain):
-            ids = np.array(tok.encode(f" {MARK} ".join(plain), add_special_tokens=False).ids, np.uint32)
-            is_mark = ids == mark[0]
-            if int(is_mark.sum()) == len(plain) - 1:
-                ends = np.append(np.flatnonzero(is_mark), len(ids))
-                lengths = np.diff(np.concatenate(([-1], ends))) - 1
-                found = ids[~is_mark], lengths
-        if found is None:
-            each = [e.ids for e in tok.encode_batch(plain, add_special_tokens=False)]
-            found = (np.array([i for e in each for i in e], np.uint32), np.array([len(e) for e in each], np.int64))
-        base = len(state["start"]) - 1
-        words_of.update(zip(new, range(base, base + len(new)), strict=True))
-        state["start"] = np.concatenate((state["start"], state["start"][-1] + np.cumsum(found[1])))
-        state["ids"] = np.concatenate((state["ids"], found[0]))
-
-    def encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        import pandas as pd
-        if len(words_of) > CACHE_WORDS:
-            words_of.clear()
-            state.update(ids=np.zeros(0, np.uint32), start=np.zeros(1, np.int64))
-        split = [t.split() for t in texts]
-        counts = np.array([len(w) for w in split], np.int64)
-        flat = [w for ws in split for w in ws]
-        if not flat:
-            return np.zeros(0, np.uint32), counts
-        codes, distinct = pd.factorize(np.array(flat, dtype=object))
-        new = [w for w in distinct if w not in words_of]
-        if new:
-            add(new)
-        rows = np.fromiter((words_of[w] for w in distinct), np.int64, len(distinct))[codes]
-        start = state["start"][rows]
-        length = state["start"][rows + 1] - start
-        ends = np.cumsum(length)
-        at = np.repeat(start - (ends - length), length) + np.arange(ends[-1])
-        bounds = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(counts)))]
-        return state["ids"][at], np.diff(bounds)
-
-    return encode
+    model, normal, cutter = tok.model, tok.normalizer, tok.pre_tokenizer
+    plain = json.loads(tok.to_str())["pre_tokenizer"]["pretokenizers"][0]["pattern"].get("Regex") == SPLIT
+    chars = dict(enumerate(_byte_chars()))
+    kind = "H" if tok.get_vocab_size() <= 65536 else "I"
+    if sys.byteorder != "little":
+        raise RuntimeError("ids are written in the machine's byte order, which must be little-endian")
+
+    def pieces(word: str) -> list[str]:
+        if plain:
+            if word.isalpha():
+                if word.isascii():
+                    return [word]
+                if max(word) < "\u0250" and "\u0130" not in word and is_normalized("NFC", word):
+                    return [word.lower().encode().decode("latin-1").translate(chars)]
+            elif word.isascii() and word.isprintable():
+                return ASCII_SPLIT.findall(word)
+        return [p for p, _ in cutter.pre_tokenize_str(normal.normalize_str(word))]
+
+    def ids_of(word: bytes) -> bytes:
+        """A word's ids; its ASCII letters are lower case unless it holds ``<|``."""
+        if b"<|" in word:
+            return array(kind, tok.encode(word.decode(), add_special_tokens=False).ids).tobytes()
+        text = word.decode()
+        if plain and text[-1] in ",." and text[:-1].isalpha():
+            return words[word[:-1]] + words[word[-1:]]
+        return array(kind, [t.id for p in pieces(text) for t in model.tokenize(p)]).tobytes()
+
+    words = WordIds(ids_of, CACHE_WORDS)
+
+    def encode(text: bytes) -> bytes:
+        # the file lowers upper-case ASCII too, but not in a special token
+        split = text.lower().split() if b"<|" not in text else [w if b"<|" in w else w.lower() for w in text.split()]
+        return b"".join(map(words.__getitem__, split))
+
+    return encode, array(kind).itemsize
 
 
 def slabs(column: pa.Array, limit: int = SLAB_BYTES) -> Iterator[tuple[int, list[bytes]]]:
@@ -111,24 +144,19 @@ def tokenized(docs: DataFrame, tokenizer_path: str, *, end_id: int = 1, text: st
     kind = dict((f.name, f.dataType) for f in docs.schema)[key]
 
     def run(batches):
-        encode = word_tokenizer(tokenizer_path)
+        encode, width = word_tokenizer(tokenizer_path)
+        tail = end_id.to_bytes(width, "little")
         part, at = TaskContext.get().partitionId(), 0
         for batch in batches:
             keys = batch.column(0)
             for first, texts in slabs(batch.column(1)):
-                ids, lengths = encode(texts)
-                width = 2 if not len(ids) or max(int(ids.max()), end_id) < 65536 else 4
-                ends = np.cumsum(lengths)
-                out, starts = [], []
-                tail = np.array([end_id], f"<u{width}").tobytes()
-                raw = ids.astype(f"<u{width}").tobytes()
-                for n, e in zip(lengths.tolist(), ends.tolist(), strict=True):
-                    out.append(raw[(e - n) * width:e * width] + tail)
-                    starts.append(at)
-                    at += n + 1
+                out = [encode(t) + tail for t in texts]
+                sizes = [len(x) // width for x in out]
+                starts = [at, *accumulate(sizes, initial=at)][1:-1]
+                at += sum(sizes)
                 yield pa.RecordBatch.from_arrays([
                     keys.slice(first, len(texts)), pa.array([part] * len(texts), pa.int32()),
-                    pa.array(starts, pa.int64()), pa.array((lengths + 1).tolist(), pa.int64()),
+                    pa.array(starts, pa.int64()), pa.array(sizes, pa.int64()),
                     pa.array([width] * len(texts), pa.int32()), pa.array(out, pa.binary())],
                     names=["key", "part", "start", "doc_tokens", "width", "ids"])
 
@@ -145,7 +173,8 @@ def packed(docs: DataFrame, tokenizer_path: str, *, window: int = 2048, end_id:
     totals = first.groupBy(F.col("part").alias("of_part")).agg(F.sum("doc_tokens").alias("total"))
     before = Window.orderBy("of_part").rowsBetween(Window.unboundedPreceding, -1)   # a row per partition
     offsets = totals.select("of_part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
-    second = (first.join(offsets, F.col("part") == F.col("of_part"))
+    # one row of 12 bytes for each task of the first pass
+    second = (first.join(F.broadcast(offsets), F.col("part") == F.col("of_part"))
               .select("key", (F.col("base") + F.col("start")).alias("at"), "doc_tokens", "width", "ids"))
 
     def cut(batches):

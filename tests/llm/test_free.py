@@ -49,11 +49,17 @@ def test_word_encoder_equals_tokenizer():
     tok = Tokenizer.from_file(TOKENIZER)
     texts = ["a b\x0bc\x1cd", "it's we'll I'M", "  lead  trail ", "x\x1ey", "  ", "é ́x", "<|endoftext|> a<|startoftext|>b",
              "日本語 тест 12345 ١٢", "\x85next line", "ΑΣ ΣΑΣ", "", "İstanbul ŒUVRE ǅ"]
-    ids, n = packing.word_tokenizer(TOKENIZER)([t.encode() for t in texts])
-    at = 0
-    for t, k in zip(texts, n.tolist()):
-        assert ids[at:at + k].tolist() == tok.encode(t, add_special_tokens=False).ids, t
-        at += k
+    encode, width = packing.word_tokenizer(TOKENIZER)
+    for t in [*texts, *texts]:
+        assert np.frombuffer(encode(t.encode()), f"<u{width}").tolist() == tok.encode(t, add_special_tokens=False).ids, t
+
+
+def test_word_ids_forget_and_relearn():
+    asked = []
+    w = packing.WordIds(lambda x: asked.append(x) or x, 3)
+    for x in [b"a", b"b", b"c", b"d", b"a", b"e", b"f", b"a", b"b"]:
+        assert w[x] == x
+    assert len(w) <= 3 and asked[:4] == [b"a", b"b", b"c", b"d"] and b"a" not in asked[1:]
 
 
 def test_packing_odd_input(odd_docs, no_docs):

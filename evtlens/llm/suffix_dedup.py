@@ -152,15 +152,21 @@ def unpack_keys(data: bytes) -> np.ndarray:
 
 # --- step 2: which anchors repeat ------------------------------------------------------
 
+def short(hashes: np.ndarray) -> np.ndarray:
+    """48 bits of an anchor's hash: what a chunk sends. Hashes that agree by chance only
+    let a suffix into step 3, where bytes are compared."""
+    return hashes >> np.uint64(16)
+
+
 def hash_range(keys: np.ndarray, buckets: int) -> np.ndarray:
-    return ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    return ((keys >> np.uint64(16)) * np.uint64(buckets)) >> np.uint64(32)
 
 
 def chunk_keys(window: int, buckets: int):
     def run(table: pa.Table) -> pa.Table:
         chunk = table.column("chunk")[0].as_py()
         buf, starts, _, _ = read_chunk(table)
-        keys = np.unique(anchors(buf, starts, window)[0])
+        keys = np.unique(short(anchors(buf, starts, window)[0]))
         b = hash_range(keys, buckets)
         cut = np.flatnonzero(np.diff(b, prepend=b[:1] + np.uint64(1)))
         parts = np.split(keys, cut[1:]) if len(keys) else []
@@ -202,6 +208,7 @@ def chunk_suffixes(docs: pa.Table, replies: list[bytes], splitters: np.ndarray,
     repeating anchors, in order of bucket and leading bytes, and where they occur."""
     buf, starts, order, keys = read_chunk(docs)
     key, a, lo, hi, doc = anchors(buf, starts, window)
+    key = short(key)
     known = np.unique(np.concatenate([unpack_keys(r) for r in replies])) if replies else np.zeros(0, np.uint64)
     # hashes that two documents of this chunk share
     by = np.lexsort((doc, key))
@@ -244,7 +251,7 @@ def send_suffixes(splitters: np.ndarray, window: int):
             for s, e in zip(cut.tolist(), np.append(cut, len(c["bucket"]))[1:].tolist(), strict=True):
                 sizes = np.array([len(t) for t in c["texts"][s:e]], "<u4")
                 rows.append((int(c["bucket"][s]), s, pack(sizes, c["offs"][s:e], c["least"][s:e], c["multi"][s:e].view(np.uint8)),
-                             zstandard.ZstdCompressor(level=1).compress(b"".join(c["texts"][s:e]))))
+                             zstandard.ZstdCompressor(level=3).compress(b"".join(c["texts"][s:e]))))
         cols = list(zip(*rows, strict=True)) or [[], [], [], []]
         return pa.table({"bucket": pa.array(cols[0], pa.int64()), "chunk": pa.array([key[0].as_py()] * len(rows), pa.int64()),
                          "first": pa.array(cols[1], pa.int64()), "head": pa.array(cols[2], pa.binary()),

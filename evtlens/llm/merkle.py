@@ -7,10 +7,10 @@
   0 to 3. Borders depend on content only, so an insertion moves no later border.
 * The root hashes the section nodes.
 
-A fingerprint is ``root:section,section;paragraph,paragraph|...;leaves`` as text:
-``root ":" sections``, sections separated by ``|``, each ``hash=paragraphs``; paragraphs
-separated by ``;``, each the leaf hashes separated by ``,``. Equal texts have equal
-fingerprints; roots alone test equality. ``locate`` walks down the branches that differ.
+A fingerprint is text: the root, ``:``, then the sections separated by ``|``. A section is
+its node, ``=``, then its paragraphs separated by ``;``; a paragraph is its leaf hashes
+separated by ``,``. Equal texts have equal fingerprints; roots alone test equality.
+``locate`` walks down the branches that differ.
 Likeness is twice the number of common leaves over the leaves of both (sets).
 
 Defined results: a null text is empty; the empty text has one leaf, that of "";
@@ -98,8 +98,9 @@ def locate(pairs: DataFrame, old: str = "old", new: str = "new") -> DataFrame:
 
 
 def with_next(docs: DataFrame, *, key: str = "doc_id", text: str = "text", rows_per_block: int = 2000) -> DataFrame:
-    """key, text, next_text: each row with the text of the next one by (key, text hash),
-    nulls last; the last row gets the first's.
+    """key, text, next_text, fingerprint, next_fingerprint: each row with the next one by
+    (key, text hash), nulls last; the last row gets the first. A text is fingerprinted
+    once, before the shuffle.
 
     Keys are cut into blocks of equal width; a block that holds far more rows than others
     (a key with very many rows) is cut once more by key and hash, in order. A copy of each
@@ -139,9 +140,12 @@ def with_next(docs: DataFrame, *, key: str = "doc_id", text: str = "text", rows_
         & F.col("first.k").eqNullSafe(F.col("k")))
         .dropDuplicates(["b"]).select("k", "h", "t", F.col("to").alias("block"), "wraps", F.lit(True).alias("copy")))
     every = rows.select("k", "h", "t", "block", F.lit(False).alias("wraps"), F.lit(False).alias("copy")).unionByName(firsts)
+    every = every.withColumn("fp", fingerprint(F.col("t")))
     inside = Window.partitionBy("block").orderBy("wraps", F.col("k").asc_nulls_last(), "h", "copy")
-    return (every.withColumn("next_text", F.lead("t").over(inside)).where(~F.col("copy"))
-            .select(F.col("k").alias(key), F.col("t").alias(text), "next_text"))
+    return (every.withColumns({"next_text": F.lead("t").over(inside), "next_fp": F.lead("fp").over(inside)})
+            .where(~F.col("copy"))
+            .select(F.col("k").alias(key), F.col("t").alias(text), "next_text", F.col("fp").alias("fingerprint"),
+                    F.col("next_fp").alias("next_fingerprint")))
 
 
 def compared(docs: DataFrame, *, key: str = "doc_id", text: str = "text", rows_per_block: int = 2000) -> DataFrame:
@@ -152,10 +156,9 @@ def compared(docs: DataFrame, *, key: str = "doc_id", text: str = "text", rows_p
     df = df.withColumn("n_chars", n.cast("long"))
     df = df.withColumn("__m_edited", F.concat(F.left(text, (F.col("n_chars") - half).cast("int")),
                                               F.left("next_text", half)))
-    df = df.select(key, "n_chars", F.sha2("__m_edited", 256).alias("edited_sha256"),
-                   fingerprint(F.col(text)).alias("fingerprint"),
+    df = df.select(key, "n_chars", F.sha2("__m_edited", 256).alias("edited_sha256"), "fingerprint",
                    fingerprint(F.col("__m_edited")).alias("edited_fingerprint"),
-                   fingerprint(F.col("next_text")).alias("__m_next"))
+                   F.col("next_fingerprint").alias("__m_next"))
     df = df.withColumns({"__m_a": leaves(F.col("fingerprint")), "__m_b": leaves(F.col("edited_fingerprint")),
                          "__m_c": leaves(F.col("__m_next"))})
     return df.select(key, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",

@@ -8,16 +8,15 @@ bucket width) buckets its interval can reach. The range condition then runs per
 (id, bucket), AQE can still split skewed partitions, and no pair is lost or doubled
 (each probe row sits in exactly one bucket).
 
-Full-outer matching is one bucketed full outer join; because the receipt side is
-copied, a receipt is reported unmatched only when none of its copies matched (a
-window over the receipt id), never per copy.
+Full matching (pairs and what is left over on either side) is one inner and two anti
+joins of that kind, which adaptive execution can all split.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evtlens.functions.predicates import has_tx
@@ -34,9 +33,7 @@ def interval_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_ts:
     """Rows of ``left`` and ``right`` with equal ``on`` keys and
     ``left_ts + lower <= right_ts <= left_ts + upper`` (both bounds inclusive).
 
-    ``how``: ``inner`` (all pairs; key columns once), ``left_semi``, ``left_anti``, or
-    ``full_outer`` (key columns coalesced; a ``right`` row appears once per copy, so
-    callers must resolve its unmatched copies - see :func:`tx_full_match`).
+    ``how``: ``inner`` (all pairs; key columns once), ``left_semi`` or ``left_anti``.
     Non-key column names must differ between the sides.
     """
     on = list(on)
@@ -59,9 +56,6 @@ def interval_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_ts:
     for c in cond[1:]:
         cond_all = cond_all & c
     j = L.join(R, cond_all, how)
-    if how == "full_outer":
-        for k in on:
-            j = j.withColumn(k, F.coalesce(F.col(k), F.col(f"_r_{k}")))
     drop = ["_lu", "_jb", "_ru", "_r__jb"] + [f"_r_{k}" for k in on]
     return j.drop(*[c for c in drop if c in j.columns])
 
@@ -91,24 +85,23 @@ def tx_full_match(pays: DataFrame, receipts: DataFrame, lower="-3 seconds", uppe
     a pay, as one DataFrame with a ``route`` column ('matched', 'unmatched-pays',
     'unmatched-receipts'); split it with ``filter(route = ...)``.
 
-    One time-bucketed full outer join and one window, no separate branches: a pay sits
-    in exactly one bucket, so a NULL receipt side means the pay is unmatched; a receipt
-    is copied into the buckets its interval reaches, so it is unmatched when none of
-    its copies matched - a max over the rows of that receipt id (partitions hold one
-    receipt's copies and matches; unmatched pays are keyed by themselves)."""
+    One inner and two anti joins on (tx id, time bucket). Adaptive execution can split a
+    skewed bucket in all three (it can't in a full outer join), the pairs and the unmatched
+    pays read the same two shuffles, and the output isn't shuffled again."""
+    lo, hi = duration_us(lower), duration_us(upper)
     p = _pay_cols(pays)
-    r = receipts if "seq" in receipts.columns else receipts.withColumn("seq", F.monotonically_increasing_id())
-    r = r.select("tx_id", "pay_channel", F.col("ts").alias("receipt_ts"), F.col("seq").alias("_rid"))
-    j = interval_join(p, r, ["tx_id"], "pay_ts", "receipt_ts", lower, upper, "full_outer", bucket)
-    has_pay, has_rec = F.col("pay_ts").isNotNull(), F.col("receipt_ts").isNotNull()
-    part = F.when(has_rec, F.struct(F.lit(0).alias("s"), F.col("_rid").alias("a"), F.lit(None).cast("timestamp").alias("b"))) \
-            .otherwise(F.struct(F.lit(1).alias("s"), F.col("order_id").alias("a"), F.col("pay_ts").alias("b")))
-    w = Window.partitionBy(part)
-    x = (j.withColumn("_hit", F.max(has_pay.cast("int")).over(w))
-         .withColumn("_n", F.row_number().over(w.orderBy(F.col("pay_ts").asc_nulls_first()))))
-    route = (F.when(has_pay & has_rec, F.lit("matched"))
-             .when(has_pay, F.lit("unmatched-pays"))
-             .when((F.col("_hit") == 0) & (F.col("_n") == 1), F.lit("unmatched-receipts")))
-    return (x.withColumn("route", route).where(F.col("route").isNotNull())
-            .select("tx_id", "order_id", F.unix_millis("pay_ts").alias("pay_time"), "pay_channel",
-                    F.unix_millis("receipt_ts").alias("receipt_time"), "route"))
+    r = _receipt_cols(receipts)
+    args = (["tx_id"], "pay_ts", "receipt_ts", lower, upper)
+    pairs = interval_join(p, r, *args, "inner", bucket)
+    lone_pays = interval_join(p, r, *args, "left_anti", bucket)
+    lone_receipts = interval_join(r, p, ["tx_id"], "receipt_ts", "pay_ts", f"{-hi} microseconds",
+                                  f"{-lo} microseconds", "left_anti", bucket)
+
+    def out(df, route):
+        none = {"order_id": "bigint", "pay_ts": "timestamp", "pay_channel": "string", "receipt_ts": "timestamp"}
+        df = df.withColumns({c: F.lit(None).cast(t) for c, t in none.items() if c not in df.columns})
+        return df.select("tx_id", "order_id", F.unix_millis("pay_ts").alias("pay_time"), "pay_channel",
+                         F.unix_millis("receipt_ts").alias("receipt_time"), F.lit(route).alias("route"))
+
+    return (out(pairs, "matched").unionByName(out(lone_pays, "unmatched-pays"))
+            .unionByName(out(lone_receipts, "unmatched-receipts")))

@@ -18,7 +18,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from evtlens.functions.time import duration_us, epoch_us
 from evtlens.operators.joins import interval_join
-from evtlens.operators.sequence import lag_by_key, running_max, time_bucket
+from evtlens.operators.sequence import lag_within, running_max, time_bucket
 
 # Result texts of the reference jobs.
 MSG_FAIL_PAIR = "login fail 2 times in 2s"
@@ -42,12 +42,11 @@ def _us(c: str):
 
 # --------------------------------------------------------------------- logins
 
-def login_fail_pairs(logins: DataFrame, limit="2 seconds", split="1 day",
-                     msg: str = MSG_FAIL_PAIR) -> DataFrame:
+def login_fail_pairs(logins: DataFrame, limit="2 seconds", msg: str = MSG_FAIL_PAIR) -> DataFrame:
     """A fail whose previous event (same user) is a fail at most ``limit`` earlier
     -> (user_id, first_fail_time, last_fail_time, warning_msg). The newest fail is the
     next anchor, so overlapping pairs are all reported."""
-    x = lag_by_key(logins, ["user_id"], _order(logins), ["login_state", "ts"], 1, split)
+    x = lag_within(logins, ["user_id"], _order(logins), ["login_state", "ts"], limit)
     hit = ((F.col("login_state") == "fail") & (F.col("login_state_lag1") == "fail")
            & (_us("ts") - _us("ts_lag1") <= F.lit(duration_us(limit))))
     return x.where(hit).select("user_id", F.unix_millis("ts_lag1").alias("first_fail_time"),
@@ -55,12 +54,12 @@ def login_fail_pairs(logins: DataFrame, limit="2 seconds", split="1 day",
                                F.lit(msg).alias("warning_msg"))
 
 
-def cep_fail_times(logins: DataFrame, times: int = 3, within="5 seconds", split="1 day",
+def cep_fail_times(logins: DataFrame, times: int = 3, within="5 seconds",
                    msg: str = MSG_CEP_FAILS) -> DataFrame:
     """``times`` strictly consecutive fails whose span is < ``within`` (CEP
     ``within`` is exclusive). Every overlapping match is reported (no skip strategy)."""
     k = times - 1
-    x = lag_by_key(logins, ["user_id"], _order(logins), ["login_state", "ts"], k, split)
+    x = lag_within(logins, ["user_id"], _order(logins), ["login_state", "ts"], within, k)
     hit = F.col("login_state") == "fail"
     for i in range(1, k + 1):
         hit = hit & (F.col(f"login_state_lag{i}") == "fail")
@@ -70,14 +69,14 @@ def cep_fail_times(logins: DataFrame, times: int = 3, within="5 seconds", split=
                                F.lit(msg.format(n=times)).alias("warning_msg"))
 
 
-def cep_fail_next(logins: DataFrame, within="3 seconds", split="1 day") -> DataFrame:
+def cep_fail_next(logins: DataFrame, within="3 seconds") -> DataFrame:
     """Fail strictly followed by a fail within 3 s (defined, not wired, in the reference)."""
-    return cep_fail_times(logins, 2, within, split)
+    return cep_fail_times(logins, 2, within)
 
 
-def cep_fail_times3(logins: DataFrame, within="5 seconds", split="1 day") -> DataFrame:
+def cep_fail_times3(logins: DataFrame, within="5 seconds") -> DataFrame:
     """C4: three consecutive fails within 5 s."""
-    return cep_fail_times(logins, 3, within, split)
+    return cep_fail_times(logins, 3, within)
 
 
 _TIMER_OUT = StructType([StructField("user_id", LongType()), StructField("first_fail_time", LongType()),
@@ -155,7 +154,7 @@ def login_fail_timer(logins: DataFrame, limit="2 seconds", min_fails: int = 2, s
     from evtlens.session import ship_package
     ship_package(logins.sparkSession)
     lim = duration_us(limit)
-    x = lag_by_key(logins, ["user_id"], _order(logins), ["login_state", "ts"], 1, split)
+    x = lag_within(logins, ["user_id"], _order(logins), ["login_state", "ts"], limit)
     if "seq" not in x.columns:
         x = x.withColumn("seq", F.lit(0).cast("bigint"))
     fail = F.col("login_state") == "fail"
@@ -220,18 +219,17 @@ def order_pay_classify(events: DataFrame, within="15 minutes") -> DataFrame:
 
     The earliest create counts; the first pay at or after it decides (strictly less
     than ``within`` is in time); a pay before any create is reported as not found and
-    the create then waits for a later pay. Built from aggregates per order (partial
-    aggregation absorbs hot orders) and one join of pays with the per-order create."""
+    the create then waits for a later pay. One join of the events with the earliest create
+    per order (a partial aggregate; adaptive execution splits an order with very many
+    events) and one aggregation on the same key."""
     w = duration_us(within)
     c = _creates(events).groupBy("order_id").agg(F.min("c_ts").alias("c_ts"))
-    p = _pays(events)
-    ps = (p.join(c, "order_id", "left")
-          .groupBy("order_id")
-          .agg(F.min(F.when(F.col("c_ts").isNotNull() & (F.col("p_ts") >= F.col("c_ts")), F.col("p_ts")))
-               .alias("p_ts"),
-               F.max(F.when(F.col("c_ts").isNull() | (F.col("p_ts") < F.col("c_ts")), F.lit(1)))
-               .alias("orphan")))
-    j = c.join(ps, "order_id", "full_outer")
+    pay = F.col("event_type") == "pay"
+    after = F.col("c_ts").isNotNull() & (F.col("ts") >= F.col("c_ts"))
+    j = (events.where(F.col("event_type").isin("create", "pay")).select("order_id", "event_type", "ts")
+         .join(c, "order_id", "left").groupBy("order_id")
+         .agg(F.max("c_ts").alias("c_ts"), F.min(F.when(pay & after, F.col("ts"))).alias("p_ts"),
+              F.max(F.when(pay & ~after, F.lit(1))).alias("orphan")))
     created = F.col("c_ts").isNotNull()
     main = (F.when(created & F.col("p_ts").isNotNull()
                    & (_us("p_ts") - _us("c_ts") < F.lit(w)), F.lit(MSG_PAYED_OK)))

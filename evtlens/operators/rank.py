@@ -67,19 +67,20 @@ def topn_changelog(top: DataFrame, slide_ms: int, id_col: str = "item_id",
     Compares the top-n of window ``e`` with the top-n of ``e - slide``: rows that are
     new or changed are ``+`` (insert), rows that left or changed are ``-`` (retract),
     like a retract stream replayed window by window -> (window_end, op, id, cnt, rank).
-    Both sides are bounded by n rows per window; the full outer join is on
-    (window_end, id), which spreads over tasks.
+    Each row is sent to its own window end and to the next; one aggregation on
+    (window_end, id) sets the two side by side.
     """
-    cur = top.select("window_end", id_col, F.col("cnt").alias("c1"), F.col(rank_col).alias("r1"))
-    prev = top.select((F.col("window_end") + F.lit(slide_ms)).alias("window_end"), id_col,
-                      F.col("cnt").alias("c0"), F.col(rank_col).alias("r0"))
-    j = cur.join(prev, ["window_end", id_col], "full_outer")
-    same = (F.col("c1").eqNullSafe(F.col("c0")) & F.col("r1").eqNullSafe(F.col("r0")))
-    ins = j.where(F.col("c1").isNotNull() & ~same).select(
-        "window_end", F.lit("+").alias("op"), id_col, F.col("c1").alias("cnt"), F.col("r1").alias(rank_col))
-    ret = j.where(F.col("c0").isNotNull() & ~same).select(
-        "window_end", F.lit("-").alias("op"), id_col, F.col("c0").alias("cnt"), F.col("r0").alias(rank_col))
-    return ins.unionByName(ret)
+    at = F.array(F.struct(F.col("window_end").alias("e"), F.lit(True).alias("now")),
+                 F.struct((F.col("window_end") + F.lit(slide_ms)).alias("e"), F.lit(False).alias("now")))
+    row = F.struct("cnt", F.col(rank_col).alias("rank"))
+    both = (top.withColumn("_at", F.explode(at)).groupBy(F.col("_at.e").alias("window_end"), id_col)
+            .agg(F.max(F.when(F.col("_at.now"), row)).alias("cur"), F.max(F.when(~F.col("_at.now"), row)).alias("prev")))
+    ops = F.array(F.struct(F.lit("+").alias("op"), F.col("cur").alias("row")),
+                  F.struct(F.lit("-").alias("op"), F.col("prev").alias("row")))
+    return (both.where(~F.col("cur").eqNullSafe(F.col("prev"))).withColumn("_op", F.explode(ops))
+            .where(F.col("_op.row").isNotNull())
+            .select("window_end", F.col("_op.op").alias("op"), id_col, F.col("_op.row.cnt").alias("cnt"),
+                    F.col("_op.row.rank").alias(rank_col)))
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], version: str) -> DataFrame:

@@ -8,6 +8,8 @@ buckets before it through a small per-bucket summary table:
 
 * :func:`lag_by_key`   - the k previous rows of each row (carry = last k rows of the
   k previous non-empty buckets, found with a partial top-k before any shuffle).
+* :func:`lag_within`   - the k previous rows as far as they lie within a limit: rows near the
+  end of a bucket are copied into the next one, so one shuffle does.
 * :func:`running_count` - 1-based position of each row (carry = count of earlier buckets).
 * :func:`running_max`  - running maximum of a value (carry = max of earlier buckets).
 
@@ -79,6 +81,27 @@ def lag_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], values:
     return out.where(~F.col("_carry")).drop("_carry", "_b")
 
 
+def lag_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str],
+               limit, k: int = 1, factor: int = 4, ts: str | None = None, suffix: str = "_lag") -> DataFrame:
+    """Like :func:`lag_by_key` for rows at most ``limit`` back; a lag further back is NULL
+    or that row. Buckets are ``factor`` limits wide and the rows of a bucket's last ``limit``
+    are copied into the next, so every row finds those before it in its own bucket: one
+    scan, one shuffle, and a key with very many rows is spread over its buckets."""
+    keys, order, values = list(keys), list(order), list(values)
+    reach = max(duration_us(limit), 1)
+    width = reach * factor
+    u = epoch_us(ts or order[0])
+    own = ((u - F.pmod(u, F.lit(width))) / F.lit(width)).cast("bigint")
+    near_end = F.pmod(u, F.lit(width)) >= F.lit(width - reach)
+    x = df.withColumn("_own", own).withColumn(
+        "_b", F.explode(F.when(near_end, F.array(F.col("_own"), F.col("_own") + 1)).otherwise(F.array("_own"))))
+    w = Window.partitionBy(*keys, "_b").orderBy(*_order_cols(order))
+    for i in range(1, k + 1):
+        for v in values:
+            x = x.withColumn(f"{v}{suffix}{i}", F.lag(v, i).over(w))
+    return x.where(F.col("_b") == F.col("_own")).drop("_b", "_own")
+
+
 def running_count(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "running",
                   split="1 minute", ts: str | None = None) -> DataFrame:
     """1-based position of each row inside its key, ordered by ``order`` (row_number)."""

@@ -114,8 +114,9 @@ def _hot_items_top() -> str:
             f"AS row_num FROM c) WHERE row_num <= {h['n']})")
 
 
-CAPPED = (f"capped AS (SELECT *, row_number() OVER (PARTITION BY user_id, ad_id ORDER BY u, seq) AS n "
-          f"FROM clicks)")
+DAY_US, ZONE_US = us(P.AD["period"]), 8 * 3_600_000_000      # calendar days at +08:00
+CAPPED = (f"capped AS (SELECT *, row_number() OVER (PARTITION BY user_id, ad_id, (u + {ZONE_US}) // {DAY_US} "
+          f"ORDER BY u, seq) AS n FROM clicks)")
 
 
 def _province_counts() -> str:
@@ -138,13 +139,29 @@ def _uv_running() -> str:
             f"(PARTITION BY window_end ORDER BY u, bit) AS cnt FROM firsts)")
 
 
+def _slices() -> str:
+    """Events with the micro-batch they arrive in and the newest event time before it."""
+    d, n = P.DELAY, P.SLICES
+    return (f"arr AS (SELECT *, epoch_us(ts) AS u, epoch_us(ts) + CASE WHEN event_id % {d['every']} = 0 "
+            f"THEN event_id * {d['factor']} % {d['hours']} ELSE 0 END * 3600000000 AS a FROM events),\n"
+            f"sl AS (SELECT *, (a - (SELECT min(a) FROM arr)) * {n} // ((SELECT max(a) - min(a) + 1 FROM arr)) AS slice "
+            f"FROM arr),\n"
+            f"newest AS (SELECT s.slice, (SELECT max(u) FROM sl x WHERE x.slice < s.slice) AS seen FROM "
+            f"(SELECT DISTINCT slice FROM sl) s)")
+
+
+def _behind_watermark(bound) -> str:
+    h = 3_600_000_000
+    return (f"SELECT (u - u % {h} + {h}) // 1000 AS window_end, count(*) AS cnt FROM sl JOIN newest USING (slice) "
+            f"WHERE seen IS NULL OR u - u % {h} + {h} > seen - {us(bound)} GROUP BY 1")
+
+
 def _late() -> str:
     lt = P.LATE
     S, L, late, b = us(lt["size"]), us(lt["slide"]), us(lt["lateness"]), us(lt["bound"])
-    return (f"lf AS (SELECT *, max(u) OVER (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) "
-            f"- {b} AS watermark_us FROM logs),\n"
-            f"late AS (SELECT *, COALESCE(u - u % {L} + {S} - 1000 + {late} <= watermark_us, false) AS is_late "
-            f"FROM lf)")
+    return (f"late AS (SELECT l.*, COALESCE(l.u - l.u % {L} + {S} - 1000 + {late} <= seen_s - {b}, false) "
+            f"AS is_late FROM logs l JOIN (SELECT event_id, seen - seen % 1000000 AS seen_s FROM sl "
+            f"JOIN newest USING (slice)) x ON x.event_id = l.seq)")
 
 
 def _login_timer() -> str:
@@ -186,14 +203,13 @@ def build() -> dict[str, str]:
     q: dict[str, str] = {}
 
     # S
-    q["read_user_behavior"] = with_(UB) + (
-        "SELECT seq, user_id, item_id, category_id, behavior, u // 1000 AS ts FROM ub")
+    sec = "u // 1000000 * 1000 AS ts"         # text records hold whole seconds
+    q["read_user_behavior"] = with_(UB) + f"SELECT user_id, item_id, category_id, behavior, {sec} FROM ub"
     q["read_apache_log"] = with_(LOGS) + "SELECT seq, ip, user_id, u // 1000 AS ts, method, url FROM logs"
-    q["read_ad_clicks"] = with_(CLICKS) + (
-        "SELECT seq, user_id, ad_id, province, city, u // 1000 AS ts FROM clicks")
-    q["read_logins"] = with_(LOGINS) + "SELECT seq, user_id, ip, login_state, u // 1000 AS ts FROM logins"
-    q["read_order_events"] = with_(OE) + "SELECT order_id, event_type, tx_id, u // 1000 AS ts FROM oe"
-    q["read_receipts"] = with_(RC) + "SELECT seq, tx_id, pay_channel, u // 1000 AS ts FROM rc"
+    q["read_ad_clicks"] = with_(CLICKS) + f"SELECT user_id, ad_id, province, city, {sec} FROM clicks"
+    q["read_logins"] = with_(LOGINS) + f"SELECT user_id, ip, login_state, {sec} FROM logins"
+    q["read_order_events"] = with_(OE) + f"SELECT order_id, event_type, tx_id, {sec} FROM oe"
+    q["read_receipts"] = with_(RC) + f"SELECT tx_id, pay_channel, {sec} FROM rc"
     q["publish_lines_kafka"] = with_(UB) + (
         "SELECT CAST(user_id AS VARCHAR) || ',' || CAST(item_id AS VARCHAR) || ',' || "
         "CAST(category_id AS VARCHAR) || ',' || behavior || ',' || CAST(u // 1000000 AS VARCHAR) AS value FROM ub")
@@ -242,14 +258,10 @@ def build() -> dict[str, str]:
     q["poly_hash"] = f"SELECT user_id, {HASH.format(c='user_id')} AS bit FROM (SELECT DISTINCT user_id FROM events)"
 
     # E
-    q["watermark_ascending"] = with_(UB) + (
-        f"SELECT seq, u AS ts_us, max(u) OVER (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) "
-        f"- {us(P.ASC_BOUND)} AS watermark_us FROM ub")
-    q["watermark_bounded"] = with_(LOGINS) + (
-        f"SELECT seq, u AS ts_us, max(u) OVER (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) "
-        f"- {us(P.LOGIN_BOUND)} AS watermark_us FROM logins")
-    q["late_events"] = with_(LOGS, _late()) + "SELECT seq, u AS ts_us, watermark_us, is_late FROM late"
-    q["allowed_lateness_update"] = with_(LOGS, _late()) + _page_counts("late", " AND NOT is_late")
+    q["watermark_ascending"] = with_(_slices()) + _behind_watermark(P.ASC_BOUND)
+    q["watermark_bounded"] = with_(_slices()) + _behind_watermark(P.LATE_BOUND)
+    q["late_events"] = with_(LOGS, _slices(), _late()) + "SELECT seq, u AS ts_us, is_late FROM late"
+    q["allowed_lateness_update"] = with_(LOGS, _slices(), _late()) + _page_counts("late", " AND NOT is_late")
 
     # W
     q["tumbling_keyed"] = with_(UB) + tumbling("ub", ["behavior"], P.PV_WINDOW)
@@ -277,6 +289,9 @@ def build() -> dict[str, str]:
     q["uv_bitmap"] = with_(UB) + (
         f"SELECT 'uv' AS url, (u - u % {S_pv} + {S_pv}) // 1000 AS window_end, "
         f"count(DISTINCT {HASH.format(c='user_id')}) AS cnt FROM ub WHERE {pv} GROUP BY 2")
+    q["uv_approx"] = with_(UB) + (
+        f"SELECT 'uv' AS url, (u - u % {S_pv} + {S_pv}) // 1000 AS window_end, count(DISTINCT user_id) AS cnt, "
+        f"true AS within FROM ub WHERE {pv} GROUP BY 2")
     q["uv_running"] = with_(UB, _uv_running()) + "SELECT window_end, bit, first_ts, cnt FROM runs"
     q["channel_behavior_count"] = with_(MK) + sliding(
         "mk", ["channel", "behavior"], mk["size"], mk["slide"], "behavior IS DISTINCT FROM 'UNINSTALL'")
@@ -374,6 +389,32 @@ UNION ALL SELECT order_id, 'payed but not found created log', 'order-timeout' FR
         f"CASE WHEN n > {a['cap']} THEN 'click over {a['cap']}times.' END AS warning_msg "
         f"FROM capped WHERE n <= {a['cap'] + 1}")
     q["final_flush"] = q["pv_total_simple"]
+    q["sink_console"] = with_(UB) + (
+        f"SELECT 'pv' AS label, count(DISTINCT u // {S_pv}) AS printed FROM ub WHERE {pv}")
+    for name in ("province_ad_count", "login_fail_pairs", "cep_fail_next", "cep_fail_times3", "login_fail_timer",
+                 "hot_pages_topn", "ranking_report"):
+        q[f"{name}_stream"] = q[name]
+    q["topn_changelog_stream"] = q["hot_items_topn"]
+    # event by event: the state of an order is (create, decided, reported), carried from row to row
+    q["order_pay_classify_stream"] = f"""WITH RECURSIVE oe AS (
+  SELECT o_orderkey AS order_id, 0 AS kind, epoch_us(o_orderdate) AS u FROM orders WHERE o_orderkey % 7 <> 0
+  UNION ALL SELECT l_orderkey, 1, epoch_us(l_shipdate) FROM lineitem),
+ev AS (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY u, kind) AS rn FROM oe),
+st AS (
+  SELECT order_id, rn, CASE WHEN kind = 0 THEN u END AS created, false AS decided, kind = 1 AS reported,
+         CASE WHEN kind = 1 THEN 'payed but not found created log' END AS said FROM ev WHERE rn = 1
+  UNION ALL
+  SELECT e.order_id, e.rn, CASE WHEN e.kind = 0 AND st.created IS NULL THEN e.u ELSE st.created END,
+         st.decided OR (e.kind = 1 AND st.created IS NOT NULL), st.reported OR (e.kind = 1 AND st.created IS NULL),
+         CASE WHEN e.kind = 0 THEN NULL
+              WHEN st.created IS NULL AND NOT st.reported THEN 'payed but not found created log'
+              WHEN st.created IS NULL OR st.decided THEN NULL
+              WHEN e.u - st.created < {W} THEN 'payed successfully' ELSE 'payed but already timeout' END
+  FROM st JOIN ev e ON e.order_id = st.order_id AND e.rn = st.rn + 1),
+fin AS (SELECT order_id, arg_max(created, rn) AS created, arg_max(decided, rn) AS decided FROM st GROUP BY order_id)
+SELECT order_id, said AS result_state, CASE WHEN said = 'payed successfully' THEN 'main' ELSE 'order-timeout' END AS route
+FROM st WHERE said IS NOT NULL
+UNION ALL SELECT order_id, 'timeout', 'order-timeout' FROM fin WHERE created IS NOT NULL AND NOT decided"""
     return q
 
 

@@ -16,15 +16,18 @@ from evtlens.functions import (
     format_window_end, has_tx, is_behavior, is_method, not_behavior, not_static_asset, poly_hash,
 )
 from evtlens.operators import aggregates as A
-from evtlens.operators import eventtime as E
 from evtlens.operators import joins as J
 from evtlens.operators import patterns as C
 from evtlens.operators import rank as T
 from evtlens.operators.windows import assign_windows, sliding_agg, sliding_sql, tumbling_agg
+from evtlens.functions.time import epoch_us
 from evtlens.plans import params as P
-from evtlens.sources import tables
+from evtlens.plans import streams
+from evtlens.sources import tables, text
 from evtlens.sources.kafka import decode_lines, encode_lines
 from evtlens.sources.schemas import USER_BEHAVIOR_CSV
+from evtlens.streaming import jobs, sinks, stateful
+from evtlens.streaming.eventtime import drop_sentinel, with_event_time
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -51,10 +54,19 @@ def _ms(c="ts"):
 
 # ------------------------------------------------------------------ S: sources / sinks
 
+def _as_text(spark, df, cols, name: str) -> str:
+    """The records as comma-separated text files, times in whole seconds."""
+    path = streams.folder(spark, name)
+    df = df.withColumn("ts_sec", F.unix_seconds("ts"))
+    df.select(*cols, "ts_sec").write.option("header", "false").csv(path)
+    return path
+
+
 @query("read_user_behavior")
 def read_user_behavior(spark, sf):
-    ub = tables.user_behavior(spark, sf)
-    return ub.select("seq", "user_id", "item_id", "category_id", "behavior", _ms())
+    cols = ["user_id", "item_id", "category_id", "behavior"]
+    path = _as_text(spark, tables.user_behavior(spark, sf), cols, "user-behavior")
+    return text.read_user_behavior(spark, path).select(*cols, _ms())
 
 
 @query("read_apache_log")
@@ -64,22 +76,30 @@ def read_apache_log(spark, sf):
 
 @query("read_ad_clicks")
 def read_ad_clicks(spark, sf):
-    return tables.ad_clicks(spark, sf).select("seq", "user_id", "ad_id", "province", "city", _ms())
+    cols = ["user_id", "ad_id", "province", "city"]
+    path = _as_text(spark, tables.ad_clicks(spark, sf), cols, "ad-clicks")
+    return text.read_ad_clicks(spark, path).select(*cols, _ms())
 
 
 @query("read_logins")
 def read_logins(spark, sf):
-    return tables.logins(spark, sf).select("seq", "user_id", "ip", "login_state", _ms())
+    cols = ["user_id", "ip", "login_state"]
+    path = _as_text(spark, tables.logins(spark, sf), cols, "logins")
+    return text.read_logins(spark, path).select(*cols, _ms())
 
 
 @query("read_order_events")
 def read_order_events(spark, sf):
-    return tables.order_events(spark, sf).select("order_id", "event_type", "tx_id", _ms())
+    cols = ["order_id", "event_type", "tx_id"]
+    path = _as_text(spark, tables.order_events(spark, sf), cols, "orders")
+    return text.read_order_events(spark, path).select(*cols, _ms())
 
 
 @query("read_receipts")
 def read_receipts(spark, sf):
-    return tables.receipts(spark, sf).select("seq", "tx_id", "pay_channel", _ms())
+    cols = ["tx_id", "pay_channel"]
+    path = _as_text(spark, tables.receipts(spark, sf), cols, "receipts")
+    return text.read_receipts(spark, path).select(*cols, _ms())
 
 
 def _ub_lines(spark, sf):
@@ -99,12 +119,26 @@ def read_kafka_lines(spark, sf):
 
 @query("sink_keyed_upsert")
 def sink_keyed_upsert(spark, sf):
-    runs = A.uv_running(tables.user_behavior(spark, sf), P.PV_WINDOW)
-    return T.latest_per_key(runs.select("window_end", "cnt"), ["window_end"], "cnt")
+    """Exact running uv as a stream in update mode, stored by window; the newest
+    value of each key is read back."""
+    path = streams.folder(spark, "upsert")
+    streams.each_batch(spark, streams.events(spark, sf), lambda ev: jobs.uv_running_stream(
+        tables.user_behavior_from(ev), P.PV_WINDOW, P.STREAM_BOUND), sinks.keyed_upsert(path, ["window_end"]), "update")
+    return drop_sentinel(sinks.read_upserted(spark, path, ["window_end"]).select("window_end", "cnt"))
+
+
+@query("sink_console")
+def sink_console(spark, sf):
+    """The labelled console sink at the end of the page-view stream; the rows it
+    printed, as the stream's progress reports them."""
+    progress = streams.run(spark, streams.events(spark, sf), lambda ev: jobs.pv_stream(
+        tables.user_behavior_from(ev), P.PV_WINDOW, P.STREAM_BOUND), lambda w: sinks.console(w, "pv"))
+    rows = sum(max(0, p["sink"]["numOutputRows"]) for p in progress)
+    return spark.createDataFrame([("pv", rows)], "label string, printed long")
 
 
 def _hot_items_top(spark, sf):
-    counts = A.item_view_count(tables.user_behavior(spark, sf), P.HOT_ITEMS["size"],
+    counts = A.item_view_count(tables.user_behavior(spark, sf, "pv"), P.HOT_ITEMS["size"],
                                P.HOT_ITEMS["slide"])
     return T.top_n(counts, P.HOT_ITEMS["n"], id_col="item_id")
 
@@ -115,7 +149,7 @@ def ranking_report(spark, sf):
 
 
 def _capped_routed(spark, sf):
-    return C.click_cap_routed(tables.ad_clicks(spark, sf), P.AD["cap"], P.AD["period"])
+    return C.click_cap_routed(tables.ad_clicks(spark, sf), P.AD["cap"], P.AD["period"], P.AD["zone_offset"])
 
 
 @query("route_side_outputs")
@@ -128,19 +162,19 @@ def route_side_outputs(spark, sf):
 
 @query("filter_pv")
 def filter_pv(spark, sf):
-    ub = tables.user_behavior(spark, sf)
+    ub = tables.user_behavior(spark, sf, "pv")
     return ub.where(is_behavior("pv")).select("seq", "user_id", "item_id", _ms())
 
 
 @query("filter_not_uninstall")
 def filter_not_uninstall(spark, sf):
-    mk = tables.marketing(spark, sf)
+    mk = tables.marketing(spark, sf, uninstalls=False)
     return mk.where(not_behavior("UNINSTALL")).select("seq", "user_id", "behavior", "channel", _ms())
 
 
 @query("filter_get")
 def filter_get(spark, sf):
-    lg = tables.apache_log(spark, sf)
+    lg = tables.apache_log(spark, sf, "GET")
     return lg.where(is_method("GET")).select("seq", "ip", "user_id", _ms(), "method", "url")
 
 
@@ -176,14 +210,14 @@ def project_event_time(spark, sf):
 
 @query("project_constant_key")
 def project_constant_key(spark, sf):
-    ub = tables.user_behavior(spark, sf)
+    ub = tables.user_behavior(spark, sf, "pv")
     return ub.where(is_behavior("pv")).select("seq", F.lit("pv").alias("key"),
                                               F.lit(1).cast("bigint").alias("one"))
 
 
 @query("project_window_end")
 def project_window_end(spark, sf):
-    pv = tables.user_behavior(spark, sf).where(is_behavior("pv"))
+    pv = tables.user_behavior(spark, sf, "pv")
     return assign_windows(pv, "ts", P.HOT_ITEMS["size"], P.HOT_ITEMS["slide"]).select("seq", "window_end")
 
 
@@ -201,35 +235,44 @@ def poly_hash_q(spark, sf):
 
 # ------------------------------------------------------------------ E: event time
 
+def _behind_watermark(spark, sf, bound):
+    """Hourly counts of a stream behind ``withWatermark``: rows that come after their window
+    has closed are dropped."""
+    out = streams.to_table(spark, streams.events(spark, sf), lambda ev: jobs.windowed_counts(
+        with_event_time(tables.user_behavior_from(ev), "ts", bound), [], "1 hour"), "watermark")
+    return drop_sentinel(out)
+
+
 @query("watermark_ascending")
 def watermark_ascending(spark, sf):
-    ub = tables.user_behavior(spark, sf)
-    x = E.watermark_per_row(ub, "ts", "seq", P.ASC_BOUND, out="watermark_us")
-    return x.select("seq", F.unix_micros("ts").alias("ts_us"), "watermark_us")
+    return _behind_watermark(spark, sf, P.ASC_BOUND)
 
 
 @query("watermark_bounded")
 def watermark_bounded(spark, sf):
-    lg = tables.logins(spark, sf)
-    x = E.watermark_per_row(lg, "ts", "seq", P.LOGIN_BOUND, out="watermark_us")
-    return x.select("seq", F.unix_micros("ts").alias("ts_us"), "watermark_us")
+    return _behind_watermark(spark, sf, P.LATE_BOUND)
 
 
 def _late(spark, sf):
-    return E.late_flags(tables.apache_log(spark, sf), "ts", "seq", P.LATE["bound"], P.LATE["size"],
-                        P.LATE["slide"], P.LATE["lateness"])
+    """Main and late rows of one stream run (folders)."""
+    path = streams.folder(spark, "late")
+    lt = P.LATE
+    streams.each_batch(spark, streams.events(spark, sf)[:-1], tables.log_records_from, sinks.late_writer(
+        path, "ts", lt["bound"], lt["size"], lt["slide"], lt["lateness"]))
+    schema = tables.apache_log(spark, sf).schema
+    return [spark.read.schema(schema).parquet(f"{path}/{x}") for x in ("main", "late")]
 
 
 @query("late_events")
 def late_events(spark, sf):
-    return _late(spark, sf).select("seq", F.unix_micros("ts").alias("ts_us"),
-                                   F.col("watermark").alias("watermark_us"), "is_late")
+    main, late = _late(spark, sf)
+    return main.withColumn("is_late", F.lit(False)).unionByName(late.withColumn("is_late", F.lit(True))).select(
+        "seq", F.unix_micros("ts").alias("ts_us"), "is_late")
 
 
 @query("allowed_lateness_update")
 def allowed_lateness_update(spark, sf):
-    on_time = _late(spark, sf).where(~F.col("is_late"))
-    return A.page_view_count(on_time, P.HOT_PAGES["size"], P.HOT_PAGES["slide"])
+    return A.page_view_count(_late(spark, sf)[0], P.HOT_PAGES["size"], P.HOT_PAGES["slide"])
 
 
 # ------------------------------------------------------------------ W: windows
@@ -261,78 +304,84 @@ def sliding_1h_5s(spark, sf):
 
 @query("slide_table_api")
 def slide_table_api(spark, sf):
-    return A.item_view_count(tables.user_behavior(spark, sf), "1 hour", "5 minutes", plan="window")
+    return A.item_view_count(tables.user_behavior(spark, sf, "pv"), "1 hour", "5 minutes", plan="window")
 
 
 @query("hop_sql")
 def hop_sql(spark, sf):
-    view = _view(tables.user_behavior(spark, sf), "data_table")
+    view = _view(tables.user_behavior(spark, sf, "pv"), "data_table")
     return sliding_sql(spark, view, "ts", "1 hour", "5 minutes", ["item_id"],
                        where="behavior = 'pv'", count_col="item_id")
 
 
 @query("per_event_trigger")
 def per_event_trigger(spark, sf):
-    return A.pv_running(tables.user_behavior(spark, sf), P.PV_WINDOW)
+    return A.pv_running(tables.user_behavior(spark, sf, "pv"), P.PV_WINDOW)
 
 
 # ------------------------------------------------------------------ A: aggregates
 
 @query("item_view_count")
 def item_view_count(spark, sf):
-    return A.item_view_count(tables.user_behavior(spark, sf), P.HOT_ITEMS["size"], P.HOT_ITEMS["slide"])
+    return A.item_view_count(tables.user_behavior(spark, sf, "pv"), P.HOT_ITEMS["size"], P.HOT_ITEMS["slide"])
 
 
 @query("item_view_count_sql")
 def item_view_count_sql(spark, sf):
-    ub = tables.user_behavior(spark, sf)
+    ub = tables.user_behavior(spark, sf, "pv")
     return A.item_view_count_sql(spark, ub, P.HOT_ITEMS["size"], P.HOT_ITEMS["slide"],
                                  view=_view(ub, "data_table"))
 
 
 @query("page_view_count")
 def page_view_count(spark, sf):
-    return A.page_view_count(tables.apache_log(spark, sf), P.HOT_PAGES["size"], P.HOT_PAGES["slide"])
+    return A.page_view_count(tables.apache_log(spark, sf, "GET"), P.HOT_PAGES["size"], P.HOT_PAGES["slide"])
 
 
 @query("pv_total_simple")
 def pv_total_simple(spark, sf):
-    return A.pv_total_simple(tables.user_behavior(spark, sf), P.PV_WINDOW)
+    return A.pv_total_simple(tables.user_behavior(spark, sf, "pv"), P.PV_WINDOW)
 
 
 @query("pv_total_salted")
 def pv_total_salted(spark, sf):
-    return A.pv_total_salted(tables.user_behavior(spark, sf), P.PV_WINDOW)
+    return A.pv_total_salted(tables.user_behavior(spark, sf, "pv"), P.PV_WINDOW)
 
 
 @query("uv_exact")
 def uv_exact(spark, sf):
-    return A.uv_exact(tables.user_behavior(spark, sf), P.PV_WINDOW)
+    return A.uv_exact(tables.user_behavior(spark, sf, "pv"), P.PV_WINDOW)
 
 
 @query("uv_bitmap")
 def uv_bitmap(spark, sf):
-    return A.uv_bitmap(tables.user_behavior(spark, sf), P.PV_WINDOW)
+    return A.uv_bitmap(tables.user_behavior(spark, sf, "pv"), P.PV_WINDOW)
 
 
 @query("uv_approx")
 def uv_approx(spark, sf):
-    return A.uv_approx(tables.user_behavior(spark, sf), P.PV_WINDOW)
+    """The sketch beside the exact count: whether it lies within three standard errors."""
+    pv = tables.user_behavior(spark, sf, "pv")
+    exact = A.uv_exact(pv, P.PV_WINDOW)
+    sketch = A.uv_approx(pv, P.PV_WINDOW, P.UV_RSD).select(F.col("window_end").alias("we"), F.col("cnt").alias("estimate"))
+    within = F.abs(F.col("estimate") - F.col("cnt")) <= F.greatest(F.lit(1.0), 3 * P.UV_RSD * F.col("cnt"))
+    return (exact.join(sketch, F.col("window_end") == F.col("we"))
+            .select("url", "window_end", "cnt", within.alias("within")))
 
 
 @query("uv_running")
 def uv_running(spark, sf):
-    return A.uv_running(tables.user_behavior(spark, sf), P.PV_WINDOW)
+    return A.uv_running(tables.user_behavior(spark, sf, "pv"), P.PV_WINDOW)
 
 
 @query("channel_behavior_count")
 def channel_behavior_count(spark, sf):
-    return A.channel_behavior_count(tables.marketing(spark, sf), P.MARKETING["size"], P.MARKETING["slide"])
+    return A.channel_behavior_count(tables.marketing(spark, sf, uninstalls=False), P.MARKETING["size"], P.MARKETING["slide"])
 
 
 @query("marketing_total")
 def marketing_total(spark, sf):
-    return A.marketing_total(tables.marketing(spark, sf), P.MARKETING["size"], P.MARKETING["slide"])
+    return A.marketing_total(tables.marketing(spark, sf, uninstalls=False), P.MARKETING["size"], P.MARKETING["slide"])
 
 
 @query("province_ad_count")
@@ -349,7 +398,7 @@ def hot_items_topn(spark, sf):
 
 @query("hot_items_topn_sql")
 def hot_items_topn_sql(spark, sf):
-    view = _view(tables.user_behavior(spark, sf), "data_table")
+    view = _view(tables.user_behavior(spark, sf, "pv"), "data_table")
     n, size, slide = P.HOT_ITEMS["n"], P.HOT_ITEMS["size"], P.HOT_ITEMS["slide"]
     return spark.sql(f"""
         SELECT item_id, window_end, cnt, row_num FROM (
@@ -366,7 +415,7 @@ def hot_items_topn_sql(spark, sf):
 
 @query("hot_pages_topn")
 def hot_pages_topn(spark, sf):
-    counts = A.page_view_count(tables.apache_log(spark, sf), P.HOT_PAGES["size"], P.HOT_PAGES["slide"])
+    counts = A.page_view_count(tables.apache_log(spark, sf, "GET"), P.HOT_PAGES["size"], P.HOT_PAGES["slide"])
     return T.top_n(counts, P.HOT_PAGES["n"], id_col="url")
 
 
@@ -436,57 +485,125 @@ def click_blacklist(spark, sf):
     return x.select("user_id", "ad_id", "warning_msg", _ms())
 
 
-# ------------------------------------------------------------------ U1: stateful streams
+# ------------------------------------------------------------------ U1: streams
 
-def _run_stream_to_table(spark, df, name: str) -> DataFrame:
-    """Run a streaming query over everything available (availableNow) into a parquet
-    folder under the shared checkpoint folder and read the result back."""
-    import uuid
+@query("stateful_apply")
+def stateful_apply(spark, sf):
+    """The click cap as keyed state with event-time timers."""
+    out = streams.to_table(spark, streams.events(spark, sf, "click"), lambda ev: stateful.click_cap_stream(
+        with_event_time(_clicks(spark, sf, ev), "ts", P.STREAM_BOUND), P.AD["cap"], P.AD["period"],
+        P.AD["zone_offset"]), "stateful-apply")
+    return out.select("user_id", "ad_id", "province", "ts_ms", "route", "warning_msg")
 
-    from evtlens.session import scratch_path
-    run = f"{name}-{uuid.uuid4().hex[:12]}"
-    out, ck = scratch_path(spark, f"{run}/out"), scratch_path(spark, f"{run}/ckpt")
-    q = (df.writeStream.outputMode("append").format("parquet").option("path", out)
-         .option("checkpointLocation", ck).trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
-    return spark.read.schema(df.schema).parquet(out)
 
+def _clicks(spark, sf, ev):
+    return tables.ad_clicks_from(spark, sf, ev.where(F.col("event_type") == "click"))
 
-@query("stateful_apply")
-def stateful_apply(spark, sf):
-    """The click-cap keyed process function as transformWithState over ``events``
-    read as a stream (one micro-batch here; ad geography by a stream-static join)."""
-    from evtlens.streaming import stateful
-    from evtlens.streaming.eventtime import with_event_time
-    schema = tables.table(spark, sf, "events").schema
-    ev = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-          .parquet(sf).where(F.col("event_type") == "click"))
-    clicks = tables.ad_clicks_from(spark, sf, ev)
-    out = stateful.click_cap_stream(with_event_time(clicks, "ts"), P.AD["cap"], P.AD["period"])
-    return _run_stream_to_table(spark, out, "stateful_apply")
+
+@query("province_ad_count_stream")
+def province_ad_count_stream(spark, sf):
+    out = streams.to_table(spark, streams.events(spark, sf, "click"), lambda ev: jobs.province_ad_count_stream(
+        _clicks(spark, sf, ev), P.AD["cap"], P.AD["period"], P.AD["zone_offset"], P.AD["size"], P.AD["slide"],
+        P.STREAM_BOUND), "province-ads")
+    return drop_sentinel(out)
 
 
 @query("final_flush")
 def final_flush(spark, sf):
-    """E5: a bounded stream of ``events`` (hourly pv counts, append mode) plus a
-    far-future sentinel stream; the sentinel lifts the watermark so the last windows
-    close and the stream returns exactly the batch counts."""
-    import uuid
+    """E5: hourly pv counts in append mode; the sentinel lifts the watermark, so the last
+    windows close and the stream returns exactly the batch counts (two phases: A5)."""
+    out = streams.to_table(spark, streams.events(spark, sf), lambda ev: jobs.pv_salted_stream(
+        tables.user_behavior_from(ev), P.PV_WINDOW, P.STREAM_BOUND), "final-flush")
+    return drop_sentinel(out)
+
+
+def _logins_stream(spark, sf, build, name):
+    return streams.to_table(spark, streams.events(spark, sf, "error"), lambda ev: build(
+        with_event_time(tables.logins_from(ev), "ts", P.STREAM_BOUND)), name)
+
+
+@query("login_fail_pairs_stream")
+def login_fail_pairs_stream(spark, sf):
+    return _logins_stream(spark, sf, lambda x: stateful.login_fail_pairs_stream(x, P.LOGIN_PAIR_LIMIT), "fail-pairs")
+
+
+@query("cep_fail_next_stream")
+def cep_fail_next_stream(spark, sf):
+    return _logins_stream(spark, sf, lambda x: stateful.cep_fail_times_stream(x, 2, P.LOGIN_NEXT_WITHIN), "fail-next")
+
+
+@query("cep_fail_times3_stream")
+def cep_fail_times3_stream(spark, sf):
+    return _logins_stream(spark, sf, lambda x: stateful.cep_fail_times_stream(x, 3, P.LOGIN_TIMES3_WITHIN), "fail-times")
+
+
+@query("login_fail_timer_stream")
+def login_fail_timer_stream(spark, sf):
+    return _logins_stream(spark, sf, lambda x: stateful.login_fail_timer_stream(x, **P.LOGIN_TIMER), "fail-timer")
+
+
+@query("order_pay_classify_stream")
+def order_pay_classify_stream(spark, sf):
+    """C7 on orders with several pays and orders without a create; the creates of every tenth
+    order arrive 36 hours late, after pays of a later time."""
+    ev = tables.order_lines(spark, sf)
+    late = F.when((F.col("event_type") == "create") & (F.col("order_id") % 10 == 0), 36).otherwise(0)
+    slices = [*streams.cut(ev, epoch_us("ts") + late.cast("long") * streams.HOUR_US),
+              streams.sentinel(spark, ev, order_id=-1, event_type="other")]
+    return streams.to_table(spark, slices, lambda x: stateful.order_pay_classify_stream(
+        with_event_time(x, "ts", P.STREAM_BOUND), P.ORDER_WITHIN, P.ORDER_WAIT), "orders")
+
+
+def _top_store(spark, sf, reports: bool):
+    """The hot-items stream in update mode into the top-n store."""
+    path = streams.folder(spark, "top")
+    top = sinks.topn_writer(path, P.HOT_ITEMS["n"], "item_id")
+    report = sinks.report_writer(f"{path}/report", path, "item_id")
+
+    def write(batch, batch_id):
+        top(batch, batch_id)
+        if reports:
+            report(batch, batch_id)
+
+    streams.each_batch(spark, streams.events(spark, sf), lambda ev: jobs.item_view_count_stream(
+        tables.user_behavior_from(ev), P.HOT_ITEMS["size"], P.HOT_ITEMS["slide"], P.STREAM_BOUND), write, "update")
+    return path
+
+
+@query("topn_changelog_stream")
+def topn_changelog_stream(spark, sf):
+    """What the changelog of the run adds up to is the final ranking."""
+    log = spark.read.parquet(f"{_top_store(spark, sf, False)}/changelog")
+    net = log.groupBy("window_end", "item_id", "cnt", "row_num").agg(
+        F.sum(F.when(F.col("op") == "+", 1).otherwise(-1)).alias("net")).where("net > 0").drop("net")
+    return drop_sentinel(net)
+
+
+@query("ranking_report_stream")
+def ranking_report_stream(spark, sf):
+    """S11 as a sink: the newest report of each window."""
+    path = _top_store(spark, sf, True)
+    return drop_sentinel(sinks.read_upserted(spark, f"{path}/report", ["window_end"]))
+
+
+@query("hot_pages_topn_stream")
+def hot_pages_topn_stream(spark, sf):
+    """T3 on panes with allowed lateness: panes close behind bound + lateness, the windows
+    they complete are rolled up and ranked."""
+    path = streams.folder(spark, "hot-pages")
+    roll = jobs.sliding_rollup_writer(path, ["url"], P.HOT_PAGES["size"], P.HOT_PAGES["slide"])
+    top = sinks.topn_writer(f"{path}/ranked", P.HOT_PAGES["n"], "url")
+
+    def write(batch, batch_id):
+        roll(batch, batch_id)
+        out = f"{path}/windows/batch={batch_id}"
+        if sinks.path_exists(batch.sparkSession, out):
+            top(drop_sentinel(batch.sparkSession.read.parquet(out)), batch_id)
 
-    from evtlens.session import scratch_path
-    from evtlens.streaming import jobs
-    from evtlens.streaming.eventtime import SENTINEL_TS, drop_sentinel
-    schema = tables.table(spark, sf, "events").schema
-    ev = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    sdir = scratch_path(spark, f"sentinel-{uuid.uuid4().hex[:12]}")
-    (spark.createDataFrame([(-1, SENTINEL_TS, -1, "view", 0.0, '{"k": 0}')],
-                           "event_id bigint, ts timestamp, user_id bigint, event_type string, "
-                           "value double, props string")
-     .select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
-     .write.mode("overwrite").parquet(sdir))
-    sentinel = spark.readStream.schema(schema).parquet(sdir)
-    ub = tables.user_behavior_from(ev.unionByName(sentinel))
-    counts = jobs.pv_stream(ub, P.PV_WINDOW)
-    return drop_sentinel(_run_stream_to_table(spark, counts, "final_flush"))
+    slices = streams.events(spark, sf)
+    slices.append(streams.sentinel(spark, slices[-1], later=5, event_id=-2, user_id=-1, event_type="view", value=0.0,
+                                   props='{"k": 5}'))
+    slices[-2] = streams.sentinel(spark, slices[-2], event_id=-1, user_id=-1, event_type="view", value=0.0, props='{"k": 5}')
+    streams.each_batch(spark, slices, lambda ev: jobs.page_view_pane_stream(
+        tables.log_records_from(ev), P.HOT_PAGES["slide"], P.STREAM_BOUND, P.LATE["lateness"]), write)
+    return sinks.read_top(spark, f"{path}/ranked", id_col="url").select("url", "window_end", "cnt", "row_num")

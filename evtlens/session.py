@@ -43,7 +43,6 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
     ship_package(spark)
     return spark
@@ -53,11 +52,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and streaming checkpoints.
 
     Read ``spark.checkpoint.dir`` from the session (a cluster names a shared
-    folder there); only when it is unset - local runs and tests - fall back to a
-    fresh scratch folder.
+    folder there). In a local session without it (tests) a fresh scratch folder is
+    made; on a cluster that is an error, as executors would not see it.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder when the master is {master}")
         d = tempfile.mkdtemp(prefix="evtlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -43,9 +43,12 @@ def _case(col: str, mapping: dict, default: str) -> F.Column:
     return expr.otherwise(default)
 
 
-def user_behavior(spark, sf_dir) -> DataFrame:
-    """UserBehavior: item = props.k, category = k % 10, 'view' plays 'pv'; seq = event_id."""
-    return user_behavior_from(_events(spark, sf_dir))
+def user_behavior(spark, sf_dir, behavior: str | None = None) -> DataFrame:
+    """UserBehavior: item = props.k, category = k % 10, 'view' plays 'pv'; seq = event_id.
+    With ``behavior`` only rows of that behaviour; the filter is on the stored column, so
+    it reaches the scan."""
+    stored = {v: k for k, v in BEHAVIOR_OF_EVENT.items()}
+    return user_behavior_from(_events(spark, sf_dir, *([stored[behavior]] if behavior else [])))
 
 
 def user_behavior_from(ev: DataFrame) -> DataFrame:
@@ -70,8 +73,18 @@ def _url_of_k(k: F.Column) -> F.Column:
                     F.element_at(F.array(*[F.lit(x) for x in URL_SUFFIX]), m))
 
 
-def _log_records(spark, sf_dir) -> DataFrame:
+def _log_records(spark, sf_dir, method: str | None = None) -> DataFrame:
     ev = _events(spark, sf_dir)
+    if method == "POST":
+        ev = ev.where(F.col("event_type") == "signup")
+    elif method == "GET":
+        ev = ev.where(F.col("event_type").isNull() | (F.col("event_type") != "signup"))
+    return log_records_from(ev)
+
+
+def log_records_from(ev: DataFrame) -> DataFrame:
+    """The log mapping over an ``events`` DataFrame (batch or stream)."""
+    ev = ev.withColumn("ts", F.col("ts").cast("timestamp"))
     return ev.select(
         F.col("event_id").alias("seq"),
         F.concat(F.lit("10.0."), (F.col("user_id") % 256).cast("string"), F.lit(".1")).alias("ip"),
@@ -92,16 +105,21 @@ def apache_log_text(spark, sf_dir) -> DataFrame:
     return parse_apache_log(apache_log_lines(spark, sf_dir))
 
 
-def apache_log(spark, sf_dir) -> DataFrame:
+def apache_log(spark, sf_dir, method: str | None = None) -> DataFrame:
     """ApacheLogEvent records of ``events`` - the same rows as :func:`apache_log_text`
     (log time has whole seconds), without the text round trip, so filters on method /
     url push down to plain columns instead of re-building the text."""
-    return _log_records(spark, sf_dir)
+    return _log_records(spark, sf_dir, method)
 
 
 def logins(spark, sf_dir) -> DataFrame:
     """LoginEvent: an 'error' event is a failed login, anything else a success."""
-    ev = _events(spark, sf_dir)
+    return logins_from(_events(spark, sf_dir))
+
+
+def logins_from(ev: DataFrame) -> DataFrame:
+    """The login mapping over an ``events`` DataFrame (batch or stream)."""
+    ev = ev.withColumn("ts", F.col("ts").cast("timestamp"))
     return ev.select(
         "user_id", F.concat(F.lit("10.0."), (F.col("user_id") % 256).cast("string"), F.lit(".1")).alias("ip"),
         F.when(F.col("event_type") == "error", "fail").otherwise("success").alias("login_state"),
@@ -128,9 +146,13 @@ def ad_clicks_from(spark, sf_dir, ev: DataFrame) -> DataFrame:
             .select("user_id", "ad_id", "province", "city", "ts", "seq"))
 
 
-def marketing(spark, sf_dir) -> DataFrame:
-    """MarketingUserBehavior: channel = CHANNELS[k % 3], signup plays UNINSTALL."""
-    return marketing_from(_events(spark, sf_dir))
+def marketing(spark, sf_dir, uninstalls: bool = True) -> DataFrame:
+    """MarketingUserBehavior: channel = CHANNELS[k % 3], signup plays UNINSTALL (left out
+    below the mapping unless ``uninstalls``)."""
+    ev = _events(spark, sf_dir)
+    if not uninstalls:
+        ev = ev.where(F.col("event_type").isNull() | (F.col("event_type") != "signup"))
+    return marketing_from(ev)
 
 
 def marketing_from(ev: DataFrame) -> DataFrame:
@@ -154,6 +176,17 @@ def order_events(spark, sf_dir) -> DataFrame:
     return creates.unionByName(pays)
 
 
+def order_lines(spark, sf_dir) -> DataFrame:
+    """OrderEvent with a pay per line (ship date) and no create for every seventh order, so
+    that orders have several pays and some have no create."""
+    creates = table(spark, sf_dir, "orders").where(F.col("o_orderkey") % 7 != 0).select(
+        F.col("o_orderkey").alias("order_id"), F.lit("create").alias("event_type"),
+        F.col("o_orderdate").cast("timestamp").alias("ts"))
+    return creates.unionByName(table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"), F.lit("pay").alias("event_type"),
+        F.col("l_shipdate").cast("timestamp").alias("ts")))
+
+
 def pays(spark, sf_dir) -> DataFrame:
     """Pay events for transaction matching: 'purchase' events, tx id = user id."""
     ev = _events(spark, sf_dir, "purchase")

@@ -5,21 +5,21 @@
 * E3: allowed lateness = watermark delay of bound + lateness with ``update`` output;
   the newest row per key wins in the sink (:func:`evtlens.streaming.sinks.keyed_upsert`).
 * E4: ``split_late`` routes, inside ``foreachBatch``, the rows that every window
-  holding them has already closed for (against the watermark the batch ran with).
+  holding them has already closed for (against the watermark the batch ran with;
+  :func:`evtlens.streaming.sinks.late_writer` keeps it).
 * E5: a bounded source in Spark does not end with a maximal watermark, so the last
-  windows / timers stay open. ``flush_guard`` keeps a far-future sentinel row alive
-  through filters (the predicate must mention event time, or Catalyst pushes the
-  filter below the watermark) and ``drop_sentinel`` removes what it produced.
+  windows / timers stay open. A far-future sentinel row in a last micro-batch closes
+  them and ``drop_sentinel`` removes what it produced.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evtlens.functions.time import duration_us, epoch_us
+from evtlens.functions.time import duration_us
 from evtlens.operators.windows import pane_start
 
 SENTINEL_TS = _dt.datetime(2099, 1, 1)
@@ -30,29 +30,19 @@ def with_event_time(df: DataFrame, ts: str = "ts", bound="0 seconds") -> DataFra
     return df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, f"{us // 1000} milliseconds")
 
 
-def flush_guard(predicate: Column, ts: str = "ts", cut=SENTINEL_TS) -> Column:
-    """``predicate OR ts >= cut``: a sentinel row at ``cut`` survives the filter and
-    drives the watermark past every real window."""
-    return predicate | (F.col(ts) >= F.lit(cut))
-
-
 def drop_sentinel(df: DataFrame, end_ms_col: str = "window_end", cut=SENTINEL_TS) -> DataFrame:
     cut_ms = int(cut.replace(tzinfo=_dt.timezone.utc).timestamp() * 1000)
     return df.where(F.col(end_ms_col) <= F.lit(cut_ms))
 
 
-def split_late(batch: DataFrame, watermark_ms: int | None, ts: str = "ts", size="10 minutes",
+def split_late(batch: DataFrame, watermark_us: int | None, ts: str = "ts", size="10 minutes",
                slide="5 seconds", lateness="1 minute") -> tuple[DataFrame, DataFrame]:
     """(on_time, late) split of one micro-batch: a row is late when the last window
     holding it ended (minus 1 ms) plus the allowed lateness is at or before the
-    watermark."""
-    if watermark_ms is None:
+    watermark (microseconds)."""
+    if watermark_us is None:
         return batch, batch.limit(0)
     S, L, late = duration_us(size), duration_us(slide), duration_us(lateness)
     last_end = pane_start(ts, L) + F.lit(S)
-    is_late = last_end - F.lit(1000) + F.lit(late) <= F.lit(watermark_ms * 1000)
+    is_late = last_end - F.lit(1000) + F.lit(late) <= F.lit(watermark_us)
     return batch.where(~is_late), batch.where(is_late)
-
-
-def event_us(ts: str = "ts") -> Column:
-    return epoch_us(ts)

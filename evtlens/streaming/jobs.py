@@ -39,12 +39,32 @@ def item_view_count_stream(ub: DataFrame, size="1 hour", slide="5 minutes", boun
 def page_view_count_stream(logs: DataFrame, size="10 minutes", slide="5 seconds", bound="1 second",
                            lateness="0 seconds") -> DataFrame:
     """A3 stream; with ``lateness`` > 0 run it in update mode (E3) into
-    ``sinks.topn_writer`` so a late row re-ranks its window (T3)."""
+    ``sinks.topn_writer`` so a late row re-ranks its window (T3). Each row opens
+    size / slide windows; :func:`page_view_pane_stream` does not."""
     delay = duration_us(bound) + duration_us(lateness)
     hits = with_event_time(logs, "ts", f"{delay} microseconds").where(is_method("GET") & not_static_asset("url"))
     return windowed_counts(hits, ["url"], size, slide)
 
 
+def page_view_pane_stream(logs: DataFrame, slide="5 seconds", bound="1 second", lateness="1 minute") -> DataFrame:
+    """A3 stream, stage 1 on panes: one state row per (url, pane). A row is counted while
+    the watermark (delayed by bound + lateness) has not closed its pane. Feed it to
+    :func:`sliding_rollup_writer`."""
+    delay = duration_us(bound) + duration_us(lateness)
+    hits = logs.where(is_method("GET") & not_static_asset("url"))
+    return pane_count_stream(hits, ["url"], slide, bound=f"{delay} microseconds")
+
+
+def pv_salted_stream(ub: DataFrame, size="1 hour", bound="0 seconds", salts: int = 16) -> DataFrame:
+    """A5 stream: counts per (window, salt), then per window (chained aggregations, append
+    mode), so that one busy window is spread over ``salts`` state rows."""
+    pv = with_event_time(ub, "ts", bound).where(is_behavior("pv"))
+    salt = F.pmod(F.xxhash64("user_id", "ts"), F.lit(salts)).alias("_salt")
+    part = pv.groupBy(_window("ts", size).alias("_w"), salt).agg(F.count(F.lit(1)).alias("_n"))
+    return (part.groupBy("_w").agg(F.sum("_n").alias("cnt"))
+            .select(F.lit("pv").alias("url"), F.unix_millis(F.col("_w.end")).alias("window_end"), "cnt"))
+
+
 def pv_stream(ub: DataFrame, size="1 hour", bound="0 seconds") -> DataFrame:
     """A4 stream."""
     pv = with_event_time(ub, "ts", bound).where(is_behavior("pv"))
@@ -61,19 +81,28 @@ def uv_stream(ub: DataFrame, size="1 hour", bound="0 seconds", bitmap: bool = Fa
             .select(F.lit("uv").alias("url"), F.unix_millis(F.col("_w.end")).alias("window_end"), "cnt"))
 
 
-def uv_approx_stream(ub: DataFrame, size="1 hour", bound="0 seconds") -> DataFrame:
-    """A8 stream: HyperLogLog++ per window."""
+def uv_approx_stream(ub: DataFrame, size="1 hour", bound="0 seconds", rsd: float = 0.01) -> DataFrame:
+    """A8 stream: HyperLogLog++ per window, with the error bound of the batch form."""
     pv = with_event_time(ub, "ts", bound).where(is_behavior("pv"))
     return (pv.groupBy(_window("ts", size).alias("_w"))
-            .agg(F.approx_count_distinct("user_id").alias("cnt"))
+            .agg(F.approx_count_distinct("user_id", rsd).alias("cnt"))
             .select(F.lit("uv").alias("url"), F.unix_millis(F.col("_w.end")).alias("window_end"), "cnt"))
 
 
-def marketing_count_stream(mk: DataFrame, size="1 hour", slide="5 seconds", bound="0 seconds",
-                           keys=("channel", "behavior")) -> DataFrame:
-    """A10/A11 stream (A11: ``keys=()``)."""
-    rows = with_event_time(mk, "ts", bound).where(not_behavior("UNINSTALL"))
-    return windowed_counts(rows, list(keys), size, slide)
+def marketing_pane_stream(mk: DataFrame, slide="5 seconds", bound="0 seconds",
+                          keys=("channel", "behavior")) -> DataFrame:
+    """A10/A11 stream (A11: ``keys=()``), stage 1 on panes; feed it to
+    :func:`sliding_rollup_writer`."""
+    return pane_count_stream(mk.where(not_behavior("UNINSTALL")), list(keys), slide, bound=bound)
+
+
+def province_ad_count_stream(clicks: DataFrame, cap: int = 100, period="1 day", zone_offset="+08:00",
+                             size="1 hour", slide="5 minutes", bound="0 seconds") -> DataFrame:
+    """D1 then A12 as one stream: the clicks that pass the cap, counted per province in
+    sliding windows (append mode)."""
+    from evtlens.streaming import stateful
+    passed = stateful.click_cap_stream(with_event_time(clicks, "ts", bound), cap, period, zone_offset)
+    return windowed_counts(passed.where("route = 'main'"), ["province"], size, slide)
 
 
 def tx_match_stream(pays: DataFrame, receipts: DataFrame, lower="-3 seconds", upper="5 seconds",
@@ -119,28 +148,34 @@ def sliding_rollup_writer(path: str, keys, size="1 hour", slide="5 seconds"):
     micro-batches (the second closes the first one's pane) and drop the windows at
     the sentinel with :func:`evtlens.streaming.eventtime.drop_sentinel`."""
     from evtlens.operators.windows import runs_from_panes
+    from evtlens.streaming.sinks import DAY_MS, _schema, path_exists, read_days, write_days
 
     keys = list(keys)
     S, L = duration_us(size), duration_us(slide)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{path}/panes/batch={batch_id}")
-        panes = spark.read.parquet(f"{path}/panes").where(F.col("batch") <= batch_id)
-        marks = panes.agg(
-            F.max(F.when(F.col("batch") < batch_id, F.col("_p"))).alias("prev"),
-            F.max("_p").alias("now")).first()
-        if marks["now"] is None:
+        batch = batch.withColumn("_end", F.floor((F.col("_p") + L) / 1000))
+        write_days(batch, f"{path}/panes", batch_id, "_end")
+        span = batch.agg(F.min("_p").alias("lo"), F.max("_p").alias("hi")).first()
+        if span["hi"] is None:
             return
-        prev_end = None if marks["prev"] is None else marks["prev"] + L
-        now_end = marks["now"] + L
-        if prev_end is not None and now_end <= prev_end:
-            return
-        lo = prev_end if prev_end is not None else -(1 << 62)
-        need = panes.where((F.col("_p") >= F.lit(lo - S)) & (F.col("_p") < F.lit(now_end))).drop("batch")
-        need = need.groupBy(*keys, "_p").agg(F.sum("cnt").alias("cnt"))
-        out = runs_from_panes(need, S, L, keys, ["cnt"], "cnt", end_range=(lo, now_end))
-        out.write.mode("overwrite").parquet(f"{path}/windows/batch={batch_id}")
+        prev = None
+        if path_exists(spark, f"{path}/marks"):
+            prev = (spark.read.schema("p long, batch long").option("basePath", f"{path}/marks").parquet(f"{path}/marks")
+                    .where(F.col("batch") < batch_id).agg(F.max("p")).first()[0])
+        now_end = max(span["hi"], prev if prev is not None else span["hi"]) + L
+        lo = -(1 << 62) if prev is None else prev + L
+        if now_end > lo:
+            # only the days of the panes that the windows in (lo, now_end] reach
+            first = span["lo"] if prev is None else min(span["lo"], lo - S)
+            days = range((first + L) // 1000 // DAY_MS, now_end // 1000 // DAY_MS + 1)
+            panes = read_days(spark, f"{path}/panes", days, batch_id + 1, _schema(batch))
+            need = panes.where((F.col("_p") >= F.lit(lo - S)) & (F.col("_p") < F.lit(now_end)))
+            need = need.groupBy(*keys, "_p").agg(F.sum("cnt").alias("cnt"))
+            out = runs_from_panes(need, S, L, keys, ["cnt"], "cnt", end_range=(lo, now_end))
+            out.write.mode("overwrite").parquet(f"{path}/windows/batch={batch_id}")
+        spark.createDataFrame([(now_end - L,)], "p long").write.mode("overwrite").parquet(f"{path}/marks/batch={batch_id}")
     return run
 
 
@@ -171,12 +206,13 @@ def cep_order_stream(events: DataFrame, within="15 minutes", bound="0 seconds")
         F.when(payed, F.lit("main")).otherwise(F.lit("order-timeout")).alias("route"))
 
 
-def uv_running_stream(ub: DataFrame, size="1 hour", bound="0 seconds", rsd: float = 0.01) -> DataFrame:
+def uv_running_stream(ub: DataFrame, size="1 hour", bound="0 seconds") -> DataFrame:
     """W8/A9 stream: run in ``update`` mode - every micro-batch emits the new running uv
-    of each hour window it touched (HLL++ state, one mergeable sketch per window; an
-    exact per-window set would grow with the visitors). Feed it to
-    ``sinks.keyed_upsert(path, ["window_end"])`` for the store of the newest value."""
+    of each window it touched. Exact, on the bitmap's bits: first sightings of a (window,
+    bit) pass a deduplication whose state the watermark frees with the window, and are
+    counted. Feed it to ``sinks.keyed_upsert(path, ["window_end"])``."""
     pv = with_event_time(ub, "ts", bound).where(is_behavior("pv"))
-    return (pv.groupBy(_window("ts", size).alias("_w"))
-            .agg(F.approx_count_distinct("user_id", rsd).alias("cnt"))
+    first = (pv.select(_window("ts", size).alias("_w"), poly_hash("user_id").alias("_bit"))
+             .dropDuplicates(["_w", "_bit"]))
+    return (first.groupBy("_w").agg(F.count(F.lit(1)).alias("cnt"))
             .select(F.lit("uv").alias("url"), F.unix_millis(F.col("_w.end")).alias("window_end"), "cnt"))

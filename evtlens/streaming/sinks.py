@@ -1,10 +1,10 @@
-"""S9, S10, S12, T1/T3/T4 sinks for Structured Streaming.
+"""S9, S10, S12, T1/T3/T4, E4 sinks for Structured Streaming.
 
-All writers are ``foreachBatch`` functions that write the micro-batch under a
-``batch=<id>`` folder with overwrite, so a re-run of the same batch after a
-failure replaces its own output (idempotent per batch id). Paths must be on
-shared storage (e.g. under ``spark.checkpoint.dir``); never a machine-local
-folder on a cluster.
+All writers are ``foreachBatch`` functions. What a micro-batch writes lies in folders of
+its own batch id and replaces what an earlier try of the same batch left there; what it
+reads of the store is limited to smaller batch ids. So a batch that is tried again, after
+a stop between any two writes, gives the same store. Paths must be on shared storage (e.g.
+under ``spark.checkpoint.dir``); never a machine-local folder on a cluster.
 """
 
 from __future__ import annotations
@@ -14,16 +14,22 @@ from typing import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from evtlens.functions.time import duration_us, epoch_us
 from evtlens.operators import rank as T
+from evtlens.streaming.eventtime import split_late
 
+DAY_MS = 86_400_000
 
-def start_console(df: DataFrame, label: str, mode: str = "append", checkpoint: str | None = None):
-    """The labelled print sink."""
-    w = df.writeStream.format("console").outputMode(mode).option("truncate", "false") \
-        .queryName(label)
-    if checkpoint:
-        w = w.option("checkpointLocation", checkpoint)
-    return w.start()
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the folder is there, asked of the file system the path names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def console(writer, label: str, mode: str = "append"):
+    """Start a stream writer on the labelled print sink."""
+    return writer.format("console").outputMode(mode).option("truncate", "false").queryName(label).start()
 
 
 def _write(batch: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
@@ -33,12 +39,6 @@ def _write(batch: DataFrame, path: str, batch_id: int, partition_by: Sequence[st
     w.parquet(f"{path}/batch={batch_id}")
 
 
-def append_writer(path: str) -> Callable[[DataFrame, int], None]:
-    def run(batch: DataFrame, batch_id: int) -> None:
-        _write(batch, path, batch_id)
-    return run
-
-
 def keyed_upsert(path: str, keys: Sequence[str], version: str | None = None) -> Callable[[DataFrame, int], None]:
     """``store[key] = value``, newest ``version`` wins (``None``: the newest batch
     wins, as for update-mode output). Each batch first keeps its newest row per key
@@ -74,53 +74,105 @@ def read_route(spark: SparkSession, path: str, route: str, route_col: str = "rou
     return spark.read.parquet(path).where(F.col(route_col) == route).drop("batch")
 
 
+def write_days(df: DataFrame, path: str, batch_id: int, end_col: str) -> None:
+    """Store rows under ``day=<day of end_col>/batch=<id>``; of a batch tried again only its
+    own folders are replaced."""
+    (df.withColumns({"day": F.floor(F.col(end_col) / DAY_MS).cast("long"), "batch": F.lit(batch_id).cast("long")})
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("day", "batch").parquet(path))
+
+
+def read_days(spark: SparkSession, path: str, days, before: int, schema) -> DataFrame:
+    """Rows that earlier batches stored for these days (any container of day numbers);
+    files of other days are not listed."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [x.getPath().getName() for x in fs.listStatus(p)] if fs.exists(p) else []
+    found = [f"{path}/{x}" for x in names if x.startswith("day=") and int(x[4:]) in days]
+    if not found:
+        return spark.createDataFrame([], schema)
+    return (spark.read.schema(schema).option("basePath", path).parquet(*found)
+            .where(F.col("batch") < before))
+
+
+def _schema(df: DataFrame):
+    return (df.withColumns({"day": F.lit(0).cast("long"), "batch": F.lit(0).cast("long")})).schema
+
+
 def topn_writer(path: str, n: int, id_col: str, keys: Sequence[str] = ("window_end",),
                 version: str = "cnt") -> Callable[[DataFrame, int], None]:
     """Per micro-batch of window counts (append or update mode), merge with
-    the stored newest count per (window, id) of the touched windows, rank, and write
-    both the new top-n rows and the changelog ('+' new/changed, '-' left/changed)
-    against the previous top-n of those windows."""
+    the stored newest count per (window, id) of the touched windows, rank by ``version``
+    (the count), and write the new top-n rows and the changelog ('+' new/changed, '-'
+    left/changed) against the previous top-n of those windows. The first key is the window's
+    end in milliseconds; the store is partitioned by its day and only the days of the
+    batch are read."""
     keys = list(keys)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch = batch.persist()
-        touched = batch.select(*keys).distinct()
-        counts = batch.withColumn("batch", F.lit(batch_id))
-        prev_top = None
+        top = None
         try:
-            old = spark.read.parquet(f"{path}/counts").join(touched, keys, "left_semi")
-            counts = counts.unionByName(old.select(*counts.columns))
-            prev_top = (spark.read.parquet(f"{path}/top").join(touched, keys, "left_semi")
-                        .withColumn("_v", F.struct("batch")))
-            prev_top = (prev_top.groupBy(*keys, id_col).agg(F.max_by(F.struct(
-                *[c for c in prev_top.columns if c not in keys + [id_col, "_v", "batch"]], "batch"),
-                "_v").alias("_l")).select(*keys, id_col, "_l.*"))
-            last = prev_top.groupBy(*keys).agg(F.max("batch").alias("batch"))
-            prev_top = prev_top.join(last, keys + ["batch"]).drop("batch")
-        except Exception:  # first batch: nothing stored yet
-            pass
-        latest = T.latest_per_key(counts, keys + [id_col], "batch").drop("batch")
-        top = T.top_n(latest, n, tuple(keys), score=version, id_col=id_col)
-        top = top.persist()
-        _write(batch.withColumn("batch", F.lit(batch_id)), f"{path}/counts", batch_id)
-        _write(top.withColumn("batch", F.lit(batch_id)), f"{path}/top", batch_id)
-        cur = top.select(*keys, id_col, F.col(version).alias("c1"), F.col("row_num").alias("r1"))
-        if prev_top is None:
-            prev = cur.limit(0).select(*keys, id_col, F.col("c1").alias("c0"), F.col("r1").alias("r0"))
-        else:
-            prev = prev_top.select(*keys, id_col, F.col(version).alias("c0"), F.col("row_num").alias("r0"))
-        j = cur.join(prev, keys + [id_col], "full_outer")
-        same = F.col("c1").eqNullSafe(F.col("c0")) & F.col("r1").eqNullSafe(F.col("r0"))
-        log = (j.where(F.col("c1").isNotNull() & ~same)
-               .select(*keys, F.lit("+").alias("op"), id_col, F.col("c1").alias(version),
-                       F.col("r1").alias("row_num"))
-               .unionByName(j.where(F.col("c0").isNotNull() & ~same)
-                            .select(*keys, F.lit("-").alias("op"), id_col, F.col("c0").alias(version),
-                                    F.col("r0").alias("row_num"))))
-        _write(log, f"{path}/changelog", batch_id)
-        top.unpersist()
-        batch.unpersist()
+            days = [r[0] for r in batch.select(F.floor(F.col(keys[0]) / DAY_MS).cast("long")).distinct().collect()]
+            touched = batch.select(*keys).distinct()
+            old = read_days(spark, f"{path}/counts", days, batch_id, _schema(batch)).drop("day")
+            counts = batch.withColumn("batch", F.lit(batch_id).cast("long")).unionByName(
+                old.join(touched, keys, "left_semi"))
+            latest = T.latest_per_key(counts, keys + [id_col], "batch").drop("batch")
+            top = T.top_n(latest, n, tuple(keys), score=version, id_col=id_col).persist()
+            stored = (read_days(spark, f"{path}/top", days, batch_id, _schema(top)).drop("day")
+                      .join(touched, keys, "left_semi"))
+            last = stored.groupBy(*keys).agg(F.max("batch").alias("batch"))
+            prev = stored.join(last, keys + ["batch"]).select(
+                *keys, id_col, F.col(version).alias("c0"), F.col("row_num").alias("r0"))
+            cur = top.select(*keys, id_col, F.col(version).alias("c1"), F.col("row_num").alias("r1"))
+            j = cur.join(prev, keys + [id_col], "full_outer")
+            same = F.col("c1").eqNullSafe(F.col("c0")) & F.col("r1").eqNullSafe(F.col("r0"))
+            log = (j.where(F.col("r1").isNotNull() & ~same)
+                   .select(*keys, F.lit("+").alias("op"), id_col, F.col("c1").alias(version),
+                           F.col("r1").alias("row_num"))
+                   .unionByName(j.where(F.col("r0").isNotNull() & ~same)
+                                .select(*keys, F.lit("-").alias("op"), id_col, F.col("c0").alias(version),
+                                        F.col("r0").alias("row_num"))))
+            _write(log, f"{path}/changelog", batch_id)
+            write_days(top, f"{path}/top", batch_id, keys[0])
+            write_days(batch, f"{path}/counts", batch_id, keys[0])
+        finally:
+            if top is not None:
+                top.unpersist()
+            batch.unpersist()
+    return run
+
+
+def report_writer(path: str, top_path: str, id_col: str, labels=T.ITEM_LABELS) -> Callable[[DataFrame, int], None]:
+    """S11 as a sink: after :func:`topn_writer` (on ``top_path``) has taken the batch, write
+    the text report of every window it touched."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        touched = batch.select("window_end").distinct()
+        top = read_top(spark, top_path, id_col=id_col).join(touched, "window_end", "left_semi")
+        _write(T.ranking_report(top, id_col, labels), path, batch_id)
+    return run
+
+
+def late_writer(path: str, ts: str = "ts", bound="1 second", size="10 minutes", slide="5 seconds",
+                lateness="1 minute") -> Callable[[DataFrame, int], None]:
+    """Main and late rows of one run, in ``main`` and ``late`` folders. The watermark a
+    batch runs with is the newest event time of the batches before it less ``bound``,
+    kept in ``marks`` (one row per batch)."""
+    b = duration_us(bound)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        newest = None
+        if path_exists(spark, f"{path}/marks"):
+            newest = (spark.read.schema("u long, batch long").option("basePath", f"{path}/marks").parquet(f"{path}/marks")
+                      .where(F.col("batch") < batch_id).agg(F.max("u")).first()[0])
+        on_time, late = split_late(batch, None if newest is None else newest - b, ts, size, slide, lateness)
+        _write(on_time, f"{path}/main", batch_id)
+        _write(late, f"{path}/late", batch_id)
+        _write(batch.agg(F.max(epoch_us(ts)).alias("u")), f"{path}/marks", batch_id)
     return run
 
 
@@ -128,6 +180,6 @@ def read_top(spark: SparkSession, path: str, keys: Sequence[str] = ("window_end"
              id_col: str = "item_id") -> DataFrame:
     """Newest top-n of every window from a :func:`topn_writer` folder."""
     keys = list(keys)
-    top = spark.read.parquet(f"{path}/top")
+    top = spark.read.parquet(f"{path}/top").drop("day")
     last = top.groupBy(*keys).agg(F.max("batch").alias("batch"))
     return top.join(last, keys + ["batch"]).drop("batch")

@@ -1,19 +1,23 @@
-"""U1 + streaming C1, C2, C7, D1/D2: keyed state with event-time timers
+"""U1 + streaming C1-C4, C7, D1/D2: keyed state with event-time timers
 (``transformWithState``, Row based, RocksDB state store).
 
-Shared shape (``stateful_apply``): key columns + a processor whose state is O(1)
-per key (a few values, never the key's history) + event-time timers + an output
-row with a ``route`` column (main / side outputs). Rows of one micro-batch are
-sorted by (ts, seq) inside each call; rows behind the watermark are dropped by the
-operator itself, so late-row routing (E4) must happen before it.
-
-Batch forms live in :mod:`evtlens.operators.patterns`; with in-order input (and the
-final flush of :mod:`evtlens.streaming.eventtime`) the streams emit the same rows.
+Shared shape (:class:`InOrderProcessor`): rows wait in a map state under their
+millisecond until the watermark has passed it; its timer then hands them to ``step`` in
+order of event time, so the outcome does not depend on how rows fell into micro-batches
+or on their order inside the watermark's bound. Timers that a row will need (period end,
+deadline) are registered when it arrives; they fire in order with the rows. A key's state
+is what the watermark's bound holds plus a few values, and the timers free both. Rows
+behind the watermark are dropped by the operator itself, so late-row routing (E4) must
+happen before it.
+
+Batch forms live in :mod:`evtlens.operators.patterns`; after the final flush of
+:mod:`evtlens.streaming.eventtime` the streams have emitted the same rows.
 """
 
 from __future__ import annotations
 
-import heapq
+import datetime as _dt
+import json
 import sys
 from typing import Iterator, Sequence
 
@@ -23,7 +27,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql.streaming.stateful_processor import (
     ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues,
 )
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from evtlens.functions.time import duration_us
 from evtlens.operators import patterns as P
@@ -38,15 +42,14 @@ def _us(ts) -> int:
     return calendar.timegm(ts.timetuple()) * 1_000_000 + ts.microsecond
 
 
-def _sorted(rows: Iterator[Row]) -> list[Row]:
-    rs = list(rows)
-    rs.sort(key=lambda r: (r["ts"], r["seq"] if "seq" in r else 0))
-    return rs
+def _time(u: int) -> _dt.datetime:
+    return _dt.datetime(1970, 1, 1) + _dt.timedelta(microseconds=u)
 
 
 def stateful_apply(df: DataFrame, keys: Sequence[str], processor: StatefulProcessor,
-                   output: StructType, mode: str = "Append") -> DataFrame:
-    """Group by ``keys`` and run ``processor`` with event-time timers."""
+                   output: StructType, mode: str = "Append", event_time: str = "") -> DataFrame:
+    """Group by ``keys`` and run ``processor`` with event-time timers. ``event_time``
+    names the output column that carries event time on to later operators."""
     from evtlens.session import ship_package
     ship_package(df.sparkSession)
     # the processor is also unpickled by a driver-side Python process that does not see
@@ -56,20 +59,74 @@ def stateful_apply(df: DataFrame, keys: Sequence[str], processor: StatefulProces
     if "RocksDB" not in (conf.get("spark.sql.streaming.stateStore.providerClass", "") or ""):
         # transformWithState needs the RocksDB state store provider
         conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    return df.groupBy(*keys).transformWithState(processor, output, mode, "EventTime")
+    return df.groupBy(*keys).transformWithState(processor, output, mode, "EventTime", None, event_time)
+
+
+class InOrderProcessor(StatefulProcessor):
+    """Buffers rows until the watermark has passed them and steps through them in event
+    time. Subclasses give ``open`` (their states), ``record`` (what to keep of a row: a list
+    that starts with its time in microseconds; None drops it), ``timers`` (milliseconds
+    at which ``on_time`` is wanted), ``step`` and ``on_time``."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.pending = handle.getMapState("pending", "ms long", "rows string")
+        self.open(handle)
+
+    def timers(self, rec: list) -> Sequence[int]:
+        return ()
+
+    def on_time(self, key, t: int) -> Iterator[Row]:
+        return iter(())
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[Row]:
+        for r in rows:
+            rec = self.record(r)
+            if rec is None:
+                continue
+            at = (rec[0] // 1000,)
+            known = self.pending.containsKey(at)
+            items = json.loads(self.pending.getValue(at)[0]) if known else []
+            items.append(rec)
+            self.pending.updateValue(at, (json.dumps(items),))
+            if not known:
+                self.handle.registerTimer(at[0] + 1)
+            for t in self.timers(rec):
+                self.handle.registerTimer(t)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues: TimerValues,
+                           expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
+        t = expiredTimerInfo.getExpiryTimeInMs()
+        at = (t - 1,)
+        if self.pending.containsKey(at):
+            items = json.loads(self.pending.getValue(at)[0])
+            self.pending.removeKey(at)
+            for rec in sorted(items, key=lambda x: x[:2]):
+                yield from self.step(key, rec)
+        yield from self.on_time(key, t)
+
+    def close(self) -> None:
+        pass
+
+
+def _seq(r: Row) -> int:
+    return (r["seq"] if "seq" in r else 0) or 0
 
 
 # ------------------------------------------------------------------ D1 / D2
 
 CLICK_OUT = StructType([StructField("user_id", LongType()), StructField("ad_id", LongType()),
-                        StructField("province", StringType()), StructField("ts_ms", LongType()),
-                        StructField("route", StringType()), StructField("warning_msg", StringType())])
+                        StructField("province", StringType()), StructField("city", StringType()),
+                        StructField("seq", LongType()), StructField("ts", TimestampType()),
+                        StructField("ts_ms", LongType()), StructField("route", StringType()),
+                        StructField("warning_msg", StringType())])
 
 
-class ClickCapProcessor(StatefulProcessor):
+class ClickCapProcessor(InOrderProcessor):
     """Count clicks per (user, ad) and calendar period; pass the first ``cap`` (route
-    'main'), warn once at click cap + 1 (route 'blacklist'); a timer at the next
-    period start clears the state."""
+    'main'), warn once at click cap + 1 (route 'blacklist'). Each period has a count of
+    its own, which the timer at the period's end removes."""
 
     def __init__(self, cap: int, period_us: int | None, offset_us: int, msg: str):
         self.cap = cap
@@ -77,57 +134,44 @@ class ClickCapProcessor(StatefulProcessor):
         self.offset = offset_us
         self.msg = msg
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("cap", "period long, n long, sent boolean")
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        self.counts = handle.getMapState("counts", "period long", "n long")
 
     def _period(self, u: int) -> int:
         return 0 if self.period is None else (u + self.offset) // self.period
 
-    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[Row]:
-        st = self.state.get() if self.state.exists() else None
-        period, n, sent = st if st else (None, 0, False)
-        # only the earliest cap + 1 - n clicks of each period can pass or warn: keep them
-        # in a bounded max-heap per period instead of materialising the key's rows
-        keep: dict[int, list] = {}
-        for i, r in enumerate(rows):
-            u = _us(r["ts"])
-            p = self._period(u)
-            room = self.cap + 1 - (n if p == period else 0)
-            if room <= 0 or (p == period and sent):
-                continue
-            h = keep.setdefault(p, [])
-            item = (-u, -(r["seq"] if "seq" in r else 0), -i, r["province"])
-            if len(h) < room:
-                heapq.heappush(h, item)
-            elif item > h[0]:
-                heapq.heapreplace(h, item)
-        for p in sorted(keep):
-            if p != period:
-                if period is not None and p < period:
-                    continue  # behind the current period: its state is gone
-                period, n, sent = p, 0, False
-                if self.period is not None:
-                    self.handle.registerTimer(((p + 1) * self.period - self.offset) // 1000)
-            for neg_u, _, _, province in sorted(keep[p], reverse=True):
-                u = -neg_u
-                if n < self.cap:
-                    n += 1
-                    yield Row(user_id=key[0], ad_id=key[1], province=province, ts_ms=u // 1000,
-                              route="main", warning_msg=None)
-                elif not sent:
-                    sent = True
-                    yield Row(user_id=key[0], ad_id=key[1], province=province, ts_ms=u // 1000,
-                              route="blacklist", warning_msg=self.msg)
-        self.state.update((period, n, sent))
-
-    def handleExpiredTimer(self, key, timerValues: TimerValues,
-                           expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
-        self.state.clear()
-        return iter([])
-
-    def close(self) -> None:
-        pass
+    def _count(self, p: int) -> int:
+        return self.counts.getValue((p,))[0] if self.counts.containsKey((p,)) else 0
+
+    def record(self, r: Row):
+        u = _us(r["ts"])
+        if self._count(self._period(u)) > self.cap:
+            return None            # warned already; later clicks have no effect
+        return [u, _seq(r), r["province"], r["city"] if "city" in r else None]
+
+    def timers(self, rec):
+        if self.period is None:
+            return ()
+        return (-(-((self._period(rec[0]) + 1) * self.period - self.offset) // 1000),)
+
+    def step(self, key, rec):
+        u, seq, province, city = rec
+        p = self._period(u)
+        n = self._count(p)
+        if n > self.cap:
+            return
+        self.counts.updateValue((p,), (n + 1,))
+        main = n < self.cap
+        yield Row(user_id=key[0], ad_id=key[1], province=province, city=city, seq=seq, ts=_time(u),
+                  ts_ms=u // 1000, route="main" if main else "blacklist",
+                  warning_msg=None if main else self.msg)
+
+    def on_time(self, key, t):
+        if self.period is not None:
+            p = (t * 1000 + self.offset) // self.period - 1      # the last period that ended by t
+            if self.counts.containsKey((p,)):
+                self.counts.removeKey((p,))
+        return iter(())
 
 
 def _offset_us(zone_offset: str) -> int:
@@ -137,56 +181,66 @@ def _offset_us(zone_offset: str) -> int:
 
 
 def click_cap_stream(clicks: DataFrame, cap: int = 100, period="1 day", zone_offset="+08:00") -> DataFrame:
+    """D1/D2 as a stream; ``ts`` of the output carries event time, so windowed
+    aggregates can follow."""
     proc = ClickCapProcessor(cap, duration_us(period) if period else None, _offset_us(zone_offset),
                              P.MSG_BLACKLIST.format(cap=cap))
-    return stateful_apply(clicks, ["user_id", "ad_id"], proc, CLICK_OUT)
+    return stateful_apply(clicks, ["user_id", "ad_id"], proc, CLICK_OUT, event_time="ts")
 
 
-# ------------------------------------------------------------------ C1
+# ------------------------------------------------------------------ C1, C3, C4
 
 WARN_OUT = StructType([StructField("user_id", LongType()), StructField("first_fail_time", LongType()),
                        StructField("last_fail_time", LongType()), StructField("warning_msg", StringType())])
 
 
-class LoginFailPairsProcessor(StatefulProcessor):
-    """Keep only the previous event of the user; a fail after a fail at most ``limit``
-    earlier warns. A timer ``limit`` after the last fail drops the state."""
+class ConsecutiveFailsProcessor(InOrderProcessor):
+    """``times`` fails in a row whose first and last are at most ``limit_us`` apart. Only the
+    times of the last fails in a row are kept; a success or the limit clears them."""
 
-    def __init__(self, limit_us: int, msg: str):
+    def __init__(self, times: int, limit_us: int, msg: str):
+        self.times = times
         self.limit = limit_us
         self.msg = msg
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.last = handle.getValueState("last", "fail boolean, u long")
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        self.fails = handle.getValueState("fails", "u string")
 
-    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[Row]:
-        prev = self.last.get() if self.last.exists() else None
-        for r in _sorted(rows):
-            u = _us(r["ts"])
-            fail = r["login_state"] == "fail"
-            if fail and prev and prev[0] and 0 <= u - prev[1] <= self.limit:
-                yield Row(user_id=key[0], first_fail_time=prev[1] // 1000, last_fail_time=u // 1000,
-                          warning_msg=self.msg)
-            prev = (fail, u)
-        self.last.update(prev)
-        if prev[0]:
-            self.handle.registerTimer((prev[1] + self.limit) // 1000 + 1)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if self.last.exists():
-            fail, u = self.last.get()
-            if (u + self.limit) // 1000 < expiredTimerInfo.getExpiryTimeInMs():
-                self.last.clear()
-        return iter([])
+    def record(self, r: Row):
+        return [_us(r["ts"]), _seq(r), r["login_state"] == "fail"]
 
-    def close(self) -> None:
-        pass
+    def timers(self, rec):
+        return ((rec[0] + self.limit) // 1000 + 1,) if rec[2] else ()
+
+    def step(self, key, rec):
+        u, _, fail = rec
+        known = json.loads(self.fails.get()[0]) if self.fails.exists() else []
+        if not fail:
+            if known:
+                self.fails.clear()
+            return
+        known = [*known, u][-self.times:]
+        self.fails.update((json.dumps(known),))
+        if len(known) == self.times and u - known[0] <= self.limit:
+            yield Row(user_id=key[0], first_fail_time=known[0] // 1000, last_fail_time=u // 1000,
+                      warning_msg=self.msg)
+
+    def on_time(self, key, t):
+        if self.fails.exists() and (json.loads(self.fails.get()[0])[-1] + self.limit) // 1000 < t:
+            self.fails.clear()
+        return iter(())
 
 
 def login_fail_pairs_stream(logins: DataFrame, limit="2 seconds") -> DataFrame:
-    return stateful_apply(logins, ["user_id"], LoginFailPairsProcessor(duration_us(limit), P.MSG_FAIL_PAIR),
-                          WARN_OUT)
+    """The limit is inclusive."""
+    return stateful_apply(logins, ["user_id"],
+                          ConsecutiveFailsProcessor(2, duration_us(limit), P.MSG_FAIL_PAIR), WARN_OUT)
+
+
+def cep_fail_times_stream(logins: DataFrame, times: int = 3, within="5 seconds") -> DataFrame:
+    """C3 (``times=2``) / C4: ``within`` is exclusive."""
+    return stateful_apply(logins, ["user_id"], ConsecutiveFailsProcessor(
+        times, duration_us(within) - 1, P.MSG_CEP_FAILS.format(n=times)), WARN_OUT)
 
 
 # ------------------------------------------------------------------ C2
@@ -196,59 +250,46 @@ TIMER_OUT = StructType([StructField("user_id", LongType()), StructField("first_f
                         StructField("warning_msg", StringType())])
 
 
-class LoginFailTimerProcessor(StatefulProcessor):
+class LoginFailTimerProcessor(InOrderProcessor):
     """Anchor at a fail and a timer ``limit`` later; a success inside the span cancels;
-    at the timer (or when a later event closes the span first) warn if >= min_fails."""
+    at the timer warn if >= min_fails."""
 
     def __init__(self, limit_us: int, min_fails: int, msg: str):
         self.limit = limit_us
         self.min_fails = min_fails
         self.msg = msg
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.seg = handle.getValueState("seg", "anchor long, first long, last long, n long")
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        self.seg = handle.getValueState("seg", "first long, last long, n long")
 
-    def _timer(self, anchor: int) -> int:
-        return (anchor + self.limit) // 1000 + 1
+    def record(self, r: Row):
+        return [_us(r["ts"]), _seq(r), r["login_state"] == "fail"]
 
-    def _warn(self, key, seg):
-        if seg and seg[3] >= self.min_fails:
-            yield Row(user_id=key[0], first_fail_time=seg[1] // 1000, last_fail_time=seg[2] // 1000,
-                      fail_count=seg[3], warning_msg=self.msg.format(n=seg[3]))
+    def timers(self, rec):
+        return ((rec[0] + self.limit) // 1000 + 1,) if rec[2] else ()
 
-    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[Row]:
-        seg = self.seg.get() if self.seg.exists() else None
-        for r in _sorted(rows):
-            u = _us(r["ts"])
-            if r["login_state"] == "fail":
-                if seg is None:
-                    seg = (u, u, u, 1)
-                    self.handle.registerTimer(self._timer(u))
-                elif u <= seg[0] + self.limit:
-                    seg = (seg[0], seg[1], u, seg[3] + 1)
-                else:
-                    yield from self._warn(key, seg)
-                    self.handle.deleteTimer(self._timer(seg[0]))
-                    seg = (u, u, u, 1)
-                    self.handle.registerTimer(self._timer(u))
-            elif seg is not None:
-                if u > seg[0] + self.limit:
-                    yield from self._warn(key, seg)
-                self.handle.deleteTimer(self._timer(seg[0]))
-                seg = None
-        if seg is None:
+    def _close(self, key, seg):
+        self.seg.clear()
+        if seg[2] >= self.min_fails:
+            yield Row(user_id=key[0], first_fail_time=seg[0] // 1000, last_fail_time=seg[1] // 1000,
+                      fail_count=seg[2], warning_msg=self.msg.format(n=seg[2]))
+
+    def step(self, key, rec):
+        u, _, fail = rec
+        seg = tuple(self.seg.get()) if self.seg.exists() else None
+        if seg and u > seg[0] + self.limit:        # the rest of the span's last millisecond
+            yield from self._close(key, seg)
+            seg = None
+        if fail:
+            self.seg.update((seg[0], u, seg[2] + 1) if seg else (u, u, 1))
+        elif seg:
             self.seg.clear()
-        else:
-            self.seg.update(seg)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        seg = self.seg.get() if self.seg.exists() else None
-        self.seg.clear()
-        yield from self._warn(key, seg)
-
-    def close(self) -> None:
-        pass
+    def on_time(self, key, t):
+        if self.seg.exists():
+            seg = tuple(self.seg.get())
+            if (seg[0] + self.limit) // 1000 < t:
+                yield from self._close(key, seg)
 
 
 def login_fail_timer_stream(logins: DataFrame, limit="2 seconds", min_fails: int = 2) -> DataFrame:
@@ -262,66 +303,57 @@ ORDER_OUT = StructType([StructField("order_id", LongType()), StructField("result
                         StructField("route", StringType())])
 
 
-class OrderPayProcessor(StatefulProcessor):
-    """Per order: the first create starts a deadline timer (create + within); the first
-    pay at or after it decides in time / late; a pay with no create yet waits on a
-    timer at its own time and is reported as not found when nothing earlier came.
-    Like the reference, a pay that arrives after the deadline timer has fired
-    finds no create any more."""
+class OrderPayProcessor(InOrderProcessor):
+    """Per order: the first create opens the order; the first pay at or after it decides in
+    time / late; pays with no create before them are reported once. ``wait`` after the
+    deadline (create + within) an order without a pay times out, and the state, decided
+    or not, is freed; so is the mark of a reported pay. A pay that comes still later finds
+    no create any more."""
 
-    def __init__(self, within_us: int, msgs: dict):
+    def __init__(self, within_us: int, wait_us: int, msgs: dict):
         self.within = within_us
+        self.keep = within_us + wait_us
         self.m = dict(msgs)
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.st = handle.getValueState("order", "created long, pending_pay long, decided boolean")
-
-    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[Row]:
-        created, pending, decided = self.st.get() if self.st.exists() else (None, None, False)
-        oid = key[0]
-        for r in _sorted(rows):
-            u = _us(r["ts"])
-            if r["event_type"] == "create":
-                if pending is not None and pending < u:
-                    yield Row(order_id=oid, result_state=self.m['no_create'], route="order-timeout")
-                    self.handle.deleteTimer(pending // 1000 + 1)
-                    pending = None
-                if created is None:
-                    created = u
-                    self.handle.registerTimer((u + self.within) // 1000)
-            elif r["event_type"] == "pay":
-                if created is not None and not decided and u >= created:
-                    ok = u - created < self.within
-                    yield Row(order_id=oid, result_state=self.m['ok'] if ok else self.m['late'],
-                              route="main" if ok else "order-timeout")
-                    self.handle.deleteTimer((created + self.within) // 1000)
-                    decided = True
-                elif created is None and pending is None:
-                    pending = u
-                    self.handle.registerTimer(u // 1000 + 1)
-        self.st.update((created, pending, decided))
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        created, pending, decided = self.st.get() if self.st.exists() else (None, None, True)
-        t = expiredTimerInfo.getExpiryTimeInMs()
-        oid = key[0]
-        if pending is not None and t == pending // 1000 + 1:
-            yield Row(order_id=oid, result_state=self.m['no_create'], route="order-timeout")
-            pending = None
-        if created is not None and not decided and t == (created + self.within) // 1000:
-            yield Row(order_id=oid, result_state=self.m['timeout'], route="order-timeout")
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        self.st = handle.getValueState("order", "created long, decided boolean, reported boolean, until long")
+
+    def record(self, r: Row):
+        kind = {"create": 0, "pay": 1}.get(r["event_type"])
+        return None if kind is None else [_us(r["ts"]), kind]
+
+    def timers(self, rec):
+        return ((rec[0] + self.keep) // 1000 + 1,)
+
+    def step(self, key, rec):
+        u, kind = rec
+        created, decided, reported, until = self.st.get() if self.st.exists() else (None, False, False, 0)
+        if kind == 0:
+            if created is None:
+                created, until = u, u + self.keep
+        elif created is None:
+            until = u + self.keep
+            if not reported:
+                reported = True
+                yield Row(order_id=key[0], result_state=self.m["no_create"], route="order-timeout")
+        elif not decided:
             decided = True
-        if pending is None and (created is None or decided):
-            self.st.clear()
-        else:
-            self.st.update((created, pending, decided))
+            ok = u - created < self.within
+            yield Row(order_id=key[0], result_state=self.m["ok"] if ok else self.m["late"],
+                      route="main" if ok else "order-timeout")
+        self.st.update((created, decided, reported, until))
 
-    def close(self) -> None:
-        pass
+    def on_time(self, key, t):
+        if self.st.exists():
+            created, decided, _, until = self.st.get()
+            if until // 1000 < t:
+                self.st.clear()
+                if created is not None and not decided:
+                    yield Row(order_id=key[0], result_state=self.m["timeout"], route="order-timeout")
 
 
-def order_pay_classify_stream(events: DataFrame, within="15 minutes") -> DataFrame:
+def order_pay_classify_stream(events: DataFrame, within="15 minutes", wait="1 day") -> DataFrame:
     msgs = {"no_create": P.MSG_NO_CREATE, "ok": P.MSG_PAYED_OK, "late": P.MSG_PAYED_LATE,
             "timeout": P.MSG_TIMEOUT}
-    return stateful_apply(events, ["order_id"], OrderPayProcessor(duration_us(within), msgs), ORDER_OUT)
+    proc = OrderPayProcessor(duration_us(within), duration_us(wait), msgs)
+    return stateful_apply(events, ["order_id"], proc, ORDER_OUT)

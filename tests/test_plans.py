@@ -43,11 +43,41 @@ def test_interval_join_keys_include_time_bucket(spark, no_broadcast):
 def test_filters_and_columns_reach_the_scan(spark):
     p = plan(spark, "filter_pv")
     assert "PushedFilters" in p
-    p = plan(spark, "read_receipts")
-    scan = [l for l in p.split("\n") if "FileScan parquet" in l][0]
+    p = plan(spark, "tx_interval_join")
+    scan = [l for l in p.split("\n") if "FileScan parquet" in l and "EqualTo(event_type,click)" in l][0]
     assert "EqualTo(event_type,click)" in scan and "value" not in scan.split("ReadSchema:")[1]
 
 
+@pytest.mark.parametrize("name", ["login_fail_pairs", "cep_fail_next", "cep_fail_times3"])
+def test_login_patterns_take_one_scan_and_one_shuffle(spark, name):
+    p = plan(spark, name)
+    assert p.count("FileScan parquet") == 1 and p.count("Exchange hashpartitioning") == 1
+
+
+def test_changelog_takes_one_scan(spark):
+    p = plan(spark, "topn_changelog")
+    assert p.count("FileScan parquet") == 1 and "Join" not in p and "Union" not in p
+
+
+def test_order_classify_takes_one_join(spark, no_broadcast):
+    p = plan(spark, "order_pay_classify")
+    assert p.count("Join ") == 1 and "FullOuter" not in p
+
+
+def test_full_match_has_no_full_outer_join(spark, no_broadcast):
+    p = plan(spark, "tx_full_match")
+    assert "FullOuter" not in p and "Window" not in p and p.count("SortMergeJoin") == 3
+
+
+@pytest.mark.parametrize("name, pushed", [
+    ("pv_total_simple", "EqualTo(event_type,view)"), ("hot_items_topn", "EqualTo(event_type,view)"),
+    ("uv_bitmap", "EqualTo(event_type,view)"), ("channel_behavior_count", "Not(EqualTo(event_type,signup))"),
+    ("hot_pages_topn", "Not(EqualTo(event_type,signup))"), ("click_cap", "EqualTo(event_type,click)")])
+def test_behaviour_filters_reach_the_scan(spark, name, pushed):
+    scans = [l for l in plan(spark, name).split("\n") if "FileScan parquet" in l and "event_type" in l]
+    assert scans and all(pushed in l for l in scans)
+
+
 def test_login_pairs_window_is_split_by_time_bucket(spark):
     p = plan(spark, "login_fail_pairs")
     wins = [l for l in p.split("\n") if "Window [lag(" in l]

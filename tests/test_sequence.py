@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from evtlens.operators.sequence import lag_by_key, running_count, running_max, time_bucket
+from evtlens.operators.sequence import lag_by_key, lag_within, running_count, running_max, time_bucket
 
 
 @pytest.fixture(scope="module")
@@ -33,6 +33,23 @@ def test_lag_by_key_split_equals_plain(seq_df, split):
     assert collect(a, cols) == collect(b, cols)
 
 
+@pytest.mark.parametrize("limit, k, factor", [("1 hour", 1, 4), ("3 hours", 2, 1), ("20 minutes", 3, 2)])
+def test_lag_within_finds_all_rows_inside_the_limit(seq_df, limit, k, factor):
+    """One user holds half the rows of each day, so its buckets are full."""
+    from evtlens.functions.time import duration_us
+    lim = duration_us(limit)
+    got = {r.seq: r for r in lag_within(seq_df, ["user_id"], ["ts", "seq"], ["s", "u"], limit, k, factor).collect()}
+    plain = lag_by_key(seq_df, ["user_id"], ["ts", "seq"], ["s", "u"], k, None).collect()
+    assert len(got) == len(plain)
+    for r in plain:
+        for i in range(1, k + 1):
+            if r[f"u_lag{i}"] is not None and r["u"] - r[f"u_lag{i}"] <= lim:
+                assert (got[r.seq][f"u_lag{i}"], got[r.seq][f"s_lag{i}"]) == (r[f"u_lag{i}"], r[f"s_lag{i}"])
+            else:
+                x = got[r.seq][f"u_lag{i}"]
+                assert x is None or r["u"] - x > lim
+
+
 def test_running_count_split_equals_plain(seq_df):
     a = running_count(seq_df, ["user_id"], ["ts", "seq"], "n", split="2 hours")
     b = running_count(seq_df, ["user_id"], ["ts", "seq"], "n", split=None)

@@ -46,10 +46,10 @@ def test_split_late(spark):
     # (pane start + 10 min) - 1 ms + 1 min <= watermark
     base = 1_700_000_000  # seconds, multiple of 5
     df = spark.createDataFrame([(base,), (base + 700,)], "s bigint").withColumn("ts", F.timestamp_seconds("s"))
-    wm_ms = (base + 600 + 60) * 1000 - 1
-    on_time, late = split_late(df, wm_ms, "ts")
+    wm = (base + 600 + 60) * 1_000_000 - 1000
+    on_time, late = split_late(df, wm, "ts")
     assert [r.s for r in late.collect()] == [base] and [r.s for r in on_time.collect()] == [base + 700]
-    on_time, late = split_late(df, wm_ms - 1, "ts")
+    on_time, late = split_late(df, wm - 1, "ts")
     assert late.count() == 0
 
 
@@ -57,7 +57,95 @@ def test_console_sink_runs(spark):
     d = scratch()
     spark.createDataFrame([(1, "a")], "x bigint, y string").write.mode("overwrite").parquet(d)
     df = spark.readStream.schema("x bigint, y string").parquet(d)
-    q = (df.writeStream.format("console").option("checkpointLocation", scratch())
-         .trigger(availableNow=True).start())
+    q = sinks.console(df.writeStream.option("checkpointLocation", scratch()).trigger(availableNow=True), "label")
     q.awaitTermination(120)
     assert q.exception() is None
+
+
+COUNTS = "window_end bigint, item_id bigint, cnt bigint"
+BATCHES = [[(1000, 1, 5), (1000, 2, 4), (1000, 3, 1)], [(1000, 3, 9), (90_000_000, 1, 2)], [(1000, 2, 11)]]
+
+
+def _state(spark, out):
+    top = sorted(tuple(r) for r in sinks.read_top(spark, out).select("window_end", "item_id", "cnt", "row_num").collect())
+    log = sorted(tuple(r) for r in spark.read.parquet(f"{out}/changelog")
+                 .select("batch", "window_end", "op", "item_id", "cnt", "row_num").collect())
+    return top, log
+
+
+def _run(spark, out, fail_at=None):
+    """All batches, each tried twice; the first try of one stops before one of its writes."""
+    fn = sinks.topn_writer(out, 2, "item_id")
+    for i, rows in enumerate(BATCHES):
+        df = spark.createDataFrame(rows, COUNTS)
+        if fail_at and fail_at[0] == i:
+            names, left = ("_write", "write_days"), [fail_at[1]]
+            kept = {n: getattr(sinks, n) for n in names}
+
+            def stopping(f):
+                def run(*args, **kw):
+                    if not left[0]:
+                        raise RuntimeError("stopped")
+                    left[0] -= 1
+                    return f(*args, **kw)
+                return run
+
+            for n in names:
+                setattr(sinks, n, stopping(kept[n]))
+            try:
+                fn(df, i)
+            except RuntimeError:
+                pass
+            finally:
+                for n in names:
+                    setattr(sinks, n, kept[n])
+        fn(df, i)
+        fn(df, i)
+
+
+def test_topn_writer_replays_give_the_same_store(spark):
+    want = None
+    for fail_at in [None, (1, 0), (1, 1), (1, 2), (2, 1)]:
+        out = scratch() + "/top"
+        _run(spark, out, fail_at)
+        got = _state(spark, out)
+        want = want or got
+        assert got == want
+    assert [r for r in want[0] if r[0] == 1000] == [(1000, 2, 11, 1), (1000, 3, 9, 2)]
+    assert not spark.sparkContext._jsc.sc().getRDDStorageInfo()      # nothing stays persisted
+
+
+def test_topn_writer_does_not_hide_read_errors(spark):
+    out = scratch() + "/top"
+    fn = sinks.topn_writer(out, 2, "item_id")
+    fn(spark.createDataFrame(BATCHES[0], COUNTS), 0)
+    bad = spark.createDataFrame([(1000, 3, 9, "x")], COUNTS + ", extra string")
+    fn(bad, 1)         # the stored rows lack the column: read as null, none is dropped
+    assert sorted((r.item_id, r.cnt) for r in sinks.read_top(spark, out).collect()) == [(1, 5), (3, 9)]
+
+
+def test_topn_writer_reads_touched_days_only(spark):
+    out = scratch() + "/top"
+    fn = sinks.topn_writer(out, 2, "item_id")
+    fn(spark.createDataFrame([(1000, 1, 5)], COUNTS), 0)
+    import glob
+    for f in glob.glob(f"{out}/counts/day=0/batch=0/*.parquet"):
+        with open(f, "w") as x:
+            x.write("not parquet")
+    fn(spark.createDataFrame([(90_000_000, 1, 5)], COUNTS), 1)      # another day
+    import pytest
+    with pytest.raises(Exception):
+        fn(spark.createDataFrame([(1000, 1, 6)], COUNTS), 2)
+
+
+def test_late_writer_keeps_the_watermark_of_the_run(spark):
+    out = scratch() + "/late"
+    fn = sinks.late_writer(out, "ts", "1 second", "10 minutes", "5 seconds", "1 minute")
+    base = 1_700_000_000
+    for i, secs in enumerate([[base], [base + 3000], [base + 2400, base + 2000]]):
+        df = spark.createDataFrame([(s,) for s in secs], "s bigint").withColumn("ts", F.timestamp_seconds("s"))
+        fn(df, i)
+        fn(df, i)
+    main = sorted(r.s for r in spark.read.parquet(f"{out}/main").collect())
+    late = sorted(r.s for r in spark.read.parquet(f"{out}/late").collect())
+    assert main == [base, base + 2400, base + 3000] and late == [base + 2000]

@@ -173,7 +173,7 @@ def test_uv_running_stream_update_mode(spark):
     got = sorted(tuple(r) for r in sinks.read_upserted(spark, out, ["window_end"])
                  .select("window_end", "cnt").where("window_end < 4070908800000").collect())
     import __spark_entry__ as E
-    exp = sorted((r.window_end, r.cnt) for r in E.queries()["uv_approx"](spark, "/root/testdata/sf0.001").collect())
+    exp = sorted((r.window_end, r.cnt) for r in E.queries()["uv_bitmap"](spark, "/root/testdata/sf0.001").collect())
     assert got == exp
 
 
@@ -205,3 +205,92 @@ def test_hot_pages_allowed_lateness_update_mode(spark):
     log = spark.read.parquet(f"{out}/changelog").where(F.col("window_end") == w)
     ops = sorted((r.op, r.url, r.cnt) for r in log.collect())
     assert ("+", "/page/1", 2) in ops and ("-", "/page/1", 1) in ops
+
+
+def click_slices(spark, batches):
+    """Runs the click cap over micro-batches of (user, ts seconds); the last is the sentinel."""
+    from evtlens.plans import streams
+    schema = "user_id bigint, ad_id bigint, province string, city string, ts timestamp, seq bigint"
+    parts = [spark.createDataFrame([(u, 1, "p", "c", t, i) for i, (u, t) in enumerate(b)],
+                                   schema.replace("ts timestamp", "t bigint"))
+             .select("user_id", "ad_id", "province", "city", F.timestamp_seconds("t").alias("ts"), "seq")
+             for b in [*batches, [(-1, SENTINEL)]]]
+    out = streams.to_table(spark, parts, lambda x: stateful.click_cap_stream(
+        with_event_time(x, "ts", "2 hours"), 2, "1 day", "+08:00"), "clicks")
+    rows = [r for r in out.collect() if r.user_id >= 0]
+    batch = parts[0]
+    for p in parts[1:-1]:
+        batch = batch.unionByName(p)
+    exp = C.click_cap_routed(batch, 2, "1 day", "+08:00").collect()
+    return (sorted((r.user_id, r.ts_ms, r.route) for r in rows),
+            sorted((r.user_id, int(r.ts.timestamp() * 1000) if r.ts.tzinfo else int((r.ts - __import__("datetime").datetime(
+                1970, 1, 1)).total_seconds() * 1000), r.route) for r in exp))
+
+
+def test_click_cap_midnight_between_and_inside_micro_batches(spark):
+    """A day ends at 16:00 UTC; clicks of both days in one batch, in several, and clicks of
+    the day before that come after the new day has begun, inside the watermark's bound."""
+    midnight = 1_600_012_800                       # 2020-09-13 16:00 UTC
+    one = [(1, midnight - 60)]
+    several = [[(1, midnight + 60 * i)] for i in range(1, 7)]
+    got, exp = click_slices(spark, [one, *several])
+    assert got == exp and [r[2] for r in got].count("blacklist") == 1
+    got, exp = click_slices(spark, [[(2, midnight - 30), (2, midnight + 10), (2, midnight + 20)],
+                                    [(2, midnight - 20), (2, midnight + 30)], [(2, midnight - 10), (2, midnight - 5)]])
+    assert got == exp and len(got) == 6
+
+
+def _order_slices(spark, batches, wait="1 hour"):
+    from evtlens.plans import streams
+    parts = [spark.createDataFrame([(o, e, t) for o, e, t in b], "order_id bigint, event_type string, t bigint")
+             .select("order_id", "event_type", F.timestamp_seconds("t").alias("ts")) for b in [*batches, [(-1, "other", SENTINEL)]]]
+    out = streams.folder(spark, "orders")
+    progress = streams.run(spark, parts, lambda x: stateful.order_pay_classify_stream(
+        with_event_time(x, "ts", "1 hour"), "15 minutes", wait),
+        lambda w: w.outputMode("append").format("parquet").option("path", out).start())
+    rows = sorted((r.order_id, r.result_state) for r in spark.read.parquet(out).collect())
+    return rows, [p["stateOperators"][0]["numRowsTotal"] for p in progress]
+
+
+def test_order_stream_frees_its_state(spark):
+    t = 1_600_000_000
+    pairs = [(i, e, t + (5 if e == "pay" else 0)) for i in range(50) for e in ("create", "pay")]
+    rows, state = _order_slices(spark, [pairs])
+    assert rows == [(i, "payed successfully") for i in range(50)]
+    assert max(state) > 0 and state[-1] == 0
+
+
+def test_order_stream_pay_before_create_across_micro_batches(spark):
+    """The pay (later in event time) comes a micro-batch earlier than its create."""
+    t = 1_600_000_000
+    batches = [[(1, "pay", t + 60), (2, "pay", t), (3, "create", t), (3, "pay", t + 1200), (3, "pay", t + 1300)],
+               [(1, "create", t), (2, "create", t + 30), (4, "create", t)]]
+    rows, _ = _order_slices(spark, batches)
+    ev = spark.createDataFrame([r for b in batches for r in b], "order_id bigint, event_type string, t bigint").select(
+        "order_id", "event_type", F.timestamp_seconds("t").alias("ts"))
+    exp = sorted((r.order_id, r.result_state) for r in C.order_pay_classify(ev, "15 minutes").collect())
+    assert rows == exp == [(1, "payed successfully"), (2, "payed but not found created log"), (2, "timeout"),
+                           (3, "payed but already timeout"), (4, "timeout")]
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="test tables not present")
+def test_stream_queries_read_tables_of_many_files(spark):
+    """events as a folder of part files gives the same rows as one file."""
+    import __spark_entry__ as E
+    d = scratch()
+    for t in ("events", "customer", "nation"):
+        df = spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet")
+        df.repartition(4 if t == "events" else 1).write.parquet(f"{d}/{t}.parquet")
+    for name in ("final_flush", "stateful_apply"):
+        got = sorted(map(str, E.queries()[name](spark, d).collect()))
+        exp = sorted(map(str, E.queries()[name](spark, "/root/testdata/sf0.001").collect()))
+        assert got == exp and got
+
+
+def test_empty_stream_is_an_error(spark):
+    from evtlens.plans import streams
+    df = spark.createDataFrame([], "event_id bigint, ts timestamp")
+    with pytest.raises((RuntimeError, ValueError)):
+        streams.cut(df, F.lit(1).cast("long"))
+    with pytest.raises(RuntimeError):
+        streams.to_table(spark, [df], lambda x: x, "none")

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,9 +43,9 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def free_name(df: DataFrame, name: str, *more: Iterable[str]) -> str:
-    """``name``, with underscores put before it until no column of ``df`` has it."""
-    used = {c.lower() for c in df.columns}.union(*({x.lower() for x in m} for m in more))
-    while name.lower() in used:
-        name = "_" + name
-    return name
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches of whole texts: fewer rows than Spark's default, unless the session has
+    a setting of its own."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name, "10000") == "10000":
+        spark.conf.set(name, str(rows))

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import small_batches
 from .packing import slabs
 
 _LETTER = re.compile(r"[^\W\d_]")
@@ -101,6 +102,7 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes], *, text: str = "te
                      pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())],
                     names=[*carry, "lang_pred", "score", "rejected"])
 
+    small_batches(docs.sparkSession)
     schema = ", ".join([*[f"`{c}` {kinds[c].simpleString()}" for c in carry],
                         "lang_pred string, score double, rejected boolean"])
     return docs.select(*carry, F.col(text).alias("text")).mapInArrow(run, schema)

@@ -36,11 +36,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import small_batches, written
 
 SLAB_BYTES = 4_000_000
 #: A worker remembers the ids of so many words, and of as many older ones.
-CACHE_WORDS = 450_000
+CACHE_WORDS = 200_000
 
 # How the word tokenizer's file cuts lower-case text, and what that comes
 # to for printable ASCII without white space.
@@ -75,9 +75,10 @@ class WordIds(dict):
 
 
 @lru_cache(maxsize=4)
-def word_tokenizer(path: str) -> tuple[Callable[[bytes], bytes], int]:
+def word_tokenizer(path: str) -> tuple[Callable[[bytes], bytes], int, Callable[[], None]]:
     """For a tokenizer file whose pre-tokenizer ends tokens at white space: a function from
-    UTF-8 text to its ids as little-endian bytes, and the bytes of an id.
+    UTF-8 text to its ids as little-endian bytes, the bytes of an id, and a function that
+    frees memory between tasks.
 
     Each distinct word is cut into pieces as the file says and its pieces are encoded by the
     library's model. Words of Latin letters (a comma or full stop behind them) and
@@ -121,7 +122,11 @@ def word_tokenizer(path: str) -> tuple[Callable[[bytes], bytes], int]:
         split = text.lower().split() if b"<|" not in text else [w if b"<|" in w else w.lower() for w in text.split()]
         return b"".join(map(words.__getitem__, split))
 
-    return encode, array(kind).itemsize
+    def forget() -> None:
+        """An idle worker keeps the words of its last texts only."""
+        words.older = {}
+
+    return encode, array(kind).itemsize, forget
 
 
 def slabs(column: pa.Array, limit: int = SLAB_BYTES) -> Iterator[tuple[int, list[bytes]]]:
@@ -144,7 +149,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, *, end_id: int = 1, text: st
     kind = dict((f.name, f.dataType) for f in docs.schema)[key]
 
     def run(batches):
-        encode, width = word_tokenizer(tokenizer_path)
+        encode, width, forget = word_tokenizer(tokenizer_path)
         tail = end_id.to_bytes(width, "little")
         part, at = TaskContext.get().partitionId(), 0
         for batch in batches:
@@ -159,7 +164,9 @@ def tokenized(docs: DataFrame, tokenizer_path: str, *, end_id: int = 1, text: st
                     pa.array(starts, pa.int64()), pa.array(sizes, pa.int64()),
                     pa.array([width] * len(texts), pa.int32()), pa.array(out, pa.binary())],
                     names=["key", "part", "start", "doc_tokens", "width", "ids"])
+        forget()
 
+    small_batches(docs.sparkSession)
     return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(
         run, f"key {kind.simpleString()}, part int, start long, doc_tokens long, width int, ids binary")
 

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import small_batches, written
 from .components import components
 from .packing import slabs
 
@@ -84,7 +84,7 @@ def fingerprints(docs: DataFrame, *, shingle: int = 3, seed: int = 42, text: str
     def run(batches):
         for batch in batches:
             names = [*carry, "fp"]
-            for first, texts in slabs(batch.column(len(carry))):
+            for first, texts in slabs(batch.column(len(carry)), 1_000_000):
                 each = [shingle_hashes(t, shingle, seed) for t in texts]
                 counts = np.array([len(e) for e in each], np.int64)
                 flat = np.fromiter((h for e in each for h in e), np.uint64, int(counts.sum()))
@@ -93,6 +93,7 @@ def fingerprints(docs: DataFrame, *, shingle: int = 3, seed: int = 42, text: str
                     [*[batch.column(i).slice(first, len(texts)) for i in range(len(carry))], pa.array(fp)],
                     names=names)
 
+    small_batches(docs.sparkSession)
     schema = ", ".join([*[f"`{c}` {kinds[c].simpleString()}" for c in carry], "fp long"])
     return docs.select(*carry, F.col(text).alias("text")).mapInArrow(run, schema)
 

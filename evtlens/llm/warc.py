@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 VERSION = "WARC/1.1"
 
 
@@ -79,6 +81,7 @@ def write_archives(records: DataFrame, path: str, *, key: str = "page_id", url:
                 out.append(head.encode() + b"\r\n\r\n" + content + b"\r\n")
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
 
+    small_batches(records.sparkSession)
     target = F.col(url) if url in records.columns else F.lit(None).cast("string")
     body = F.when(F.col("record_type") == "response", F.col(payload).cast("binary"))
     (records.select(F.col(key), target.alias("url"), body.alias("body"), "record_type", "digest", "refers_to")

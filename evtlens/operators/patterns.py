@@ -84,59 +84,61 @@ _TIMER_OUT = StructType([StructField("user_id", LongType()), StructField("first_
                          StructField("warning_msg", StringType())])
 
 
+def _segments(u: np.ndarray, fail: np.ndarray, limit_us: int, min_fails: int, last: bool):
+    """Greedy spans of one burst (rows in order): (first, last, count) of those that warn, and
+    the row from which more rows of the burst (unless ``last``) could still change a span."""
+    out, i, n = [], 0, len(u)
+    successes = np.flatnonzero(~fail)
+    while i < n:
+        end = i + int(np.searchsorted(u[i:], u[i] + limit_us, side="right"))
+        k = int(np.searchsorted(successes, i))
+        stop = int(successes[k]) if k < len(successes) else n
+        if stop < end:                 # a success inside the span cancels it
+            i = stop + 1
+            continue
+        if end == n and not last:
+            break
+        if end - i >= min_fails:
+            out.append((int(u[i]), int(u[end - 1]), end - i))
+        i = end + 1 if end == stop else end
+    return out, i
+
+
 def _greedy_scan(limit_us: int, min_fails: int, msg: str):
     """mapInPandas body over rows sorted by (user_id, burst, u, seq): anchor at the first
-    fail, collect fails up to anchor + limit; a success inside the span cancels; when
-    the span ends (later event, end of burst) warn if >= min_fails. State is O(1) and
-    carried across Arrow batches, so a burst may span batches."""
+    fail, jump to the end of its span, and so on. Between Arrow batches only the rows of
+    the open span are kept, so a burst may span batches."""
 
     def run(batches):
-        key, anchor, first, last, n = None, None, 0, 0, 0
-        out_u, out_f, out_l, out_n = [], [], [], []
-
-        def close():
-            if anchor is not None and n >= min_fails:
-                out_u.append(key[0]); out_f.append(first // 1000)
-                out_l.append(last // 1000); out_n.append(n)
-
+        held = None
         for pdf in batches:
-            users = pdf["user_id"].to_numpy(np.int64)
-            bursts = pdf["burst"].to_numpy(np.int64)
-            fails = (pdf["login_state"].to_numpy() == "fail")
-            us = pdf["u"].to_numpy(np.int64)
-            for i in range(len(pdf)):
-                k = (int(users[i]), int(bursts[i]))
-                t = int(us[i])
-                if k != key:
-                    close()
-                    key, anchor, n = k, None, 0
-                if fails[i]:
-                    if anchor is None:
-                        anchor, first, last, n = t, t, t, 1
-                    elif t <= anchor + limit_us:
-                        last, n = t, n + 1
-                    else:
-                        close()
-                        anchor, first, last, n = t, t, t, 1
-                elif anchor is not None:
-                    if t > anchor + limit_us:
-                        close()
-                    anchor, n = None, 0
-            if out_u:
-                yield _timer_frame(out_u, out_f, out_l, out_n, msg)
-                out_u, out_f, out_l, out_n = [], [], [], []
-        close()
-        if out_u:
-            yield _timer_frame(out_u, out_f, out_l, out_n, msg)
+            if held is not None:
+                pdf = pd.concat([held, pdf], ignore_index=True)
+            if not len(pdf):
+                continue
+            users, bursts = pdf["user_id"].to_numpy(np.int64), pdf["burst"].to_numpy(np.int64)
+            fail, us = (pdf["login_state"] == "fail").to_numpy(), pdf["u"].to_numpy(np.int64)
+            cut = np.flatnonzero((np.diff(users) != 0) | (np.diff(bursts) != 0)) + 1
+            rows = []
+            for s, e in zip([0, *cut.tolist()], [*cut.tolist(), len(pdf)]):
+                found, at = _segments(us[s:e], fail[s:e], limit_us, min_fails, e < len(pdf))
+                rows += [(int(users[s]), *f) for f in found]
+            held = pdf.iloc[s + at:]
+            if rows:
+                yield _timer_frame(rows, msg)
+        if held is not None and len(held):
+            found, _ = _segments(held["u"].to_numpy(np.int64), (held["login_state"] == "fail").to_numpy(),
+                                 limit_us, min_fails, True)
+            if found:
+                yield _timer_frame([(int(held["user_id"].iloc[0]), *f) for f in found], msg)
 
     return run
 
 
-def _timer_frame(u, f, l, n, msg) -> pd.DataFrame:
-    return pd.DataFrame({
-        "user_id": np.asarray(u, dtype=np.int64), "first_fail_time": np.asarray(f, dtype=np.int64),
-        "last_fail_time": np.asarray(l, dtype=np.int64), "fail_count": np.asarray(n, dtype=np.int64),
-        "warning_msg": [msg.format(n=x) for x in n]})
+def _timer_frame(rows, msg) -> pd.DataFrame:
+    u, f, l, n = (np.array(c, np.int64) for c in zip(*rows))
+    return pd.DataFrame({"user_id": u, "first_fail_time": f // 1000, "last_fail_time": l // 1000, "fail_count": n,
+                         "warning_msg": [msg.format(n=x) for x in n.tolist()]})
 
 
 def login_fail_timer(logins: DataFrame, limit="2 seconds", min_fails: int = 2, split="1 day",
@@ -148,8 +150,8 @@ def login_fail_timer(logins: DataFrame, limit="2 seconds", min_fails: int = 2, s
     events, so the events are cut into fail bursts (ids from a bucketed running max,
     no per-user window). Bursts with fewer than ``min_fails`` fails cannot warn and are
     dropped by an aggregate; the rest are hash partitioned by (user, burst), sorted,
-    and one ``mapInPandas`` scan per partition runs the greedy segmentation with
-    constant state - no group is ever collected.
+    and one ``mapInPandas`` scan per partition jumps from span to span, holding the rows
+    of one span.
     """
     from evtlens.session import ship_package
     ship_package(logins.sparkSession)

@@ -40,12 +40,16 @@ def query(name: str):
     return deco
 
 
-def _view(df: DataFrame, base: str) -> str:
-    """Register ``df`` under a per-call view name (queries may run side by side)."""
+def _viewed(df: DataFrame, base: str, build) -> DataFrame:
+    """``build(view name)`` over ``df`` as a temporary view of this call (queries may run
+    side by side); the view goes once the plan is resolved."""
     import uuid
     name = f"{base}_{uuid.uuid4().hex[:10]}"
     df.createOrReplaceTempView(name)
-    return name
+    try:
+        return build(name)
+    finally:
+        df.sparkSession.catalog.dropTempView(name)
 
 
 def _ms(c="ts"):
@@ -197,8 +201,8 @@ def _province_counts(spark, sf):
 
 @query("filter_rank_le_n")
 def filter_rank_le_n(spark, sf):
-    view = _view(_province_counts(spark, sf), "province_counts")
-    return T.top_n_sql(spark, view, P.AD["n"], id_col="province")
+    return _viewed(_province_counts(spark, sf), "province_counts",
+                   lambda view: T.top_n_sql(spark, view, P.AD["n"], id_col="province"))
 
 
 @query("project_event_time")
@@ -309,9 +313,8 @@ def slide_table_api(spark, sf):
 
 @query("hop_sql")
 def hop_sql(spark, sf):
-    view = _view(tables.user_behavior(spark, sf, "pv"), "data_table")
-    return sliding_sql(spark, view, "ts", "1 hour", "5 minutes", ["item_id"],
-                       where="behavior = 'pv'", count_col="item_id")
+    return _viewed(tables.user_behavior(spark, sf, "pv"), "data_table", lambda view: sliding_sql(
+        spark, view, "ts", "1 hour", "5 minutes", ["item_id"], where="behavior = 'pv'", count_col="item_id"))
 
 
 @query("per_event_trigger")
@@ -329,8 +332,8 @@ def item_view_count(spark, sf):
 @query("item_view_count_sql")
 def item_view_count_sql(spark, sf):
     ub = tables.user_behavior(spark, sf, "pv")
-    return A.item_view_count_sql(spark, ub, P.HOT_ITEMS["size"], P.HOT_ITEMS["slide"],
-                                 view=_view(ub, "data_table"))
+    return _viewed(ub, "data_table", lambda view: A.item_view_count_sql(
+        spark, ub, P.HOT_ITEMS["size"], P.HOT_ITEMS["slide"], view=view))
 
 
 @query("page_view_count")
@@ -398,9 +401,8 @@ def hot_items_topn(spark, sf):
 
 @query("hot_items_topn_sql")
 def hot_items_topn_sql(spark, sf):
-    view = _view(tables.user_behavior(spark, sf, "pv"), "data_table")
     n, size, slide = P.HOT_ITEMS["n"], P.HOT_ITEMS["size"], P.HOT_ITEMS["slide"]
-    return spark.sql(f"""
+    return _viewed(tables.user_behavior(spark, sf, "pv"), "data_table", lambda view: spark.sql(f"""
         SELECT item_id, window_end, cnt, row_num FROM (
           SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY window_end
                          ORDER BY cnt DESC, item_id ASC) AS BIGINT) AS row_num
@@ -410,7 +412,7 @@ def hot_items_topn_sql(spark, sf):
             FROM {view}
             WHERE behavior = 'pv'
             GROUP BY item_id, window(ts, '{size}', '{slide}')))
-        WHERE row_num <= {n}""")
+        WHERE row_num <= {n}"""))
 
 
 @query("hot_pages_topn")

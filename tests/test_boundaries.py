@@ -99,3 +99,49 @@ def test_topn_ties_by_id(spark):
                                "window_end bigint, item_id bigint, cnt bigint")
     got = [(r.item_id, r.row_num) for r in T.top_n(df, 3).orderBy("row_num").collect()]
     assert got == [(12, 1), (9, 2), (10, 3)]
+
+
+def test_fail_spans_equal_row_by_row_scan():
+    """The jumps give the spans of a scan row by row, however the rows are cut into batches."""
+    import random
+
+    import pandas as pd
+    rng = random.Random(4)
+    for _ in range(60):
+        rows, t = [], 0
+        for burst in range(rng.randint(1, 4)):
+            for _ in range(rng.randint(1, 12)):
+                t += rng.randint(0, 7)
+                rows.append((1, burst, "fail", t * 1000))
+            if rng.random() < 0.6:
+                t += rng.randint(0, 7)
+                rows.append((1, burst, "success", t * 1000))
+            t += 20
+        want, anchor, n, key = [], None, 0, None
+
+        def close():
+            if anchor is not None and n >= 2:
+                want.append((first // 1000, last // 1000, n))
+
+        for _, b, s, u in rows:
+            if b != key:
+                close()
+                key, anchor, n = b, None, 0
+            if s == "fail":
+                if anchor is not None and u <= anchor + 9000:
+                    last, n = u, n + 1
+                else:
+                    close()
+                    anchor = first = last = u
+                    n = 1
+            elif anchor is not None:
+                if u > anchor + 9000:
+                    close()
+                anchor, n = None, 0
+        close()
+        df = pd.DataFrame(rows, columns=["user_id", "burst", "login_state", "u"])
+        size = rng.randint(1, len(df))
+        parts = [df.iloc[i:i + size].reset_index(drop=True) for i in range(0, len(df), size)]
+        got = [tuple(r) for f in C._greedy_scan(9000, 2, "{n}")(iter(parts))
+               for r in f[["first_fail_time", "last_fail_time", "fail_count"]].itertuples(index=False)]
+        assert got == want

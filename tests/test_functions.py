@@ -82,3 +82,30 @@ def test_bad_lines_are_routed_not_fatal(spark, tmp_path):
     df = route_bad_rows(read_user_behavior(spark, str(p)), ["user_id", "item_id", "ts_sec"])
     got = sorted((r.route, r.user_id) for r in df.collect())
     assert got == [("bad", None), ("main", 543462), ("main", 662867)]
+
+
+def test_uv_bitmap_undercounts_colliding_ids(spark):
+    """Long ids share bits: there are more of them than the 2^29 bits."""
+    from evtlens.operators import aggregates as A
+
+    def bit(s):
+        r = 0
+        for ch in str(s):
+            r = r * 61 + ord(ch)
+        return r % (1 << 29)
+
+    seen, pairs = {}, []
+    import random
+    rng = random.Random(1)
+    for i in sorted({rng.randrange(10**9, 10**10) for _ in range(150_000)}):
+        if bit(i) in seen:
+            pairs.append((seen[bit(i)], i))
+            if len(pairs) == 3:
+                break
+        seen[bit(i)] = i
+    assert pairs
+    ids = sorted({x for p in pairs for x in p} | {12345, 123456})
+    df = spark.createDataFrame([(i, "pv", 1_600_000_000 + j) for j, i in enumerate(ids)],
+                               "user_id bigint, behavior string, s bigint").withColumn("ts", F.timestamp_seconds("s"))
+    assert A.uv_exact(df).first()["cnt"] == len(ids)
+    assert A.uv_bitmap(df).first()["cnt"] == len({bit(i) for i in ids}) < len(ids)

@@ -23,7 +23,6 @@ from __future__ import annotations
 import json
 import re
 import sys
-import zlib
 from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -216,12 +215,3 @@ def sequences(pieces: DataFrame, window: int = 2048, pad_id: int = 0) -> DataFra
         F.sort_array(F.collect_list(F.struct("offset", "length", "key", "start", "ids"))).alias("pieces"))
     n = F.col("n_tokens")
     return got.withColumn("padding", F.when(n.bitwiseAND(n - 1) == 0, 0).otherwise(F.lit(window) - n).cast("long"))
-
-
-def crc32(column: str = "ids"):
-    return F.crc32(column)
-
-
-def checksum(data: bytes) -> int:
-    """What ``F.crc32`` gives, for tests."""
-    return zlib.crc32(data) & 0xFFFFFFFF

@@ -2,7 +2,6 @@
 
 import base64
 import hashlib
-import zlib
 
 import numpy as np
 import pytest
@@ -242,7 +241,3 @@ def test_components_chain_and_star(spark):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 160)] + [(5, 5), (200, 201), (201, 200)]
     got = {r["vertex"]: r["root"] for r in components(spark.createDataFrame(links, "u long, v long")).collect()}
     assert got == {**{i: 0 for i in range(1, 41)}, **{i: 100 for i in range(101, 160)}, 201: 200}
-
-
-def test_checksum():
-    assert packing.checksum(b"abc") == zlib.crc32(b"abc")

@@ -39,7 +39,7 @@ from .common import small_batches, written
 
 SLAB_BYTES = 4_000_000
 #: A worker remembers the ids of so many words, and of as many older ones.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 300_000
 
 # How the word tokenizer's file cuts lower-case text, and what that comes
 # to for printable ASCII without white space.

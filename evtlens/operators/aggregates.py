@@ -97,7 +97,7 @@ def uv_approx(ub: DataFrame, size="1 hour", rsd: float = 0.01, label="uv") -> Da
             .select(F.lit(label).alias("url"), "window_end", "cnt"))
 
 
-def uv_running(ub: DataFrame, size="1 hour", seed=61, bits=29, split="1 minute") -> DataFrame:
+def uv_running(ub: DataFrame, size="1 hour", seed=61, bits=29, split="1 second") -> DataFrame:
     """The per-element trigger of the bitmap job - one output per new bitmap bit,
     carrying the running uv of its window -> (window_end, bit, first_ts ms, cnt).
 
@@ -112,7 +112,7 @@ def uv_running(ub: DataFrame, size="1 hour", seed=61, bits=29, split="1 minute")
     return out.select("window_end", "bit", F.unix_millis("ts").alias("first_ts"), "cnt")
 
 
-def pv_running(ub: DataFrame, size="1 hour", split="1 minute") -> DataFrame:
+def pv_running(ub: DataFrame, size="1 hour", split="1 second") -> DataFrame:
     """W8 on every element: running pv count of the window at each pv event
     -> (window_end, seq, ts ms, cnt)."""
     pv = ub.where(is_behavior("pv")).withColumn("window_end", _hour_end(size))

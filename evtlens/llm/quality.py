@@ -12,9 +12,16 @@ document with references of the languages by Jensen-Shannon distance (base 2, 0
 A reference is the mean of the normalised histograms of all documents labelled with that
 language that pass the length rule, so that no long document and no single copy outweighs
 others. The references are a table of languages x 70 numbers, gathered by one partially
-combined aggregation over the whole corpus. A document is judged by the nearest
-reference, whatever its own label; a histogram is judged only above its minimum length
-(``min_chars``, ``min_words_judged``).
+combined aggregation over the whole corpus. Labels other than the four of COMMON_WORDS get
+a reference of their own: the OWN_WORDS words with the largest mean share in the documents
+of that label, counted from the corpus, and its mean classes. A document is judged by the
+nearest of the four references and that of its own label; one without a label has no
+reference of its language and gets no word verdict. A histogram is judged only above its
+minimum length (``min_chars``, ``min_words_judged``).
+
+Limits: text in another language, code or tables under one of the four labels is judged as
+that language and fails for want of its words; classes of unlabelled texts are set against
+the four references; the few documents of a rare label make their own reference.
 
 Defined results: a null text counts as empty and fails the length rule; without any
 reference only the base rules decide; null ids, repeated rows and extra columns pass
@@ -23,7 +30,7 @@ through.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import SPACE, WORD, text_of, written
@@ -35,6 +42,7 @@ COMMON_WORDS = {
     "es": "de la que el en y a los se del las un por con no una su para es al".split(),
     "fr": "de la le et les des en un du une que est pour qui dans a par plus pas au".split(),
 }
+OWN_WORDS = 20
 VOCABULARY = sorted({w for words in COMMON_WORDS.values() for w in words})
 CLASSES = ["lower", "upper", "letter", "digit", "space", "punct", "other"]
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -104,9 +112,30 @@ def counts(docs: DataFrame, text: str = "text") -> DataFrame:
     })
 
 
-def histograms(docs: DataFrame, text: str = "text") -> DataFrame:
+def own_words(docs: DataFrame, *, text: str = "text", lang: str = "lang", min_words: int = 50) -> dict[str, list[str]]:
+    """The common words of each label that COMMON_WORDS lacks: those with the largest mean share."""
+    df = docs.where(~F.col(lang).isin(sorted(COMMON_WORDS))).select(       # no null labels either
+        F.col(lang).alias("lang"), F.regexp_extract_all(text_of(text), F.lit(WORD), F.lit(0)).alias("words"))
+    each = (df.where(F.size("words") >= min_words)
+            .select("lang", (F.lit(1.0) / F.size("words")).alias("share"), F.explode("words").alias("word"))
+            .groupBy("lang", "word").agg(F.sum("share").alias("share")))
+    order = Window.partitionBy("lang").orderBy(F.round("share", 6).desc(), "word")
+    rows = each.withColumn("i", F.row_number().over(order)).where(F.col("i") <= OWN_WORDS).collect()
+    out: dict[str, list[str]] = {}
+    for r in sorted(rows, key=lambda r: (r["lang"], r["i"])):         # labels x OWN_WORDS at most
+        out.setdefault(r["lang"], []).append(r["word"])
+    return out
+
+
+def _label_map(values: dict[str, Column]) -> Column:
+    return F.create_map(*[x for k in sorted(values) for x in (F.lit(k), values[k])])
+
+
+def histograms(docs: DataFrame, text: str = "text", *, lang: str = "lang",
+               own: dict[str, list[str]] | None = None) -> DataFrame:
     """Adds ``__q_chars``, ``__q_classes`` (shares by class, in the order of CLASSES) and
-    ``__q_common`` (array of word and share; the words of VOCABULARY that occur)."""
+    ``__q_common`` (array of word and share; the words of VOCABULARY that occur), and with
+    ``own`` words of other labels ``__q_own``, the same of the own label's words."""
     body = text_of(text)
     df = docs
     if "__q_words" not in df.columns:
@@ -121,11 +150,14 @@ def histograms(docs: DataFrame, text: str = "text") -> DataFrame:
             f"__q_l{i + 1}", F.char_length(F.col(f"__q_r{i + 1}")))
     size = {name: F.col(f"__q_l{i}") - F.col(f"__q_l{i + 1}") for i, (name, _) in enumerate(steps)}
     size["other"] = F.col(f"__q_l{len(steps)}")
-    hits = F.sort_array(F.filter("__q_words", lambda w: w.isin(VOCABULARY)))
+    hits = {"__q_hits": F.sort_array(F.filter("__q_words", lambda w: w.isin(VOCABULARY)))}
+    if own:
+        mine = F.element_at(_label_map({k: F.array(*[F.lit(w) for w in v]) for k, v in own.items()}), F.col(lang))
+        hits["__q_own_hits"] = F.sort_array(F.filter("__q_words", lambda w: F.array_contains(mine, w)))
     df = df.withColumns({
         "__q_chars": F.col("__q_l0"),
         "__q_classes": F.array(*[size[c] / F.greatest(F.col("__q_l0"), F.lit(1)) for c in CLASSES]),
-        "__q_hits": hits,
+        **hits,
         "__q_n": F.size("__q_words"),
     })
 
@@ -138,17 +170,20 @@ def histograms(docs: DataFrame, text: str = "text") -> DataFrame:
                                   / F.col("__q_n")).alias("share"))))
         return _let(F.array_distinct(h), of)
 
+    if own:
+        df = df.withColumn("__q_own", shares(F.col("__q_own_hits")))
     return df.withColumn("__q_common", shares(F.col("__q_hits"))).drop(
         *[f"__q_l{i}" for i in range(len(steps) + 1)], *[f"__q_r{i + 1}" for i in range(len(steps))])
 
 
-def references(features: DataFrame, *, lang: str = "lang", min_words: int = 50) -> dict[str, dict[str, float]]:
-    """Mean histograms of each language in COMMON_WORDS over all its documents."""
-    df = features.where(F.col(lang).isin(sorted(COMMON_WORDS)) & (F.col("__q_n_words") >= min_words))
+def references(features: DataFrame, *, lang: str = "lang", min_words: int = 50,
+               labels: list[str] | None = None, common: str = "__q_common") -> dict[str, dict[str, float]]:
+    """Mean histograms of each language in ``labels`` (COMMON_WORDS) over all its documents."""
+    df = features.where(F.col(lang).isin(sorted(labels or COMMON_WORDS)) & (F.col("__q_n_words") >= min_words))
     entries = F.concat(
         F.array(*[F.struct(F.lit(f"c:{c}").alias("key"), F.get("__q_classes", F.lit(i)).alias("share"))
                   for i, c in enumerate(CLASSES)], F.struct(F.lit("n").alias("key"), F.lit(1.0).alias("share"))),
-        F.transform("__q_common", lambda x: F.struct(F.concat(F.lit("w:"), x["word"]).alias("key"),
+        F.transform(common, lambda x: F.struct(F.concat(F.lit("w:"), x["word"]).alias("key"),
                                                      x["share"].alias("share"))))
     rows = (df.select(F.col(lang).alias("__q_lang"), F.explode(entries).alias("e"))
             .groupBy("__q_lang", "e.key").agg(F.sum("e.share").alias("s")).collect())
@@ -190,26 +225,61 @@ def _word_distance(ref: dict[str, float]) -> Column:
     return F.aggregate("__q_common", state, add, close)
 
 
+def _own_class_distance(refs: dict[str, dict[str, float]], lang: str) -> Column:
+    """Distance to the reference of the own label; null where it has none."""
+    mine = F.element_at(_label_map({k: F.array(*[F.lit(float(r.get(f"c:{c}", 0.0))) for c in CLASSES])
+                                    for k, r in refs.items()}), F.col(lang))
+    terms = [_term(F.get("__q_classes", F.lit(i)), F.get(mine, F.lit(i))) for i in range(len(CLASSES))]
+    return F.when(mine.isNotNull(), F.sqrt(F.greatest(sum(terms[1:], terms[0]) / 2, F.lit(0.0))))
+
+
+def _own_word_distance(refs: dict[str, dict[str, float]], lang: str) -> Column:
+    """Distance to the reference of the own label; null where it has none."""
+    words = {k: sorted((x[2:], v) for x, v in r.items() if x.startswith("w:") and v > 0) for k, r in refs.items()}
+    mine = F.element_at(_label_map({k: F.array(*[F.struct(F.lit(w).alias("word"), F.lit(float(v)).alias("share"))
+                                                 for w, v in kv]).cast("array<struct<word:string,share:double>>")
+                                    for k, kv in words.items()}), F.col(lang))
+
+    def share(entries, word):
+        return F.coalesce(F.get(F.filter(entries, lambda x: x["word"] == word), F.lit(0))["share"], F.lit(0.0))
+
+    def total(entries):
+        return F.aggregate(entries, F.lit(0.0), lambda s, x: s + x["share"])
+
+    # every word that the document has is one of its label's, so the reference's words are all bins
+    bins = F.aggregate(mine, F.lit(0.0), lambda s, x: s + _term(share(F.col("__q_own"), x["word"]), x["share"]))
+    other = _term(F.greatest(1.0 - total(F.col("__q_own")), F.lit(0.0)), F.greatest(1.0 - total(mine), F.lit(0.0)))
+    return F.when(mine.isNotNull(), F.sqrt(F.greatest((bins + other) / 2, F.lit(0.0))))
+
+
 def judged(docs: DataFrame, *, text: str = "text", lang: str = "lang", carry: list[str] | None = None,
            min_words: int = 50, max_repeat_percent: int = 50, max_class_distance: float = 0.28,
            max_word_distance: float = 0.30, min_chars: int = 200, min_words_judged: int = 100) -> DataFrame:
     """``docs`` with the counts, both distances and the verdict (columns ADDED, which
     replace existing ones of these names); ``carry`` names the columns to keep (all).
 
-    Texts are read once: the features go to a table in the shared folder with the carried
-    columns, the references are summed from it, and the verdict is a projection of it."""
+    Texts are read once (those of labels that COMMON_WORDS lacks once more, for their common
+    words): the features go to a table in the shared folder with the carried columns, the
+    references are summed from it, and the verdict is a projection of it."""
     carry = [c for c in (carry or docs.columns) if c not in ADDED]
-    df = histograms(counts(docs, text), text)
+    own = own_words(docs, text=text, lang=lang, min_words=min_words)
+    df = histograms(counts(docs, text), text, lang=lang, own=own)
     feats = written(df.select(*carry, F.col(lang).alias("__q_lang"), "__q_chars", "__q_classes", "__q_common",
-                              *[f"__q_{c}" for c in COUNTS]), "quality")
+                              *(["__q_own"] if own else []), *[f"__q_{c}" for c in COUNTS]), "quality")
     refs = references(feats, lang="__q_lang", min_words=min_words)
+    more = references(feats, lang="__q_lang", min_words=min_words, labels=sorted(own), common="__q_own") if own else {}
     none = F.lit(None).cast("double")
-    pick = (lambda f: F.array_min(F.array(*[f(refs[k]) for k in sorted(refs)])) if refs else none)
+
+    def pick(distance, own_distance):
+        each = [distance(refs[k]) for k in sorted(refs)] + ([own_distance(more, "__q_lang")] if more else [])
+        return F.array_min(F.array(*each)) if each else none
+
     failed = ((F.col("__q_n_words") < min_words)
               | (100 * F.col("__q_n_repeat_words") > max_repeat_percent * F.col("__q_n_words")))
     feats = feats.withColumns({
-        "__q_class": F.when(F.col("__q_chars") >= min_chars, pick(_class_distance)),
-        "__q_word": F.when(F.col("__q_n_words") >= min_words_judged, pick(_word_distance)),
+        "__q_class": F.when(F.col("__q_chars") >= min_chars, pick(_class_distance, _own_class_distance)),
+        "__q_word": F.when((F.col("__q_n_words") >= min_words_judged) & F.col("__q_lang").isNotNull(),
+                           pick(_word_distance, _own_word_distance)),
     })
     far = (F.coalesce(F.col("__q_class") > max_class_distance, F.lit(False))
            | F.coalesce(F.col("__q_word") > max_word_distance, F.lit(False)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (language, line_dedup, merkle, mixing, packing, quality, secret_scan, simhash,
+from . import (language, line_dedup, merkle, mixing, packing, periodic_runs, quality, secret_scan, simhash,
                suffix_dedup, warc)
 from .common import shared_folder, table
 from .oracle import ORACLE_SQL  # noqa: F401  (registered with the queries)
@@ -80,6 +80,11 @@ def op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", "n_lines", "n_removed_lines", "n_runs", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", periodic_runs.looped(F.col("text"), F.col("doc_id")).alias("text"))
+    return periodic_runs.digests(periodic_runs.detect(docs))
+
+
 REGISTRY = {f.__name__: f for f in (
     op1_mixing, op2_packing, op3_fingerprints, op4_secret_scan, op5_language, op6_quality_rules, op7_warc,
-    op8_suffix_dedup, op9_simhash, op10_line_dedup)}
+    op8_suffix_dedup, op9_simhash, op10_line_dedup, op11_periodic_runs)}

@@ -160,10 +160,29 @@ SELECT d.doc_id, coalesce(len(lines), 0)::BIGINT AS n_lines, coalesce(k.removed,
 FROM docs d LEFT JOIN kept k USING (doc_id) LEFT JOIN starts s USING (doc_id)"""
 
 
+def op12(every=100, few=5, low=80, high=100) -> str:
+    return f"""
+WITH v AS (SELECT row_number() OVER () AS uid, vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda c: floor(c::DOUBLE * 256)) AS x FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c) OR abs(c) >= 65536)) = 0),
+scored AS (SELECT a.uid, a.id AS anchor_id, b.id, a.label = b.label AS same, coalesce(list_sum(list_transform(
+    range(1, least(len(a.x), len(b.x)) + 1), lambda i: a.x[i] * b.x[i])), 0)::BIGINT AS score
+    FROM v a JOIN v b ON a.id % {every} = 0),
+near AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY score DESC, id) AS place FROM scored
+    WHERE same AND id <> anchor_id) WHERE place <= {few}),
+fits AS (SELECT n.anchor_id, n.id AS positive_id, s.id AS negative_id, n.score AS positive_score, s.score AS negative_score,
+    row_number() OVER (PARTITION BY n.uid, n.place ORDER BY s.score DESC, s.id)::INT AS rank
+    FROM near n JOIN scored s ON s.uid = n.uid AND NOT s.same
+    AND {low} * n.score <= 100 * s.score AND 100 * s.score <= {high} * n.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM fits WHERE rank <= {few}"""
+
+
 ORACLE_SQL = {
     "op1_mixing": op1(),
     "op3_fingerprints": op3(),
     "op6_quality_rules": op6(),
     "op7_warc": op7(),
     "op10_line_dedup": op10(),
+    "op12_hard_negatives": op12(),
 }

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (language, line_dedup, merkle, mixing, packing, periodic_runs, quality, secret_scan, simhash,
-               suffix_dedup, warc)
+from . import (hard_negatives, language, line_dedup, merkle, mixing, packing, periodic_runs, quality, secret_scan,
+               simhash, suffix_dedup, warc)
 from .common import shared_folder, table
 from .oracle import ORACLE_SQL  # noqa: F401  (registered with the queries)
 
@@ -85,6 +85,12 @@ def op11_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
     return periodic_runs.digests(periodic_runs.detect(docs))
 
 
+def op12_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf, "embeddings"), label=label)
+
+
 REGISTRY = {f.__name__: f for f in (
     op1_mixing, op2_packing, op3_fingerprints, op4_secret_scan, op5_language, op6_quality_rules, op7_warc,
-    op8_suffix_dedup, op9_simhash, op10_line_dedup, op11_periodic_runs)}
+    op8_suffix_dedup, op9_simhash, op10_line_dedup, op11_periodic_runs,
+    op12_hard_negatives)}

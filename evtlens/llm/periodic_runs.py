@@ -11,7 +11,7 @@ nearest earlier place of the last k words is looked up, and its distance, if it
 and at most k, is the one active lag of that scale. Inside a run of period q its q words
 recur at distance q and, since no shorter period fits, at none below, so no run is missed: a text of n words
 has at most log2(n) active lags at any time. When the lag of a scale changes, its diagonal has ended;
-a match long enough is emitted at once. A scale only looks back k words, so its table holds
+a match long enough is emitted. A scale only looks back k words, so its table holds
 2k places at most and a text of n words needs O(n) memory and O(n log n) steps, also where one
 word fills it.
 
@@ -36,7 +36,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import WORD, small_batches
@@ -45,6 +45,7 @@ from .packing import slabs
 MODULUS = (1 << 61) - 1
 BASE = 0x1F3B_5A77_9C2D_4E61 % MODULUS
 GRAM = 4
+AT_ONCE = 4096               # words of a block
 
 
 class Scale:
@@ -60,8 +61,8 @@ class Scale:
 
 
 def online_runs(ids: Sequence[int], min_length: int = 6, min_periods: int = 4) -> Iterator[tuple[int, int, int]]:
-    """(start, length, period) of the runs of a word sequence, each as soon as it ends.
-    ``min_periods`` is 3 at least."""
+    """(start, length, period) of the runs of a word sequence. The words pass once, in blocks; a
+    run is emitted with the block in which it ends. ``min_periods`` is 3 at least."""
     n = len(ids)
     longest = n // min_periods                       # period
     scales, k = [], 1
@@ -69,50 +70,56 @@ def online_runs(ids: Sequence[int], min_length: int = 6, min_periods: int = 4) -
         scales.append(Scale(k))
         k *= 2
 
-    def ended(s: Scale, i: int):
-        q, length = s.lag, s.matched + s.lag
+    def ended(i: int, q: int, matched: int):
+        length = matched + q
         start = i - length
-        if q and length >= max(min_length, min_periods * q) and ids[start + q:i] == ids[start:i - q]:
+        if length >= max(min_length, min_periods * q) and ids[start + q:i] == ids[start:i - q]:
             yield start, length, q
 
-    prefix = [0]
-    for i, word in enumerate(ids):
-        prefix.append((prefix[-1] * BASE + word + 1) % MODULUS)
+    prefix, at = [0], 0
+    for word in ids if scales else ():
+        at = (at * BASE + word + 1) % MODULUS
+        prefix.append(at)
+    for first in range(0, n, AT_ONCE):
+        last = min(first + AT_ONCE, n)
         for s in scales:
-            k = s.k
-            if i + 1 < k:
+            k, power, now, before, lag, matched = s.k, s.power, s.now, s.before, s.lag, s.matched
+            lo = max(first, k - 1)                   # the first place with k words
+            if lo >= last:
                 break
-            if i % k == 0:
-                s.before, s.now = s.now, {}
-            h = (prefix[-1] - prefix[i + 1 - k] * s.power) % MODULUS
-            at = s.now.get(h)
-            if at is None:
-                at = s.before.get(h, i)
-            s.now[h] = i
-            lag = i - at
-            if lag and lag <= k < 2 * lag:
-                if lag == s.lag:
-                    s.matched += 1
+            for i, (x, y) in enumerate(zip(prefix[lo + 1:last + 1], prefix[lo + 1 - k:last + 1 - k], strict=True), lo):
+                if i % k == 0:
+                    before, now = now, {}
+                h = (x - y * power) % MODULUS
+                at = now.get(h)
+                if at is None:
+                    at = before.get(h, i)
+                now[h] = i
+                if i - at == lag:                    # 0: none active, none found
+                    matched += 1
                 else:
-                    yield from ended(s, i)
-                    s.lag, s.matched = lag, k
-            elif s.lag:
-                yield from ended(s, i)
-                s.lag = 0
+                    if lag:
+                        yield from ended(i, lag, matched)
+                    lag = i - at
+                    if not lag <= k < 2 * lag:
+                        lag = 0
+                    matched = k
+            s.now, s.before, s.lag, s.matched = now, before, lag, matched
     for s in scales:
-        yield from ended(s, n)
+        if s.lag:
+            yield from ended(n, s.lag, s.matched)
 
 
-def stretches(texts: list[list[int]]) -> list[list[tuple[int, int]]]:
-    """For each text (word numbers) the stretches [start, end) whose every four words in a
-    row stand twice or more in that text."""
+def stretches(texts: list[list]) -> list[list[tuple[int, int]]]:
+    """For each text (its words) the stretches [start, end) whose every four words in a row
+    stand twice or more in that text, by hash (equal hashes of others only make them longer)."""
     sizes = np.array([len(t) for t in texts], np.int64)
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
     total = int(sizes.sum())
     out = [[] for _ in texts]
     if total < GRAM:
         return out
-    words = np.fromiter(chain.from_iterable(texts), np.uint64, total)
+    words = np.fromiter(map(hash, chain.from_iterable(texts)), np.int64, total).view(np.uint64)
     of = np.repeat(np.arange(len(texts), dtype=np.uint64), sizes)
     mix = np.uint64(0x9E37_79B9_7F4A_7C15)
     h = (of + np.uint64(1)) * mix
@@ -137,9 +144,14 @@ def stretches(texts: list[list[int]]) -> list[list[tuple[int, int]]]:
     return out
 
 
-def runs_of(ids: list[int], parts: list[tuple[int, int]], min_length: int, min_periods: int) -> list[tuple[int, int, int]]:
-    return sorted((lo + start, length, period) for lo, hi in parts if hi - lo >= min_length
-                  for start, length, period in online_runs(ids[lo:hi], min_length, min_periods))
+def runs_of(words: list, parts: list[tuple[int, int]], min_length: int, min_periods: int) -> list[tuple[int, int, int]]:
+    out = []
+    for lo, hi in parts:
+        if hi - lo >= min_length:
+            number = {}
+            ids = [number.setdefault(w, len(number)) for w in words[lo:hi]]
+            out += [(lo + start, length, period) for start, length, period in online_runs(ids, min_length, min_periods)]
+    return sorted(out)
 
 
 def collapsed(words: list[bytes], runs: list[tuple[int, int, int]]) -> bytes:
@@ -165,10 +177,8 @@ def detect(docs: DataFrame, *, text: str = "text", carry: tuple[str, ...] = ("do
         for batch in batches:
             for first, texts in slabs(batch.column(len(carry))):
                 words = [t.split() for t in texts]       # of bytes: splits at the six ASCII spaces alone
-                number: dict[bytes, int] = {}
-                ids = [[number.setdefault(w, len(number)) for w in ws] for ws in words]
-                found = [runs_of(x, parts, min_length, min_periods) if parts else []
-                         for x, parts in zip(ids, stretches(ids), strict=True)]
+                found = [runs_of(w, parts, min_length, min_periods) if parts else []
+                         for w, parts in zip(words, stretches(words), strict=True)]
                 flat = list(chain.from_iterable(found))
                 columns = [pa.array([r[j] for r in flat], pa.int64()) for j in range(3)]
                 offsets = pa.array(np.concatenate([[0], np.cumsum([len(f) for f in found])]), pa.int32())
@@ -185,21 +195,20 @@ def detect(docs: DataFrame, *, text: str = "text", carry: tuple[str, ...] = ("do
     return docs.select(*carry, F.col(text).alias("text")).mapInArrow(run, schema)
 
 
-def looped(text: Column, key: Column) -> Column:
-    """The text as the contract of op11 changes it: with h the CRC-32 of the decimal key, every
-    tenth h's words from number a on repeat with period p. Other texts, and those without a key, stay."""
-    h = F.crc32(key.cast("string").cast("binary"))
-    g = F.floor(h / 10)
-
-    def repeated(words: Column) -> Column:
-        n = F.size(words).cast("long")
-        a = g % n
-        p = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))
-        return F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.get(
-            words, F.when(i >= a, a + (i - a) % p).otherwise(i).cast("int"))), " ")
-
-    words = F.regexp_extract_all(text, F.lit(f"({WORD})"), 1)
-    return F.when((h % 10 == 0) & F.regexp_like(text, F.lit(WORD)), repeated(words)).otherwise(text)
+def looped(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """key and text, changed as the contract of op11 says: with h the CRC-32 of the decimal key, every tenth
+    h's words from number a on repeat with period p. Other texts, and those without a key, stay."""
+    h = F.crc32(F.col(key).cast("string").cast("binary"))
+    words = F.when((h % 10 == 0) & F.regexp_like(text, F.lit(WORD)), F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1)))
+    # a column of its own, or it would be worked out for every word
+    cut = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.floor(h / 10).alias("g"), words.alias("w"))
+    n = F.size("w").cast("long")
+    cut = cut.withColumn("a", F.col("g") % n).withColumn("p", F.lit(1) + F.floor((n - F.col("a")) / (F.lit(3) + F.col("g") % 8)))
+    a, p = F.col("a"), F.col("p")
+    rest = F.slice("w", (a + 1).cast("int"), p.cast("int"))
+    tail = F.slice(F.flatten(F.array_repeat(rest, F.ceil((n - a) / p).cast("int"))), F.lit(1), (n - a).cast("int"))
+    whole = F.array_join(F.concat(F.slice("w", F.lit(1), a.cast("int")), tail), " ")
+    return cut.select(F.col("key").alias(key), F.when(F.col("w").isNotNull(), whole).otherwise(F.col("text")).alias(text))
 
 
 def digests(found: DataFrame) -> DataFrame:

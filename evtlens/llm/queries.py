@@ -81,7 +81,7 @@ def op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op11_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select("doc_id", periodic_runs.looped(F.col("text"), F.col("doc_id")).alias("text"))
+    docs = periodic_runs.looped(table(spark, sf, "documents"))
     return periodic_runs.digests(periodic_runs.detect(docs))
 
 

@@ -72,7 +72,7 @@ def test_query_equals_plain_version(spark, docs, rows, tmp_path):
 def test_planted_loops(spark):
     texts = [(i, " ".join(f"w{j % 90}" for j in range(120 + i)), None) for i in range(200)]
     df = spark.createDataFrame(texts, "doc_id long, text string, n_runs string")
-    out = {r[0]: r[1] for r in df.select("doc_id", pr.looped(F.col("text"), F.col("doc_id"))).collect()}
+    out = dict(map(tuple, pr.looped(df).collect()))
     changed = 0
     for d, t, _ in texts:
         assert out[d].split() == brute.looped(d, t.split())

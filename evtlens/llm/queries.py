@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (hard_negatives, language, line_dedup, merkle, mixing, packing, periodic_runs, quality, secret_scan,
-               simhash, suffix_dedup, warc)
+               simhash, suffix_dedup, toxicity, warc)
 from .common import shared_folder, table
 from .oracle import ORACLE_SQL  # noqa: F401  (registered with the queries)
 
@@ -90,7 +90,14 @@ def op12_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
     return hard_negatives.mine(table(spark, sf, "embeddings"), label=label)
 
 
+def op13_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs, marks = table(spark, sf, "documents"), table(spark, sf, "labels")
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    model = toxicity.train(docs, marks.where(~held))
+    return toxicity.score(docs.withColumn("held_out", F.coalesce(held, F.lit(False))), model, carry=("doc_id", "held_out"))
+
+
 REGISTRY = {f.__name__: f for f in (
     op1_mixing, op2_packing, op3_fingerprints, op4_secret_scan, op5_language, op6_quality_rules, op7_warc,
     op8_suffix_dedup, op9_simhash, op10_line_dedup, op11_periodic_runs,
-    op12_hard_negatives)}
+    op12_hard_negatives, op13_toxicity)}

@@ -94,13 +94,15 @@ def word_tokenizer(path: str) -> tuple[Callable[[bytes], bytes], int, Callable[[
     if sys.byteorder != "little":
         raise RuntimeError("ids are written in the machine's byte order, which must be little-endian")
 
+    def latin(word: str) -> bool:
+        """Letters whose normal, lower-case forms are letters again (that of U+0130 ends in a mark,
+        which would join what follows)."""
+        return word.isalpha() and (word.isascii() or max(word) < "\u0250" and "\u0130" not in word and is_normalized("NFC", word))
+
     def pieces(word: str) -> list[str]:
         if plain:
-            if word.isalpha():
-                if word.isascii():
-                    return [word]
-                if max(word) < "\u0250" and "\u0130" not in word and is_normalized("NFC", word):
-                    return [word.lower().encode().decode("latin-1").translate(chars)]
+            if latin(word):
+                return [word if word.isascii() else word.lower().encode().decode("latin-1").translate(chars)]
             elif word.isascii() and word.isprintable():
                 return ASCII_SPLIT.findall(word)
         return [p for p, _ in cutter.pre_tokenize_str(normal.normalize_str(word))]
@@ -110,7 +112,7 @@ def word_tokenizer(path: str) -> tuple[Callable[[bytes], bytes], int, Callable[[
         if b"<|" in word:
             return array(kind, tok.encode(word.decode(), add_special_tokens=False).ids).tobytes()
         text = word.decode()
-        if plain and text[-1] in ",." and text[:-1].isalpha():
+        if plain and text[-1] in ",." and latin(text[:-1]):
             return words[word[:-1]] + words[word[-1:]]
         return array(kind, [t.id for p in pieces(text) for t in model.tokenize(p)]).tobytes()
 

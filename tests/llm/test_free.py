@@ -54,6 +54,29 @@ def test_word_encoder_equals_tokenizer():
         assert np.frombuffer(encode(t.encode()), f"<u{width}").tolist() == tok.encode(t, add_special_tokens=False).ids, t
 
 
+def test_word_encoder_where_normal_forms_end_in_marks():
+    """Every letter before a stop, and random mixes of marks, zero-width, control and other odd characters."""
+    import random
+
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(TOKENIZER)
+    encode, width, _ = packing.word_tokenizer(TOKENIZER)
+
+    def same(t):
+        assert np.frombuffer(encode(t.encode()), f"<u{width}").tolist() == tok.encode(t, add_special_tokens=False).ids, ascii(t)
+
+    same("TARİHİ, İLİ. क़, ड़. ড়.")
+    for c in range(0x80, 0x30000):
+        if chr(c).isalpha() and (c < 0x3000 or c % 37 == 0):
+            same(f"a{chr(c)}. {chr(c)},")
+    rng = random.Random(1)
+    pool = [*"aZé,.'\"1;-<|>_ \t\n\x0b\x0c\r\x1c\x1f\x85\xa0\u200b\u200d\u2028\u3000\ufeff\x00\x7f", "'s", "'RE", "<|endoftext|>",
+            "İ", "ﬁ", "ß", "Σ", "ς", "ǅ", "A\u030a", "가", "\u1100\u1161", "क", "क\u093c", "²", "Ⅷ", "\U0001f600",
+            *map(chr, range(0x300, 0x340)), *map(chr, range(0x93a, 0x950))]
+    for _ in range(8000):
+        same("".join(rng.choice(pool) for _ in range(rng.randint(1, 12))))
+
+
 def test_word_ids_forget_and_relearn():
     asked = []
     w = packing.WordIds(lambda x: asked.append(x) or x, 3)

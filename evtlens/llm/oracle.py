@@ -139,25 +139,26 @@ SELECT page_id, payload_bytes, array_to_string(list_transform(range(0, 32), lamb
     CASE WHEN least IS NOT DISTINCT FROM page_id THEN NULL ELSE least END AS refers_to FROM f"""
 
 
-def op10(min_lines=2, min_words=12) -> str:
-    ahead = ", ".join(f"lead(line, {i}) OVER w" for i in range(min_lines))
-    words = " + ".join(f"coalesce(lead(n, {i}) OVER w, 0)" for i in range(min_lines))
-    covered = "[" + ", ".join(f"p + {i}" for i in range(min_lines)) + "]"
+def op10(min_words=12) -> str:
+    """Every run of up to ``min_words`` lines with enough words is looked for; a longer one is the union of such."""
     return f"""
-WITH docs AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
-each AS (SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS p, len(lines) AS total FROM docs),
+WITH each AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS p
+    FROM documents),
 counted AS (SELECT *, len(regexp_extract_all(line, '{WORD}')) AS n FROM each),
-runs AS (SELECT doc_id, p, [{ahead}] AS run, {words} AS n, total FROM counted WINDOW w AS (PARTITION BY doc_id ORDER BY p)),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, p) AS r FROM runs
-    WHERE p <= total - {min_lines - 1} AND n >= {min_words}),
-gone AS (SELECT DISTINCT doc_id, unnest({covered}) AS p FROM ranked WHERE r > 1),
-kept AS (SELECT e.doc_id, count(g.p)::BIGINT AS removed, coalesce(string_agg(line, chr(10) ORDER BY e.p)
-    FILTER (WHERE g.p IS NULL), '') AS text FROM each e LEFT JOIN gone g ON g.doc_id = e.doc_id AND g.p = e.p GROUP BY e.doc_id),
-starts AS (SELECT g.doc_id, count(*)::BIGINT AS n FROM gone g LEFT JOIN gone b ON b.doc_id = g.doc_id AND b.p = g.p - 1
-    WHERE b.p IS NULL GROUP BY g.doc_id)
-SELECT d.doc_id, coalesce(len(lines), 0)::BIGINT AS n_lines, coalesce(k.removed, 0) AS n_removed_lines,
-    coalesce(s.n, 0) AS n_runs, CASE WHEN d.text IS NULL THEN NULL ELSE sha256(k.text) END AS kept_sha256
-FROM docs d LEFT JOIN kept k USING (doc_id) LEFT JOIN starts s USING (doc_id)"""
+owned AS (SELECT *, sum((n > 0)::INT) OVER (PARTITION BY doc_id ORDER BY p) AS i FROM counted),
+solid AS (SELECT doc_id, list(line ORDER BY p) AS lines, list(n ORDER BY p) AS ns FROM counted WHERE n > 0 GROUP BY doc_id),
+starts AS (SELECT *, unnest(range(1, len(lines) + 1)) AS i FROM solid),
+runs AS (SELECT doc_id, i, l, lines[i : i + l - 1] AS run, list_sum(ns[i : i + l - 1]) AS n
+    FROM starts, (SELECT unnest(range(1, {min_words} + 1)) AS l) WHERE i + l - 1 <= len(lines)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, i) AS r FROM runs WHERE n >= {min_words}),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + l)) AS i FROM ranked WHERE r > 1),
+kept AS (SELECT o.doc_id, count(g.i)::BIGINT AS removed, coalesce(string_agg(line, chr(10) ORDER BY o.p)
+    FILTER (WHERE g.i IS NULL), '') AS text FROM owned o LEFT JOIN gone g ON g.doc_id = o.doc_id AND g.i = o.i GROUP BY o.doc_id),
+heads AS (SELECT g.doc_id, count(*)::BIGINT AS n FROM gone g LEFT JOIN gone b ON b.doc_id = g.doc_id AND b.i = g.i - 1
+    WHERE b.i IS NULL GROUP BY g.doc_id)
+SELECT d.doc_id, coalesce(len(string_split(d.text, chr(10))), 0)::BIGINT AS n_lines, coalesce(k.removed, 0) AS n_removed_lines,
+    coalesce(h.n, 0) AS n_runs, CASE WHEN d.text IS NULL THEN NULL ELSE sha256(k.text) END AS kept_sha256
+FROM documents d LEFT JOIN kept k USING (doc_id) LEFT JOIN heads h USING (doc_id)"""
 
 
 def op12(every=100, few=5, low=80, high=100) -> str:

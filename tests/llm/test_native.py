@@ -109,19 +109,55 @@ def test_merkle_odd_input(spark, odd_docs, no_docs, rows):
     assert len(pairs) == 300 and sorted(r["text"] for r in pairs) == sorted(r["next_text"] for r in pairs)
 
 
-def test_line_dedup(docs, rows):
-    got = {r["doc_id"]: r for r in line_dedup.deduplicated(docs).collect()}
-    want = brute.op10([(d, t) for d, t, *_ in rows])
-    for d, (lines, removed, kept) in want.items():
-        assert (got[d]["n_lines"], got[d]["n_removed_lines"], got[d]["kept_text"]) == (lines, removed, kept), d
-    assert got[20]["kept_text"] == "" or got[20]["n_lines"] < 2 or got[20]["n_removed_lines"] > 0
-
-
-def test_line_dedup_longer_runs(docs, rows):
-    for n in (1, 3, 4):
-        got = {r["doc_id"]: r["kept_text"] for r in line_dedup.deduplicated(docs, min_lines=n, min_words=0).collect()}
-        want = brute.op10([(d, t) for d, t, *_ in rows], min_lines=n, min_words=0)
-        assert got == {d: w[2] for d, w in want.items()}
+def same_lines(df, rows, **given):
+    got = {r["doc_id"]: (r["n_lines"], r["n_removed_lines"], r["n_runs"], r["kept_text"])
+           for r in line_dedup.deduplicated(df, **given).collect()}
+    want = brute.op10(rows, **given)
+    assert got == want
+    return want
+
+
+def test_line_dedup(spark, docs, rows):
+    same_lines(docs, [(d, t) for d, t, *_ in rows])
+    same_lines(docs, [(d, t) for d, t, *_ in rows], min_words=5)
+    for n in (1, 25):
+        same_lines(docs, [(d, t) for d, t, *_ in rows], min_words=n)
+
+
+def test_line_dedup_repeated_line_verse_and_short_documents(spark):
+    def frame(rows):
+        return spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+
+    line = " ".join(f"w{i}" for i in range(60))                        # one long line in three documents
+    rows = [(i, f"a{i} b\n{line}\nc{i} d") for i in range(3)]
+    want = same_lines(frame(rows), rows)
+    assert [w[1] for w in want.values()] == [0, 1, 1]
+    verse = "\n".join(f"v{i % 9} x{i}" for i in range(100))             # a hundred short lines, twice
+    rows = [(1, verse), (2, verse), (3, "head\n" + verse.split("\n", 90)[-1]), (4, line), (5, line)]
+    want = same_lines(frame(rows), rows)
+    assert [want[d][1] for d in (1, 2, 3, 4, 5)] == [0, 100, 10, 0, 1]
+    short = "\n".join("a b c d".split())                              # too few words, however often
+    rows = [(1, short), (2, short), (3, short + "\n" + short + "\n" + short + "\nx"), (4, "\n" + short * 4)]
+    assert [w[1] for w in same_lines(frame(rows), rows).values()] == [0, 0, 0, 0]
+
+
+def test_line_dedup_random_lines(spark):
+    """Few different lines of zero to six words, so runs of all lengths repeat, touch and overlap."""
+    import random
+    rng = random.Random(8)
+    pool = [" ".join(rng.choice("abcdefg") for _ in range(rng.choice([0, 1, 1, 2, 3, 4, 6]))) for _ in range(14)] + ["", " ", "\r"]
+    rows = []
+    for d in range(120):
+        if rows and rng.random() < 0.3:
+            lines = rng.choice(rows)[1].split("\n")
+            at = rng.randrange(len(lines) + 1)
+            lines = lines[at // 2:at] + [rng.choice(pool)] + lines[at:]
+        else:
+            lines = [rng.choice(pool) for _ in range(rng.randint(0, 25))]
+        rows.append((d, "\n".join(lines)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for n in (12, 7, 3):
+        assert sum(w[1] for w in same_lines(df, rows, min_words=n).values()) > 20
 
 
 def test_line_dedup_odd_input(odd_docs, no_docs):

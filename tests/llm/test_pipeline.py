@@ -25,7 +25,7 @@ def test_stages_take_effect(spark, docs, rows):
     second = written(STAGES["line_dedup"](spark, first, ""), "t-lines")
     want = brute.op10(sorted(kept.items()))
     lines = {r["doc_id"]: r for r in second.collect()}
-    assert {d: r["text"] for d, r in lines.items()} == {d: w[2] for d, w in want.items()}
+    assert {d: r["text"] for d, r in lines.items()} == {d: w[3] for d, w in want.items()}
     assert all(r["n_chars"] == len(r["text"]) for r in lines.values())
 
     third = written(STAGES["simhash_near_dedup"](spark, second, ""), "t-simhash")

@@ -10,15 +10,14 @@ Output times are epoch milliseconds.
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from evtlens.functions.time import duration_us, epoch_us
 from evtlens.operators.joins import interval_join
-from evtlens.operators.sequence import lag_within, running_max, time_bucket
+from evtlens.operators.jumps import reachable
+from evtlens.operators.sequence import lag_within
+from evtlens.session import cut_lineage
 
 # Result texts of the reference jobs.
 MSG_FAIL_PAIR = "login fail 2 times in 2s"
@@ -79,102 +78,76 @@ def cep_fail_times3(logins: DataFrame, within="5 seconds") -> DataFrame:
     return cep_fail_times(logins, 3, within)
 
 
-_TIMER_OUT = StructType([StructField("user_id", LongType()), StructField("first_fail_time", LongType()),
-                         StructField("last_fail_time", LongType()), StructField("fail_count", LongType()),
-                         StructField("warning_msg", StringType())])
-
-
-def _segments(u: np.ndarray, fail: np.ndarray, limit_us: int, min_fails: int, last: bool):
-    """Greedy spans of one burst (rows in order): (first, last, count) of those that warn, and
-    the row from which more rows of the burst (unless ``last``) could still change a span."""
-    out, i, n = [], 0, len(u)
-    successes = np.flatnonzero(~fail)
-    while i < n:
-        end = i + int(np.searchsorted(u[i:], u[i] + limit_us, side="right"))
-        k = int(np.searchsorted(successes, i))
-        stop = int(successes[k]) if k < len(successes) else n
-        if stop < end:                 # a success inside the span cancels it
-            i = stop + 1
-            continue
-        if end == n and not last:
-            break
-        if end - i >= min_fails:
-            out.append((int(u[i]), int(u[end - 1]), end - i))
-        i = end + 1 if end == stop else end
-    return out, i
-
-
-def _greedy_scan(limit_us: int, min_fails: int, msg: str):
-    """mapInPandas body over rows sorted by (user_id, burst, u, seq): anchor at the first
-    fail, jump to the end of its span, and so on. Between Arrow batches only the rows of
-    the open span are kept, so a burst may span batches."""
-
-    def run(batches):
-        held = None
-        for pdf in batches:
-            if held is not None:
-                pdf = pd.concat([held, pdf], ignore_index=True)
-            if not len(pdf):
-                continue
-            users, bursts = pdf["user_id"].to_numpy(np.int64), pdf["burst"].to_numpy(np.int64)
-            fail, us = (pdf["login_state"] == "fail").to_numpy(), pdf["u"].to_numpy(np.int64)
-            cut = np.flatnonzero((np.diff(users) != 0) | (np.diff(bursts) != 0)) + 1
-            rows = []
-            for s, e in zip([0, *cut.tolist()], [*cut.tolist(), len(pdf)]):
-                found, at = _segments(us[s:e], fail[s:e], limit_us, min_fails, e < len(pdf))
-                rows += [(int(users[s]), *f) for f in found]
-            held = pdf.iloc[s + at:]
-            if rows:
-                yield _timer_frame(rows, msg)
-        if held is not None and len(held):
-            found, _ = _segments(held["u"].to_numpy(np.int64), (held["login_state"] == "fail").to_numpy(),
-                                 limit_us, min_fails, True)
-            if found:
-                yield _timer_frame([(int(held["user_id"].iloc[0]), *f) for f in found], msg)
-
-    return run
-
-
-def _timer_frame(rows, msg) -> pd.DataFrame:
-    u, f, l, n = (np.array(c, np.int64) for c in zip(*rows))
-    return pd.DataFrame({"user_id": u, "first_fail_time": f // 1000, "last_fail_time": l // 1000, "fail_count": n,
-                         "warning_msg": [msg.format(n=x) for x in n.tolist()]})
-
-
-def login_fail_timer(logins: DataFrame, limit="2 seconds", min_fails: int = 2, split="1 day",
-                     msg: str = MSG_FAIL_TIMER) -> DataFrame:
+def _fail_spans(logins: DataFrame, limit_us: int) -> DataFrame:
+    """One row per fail of a burst: its key (user_id, u, q); ``head`` when it surely is an anchor
+    (no fail within the limit right before it); ``dropped`` when a success comes within its span; and the
+    first fail beyond its span (nu, nq) if that can be the next anchor.
+
+    A burst is a stretch of fails each within the limit of the one before. One shuffle: time buckets
+    of eight limits, with the rows two limits behind and one before copied in. A probe is put behind each fail's
+    span, so that what follows the span is the last row seen by a window in falling order."""
+    width = 8 * limit_us
+    rows = logins.select(
+        "user_id", _us("ts").alias("u"), (F.col("seq") if "seq" in logins.columns else F.monotonically_increasing_id()).alias("q"),
+        (F.col("login_state") == "fail").alias("fail"))
+    own = F.floor(F.col("u") / width)
+    inside = F.pmod("u", F.lit(width))
+    rows = rows.withColumn("own", own).withColumn("b", F.explode(F.array_compact(F.array(
+        F.col("own"), F.when(inside <= 2 * limit_us, F.col("own") - 1), F.when(inside >= width - limit_us, F.col("own") + 1)))))
+    up = Window.partitionBy("user_id", "b").orderBy("u", "q")
+    good = F.count(F.when(~F.col("fail"), 1))
+    rows = rows.withColumns({
+        "after_fail": F.coalesce(F.lag("fail").over(up) & (F.col("u") - F.lag("u").over(up) <= limit_us), F.lit(False)),
+        "before_fail": F.coalesce(F.lead("fail").over(up) & (F.lead("u").over(up) - F.col("u") <= limit_us), F.lit(False)),
+        "s": good.over(up.rowsBetween(Window.unboundedPreceding, 0))})
+    rows = rows.withColumn("head", F.col("fail") & ~F.col("after_fail"))
+    probe = (F.col("b") == F.col("own")) & F.col("fail") & (F.col("after_fail") | F.col("before_fail"))
+    both = rows.withColumn("t", F.explode(F.array_compact(F.array(F.col("u"), F.when(probe, F.col("u") + limit_us + 1)))))
+    both = both.withColumn("is_row", F.col("t") == F.col("u"))
+    along = Window.partitionBy("user_id", "b").orderBy("t", "is_row", "q").rowsBetween(Window.unboundedPreceding, 0)
+    back = (Window.partitionBy("user_id", "b").orderBy(F.col("t").desc(), F.col("is_row").desc(), F.col("q").desc())
+            .rowsBetween(Window.unboundedPreceding, 0))
+    both = both.withColumns({
+        "seen": F.count(F.when(F.col("is_row") & ~F.col("fail"), 1)).over(along),
+        "next": F.last(F.when(F.col("is_row") & F.col("fail"), F.struct("u", "q", "head")), ignorenulls=True).over(back)})
+    leads = (F.col("seen") == F.col("s")) & ~F.col("next.head") & (F.col("next.u") <= F.col("u") + 2 * limit_us)
+    return both.where(~F.col("is_row")).select(
+        "user_id", "u", "q", "head", (F.col("seen") > F.col("s")).alias("dropped"),
+        F.when(leads, F.col("next.u")).alias("nu"), F.when(leads, F.col("next.q")).alias("nq"))
+
+
+def login_fail_timer(logins: DataFrame, limit="2 seconds", min_fails: int = 2, msg: str = MSG_FAIL_TIMER) -> DataFrame:
     """Timer variant - anchor at a fail, ``limit`` later warn once with first, last
-    and count if >= ``min_fails`` fails came and no success did.
-
-    Segments never cross a success or a gap longer than ``limit`` between consecutive
-    events, so the events are cut into fail bursts (ids from a bucketed running max,
-    no per-user window). Bursts with fewer than ``min_fails`` fails cannot warn and are
-    dropped by an aggregate; the rest are hash partitioned by (user, burst), sorted,
-    and one ``mapInPandas`` scan per partition jumps from span to span, holding the rows
-    of one span.
-    """
-    from evtlens.session import ship_package
-    ship_package(logins.sparkSession)
+    and count if >= ``min_fails`` (two at least) fails came and no success did.
+
+    Whatever came before, a fail is an anchor if no fail lies within the limit right before it. From
+    such heads anchors follow one another: the next is the first fail beyond the span, unless a
+    success comes before. :func:`evtlens.operators.jumps.reachable` marks them by doubling these pointers, so
+    an endless burst of one user is no sequential work. Then each fail goes to the last anchor at or
+    before it (time buckets again, anchors copied into the next one) and partial aggregates count the spans.
+    A table without ``seq`` takes rows of one time in any order."""
+    if min_fails < 2:
+        raise ValueError("min_fails is two at least")
     lim = duration_us(limit)
-    x = lag_within(logins, ["user_id"], _order(logins), ["login_state", "ts"], limit)
-    if "seq" not in x.columns:
-        x = x.withColumn("seq", F.lit(0).cast("bigint"))
-    fail = F.col("login_state") == "fail"
-    prev_fail = F.col("login_state_lag1") == "fail"
-    start = fail & (F.col("ts_lag1").isNull() | ~prev_fail | (_us("ts") - _us("ts_lag1") > F.lit(lim)))
-    # fails plus the success that ends a burst; later successes carry no state
-    rows = (x.where(fail | prev_fail)
-            .withColumn("u", _us("ts"))
-            .withColumn("_start", F.when(start, F.col("u"))))
-    rows = running_max(rows, ["user_id"], ["ts", "seq"], "_start", "burst",
-                       time_bucket("ts", split) if split else F.lit(0))
-    rows = rows.where(F.col("burst").isNotNull()).select("user_id", "burst", "login_state", "u", "seq")
-    big = (rows.where(F.col("login_state") == "fail").groupBy("user_id", "burst")
-           .agg(F.count(F.lit(1)).alias("_nf")).where(F.col("_nf") >= min_fails).drop("_nf"))
-    cand = rows.join(big, ["user_id", "burst"], "left_semi")
-    return (cand.repartition("user_id", "burst")
-            .sortWithinPartitions("user_id", "burst", "u", "seq")
-            .mapInPandas(_greedy_scan(lim, min_fails, msg), _TIMER_OUT))
+    key = ["user_id", "u", "q"]
+    fails = cut_lineage(_fail_spans(logins, lim), "fail-spans")
+    pointers = fails.where("nu is not null").dropDuplicates(key)
+    found = reachable(pointers, fails.where("head and nu is not null").dropDuplicates(key), key, ["user_id", "nu", "nq"])
+    fails = fails.join(found.withColumn("found", F.lit(True)), key, "left")
+    anchor = F.col("head") | F.coalesce("found", F.lit(False))
+    width = 4 * lim
+    own = F.floor(F.col("u") / width)
+    rows = (fails.withColumns({"anchor": anchor, "own": own}).withColumn("b", F.explode(F.array_compact(F.array(
+        F.col("own"), F.when(F.col("anchor") & (F.pmod("u", F.lit(width)) >= width - lim), F.col("own") + 1))))))
+    up = Window.partitionBy("user_id", "b").orderBy("u", "q").rowsBetween(Window.unboundedPreceding, 0)
+    rows = (rows.withColumn("of", F.last(F.when(F.col("anchor"), F.struct("u", "q")), ignorenulls=True).over(up))
+            .where((F.col("b") == F.col("own")) & (F.col("u") <= F.col("of.u") + lim)))
+    first = (F.col("u") == F.col("of.u")) & (F.col("q") == F.col("of.q"))
+    spans = rows.groupBy("user_id", "of").agg(
+        F.count(F.lit(1)).alias("fail_count"), F.max("u").alias("last"), F.max(F.when(first, F.col("dropped"))).alias("dropped"))
+    return spans.where((F.col("fail_count") >= min_fails) & ~F.col("dropped")).select(
+        "user_id", F.floor(F.col("of.u") / 1000).alias("first_fail_time"), F.floor(F.col("last") / 1000).alias("last_fail_time"),
+        "fail_count", F.format_string(msg.format(n="%d"), "fail_count").alias("warning_msg"))
 
 
 # --------------------------------------------------------------------- orders

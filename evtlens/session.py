@@ -73,6 +73,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, name)
 
 
+def cut_lineage(df, name: str):
+    """Write ``df`` as a table in the shared folder and read it back: a later job that
+    loses an executor reads the files instead of working it out again."""
+    import uuid
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -101,47 +101,68 @@ def test_topn_ties_by_id(spark):
     assert got == [(12, 1), (9, 2), (10, 3)]
 
 
-def test_fail_spans_equal_row_by_row_scan():
-    """The jumps give the spans of a scan row by row, however the rows are cut into batches."""
-    import random
+def _timer_row_by_row(rows, limit, least=2):
+    """rows (user, state, us, seq): warnings (user, first, last, count) by one pass over each user's rows."""
+    out = []
+    for user in {r[0] for r in rows}:
+        anchor, last, n = None, None, 0
+        for _, state, u, _ in sorted((r for r in rows if r[0] == user), key=lambda r: r[2:]):
+            if anchor is not None and u > anchor + limit:
+                if n >= least:
+                    out.append((user, anchor, last, n))
+                anchor, n = None, 0
+            if state != "fail":
+                anchor, n = None, 0                      # a success within the span cancels it
+            else:
+                if anchor is None:
+                    anchor = u
+                last, n = u, n + 1
+        if anchor is not None and n >= least:
+            out.append((user, anchor, last, n))
+    return sorted(out)
+
+
+def _timer(spark, rows, limit_ms):
+    df = spark.createDataFrame(rows, "user_id bigint, login_state string, u bigint, seq bigint").withColumn(
+        "ts", F.timestamp_micros("u")).drop("u").repartition(3)
+    return sorted((r.user_id, r.first_fail_time * 1000, r.last_fail_time * 1000, r.fail_count)
+                  for r in C.login_fail_timer(df, f"{limit_ms} milliseconds", 2).collect())
 
-    import pandas as pd
+
+def test_login_timer_equals_row_by_row_scan(spark):
+    import random
     rng = random.Random(4)
-    for _ in range(60):
-        rows, t = [], 0
-        for burst in range(rng.randint(1, 4)):
-            for _ in range(rng.randint(1, 12)):
-                t += rng.randint(0, 7)
-                rows.append((1, burst, "fail", t * 1000))
-            if rng.random() < 0.6:
-                t += rng.randint(0, 7)
-                rows.append((1, burst, "success", t * 1000))
-            t += 20
-        want, anchor, n, key = [], None, 0, None
-
-        def close():
-            if anchor is not None and n >= 2:
-                want.append((first // 1000, last // 1000, n))
-
-        for _, b, s, u in rows:
-            if b != key:
-                close()
-                key, anchor, n = b, None, 0
-            if s == "fail":
-                if anchor is not None and u <= anchor + 9000:
-                    last, n = u, n + 1
-                else:
-                    close()
-                    anchor = first = last = u
-                    n = 1
-            elif anchor is not None:
-                if u > anchor + 9000:
-                    close()
-                anchor, n = None, 0
-        close()
-        df = pd.DataFrame(rows, columns=["user_id", "burst", "login_state", "u"])
-        size = rng.randint(1, len(df))
-        parts = [df.iloc[i:i + size].reset_index(drop=True) for i in range(0, len(df), size)]
-        got = [tuple(r) for f in C._greedy_scan(9000, 2, "{n}")(iter(parts))
-               for r in f[["first_fail_time", "last_fail_time", "fail_count"]].itertuples(index=False)]
-        assert got == want
+    rows = []
+    for user in range(150):
+        t = 10_000 + rng.randint(0, 60)
+        for seq in range(rng.randint(1, 60)):
+            t += rng.choice([0, 0, 1, 2, 3, 5, 8, 9, 10, 30])
+            rows.append((user, "success" if rng.random() < 0.12 else "fail", t * 1000, seq))
+    want = _timer_row_by_row(rows, 9000)
+    assert len(want) > 200 and _timer(spark, rows, 9) == want
+
+
+def test_login_timer_one_user_in_one_endless_burst(spark):
+    """Half of all rows are one burst of one user: a chain of 1,500 anchors, marked by doubling."""
+    rows = [(7, "fail", (1_000_000 + 2 * i) * 1000, i) for i in range(6000)]
+    rows += [(100 + i % 500, "fail" if i % 3 else "success", (1_000_000 + 3 * i) * 1000, i) for i in range(6000)]
+    got = _timer(spark, rows, 7)
+    assert got == _timer_row_by_row(rows, 7000)
+    assert sum(g[0] == 7 for g in got) == 1500
+
+
+def test_jump_pointers_follow_chains(spark):
+    from evtlens.operators.jumps import reachable
+    pointers = [(c, i, i + 1 + (i % 3 == 0)) for c in range(5) for i in range(c * 30)]
+    df = spark.createDataFrame(pointers, "c int, i bigint, j bigint")
+    heads = spark.createDataFrame([(c, 0) for c in range(5)], "c int, i bigint")
+    want = set()
+    step = {(c, i): j for c, i, j in pointers}
+    for c in range(5):
+        at = (c, 0)
+        while at in step:
+            at = (c, step[at])
+            want.add(at)
+    got = reachable(df, heads, ["c", "i"], ["c", "j"]).collect()
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
+    assert reachable(df.limit(0), heads, ["c", "i"], ["c", "j"]).count() == 0

@@ -13,7 +13,8 @@ from evtlens.functions.hashing import poly_hash
 from evtlens.functions.predicates import is_behavior, is_method, not_behavior, not_static_asset
 from evtlens.operators.sequence import running_count
 from evtlens.functions.time import duration_us
-from evtlens.operators.windows import COUNT, pane_start, sliding_agg, tumbling_agg
+from evtlens.operators.rank import top_n_segments
+from evtlens.operators.windows import COUNT, count_segments, pane_start, sliding_agg, tumbling_agg
 
 
 def item_view_count(ub: DataFrame, size="1 hour", slide="5 minutes", behavior="pv",
@@ -41,6 +42,13 @@ def page_view_count(logs: DataFrame, size="10 minutes", slide="5 seconds", plan=
     return sliding_agg(hits, "ts", size, slide, ["url"], COUNT, plan=plan)
 
 
+def hot_pages(logs: DataFrame, size="10 minutes", slide="5 seconds", n: int = 3) -> DataFrame:
+    """T3 over A3: the n most requested pages per sliding window -> (url, window_end, cnt, row_num),
+    ranked on runs, so no row per page and window is made."""
+    hits = logs.where(is_method("GET") & not_static_asset("url"))
+    return top_n_segments(count_segments(hits, "ts", size, slide, ["url"]), n, slide, "url")
+
+
 def pv_total_simple(ub: DataFrame, size="1 hour", label="pv") -> DataFrame:
     """A4: pv per tumbling window -> (url=label, window_end, cnt)."""
     out = tumbling_agg(ub.where(is_behavior("pv")), "ts", size)

@@ -14,7 +14,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from evtlens.functions.time import format_window_end
+from evtlens.functions.time import duration_us, format_window_end
 
 # Report layout of the ranking jobs.
 REPORT_HEADER = "==================================="
@@ -32,6 +32,40 @@ def top_n(df: DataFrame, n: int = 5, partition: Sequence[str] = ("window_end",),
             .where(F.col(rank_col) <= n))
 
 
+def top_n_segments(runs: DataFrame, n: int, slide, id_col: str = "item_id", score: str = "cnt", rank_col: str = "row_num",
+                   block: int = 24, end_col: str = "window_end") -> DataFrame:
+    """T1/T3 on runs of constant value (:func:`evtlens.operators.windows.count_segments`) instead of a row
+    per id and window: the rows of :func:`top_n`, ties included.
+
+    Runs are cut at blocks of ``block`` window ends. An id that is present all through a block has there at least its
+    least value, so the n-th best of these (by value, then id) bounds the ranking of the block from below (a
+    threshold as in the threshold algorithm) and worse runs are dropped unexpanded. Between two ends at which
+    a run left starts or stops the ranking is constant, so it is made once for such a stretch and only its n
+    rows are expanded. The bound comes from a partial top-n; what a block keeps of the change points is at most ``block`` + 1
+    values, so no block with very many ids is one task before it is pruned."""
+    L = duration_us(slide)
+    W = block * L
+    first, last = F.floor(F.col("_lo") / W), F.floor((F.col("_hi") - 1) / W)
+    pieces = (runs.withColumn("_k", F.explode(F.sequence(first, last)))
+              .withColumns({"_lo": F.greatest("_lo", F.col("_k") * W), "_hi": F.least("_hi", (F.col("_k") + 1) * W)}))
+    whole = (pieces.groupBy("_k", id_col).agg(F.min(score).alias("_m"), F.sum(F.col("_hi") - F.col("_lo")).alias("_w"))
+             .where(F.col("_w") == W))
+    order = Window.partitionBy("_k").orderBy(F.col("_m").desc(), F.col(id_col).asc())
+    floor = (whole.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= n).where(F.col("_r") == n)
+             .select(F.col("_k").alias("_fk"), "_m", F.col(id_col).alias("_u")))
+    worse = (F.col(score) < F.col("_m")) | ((F.col(score) == F.col("_m")) & (F.col(id_col) > F.col("_u")))
+    left = (pieces.join(floor, F.col("_k") == F.col("_fk"), "left").where(~F.coalesce(worse, F.lit(False)))
+            .select("_k", id_col, score, "_lo", "_hi"))
+    points = F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.array("_lo", "_hi")))))
+    cuts = left.groupBy("_k").agg(points.alias("_p")).select(F.col("_k").alias("_ck"), F.arrays_zip(
+        F.slice("_p", F.lit(1), F.size("_p") - 1).alias("s"), F.slice("_p", F.lit(2), F.size("_p") - 1).alias("e")).alias("_c"))
+    spans = left.join(cuts, F.col("_k") == F.col("_ck")).select(id_col, score, F.explode(F.filter(
+        "_c", lambda x: (x["s"] >= F.col("_lo")) & (x["e"] <= F.col("_hi")))).alias("_x"))
+    top = top_n(spans, n, ["_x"], score, id_col, rank_col)
+    ends = F.sequence((F.col("_x.s") / 1000).cast("bigint"), ((F.col("_x.e") - L) / 1000).cast("bigint"), F.lit(L // 1000).cast("bigint"))
+    return top.select(id_col, F.explode(ends).alias(end_col), score, rank_col)
+
+
 def top_n_sql(spark, view: str, n: int = 5, id_col: str = "item_id") -> DataFrame:
     """The SQL form - ROW_NUMBER in a subquery, filtered outside."""
     return spark.sql(f"""

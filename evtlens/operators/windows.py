@@ -161,6 +161,14 @@ def runs_from_panes(panes: DataFrame, S: int, L: int, keys: list, names: list, c
                     end_col: str = "window_end", end_range: tuple | None = None) -> DataFrame:
     """Sliding sums from pane sums (columns keys, ``_p`` = pane start us, ``names``).
     ``end_range`` = (lo, hi] in us restricts the emitted window ends (stream roll-up)."""
+    live = run_segments(panes, S, L, keys, names, cnt_name, end_range)
+    return live.select(*keys, F.explode(_ms_sequence(F.col("_lo"), F.col("_hi") - F.lit(L), L)).alias(end_col), *names)
+
+
+def run_segments(panes: DataFrame, S: int, L: int, keys: list, names: list, cnt_name: str,
+                 end_range: tuple | None = None) -> DataFrame:
+    """The runs themselves: keys, names, and the window ends they hold for, ``_lo`` <= end < ``_hi`` (us).
+    Runs of a key don't overlap and each lies within one block of a window's size."""
     blk = ((F.col("_p") - F.pmod(F.col("_p"), F.lit(S))) / F.lit(S)).cast("bigint")
     # each pane feeds the window ends of its own block and of the next one
     copies = panes.select(*keys, "_p", *names, F.explode(F.array(blk, blk + 1)).alias("_b"))
@@ -180,7 +188,16 @@ def runs_from_panes(panes: DataFrame, S: int, L: int, keys: list, names: list, c
         lo = F.greatest(lo, F.lit(end_range[0] + L))
         hi = F.least(hi, F.lit(end_range[1] + L))
     live = runs.where((F.col(cnt_name) > 0) & (lo < hi))
-    return live.select(*keys, F.explode(_ms_sequence(lo, hi - F.lit(L), L)).alias(end_col), *names)
+    return live.select(*keys, *names, lo.alias("_lo"), hi.alias("_hi"))
+
+
+def count_segments(df: DataFrame, ts: str, size, slide, keys: list) -> DataFrame:
+    """Runs of the sliding row count, not yet expanded into windows: keys, cnt, ``_lo``, ``_hi``."""
+    S, L = duration_us(size), duration_us(slide)
+    if S % L:
+        raise ValueError("the runs plan needs size to be a multiple of slide")
+    panes = df.groupBy(*keys, pane_start(ts, L).alias("_p")).agg(F.count(F.lit(1)).alias("cnt"))
+    return run_segments(panes, S, L, list(keys), ["cnt"], "cnt")
 
 
 def sliding_sql(spark, view: str, ts: str, size: str, slide: str, keys: Sequence[str],

@@ -263,6 +263,28 @@ def build() -> dict[str, str]:
     q["late_events"] = with_(LOGS, _slices(), _late()) + "SELECT seq, u AS ts_us, is_late FROM late"
     q["allowed_lateness_update"] = with_(LOGS, _slices(), _late()) + _page_counts("late", " AND NOT is_late")
 
+    lt = P.LATE
+    before = "max(u) OVER (ORDER BY a, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    arrived = _slices().split(",\nsl AS")[0]
+    q["watermark_batch"] = with_(arrived) + f"SELECT event_id, {before} - {us(P.LATE_BOUND)} AS watermark_us FROM arr"
+    # the log's times are whole seconds, so what a row has seen is too
+    q["late_events_batch"] = with_(LOGS, arrived) + (
+        f"SELECT l.seq, l.u AS ts_us, COALESCE(l.u - l.u % {us(lt['slide'])} + {us(lt['size']) - 1000 + us(lt['lateness'])} <= "
+        f"x.seen - x.seen % 1000000 - {us(lt['bound'])}, false) AS is_late FROM logs l JOIN "
+        f"(SELECT event_id, {before} AS seen FROM arr) x ON x.event_id = l.seq")
+    r = P.REFIRE
+    S_r, L_r = us(r["size"]), us(r["slide"])
+    q["late_refire"] = with_(LOGS, _slices()) + f""",
+hits AS (SELECT slice, url, unnest(generate_series(l.u - l.u % {L_r} + {L_r}, l.u - l.u % {L_r} + {S_r}, {L_r})) // 1000 AS window_end
+    FROM logs l JOIN sl ON sl.event_id = l.seq
+    WHERE method = 'GET' AND NOT regexp_matches(url, '\\.(css|js|png|ico)$')),
+per AS (SELECT slice, url, window_end, count(*) AS n FROM hits GROUP BY ALL),
+run AS (SELECT *, sum(n) OVER (PARTITION BY url, window_end ORDER BY slice) AS cnt FROM per)
+SELECT slice, '+' AS kind, url, window_end, cnt::BIGINT AS cnt FROM run
+UNION ALL SELECT slice, '-', url, window_end, (cnt - n)::BIGINT FROM run WHERE cnt > n
+UNION ALL SELECT NULL, 'state', url, window_end, sum(n)::BIGINT FROM per GROUP BY url, window_end"""
+    q["late_refire"] = q["late_refire"].replace(")\n,\nhits AS", "),\nhits AS")
+
     # W
     q["tumbling_keyed"] = with_(UB) + tumbling("ub", ["behavior"], P.PV_WINDOW)
     q["tumbling_global"] = with_(UB) + tumbling("ub", [], P.PV_WINDOW)
@@ -392,7 +414,7 @@ UNION ALL SELECT order_id, 'payed but not found created log', 'order-timeout' FR
     q["sink_console"] = with_(UB) + (
         f"SELECT 'pv' AS label, count(DISTINCT u // {S_pv}) AS printed FROM ub WHERE {pv}")
     for name in ("province_ad_count", "login_fail_pairs", "cep_fail_next", "cep_fail_times3", "login_fail_timer",
-                 "hot_pages_topn", "ranking_report"):
+                 "hot_pages_topn", "ranking_report", "tx_interval_join", "tx_full_match", "cep_order_pay", "cep_order_timeout"):
         q[f"{name}_stream"] = q[name]
     q["topn_changelog_stream"] = q["hot_items_topn"]
     # event by event: the state of an order is (create, decided, reported), carried from row to row

@@ -27,5 +27,6 @@ SLICES = 3
 STREAM_BOUND = "48 hours"
 LATE_BOUND = "3 hours"
 LATE = dict(bound="1 second", size="10 minutes", slide="5 seconds", lateness="1 minute")
+#: Re-firing windows: rows up to two days late correct the counts.
+REFIRE = dict(size="10 minutes", slide="1 minute", bound="1 second", lateness="48 hours")
 ASC_BOUND = "0 seconds"
-LOGIN_BOUND = "3 seconds"

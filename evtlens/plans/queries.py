@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from evtlens.functions import (
@@ -19,6 +19,7 @@ from evtlens.operators import aggregates as A
 from evtlens.operators import joins as J
 from evtlens.operators import patterns as C
 from evtlens.operators import rank as T
+from evtlens.operators.lateness import late_split, with_watermark_column
 from evtlens.operators.windows import assign_windows, sliding_agg, sliding_sql, tumbling_agg
 from evtlens.functions.time import epoch_us
 from evtlens.plans import params as P
@@ -26,7 +27,7 @@ from evtlens.plans import streams
 from evtlens.sources import tables, text
 from evtlens.sources.kafka import decode_lines, encode_lines
 from evtlens.sources.schemas import USER_BEHAVIOR_CSV
-from evtlens.streaming import jobs, sinks, stateful
+from evtlens.streaming import jobs, sinks, stateful, store
 from evtlens.streaming.eventtime import drop_sentinel, with_event_time
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -279,6 +280,39 @@ def allowed_lateness_update(spark, sf):
     return A.page_view_count(_late(spark, sf)[0], P.HOT_PAGES["size"], P.HOT_PAGES["slide"])
 
 
+@query("late_events_batch")
+def late_events_batch(spark, sf):
+    """E4 over the whole log in order of arrival, row by row."""
+    ev = tables.table(spark, sf, "events")
+    logs = tables.log_records_from(ev.withColumn("ts", F.col("ts").cast("timestamp"))).join(
+        ev.select(F.col("event_id").alias("seq"), streams.late_arrival().alias("arrival")), "seq")
+    return late_split(logs, "arrival", "seq", **P.LATE).select("seq", F.unix_micros("ts").alias("ts_us"), "is_late")
+
+
+@query("watermark_batch")
+def watermark_batch(spark, sf):
+    """E1/E2 over the whole table: the watermark that each event meets on arrival."""
+    ev = tables.table(spark, sf, "events").withColumn("arrival", streams.late_arrival())
+    return with_watermark_column(ev, "arrival", "event_id", "ts", P.LATE_BOUND).select("event_id", "watermark_us")
+
+
+@query("late_refire")
+def late_refire(spark, sf):
+    """Page counts in update mode behind bound + lateness. Late rows fire their windows again;
+    the log of the corrections (kind '+', '-') and the table they leave (kind 'state')."""
+    path = streams.folder(spark, "refire")
+    r = P.REFIRE
+    slices = streams.events(spark, sf)[:-1]
+    streams.each_batch(spark, slices, lambda ev: jobs.page_view_count_stream(
+        tables.log_records_from(ev), r["size"], r["slide"], r["bound"], r["lateness"]), store.refire(path, ["url", "window_end"]), "update")
+    log = spark.read.parquet(f"{path}/log")
+    # firings in order: Spark numbers batches without data too
+    order = log.select("batch").distinct().withColumn("slice", F.row_number().over(Window.orderBy("batch")).cast("long") - 1)
+    log = log.join(order, "batch").select("slice", F.col("op").alias("kind"), "url", "window_end", "cnt")
+    state = store.KeyedStore(f"{path}/state", ["url", "window_end"]).read(spark)
+    return log.unionByName(state.select(F.lit(None).cast("long").alias("slice"), F.lit("state").alias("kind"), "url", "window_end", "cnt"))
+
+
 # ------------------------------------------------------------------ W: windows
 
 @query("tumbling_keyed")
@@ -417,8 +451,7 @@ def hot_items_topn_sql(spark, sf):
 
 @query("hot_pages_topn")
 def hot_pages_topn(spark, sf):
-    counts = A.page_view_count(tables.apache_log(spark, sf, "GET"), P.HOT_PAGES["size"], P.HOT_PAGES["slide"])
-    return T.top_n(counts, P.HOT_PAGES["n"], id_col="url")
+    return A.hot_pages(tables.apache_log(spark, sf, "GET"), P.HOT_PAGES["size"], P.HOT_PAGES["slide"], P.HOT_PAGES["n"])
 
 
 @query("topn_changelog")
@@ -609,3 +642,56 @@ def hot_pages_topn_stream(spark, sf):
     streams.each_batch(spark, slices, lambda ev: jobs.page_view_pane_stream(
         tables.log_records_from(ev), P.HOT_PAGES["slide"], P.STREAM_BOUND, P.LATE["lateness"]), write)
     return sinks.read_top(spark, f"{path}/ranked", id_col="url").select("url", "window_end", "cnt", "row_num")
+
+
+# ------------------------------------------------------------------ stream-stream joins
+
+def _both_kinds(spark, sf):
+    """Slices of the events, then a sentinel purchase and click (days apart, so they don't match)
+    that lift both watermarks, and others that let the join give up what waits."""
+    ev = tables.table(spark, sf, "events")
+    far = [(streams.sentinel(spark, ev, later=d, event_id=-d, user_id=-1, event_type="purchase", value=0.0, props='{"k": 0}')
+            .unionByName(streams.sentinel(spark, ev, later=d + 4, event_id=-d - 1, user_id=-1, event_type="click", value=0.0, props='{"k": 0}')))
+           for d in (0, 20)]
+    return [*streams.cut(ev, streams.late_arrival()), *far]
+
+
+def _tx_stream(spark, sf, how):
+    out = streams.to_table(spark, _both_kinds(spark, sf), lambda ev: jobs.tx_match_stream(
+        tables.pays_from(ev.where(F.col("event_type") == "purchase")), tables.receipts_from(ev.where(F.col("event_type") == "click")),
+        P.TX["lower"], P.TX["upper"], how, P.STREAM_BOUND), f"tx-{how}")
+    return out.where(F.col("tx_id") != "-1")
+
+
+@query("tx_interval_join_stream")
+def tx_interval_join_stream(spark, sf):
+    """J1 as a stream-stream join under two watermarks; a tenth of either side comes up to two days late."""
+    return _tx_stream(spark, sf, "inner")
+
+
+@query("tx_full_match_stream")
+def tx_full_match_stream(spark, sf):
+    """The same with both unmatched sides, given up when the watermark has passed their interval."""
+    return _tx_stream(spark, sf, "full_outer")
+
+
+def _cep_orders(spark, sf, route):
+    ev = tables.order_events(spark, sf).select("order_id", "event_type", "ts")
+    late = F.when(F.col("order_id") % 10 == 0, F.when(F.col("event_type") == "create", 36).otherwise(24)).otherwise(0)
+    far = [(streams.sentinel(spark, ev, later=d, order_id=-d - 1, event_type="create")
+            .unionByName(streams.sentinel(spark, ev, later=d + 1, order_id=-d - 2, event_type="pay"))) for d in (0, 400)]
+    slices = [*streams.cut(ev, epoch_us("ts") + late.cast("long") * streams.HOUR_US), *far]
+    out = streams.to_table(spark, slices, lambda x: jobs.cep_order_stream(x, P.ORDER_WITHIN, P.STREAM_BOUND), f"cep-{route}")
+    return out.where((F.col("order_id") >= 0) & (F.col("route") == route)).drop("route")
+
+
+@query("cep_order_pay_stream")
+def cep_order_pay_stream(spark, sf):
+    """C5 as a stream-stream join of creates and pays, some of them out of order."""
+    return _cep_orders(spark, sf, "main")
+
+
+@query("cep_order_timeout_stream")
+def cep_order_timeout_stream(spark, sf):
+    """Creates whose time runs out in the stream."""
+    return _cep_orders(spark, sf, "order-timeout")

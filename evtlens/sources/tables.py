@@ -189,14 +189,22 @@ def order_lines(spark, sf_dir) -> DataFrame:
 
 def pays(spark, sf_dir) -> DataFrame:
     """Pay events for transaction matching: 'purchase' events, tx id = user id."""
-    ev = _events(spark, sf_dir, "purchase")
+    return pays_from(_events(spark, sf_dir, "purchase"))
+
+
+def pays_from(ev: DataFrame) -> DataFrame:
+    """The pay mapping over purchase events (batch or stream)."""
     return ev.select(F.col("event_id").alias("order_id"), F.lit("pay").alias("event_type"),
-                     F.col("user_id").cast("string").alias("tx_id"), "ts")
+                     F.col("user_id").cast("string").alias("tx_id"), F.col("ts").cast("timestamp").alias("ts"))
 
 
 def receipts(spark, sf_dir) -> DataFrame:
     """Receipt events: 'click' events, tx id = user id, channel by k % 2."""
-    ev = _events(spark, sf_dir, "click")
+    return receipts_from(_events(spark, sf_dir, "click"))
+
+
+def receipts_from(ev: DataFrame) -> DataFrame:
+    """The receipt mapping over click events (batch or stream)."""
     return ev.select(F.col("user_id").cast("string").alias("tx_id"),
                      F.when(_k() % 2 == 0, "alipay").otherwise("wechat").alias("pay_channel"),
-                     "ts", F.col("event_id").alias("seq"))
+                     F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("seq"))

@@ -45,7 +45,8 @@ def written(df: DataFrame, tag: str) -> DataFrame:
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Arrow batches of whole texts: fewer rows than Spark's default, unless the session has
-    a setting of its own."""
+    a setting of its own; their bytes are bounded by ``spark.sql.execution.arrow.maxBytesPerBatch`` (64 MB unless set). The
+    setting stays, as it is read when the result is computed, after the operator has returned."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if spark.conf.get(name, "10000") == "10000":
         spark.conf.set(name, str(rows))

@@ -10,9 +10,10 @@ A text is compressed in independent blocks of ``block`` bytes, so that the dicti
 counts all through a long text and not only until the text has taught the compressor its
 own words.
 
-Training takes, for each language, the ``sample_docs`` texts with the least hash (a
-bounded, seeded sample, the documented bound of the classifier) up to ``dict_bytes`` in
-all, an eighth of that from each; whole texts are classified. Only text and label are read.
+Training takes, for each of the ``max_languages`` most frequent languages, the ``sample_docs`` texts
+with a letter that have the least hash (a bounded, seeded sample, the documented bound of the classifier) up to
+``dict_bytes`` in all; a text longer than an eighth of that gives a stretch of that length
+from a place that its hash names. Short texts count like others. Whole texts are classified. Only text and label are read.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0; ties go
 to the language with more labelled texts, then the first by code point; with no labelled text all are ``und``; documents
@@ -39,20 +40,30 @@ def letters(text: str) -> bytes:
 
 
 def train(labelled: DataFrame, *, text: str = "text", lang: str = "lang", sample_docs: int = 256,
-          dict_bytes: int = 98_304, min_chars: int = 20) -> dict[str, bytes]:
-    """language -> dictionary content, most frequent language first. The sample is taken by a per-task top-k before the
-    shuffle, so a frequent language sends no more than others."""
-    usable = labelled.where(F.col(lang).isNotNull() & (F.char_length(text) >= min_chars)).select(
-        F.col(lang).alias("lang"), F.col(text).alias("text"), F.md5(F.col(text)).alias("draw"))
+          dict_bytes: int = 98_304, max_languages: int = 256) -> dict[str, bytes]:
+    """language -> dictionary content, most frequent language first. Texts are drawn by hash: a threshold from the
+    language's approximate number of different texts leaves some ``4 x sample_docs`` of each before anything is
+    gathered by language, so a frequent language sends no more than others, however many tasks there are."""
+    cap = dict_bytes // 8
+    usable = labelled.where(F.col(lang).isNotNull() & F.regexp_like(text, F.lit(r"\p{L}"))).select(
+        F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.lit(5), F.col(text)).alias("draw"))
+    often = (usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("draw", 0.05).alias("d"))
+             .orderBy(F.col("n").desc(), "lang").limit(max_languages).collect())
+    if not often:
+        return {}
+    spark = labelled.sparkSession
+    cuts = spark.createDataFrame([(r["lang"], (1 << 63) - 1 if r["d"] <= 4 * sample_docs else
+                                   int((1 << 64) * (4 * sample_docs / r["d"])) - (1 << 63)) for r in often], "lang string, cut long")
+    near = usable.join(F.broadcast(cuts), "lang").where(F.col("draw") <= F.col("cut"))       # max_languages rows
     order = Window.partitionBy("lang").orderBy("draw")
-    keys = (usable.select("lang", "draw").distinct()
+    keys = (near.select("lang", "draw").distinct()
             .withColumn("r", F.row_number().over(order)).where(F.col("r") <= sample_docs).drop("r"))
-    picked = (usable.join(F.broadcast(keys), ["lang", "draw"])       # sample_docs rows a language
-              .groupBy("lang", "draw").agg(F.min(F.substring("text", 1, dict_bytes // 8)).alias("text"))
-              .orderBy("lang", "draw").collect())
-    often = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
-    out = dict.fromkeys(sorted(often, key=lambda k: (-often[k], k)), b"")
-    for r in picked:                              # sample_docs texts a language at most
+    n = F.char_length("text")
+    piece = F.when(n <= cap, F.col("text")).otherwise(F.substring("text", (F.lit(1) + F.pmod("draw", n - cap)).cast("int"), F.lit(cap)))
+    picked = (near.join(F.broadcast(keys), ["lang", "draw"])       # sample_docs rows a language
+              .groupBy("lang", "draw").agg(F.min(piece).alias("text")).orderBy("lang", "draw").collect())
+    out = dict.fromkeys([r["lang"] for r in often], b"")
+    for r in picked:                              # sample_docs pieces a language at most
         have = out[r["lang"]]
         if len(have) < dict_bytes:
             out[r["lang"]] = (have + letters(r["text"]) + b" ")[:dict_bytes]

@@ -134,6 +134,25 @@ def test_language(spark):
     assert {r["lang_pred"] for r in language.classify(df, {}).collect()} == {"und"}
 
 
+def test_language_equals_plain_version_and_learns_short_texts(spark, docs, rows):
+    d = language.train(docs)
+    got = {r["doc_id"]: (r["lang_pred"], r["rejected"]) for r in language.classify(docs, d).collect()}
+    assert got == {i: brute.op5(t, d) for i, t, *_ in rows}
+    few = spark.createDataFrame([(i, "ja ja nein", "de") for i in range(3)] + [(9, "yes yes no", "en"), (10, "ß", "xx")] +
+                                [(11, "z" * 40_000 + "q" * 40_000, "long")], "doc_id long, text string, lang string")
+    learned = language.train(few)
+    assert list(learned) == ["de", "en", "long", "xx"] and learned["xx"] == "ß ".encode()
+    assert 12_000 < len(learned["long"]) < 12_300
+    assert list(language.train(few, max_languages=2)) == ["de", "en"]
+
+
+def test_language_draws_from_a_hot_language(spark):
+    df = spark.range(30_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("wort "), F.col("id").cast("string"), F.lit(" haus")).alias("text"),
+                                    F.when(F.col("id") % 100 == 0, "fr").otherwise("de").alias("lang"))
+    d = language.train(df, sample_docs=64)
+    assert d["de"].count(b"wort") == 64 and d["fr"].count(b"wort") == 64
+
+
 def test_language_odd_input(odd_docs, no_docs):
     d = language.train(odd_docs)
     assert language.classify(odd_docs, d).count() == odd_docs.count()

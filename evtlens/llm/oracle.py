@@ -121,7 +121,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     (n_words < {min_words} OR 100 * n_repeat_words > {percent} * n_words) AS base_failed,
     NOT (n_words < {min_words} OR 100 * n_repeat_words > {percent} * n_words)
     AND NOT coalesce(length(t) >= {min_chars} AND cd > {max_class}, false)
-    AND NOT coalesce(n_words >= {min_judged} AND wd > {max_word}, false) AS kept
+    AND NOT coalesce(n_words >= {min_judged} AND lang IS NOT NULL AND wd > {max_word}, false) AS kept
 FROM feat LEFT JOIN class_near USING (id) LEFT JOIN word_near USING (id)"""
 
 

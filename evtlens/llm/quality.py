@@ -42,6 +42,7 @@ COMMON_WORDS = {
     "es": "de la que el en y a los se del las un por con no una su para es al".split(),
     "fr": "de la le et les des en un du une que est pour qui dans a par plus pas au".split(),
 }
+MANY_LABELS = 10_000
 OWN_WORDS = 20
 VOCABULARY = sorted({w for words in COMMON_WORDS.values() for w in words})
 CLASSES = ["lower", "upper", "letter", "digit", "space", "punct", "other"]
@@ -112,32 +113,25 @@ def counts(docs: DataFrame, text: str = "text") -> DataFrame:
     })
 
 
-def own_words(docs: DataFrame, *, text: str = "text", lang: str = "lang", min_words: int = 50) -> dict[str, list[str]]:
-    """The common words of each label that COMMON_WORDS lacks: those with the largest mean share."""
+def own_words(docs: DataFrame, *, text: str = "text", lang: str = "lang", min_words: int = 50) -> DataFrame:
+    """The common words of each label that COMMON_WORDS lacks, those with the largest mean share: (__q_of, __q_mine,
+    an array of OWN_WORDS at most)."""
     df = docs.where(~F.col(lang).isin(sorted(COMMON_WORDS))).select(       # no null labels either
-        F.col(lang).alias("lang"), F.regexp_extract_all(text_of(text), F.lit(WORD), F.lit(0)).alias("words"))
+        F.col(lang).alias("__q_of"), F.regexp_extract_all(text_of(text), F.lit(WORD), F.lit(0)).alias("words"))
     each = (df.where(F.size("words") >= min_words)
-            .select("lang", (F.lit(1.0) / F.size("words")).alias("share"), F.explode("words").alias("word"))
-            .groupBy("lang", "word").agg(F.sum("share").alias("share")))
-    order = Window.partitionBy("lang").orderBy(F.round("share", 6).desc(), "word")
-    rows = each.withColumn("i", F.row_number().over(order)).where(F.col("i") <= OWN_WORDS).collect()
-    out: dict[str, list[str]] = {}
-    for r in sorted(rows, key=lambda r: (r["lang"], r["i"])):         # labels x OWN_WORDS at most
-        out.setdefault(r["lang"], []).append(r["word"])
-    return out
+            .select("__q_of", (F.lit(1.0) / F.size("words")).alias("share"), F.explode("words").alias("word"))
+            .groupBy("__q_of", "word").agg(F.sum("share").alias("share")))
+    order = Window.partitionBy("__q_of").orderBy(F.round("share", 6).desc(), "word")
+    rows = each.withColumn("i", F.row_number().over(order)).where(F.col("i") <= OWN_WORDS)
+    return rows.groupBy("__q_of").agg(F.sort_array(F.collect_list("word")).alias("__q_mine"))
 
 
-def _label_map(values: dict[str, Column]) -> Column:
-    return F.create_map(*[x for k in sorted(values) for x in (F.lit(k), values[k])])
-
-
-def histograms(docs: DataFrame, text: str = "text", *, lang: str = "lang",
-               own: dict[str, list[str]] | None = None) -> DataFrame:
+def histograms(docs: DataFrame, text: str = "text", *, lang: str = "lang", own: DataFrame | None = None) -> DataFrame:
     """Adds ``__q_chars``, ``__q_classes`` (shares by class, in the order of CLASSES) and
     ``__q_common`` (array of word and share; the words of VOCABULARY that occur), and with
-    ``own`` words of other labels ``__q_own``, the same of the own label's words."""
+    ``own`` (:func:`own_words`, joined by label) ``__q_own``, the same of the own label's words."""
     body = text_of(text)
-    df = docs
+    df = docs if own is None else docs.join(own, F.col(lang) == F.col("__q_of"), "left").drop("__q_of")
     if "__q_words" not in df.columns:
         df = df.withColumn("__q_words", F.regexp_extract_all(body, F.lit(WORD), F.lit(0)))
     rest, n = body, F.char_length(body)
@@ -151,9 +145,9 @@ def histograms(docs: DataFrame, text: str = "text", *, lang: str = "lang",
     size = {name: F.col(f"__q_l{i}") - F.col(f"__q_l{i + 1}") for i, (name, _) in enumerate(steps)}
     size["other"] = F.col(f"__q_l{len(steps)}")
     hits = {"__q_hits": F.sort_array(F.filter("__q_words", lambda w: w.isin(VOCABULARY)))}
-    if own:
-        mine = F.element_at(_label_map({k: F.array(*[F.lit(w) for w in v]) for k, v in own.items()}), F.col(lang))
-        hits["__q_own_hits"] = F.sort_array(F.filter("__q_words", lambda w: F.array_contains(mine, w)))
+    if own is not None:
+        hits["__q_own_hits"] = F.when(F.col("__q_mine").isNotNull(), F.sort_array(
+            F.filter("__q_words", lambda w: F.array_contains("__q_mine", w))))
     df = df.withColumns({
         "__q_chars": F.col("__q_l0"),
         "__q_classes": F.array(*[size[c] / F.greatest(F.col("__q_l0"), F.lit(1)) for c in CLASSES]),
@@ -170,29 +164,47 @@ def histograms(docs: DataFrame, text: str = "text", *, lang: str = "lang",
                                   / F.col("__q_n")).alias("share"))))
         return _let(F.array_distinct(h), of)
 
-    if own:
-        df = df.withColumn("__q_own", shares(F.col("__q_own_hits")))
+    if own is not None:
+        df = df.withColumn("__q_own", F.when(F.col("__q_own_hits").isNotNull(), shares(F.col("__q_own_hits"))))
     return df.withColumn("__q_common", shares(F.col("__q_hits"))).drop(
         *[f"__q_l{i}" for i in range(len(steps) + 1)], *[f"__q_r{i + 1}" for i in range(len(steps))])
 
 
-def references(features: DataFrame, *, lang: str = "lang", min_words: int = 50,
-               labels: list[str] | None = None, common: str = "__q_common") -> dict[str, dict[str, float]]:
-    """Mean histograms of each language in ``labels`` (COMMON_WORDS) over all its documents."""
-    df = features.where(F.col(lang).isin(sorted(labels or COMMON_WORDS)) & (F.col("__q_n_words") >= min_words))
+def _entries(features: DataFrame, of: Column, common: str, min_words: int) -> DataFrame:
+    """Sums of the class and word shares of each label's documents that are long enough: __q_of, key, s."""
     entries = F.concat(
         F.array(*[F.struct(F.lit(f"c:{c}").alias("key"), F.get("__q_classes", F.lit(i)).alias("share"))
                   for i, c in enumerate(CLASSES)], F.struct(F.lit("n").alias("key"), F.lit(1.0).alias("share"))),
         F.transform(common, lambda x: F.struct(F.concat(F.lit("w:"), x["word"]).alias("key"),
-                                                     x["share"].alias("share"))))
-    rows = (df.select(F.col(lang).alias("__q_lang"), F.explode(entries).alias("e"))
-            .groupBy("__q_lang", "e.key").agg(F.sum("e.share").alias("s")).collect())
+                                               x["share"].alias("share"))))
+    return (features.where(of & (F.col("__q_n_words") >= min_words))
+            .select(F.col("__q_lang").alias("__q_of"), F.explode(entries).alias("e"))
+            .groupBy("__q_of", "e.key").agg(F.sum("e.share").alias("s")))
+
+
+def references(features: DataFrame, *, min_words: int = 50) -> dict[str, dict[str, float]]:
+    """Mean histograms of the languages in COMMON_WORDS, each over all its documents."""
+    rows = _entries(features, F.col("__q_lang").isin(sorted(COMMON_WORDS)), "__q_common", min_words).collect()
     out: dict[str, dict[str, float]] = {}
-    for r in rows:         # languages x (classes + vocabulary) numbers at most
+    for r in rows:         # four languages x (classes + vocabulary) numbers at most
         out.setdefault(r[0], {})[r["key"]] = r["s"]
     return {k: {x: round(v / d["n"], 6) for x, v in d.items() if x != "n"} for k, d in out.items()}
 
 
+def own_references(features: DataFrame, *, min_words: int = 50) -> DataFrame:
+    """The same of every other label, as a table: __q_of, __q_ref_classes (in the order of CLASSES) and
+    __q_ref_words (word, share; OWN_WORDS at most)."""
+    sums = _entries(features, F.col("__q_own").isNotNull(), "__q_own", min_words)
+    n = F.max(F.when(F.col("key") == "n", F.col("s")))
+    word = F.when(F.col("key").startswith("w:") & (F.col("s") > 0), F.struct(F.substring("key", 3, 1 << 30).alias("word"), F.col("s").alias("share")))
+    found = sums.groupBy("__q_of").agg(
+        n.alias("n"), F.sort_array(F.collect_list(word)).alias("words"),
+        *[F.coalesce(F.max(F.when(F.col("key") == f"c:{c}", F.col("s"))), F.lit(0.0)).alias(f"c_{c}") for c in CLASSES])
+    return found.select(
+        "__q_of", F.array(*[F.round(F.col(f"c_{c}") / F.col("n"), 6) for c in CLASSES]).alias("__q_ref_classes"),
+        F.transform("words", lambda x: F.struct(x["word"].alias("word"), F.round(x["share"] / F.col("n"), 6).alias("share"))).alias("__q_ref_words"))
+
+
 def _term(p, q):
     """What one bin adds to twice the divergence."""
     def part(x, y):
@@ -225,20 +237,16 @@ def _word_distance(ref: dict[str, float]) -> Column:
     return F.aggregate("__q_common", state, add, close)
 
 
-def _own_class_distance(refs: dict[str, dict[str, float]], lang: str) -> Column:
+def _own_class_distance() -> Column:
     """Distance to the reference of the own label; null where it has none."""
-    mine = F.element_at(_label_map({k: F.array(*[F.lit(float(r.get(f"c:{c}", 0.0))) for c in CLASSES])
-                                    for k, r in refs.items()}), F.col(lang))
+    mine = F.col("__q_ref_classes")
     terms = [_term(F.get("__q_classes", F.lit(i)), F.get(mine, F.lit(i))) for i in range(len(CLASSES))]
     return F.when(mine.isNotNull(), F.sqrt(F.greatest(sum(terms[1:], terms[0]) / 2, F.lit(0.0))))
 
 
-def _own_word_distance(refs: dict[str, dict[str, float]], lang: str) -> Column:
+def _own_word_distance() -> Column:
     """Distance to the reference of the own label; null where it has none."""
-    words = {k: sorted((x[2:], v) for x, v in r.items() if x.startswith("w:") and v > 0) for k, r in refs.items()}
-    mine = F.element_at(_label_map({k: F.array(*[F.struct(F.lit(w).alias("word"), F.lit(float(v)).alias("share"))
-                                                 for w, v in kv]).cast("array<struct<word:string,share:double>>")
-                                    for k, kv in words.items()}), F.col(lang))
+    mine = F.col("__q_ref_words")
 
     def share(entries, word):
         return F.coalesce(F.get(F.filter(entries, lambda x: x["word"] == word), F.lit(0))["share"], F.lit(0.0))
@@ -262,24 +270,30 @@ def judged(docs: DataFrame, *, text: str = "text", lang: str = "lang", carry: li
     words): the features go to a table in the shared folder with the carried columns, the
     references are summed from it, and the verdict is a projection of it."""
     carry = [c for c in (carry or docs.columns) if c not in ADDED]
-    own = own_words(docs, text=text, lang=lang, min_words=min_words)
-    df = histograms(counts(docs, text), text, lang=lang, own=own)
-    feats = written(df.select(*carry, F.col(lang).alias("__q_lang"), "__q_chars", "__q_classes", "__q_common",
-                              *(["__q_own"] if own else []), *[f"__q_{c}" for c in COUNTS]), "quality")
-    refs = references(feats, lang="__q_lang", min_words=min_words)
-    more = references(feats, lang="__q_lang", min_words=min_words, labels=sorted(own), common="__q_own") if own else {}
-    none = F.lit(None).cast("double")
+    own = written(own_words(docs, text=text, lang=lang, min_words=min_words), "quality-words")
+    labels = own.count()          # a label is a row of OWN_WORDS words; beyond MANY_LABELS it is a shuffle join
+    few = F.broadcast if labels <= MANY_LABELS else (lambda x: x)
+    df = histograms(counts(docs, text), text, lang=lang, own=few(own) if labels else None)
+    if not labels:
+        df = df.withColumn("__q_own", F.lit(None).cast("array<struct<word:string,share:double>>"))
+    feats = written(df.select(*carry, F.col(lang).alias("__q_lang"), "__q_chars", "__q_classes", "__q_common", "__q_own",
+                              *[f"__q_{c}" for c in COUNTS]), "quality")
+    refs = references(feats, min_words=min_words)
+    if labels:
+        feats = feats.join(few(own_references(feats, min_words=min_words)), F.col("__q_lang") == F.col("__q_of"), "left")
+    else:
+        feats = feats.withColumns({"__q_ref_classes": F.lit(None).cast("array<double>"),
+                                   "__q_ref_words": F.lit(None).cast("array<struct<word:string,share:double>>")})
 
     def pick(distance, own_distance):
-        each = [distance(refs[k]) for k in sorted(refs)] + ([own_distance(more, "__q_lang")] if more else [])
-        return F.array_min(F.array(*each)) if each else none
+        return F.array_min(F.array(*[distance(refs[k]) for k in sorted(refs)], own_distance))
 
     failed = ((F.col("__q_n_words") < min_words)
               | (100 * F.col("__q_n_repeat_words") > max_repeat_percent * F.col("__q_n_words")))
     feats = feats.withColumns({
-        "__q_class": F.when(F.col("__q_chars") >= min_chars, pick(_class_distance, _own_class_distance)),
+        "__q_class": F.when(F.col("__q_chars") >= min_chars, pick(_class_distance, _own_class_distance())),
         "__q_word": F.when((F.col("__q_n_words") >= min_words_judged) & F.col("__q_lang").isNotNull(),
-                           pick(_word_distance, _own_word_distance)),
+                           pick(_word_distance, _own_word_distance())),
     })
     far = (F.coalesce(F.col("__q_class") > max_class_distance, F.lit(False))
            | F.coalesce(F.col("__q_word") > max_word_distance, F.lit(False)))

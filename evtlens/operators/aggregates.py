@@ -13,6 +13,7 @@ from evtlens.functions.hashing import poly_hash
 from evtlens.functions.predicates import is_behavior, is_method, not_behavior, not_static_asset
 from evtlens.operators.sequence import running_count
 from evtlens.functions.time import duration_us
+from evtlens.operators.distinct import pane_sketches, windows_of_sketches
 from evtlens.operators.rank import top_n_segments
 from evtlens.operators.windows import COUNT, count_segments, pane_start, sliding_agg, tumbling_agg
 
@@ -97,12 +98,11 @@ def uv_bitmap(ub: DataFrame, size="1 hour", seed=61, bits=29, label="uv") -> Dat
             .select(F.lit(label).alias("url"), "window_end", "cnt"))
 
 
-def uv_approx(ub: DataFrame, size="1 hour", rsd: float = 0.01, label="uv") -> DataFrame:
-    """Mergeable HyperLogLog++ sketch per window (works on streams as well)."""
-    pv = ub.where(is_behavior("pv"))
-    return (pv.groupBy(_hour_end(size).alias("window_end"))
-            .agg(F.approx_count_distinct("user_id", rsd).cast("bigint").alias("cnt"))
-            .select(F.lit(label).alias("url"), "window_end", "cnt"))
+def uv_approx(ub: DataFrame, size="1 hour", slide=None, pane="5 minutes", rsd: float = 0.01, label="uv") -> DataFrame:
+    """Distinct users per tumbling or sliding window from mergeable pane sketches
+    (:mod:`evtlens.operators.distinct`) -> (url='uv', window_end, cnt)."""
+    panes = pane_sketches(ub.where(is_behavior("pv")), "user_id", pane, (), rsd)
+    return windows_of_sketches(panes, size, slide, pane).select(F.lit(label).alias("url"), "window_end", "cnt")
 
 
 def uv_running(ub: DataFrame, size="1 hour", seed=61, bits=29, split="1 second") -> DataFrame:

@@ -44,6 +44,14 @@ def top_n_segments(runs: DataFrame, n: int, slide, id_col: str = "item_id", scor
     rows are expanded. The bound comes from a partial top-n; what a block keeps of the change points is at most ``block`` + 1
     values, so no block with very many ids is one task before it is pruned."""
     L = duration_us(slide)
+    top = top_n(ranked_spans(runs, n, slide, id_col, score, block), n, ["_x"], score, id_col, rank_col)
+    ends = F.sequence((F.col("_x.s") / 1000).cast("bigint"), ((F.col("_x.e") - L) / 1000).cast("bigint"), F.lit(L // 1000).cast("bigint"))
+    return top.select(id_col, F.explode(ends).alias(end_col), score, rank_col)
+
+
+def ranked_spans(runs: DataFrame, n: int, slide, id_col: str, score: str = "cnt", block: int = 24) -> DataFrame:
+    """What :func:`top_n_segments` ranks: (id, score, stretch of window ends ``_x``) that may be among the best n."""
+    L = duration_us(slide)
     W = block * L
     first, last = F.floor(F.col("_lo") / W), F.floor((F.col("_hi") - 1) / W)
     pieces = (runs.withColumn("_k", F.explode(F.sequence(first, last)))
@@ -59,11 +67,8 @@ def top_n_segments(runs: DataFrame, n: int, slide, id_col: str = "item_id", scor
     points = F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.array("_lo", "_hi")))))
     cuts = left.groupBy("_k").agg(points.alias("_p")).select(F.col("_k").alias("_ck"), F.arrays_zip(
         F.slice("_p", F.lit(1), F.size("_p") - 1).alias("s"), F.slice("_p", F.lit(2), F.size("_p") - 1).alias("e")).alias("_c"))
-    spans = left.join(cuts, F.col("_k") == F.col("_ck")).select(id_col, score, F.explode(F.filter(
+    return left.join(cuts, F.col("_k") == F.col("_ck")).select(id_col, score, F.explode(F.filter(
         "_c", lambda x: (x["s"] >= F.col("_lo")) & (x["e"] <= F.col("_hi")))).alias("_x"))
-    top = top_n(spans, n, ["_x"], score, id_col, rank_col)
-    ends = F.sequence((F.col("_x.s") / 1000).cast("bigint"), ((F.col("_x.e") - L) / 1000).cast("bigint"), F.lit(L // 1000).cast("bigint"))
-    return top.select(id_col, F.explode(ends).alias(end_col), score, rank_col)
 
 
 def top_n_sql(spark, view: str, n: int = 5, id_col: str = "item_id") -> DataFrame:

@@ -2,8 +2,8 @@
 
 The record mappings mirror :mod:`evtlens.sources.tables`; ``u`` is event time in
 epoch microseconds. Sliding windows are ``unnest(generate_series(first_end,
-last_end, slide))``. Greedy/iterative operators use a recursive CTE; the sketch
-(``uv_approx``) has no exact oracle.
+last_end, slide))``. Greedy/iterative operators use a recursive CTE; the sketches
+(``uv_approx``) are exact for as few visitors as the test tables have in an hour.
 """
 
 from __future__ import annotations
@@ -311,9 +311,14 @@ UNION ALL SELECT NULL, 'state', url, window_end, sum(n)::BIGINT FROM per GROUP B
     q["uv_bitmap"] = with_(UB) + (
         f"SELECT 'uv' AS url, (u - u % {S_pv} + {S_pv}) // 1000 AS window_end, "
         f"count(DISTINCT {HASH.format(c='user_id')}) AS cnt FROM ub WHERE {pv} GROUP BY 2")
-    q["uv_approx"] = with_(UB) + (
-        f"SELECT 'uv' AS url, (u - u % {S_pv} + {S_pv}) // 1000 AS window_end, count(DISTINCT user_id) AS cnt, "
-        f"true AS within FROM ub WHERE {pv} GROUP BY 2")
+    q["uv_approx"] = q["uv_approx_stream"] = q["uv_exact"]
+    q["uv_bitmap_stream"] = q["uv_bitmap"]
+    q["uv_bitmap_rows"] = with_(UB, _uv_running()) + (
+        "SELECT window_end, CASE WHEN bit > 0 THEN 1 + (bit - 1) // 32768 ELSE 0 END AS bucket, count(*)::BIGINT AS n_bits "
+        "FROM firsts2 GROUP BY ALL").replace("firsts2", "(SELECT DISTINCT window_end, bit FROM firsts)")
+    q["uv_approx_sliding"] = with_(UB) + (
+        f"SELECT 'uv' AS url, window_end, count(DISTINCT user_id) AS cnt FROM (SELECT user_id, unnest(generate_series("
+        f"u - u % {L5} + {L5}, u - u % {L5} + {S1}, {L5})) // 1000 AS window_end FROM ub WHERE {pv}) GROUP BY ALL")
     q["uv_running"] = with_(UB, _uv_running()) + "SELECT window_end, bit, first_ts, cnt FROM runs"
     q["channel_behavior_count"] = with_(MK) + sliding(
         "mk", ["channel", "behavior"], mk["size"], mk["slide"], "behavior IS DISTINCT FROM 'UNINSTALL'")
@@ -410,11 +415,13 @@ UNION ALL SELECT order_id, 'payed but not found created log', 'order-timeout' FR
         f"CASE WHEN n <= {a['cap']} THEN 'main' ELSE 'blacklist' END AS route, "
         f"CASE WHEN n > {a['cap']} THEN 'click over {a['cap']}times.' END AS warning_msg "
         f"FROM capped WHERE n <= {a['cap'] + 1}")
+    q["stateful_handover"] = q["stateful_apply"]
     q["final_flush"] = q["pv_total_simple"]
     q["sink_console"] = with_(UB) + (
         f"SELECT 'pv' AS label, count(DISTINCT u // {S_pv}) AS printed FROM ub WHERE {pv}")
     for name in ("province_ad_count", "login_fail_pairs", "cep_fail_next", "cep_fail_times3", "login_fail_timer",
-                 "hot_pages_topn", "ranking_report", "tx_interval_join", "tx_full_match", "cep_order_pay", "cep_order_timeout"):
+                 "hot_pages_topn", "ranking_report", "tx_interval_join", "tx_full_match", "cep_order_pay", "cep_order_timeout",
+                 "uv_running", "per_event_trigger"):
         q[f"{name}_stream"] = q[name]
     q["topn_changelog_stream"] = q["hot_items_topn"]
     # event by event: the state of an order is (create, decided, reported), carried from row to row

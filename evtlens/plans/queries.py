@@ -16,6 +16,7 @@ from evtlens.functions import (
     format_window_end, has_tx, is_behavior, is_method, not_behavior, not_static_asset, poly_hash,
 )
 from evtlens.operators import aggregates as A
+from evtlens.operators import distinct as D
 from evtlens.operators import joins as J
 from evtlens.operators import patterns as C
 from evtlens.operators import rank as T
@@ -395,15 +396,67 @@ def uv_bitmap(spark, sf):
     return A.uv_bitmap(tables.user_behavior(spark, sf, "pv"), P.PV_WINDOW)
 
 
+@query("uv_bitmap_rows")
+def uv_bitmap_rows(spark, sf):
+    """A7 as stored state: the bits set in each bucket of each window's bitmap."""
+    rows = D.visitor_bitmaps(tables.user_behavior(spark, sf, "pv"), P.PV_WINDOW)
+    return rows.select("window_end", "bucket", F.expr("bitmap_count(bits)").cast("long").alias("n_bits"))
+
+
+@query("uv_bitmap_stream")
+def uv_bitmap_stream(spark, sf):
+    """Bitmaps of the micro-batches, merged by OR in a keyed store and counted."""
+    path, keys = streams.folder(spark, "bitmaps"), ["window_end", "bucket"]
+    merge = {"bits": lambda c: F.expr(f"bitmap_or_agg({c})")}
+    streams.each_batch(spark, streams.events(spark, sf)[:-1], lambda ev: jobs.visitors_stream(
+        tables.user_behavior_from(ev), P.STREAM_BOUND), store.upsert(
+        path, keys, every=2, merge=merge, prepare=lambda pv: D.visitor_bitmaps(pv, P.PV_WINDOW)))
+    counts = D.count_bitmaps(store.KeyedStore(path, keys, merge).read(spark))
+    return counts.select(F.lit("uv").alias("url"), "window_end", "cnt")
+
+
 @query("uv_approx")
 def uv_approx(spark, sf):
-    """The sketch beside the exact count: whether it lies within three standard errors."""
-    pv = tables.user_behavior(spark, sf, "pv")
-    exact = A.uv_exact(pv, P.PV_WINDOW)
-    sketch = A.uv_approx(pv, P.PV_WINDOW, P.UV_RSD).select(F.col("window_end").alias("we"), F.col("cnt").alias("estimate"))
-    within = F.abs(F.col("estimate") - F.col("cnt")) <= F.greatest(F.lit(1.0), 3 * P.UV_RSD * F.col("cnt"))
-    return (exact.join(sketch, F.col("window_end") == F.col("we"))
-            .select("url", "window_end", "cnt", within.alias("within")))
+    """Sketches of five minutes, united into hours; below a few hundred visitors an hour the
+    estimate is the exact count."""
+    return A.uv_approx(tables.user_behavior(spark, sf, "pv"), P.PV_WINDOW, rsd=P.UV_RSD)
+
+
+@query("uv_approx_sliding")
+def uv_approx_sliding(spark, sf):
+    """The same sketches united into overlapping windows."""
+    return A.uv_approx(tables.user_behavior(spark, sf, "pv"), P.HOT_ITEMS["size"], P.HOT_ITEMS["slide"], rsd=P.UV_RSD)
+
+
+@query("uv_approx_stream")
+def uv_approx_stream(spark, sf):
+    """Sketches of the micro-batches, united with the stored ones of their panes."""
+    path, keys = streams.folder(spark, "sketches"), ["pane_end"]
+    merge = {"sketch": lambda c: F.hll_union_agg(c, False)}
+    streams.each_batch(spark, streams.events(spark, sf)[:-1], lambda ev: jobs.visitors_stream(
+        tables.user_behavior_from(ev), P.STREAM_BOUND), store.upsert(
+        path, keys, every=2, merge=merge, prepare=lambda pv: D.pane_sketches(pv, rsd=P.UV_RSD)))
+    return D.windows_of_sketches(store.KeyedStore(path, keys, merge).read(spark), P.PV_WINDOW).select(
+        F.lit("uv").alias("url"), "window_end", "cnt")
+
+
+@query("uv_running_stream")
+def uv_running_stream(spark, sf):
+    """The running uv at every first-seen visitor, element by element, from a stream."""
+    path = streams.folder(spark, "uv-running")
+    streams.each_batch(spark, streams.events(spark, sf), lambda ev: jobs.uv_first_seen_stream(
+        tables.user_behavior_from(ev), P.PV_WINDOW, P.STREAM_BOUND), store.numbered(path, "window_end", ["ts", "bit"]))
+    return drop_sentinel(spark.read.parquet(f"{path}/rows").select(
+        "window_end", "bit", F.unix_millis("ts").alias("first_ts"), "cnt"))
+
+
+@query("per_event_trigger_stream")
+def per_event_trigger_stream(spark, sf):
+    """The running count at every page view, from a stream."""
+    path = streams.folder(spark, "pv-running")
+    streams.each_batch(spark, streams.events(spark, sf), lambda ev: jobs.pv_in_order_stream(
+        tables.user_behavior_from(ev), P.PV_WINDOW, P.STREAM_BOUND), store.numbered(path, "window_end", ["ts", "seq"]))
+    return drop_sentinel(spark.read.parquet(f"{path}/rows").select("window_end", "seq", F.unix_millis("ts").alias("ts"), "cnt"))
 
 
 @query("uv_running")
@@ -531,6 +584,26 @@ def stateful_apply(spark, sf):
     return out.select("user_id", "ad_id", "province", "ts_ms", "route", "warning_msg")
 
 
+@query("stateful_handover")
+def stateful_handover(spark, sf):
+    """The click cap in batch for the first half of the span, then as a stream that begins with
+    the batch's counts."""
+    a = P.AD
+    clicks = tables.ad_clicks(spark, sf)
+    span = clicks.agg(F.min(epoch_us("ts")).alias("lo"), F.max(epoch_us("ts")).alias("hi")).first()
+    cut = F.timestamp_micros(F.lit((span["lo"] + span["hi"]) // 2))
+    early = clicks.where(F.col("ts") < cut)
+    known = stateful.click_cap_state(early, a["cap"], a["period"], a["zone_offset"])
+    done = C.click_cap_routed(early, a["cap"], a["period"], a["zone_offset"]).withColumn("ts_ms", F.unix_millis("ts"))
+    ev = tables.table(spark, sf, "events")
+    slices = [x.where(F.col("ts").cast("timestamp") >= cut) for x in streams.cut(ev, streams.late_arrival())]
+    slices.append(streams.events(spark, sf, "click")[-1])
+    out = streams.to_table(spark, slices, lambda x: stateful.click_cap_stream(
+        with_event_time(_clicks(spark, sf, x), "ts", P.STREAM_BOUND), a["cap"], a["period"], a["zone_offset"], known), "handover")
+    cols = ["user_id", "ad_id", "province", "ts_ms", "route", "warning_msg"]
+    return done.select(cols).unionByName(out.select(cols))
+
+
 def _clicks(spark, sf, ev):
     return tables.ad_clicks_from(spark, sf, ev.where(F.col("event_type") == "click"))
 

@@ -81,12 +81,10 @@ def uv_stream(ub: DataFrame, size="1 hour", bound="0 seconds", bitmap: bool = Fa
             .select(F.lit("uv").alias("url"), F.unix_millis(F.col("_w.end")).alias("window_end"), "cnt"))
 
 
-def uv_approx_stream(ub: DataFrame, size="1 hour", bound="0 seconds", rsd: float = 0.01) -> DataFrame:
-    """A8 stream: HyperLogLog++ per window, with the error bound of the batch form."""
-    pv = with_event_time(ub, "ts", bound).where(is_behavior("pv"))
-    return (pv.groupBy(_window("ts", size).alias("_w"))
-            .agg(F.approx_count_distinct("user_id", rsd).alias("cnt"))
-            .select(F.lit("uv").alias("url"), F.unix_millis(F.col("_w.end")).alias("window_end"), "cnt"))
+def visitors_stream(ub: DataFrame, bound="0 seconds") -> DataFrame:
+    """A7, A8 stream: the page views, behind a watermark. Feed it to ``store.upsert`` with the sketches or
+    bitmaps of :mod:`evtlens.operators.distinct` as rows, merged over the batches."""
+    return with_event_time(ub, "ts", bound).where(is_behavior("pv"))
 
 
 def marketing_pane_stream(mk: DataFrame, slide="5 seconds", bound="0 seconds",
@@ -148,34 +146,41 @@ def sliding_rollup_writer(path: str, keys, size="1 hour", slide="5 seconds"):
     micro-batches (the second closes the first one's pane) and drop the windows at
     the sentinel with :func:`evtlens.streaming.eventtime.drop_sentinel`."""
     from evtlens.operators.windows import runs_from_panes
-    from evtlens.streaming.sinks import DAY_MS, _schema, path_exists, read_days, write_days
+    from evtlens.streaming.store import DAY_MS, DayStore, KeyedStore
 
     keys = list(keys)
     S, L = duration_us(size), duration_us(slide)
+    marks = KeyedStore(f"{path}/marks", ["k"], {"p": F.max})
+    pane_store = DayStore(f"{path}/panes", "_end", lambda rows: rows.drop("batch"))       # a pane comes once
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.withColumn("_end", F.floor((F.col("_p") + L) / 1000)).persist()
+        try:
+            roll_up(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def roll_up(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch = batch.withColumn("_end", F.floor((F.col("_p") + L) / 1000))
-        write_days(batch, f"{path}/panes", batch_id, "_end")
+        days = [r[0] for r in batch.select(F.floor(F.col("_end") / DAY_MS).cast("long")).distinct().collect()]
+        pane_store.write(batch, batch_id, days)
         span = batch.agg(F.min("_p").alias("lo"), F.max("_p").alias("hi")).first()
         if span["hi"] is None:
             return
-        prev = None
-        if path_exists(spark, f"{path}/marks"):
-            prev = (spark.read.schema("p long, batch long").option("basePath", f"{path}/marks").parquet(f"{path}/marks")
-                    .where(F.col("batch") < batch_id).agg(F.max("p")).first()[0])
+        known = marks.read(spark, "k int, p long", before=batch_id)
+        prev = None if known is None else known.first()["p"]
         now_end = max(span["hi"], prev if prev is not None else span["hi"]) + L
         lo = -(1 << 62) if prev is None else prev + L
         if now_end > lo:
             # only the days of the panes that the windows in (lo, now_end] reach
             first = span["lo"] if prev is None else min(span["lo"], lo - S)
             days = range((first + L) // 1000 // DAY_MS, now_end // 1000 // DAY_MS + 1)
-            panes = read_days(spark, f"{path}/panes", days, batch_id + 1, _schema(batch))
+            panes = pane_store.read(spark, days, batch_id + 1, batch.schema)
             need = panes.where((F.col("_p") >= F.lit(lo - S)) & (F.col("_p") < F.lit(now_end)))
             need = need.groupBy(*keys, "_p").agg(F.sum("cnt").alias("cnt"))
             out = runs_from_panes(need, S, L, keys, ["cnt"], "cnt", end_range=(lo, now_end))
             out.write.mode("overwrite").parquet(f"{path}/windows/batch={batch_id}")
-        spark.createDataFrame([(now_end - L,)], "p long").write.mode("overwrite").parquet(f"{path}/marks/batch={batch_id}")
+        marks.write(spark.createDataFrame([(0, now_end - L)], "k int, p long"), batch_id)
     return run
 
 
@@ -216,3 +221,23 @@ def uv_running_stream(ub: DataFrame, size="1 hour", bound="0 seconds") -> DataFr
              .dropDuplicates(["_w", "_bit"]))
     return (first.groupBy("_w").agg(F.count(F.lit(1)).alias("cnt"))
             .select(F.lit("uv").alias("url"), F.unix_millis(F.col("_w.end")).alias("window_end"), "cnt"))
+
+
+def uv_first_seen_stream(ub: DataFrame, size="1 hour", bound="0 seconds") -> DataFrame:
+    """A9/W8 stream, stage 1: each (window, bit) once, with the time it was first seen, in
+    event-time order over the micro-batches -> (window_end, bit, ts). Feed it to
+    ``store.numbered(path, "window_end", ["ts", "bit"])``, which gives every row its running uv."""
+    from evtlens.streaming import stateful
+    S = duration_us(size)
+    pv = with_event_time(ub, "ts", bound).where(is_behavior("pv")).withColumn("bit", poly_hash("user_id"))
+    return stateful.first_seen_stream(pv.select((F.floor(F.unix_micros("ts") / S) * (S // 1000) + S // 1000).alias("window_end"), "bit", "ts"))
+
+
+def pv_in_order_stream(ub: DataFrame, size="1 hour", bound="0 seconds", salts: int = 32) -> DataFrame:
+    """W8 stream on every element, stage 1: the page views in event-time order over the micro-batches
+    -> (window_end, seq, ts), for ``store.numbered(path, "window_end", ["ts", "seq"])``. Keys are salted windows."""
+    from evtlens.streaming import stateful
+    S = duration_us(size)
+    pv = with_event_time(ub, "ts", bound).where(is_behavior("pv"))
+    return stateful.in_order_stream(pv.select((F.floor(F.unix_micros("ts") / S) * (S // 1000) + S // 1000).alias("window_end"),
+                                              F.pmod(F.xxhash64("seq"), F.lit(salts)).cast("int").alias("salt"), "seq", "ts"))

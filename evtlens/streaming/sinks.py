@@ -17,8 +17,7 @@ from pyspark.sql import functions as F
 from evtlens.functions.time import duration_us, epoch_us
 from evtlens.operators import rank as T
 from evtlens.streaming.eventtime import split_late
-
-DAY_MS = 86_400_000
+from evtlens.streaming.store import DAY_MS, DayStore, KeyedStore, upsert
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -39,28 +38,15 @@ def _write(batch: DataFrame, path: str, batch_id: int, partition_by: Sequence[st
     w.parquet(f"{path}/batch={batch_id}")
 
 
-def keyed_upsert(path: str, keys: Sequence[str], version: str | None = None) -> Callable[[DataFrame, int], None]:
+def keyed_upsert(path: str, keys: Sequence[str], version: str | None = None, every: int = 10) -> Callable[[DataFrame, int], None]:
     """``store[key] = value``, newest ``version`` wins (``None``: the newest batch
-    wins, as for update-mode output). Each batch first keeps its newest row per key
-    (aggregate, map-side combined), then appends it as a new log segment;
-    :func:`read_upserted` resolves the newest value per key."""
-    keys = list(keys)
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        if version is None:
-            batch = batch.withColumn("_v", F.lit(batch_id))
-            _write(T.latest_per_key(batch, keys, "_v").drop("_v"), path, batch_id)
-        else:
-            _write(T.latest_per_key(batch, keys, version), path, batch_id)
-    return run
+    wins, as for update-mode output), in a :class:`evtlens.streaming.store.KeyedStore`."""
+    return upsert(path, keys, every, version=version)
 
 
 def read_upserted(spark: SparkSession, path: str, keys: Sequence[str], version: str | None = None) -> DataFrame:
-    log = spark.read.parquet(path)
-    ver = F.struct(F.col(version), F.col("batch")) if version else F.col("batch")
-    cols = [c for c in log.columns if c not in keys and c != "batch"]
-    return (log.groupBy(*keys).agg(F.max_by(F.struct(*cols), ver).alias("_l"))
-            .select(*keys, "_l.*"))
+    """The newest row per key: a snapshot and at most ``every`` segments."""
+    return KeyedStore(path, keys, version=version).read(spark)
 
 
 def route_writer(path: str, route_col: str = "route") -> Callable[[DataFrame, int], None]:
@@ -74,33 +60,20 @@ def read_route(spark: SparkSession, path: str, route: str, route_col: str = "rou
     return spark.read.parquet(path).where(F.col(route_col) == route).drop("batch")
 
 
-def write_days(df: DataFrame, path: str, batch_id: int, end_col: str) -> None:
-    """Store rows under ``day=<day of end_col>/batch=<id>``; of a batch tried again only its
-    own folders are replaced."""
-    (df.withColumns({"day": F.floor(F.col(end_col) / DAY_MS).cast("long"), "batch": F.lit(batch_id).cast("long")})
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("day", "batch").parquet(path))
-
-
-def read_days(spark: SparkSession, path: str, days, before: int, schema) -> DataFrame:
-    """Rows that earlier batches stored for these days (any container of day numbers);
-    files of other days are not listed."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [x.getPath().getName() for x in fs.listStatus(p)] if fs.exists(p) else []
-    found = [f"{path}/{x}" for x in names if x.startswith("day=") and int(x[4:]) in days]
-    if not found:
-        return spark.createDataFrame([], schema)
-    return (spark.read.schema(schema).option("basePath", path).parquet(*found)
-            .where(F.col("batch") < before))
+def top_stores(path: str, keys: Sequence[str], id_col: str, every: int = 10) -> tuple[DayStore, DayStore]:
+    """The newest count per (window, id), and the newest ranking per window, by the day of the window's end."""
+    keys = list(keys)
 
+    def newest_ranking(rows: DataFrame) -> DataFrame:
+        last = rows.groupBy(*keys).agg(F.max("batch").alias("batch"))
+        return rows.join(last, keys + ["batch"]).drop("batch")
 
-def _schema(df: DataFrame):
-    return (df.withColumns({"day": F.lit(0).cast("long"), "batch": F.lit(0).cast("long")})).schema
+    counts = DayStore(f"{path}/counts", keys[0], lambda rows: T.latest_per_key(rows, keys + [id_col], "batch").drop("batch"), every)
+    return counts, DayStore(f"{path}/top", keys[0], newest_ranking, every)
 
 
 def topn_writer(path: str, n: int, id_col: str, keys: Sequence[str] = ("window_end",),
-                version: str = "cnt") -> Callable[[DataFrame, int], None]:
+                version: str = "cnt", every: int = 10) -> Callable[[DataFrame, int], None]:
     """Per micro-batch of window counts (append or update mode), merge with
     the stored newest count per (window, id) of the touched windows, rank by ``version``
     (the count), and write the new top-n rows and the changelog ('+' new/changed, '-'
@@ -108,6 +81,7 @@ def topn_writer(path: str, n: int, id_col: str, keys: Sequence[str] = ("window_e
     end in milliseconds; the store is partitioned by its day and only the days of the
     batch are read."""
     keys = list(keys)
+    counts_store, top_store = top_stores(path, keys, id_col, every)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -116,15 +90,13 @@ def topn_writer(path: str, n: int, id_col: str, keys: Sequence[str] = ("window_e
         try:
             days = [r[0] for r in batch.select(F.floor(F.col(keys[0]) / DAY_MS).cast("long")).distinct().collect()]
             touched = batch.select(*keys).distinct()
-            old = read_days(spark, f"{path}/counts", days, batch_id, _schema(batch)).drop("day")
+            old = counts_store.read(spark, days, batch_id, batch.schema).withColumn("batch", F.lit(-1).cast("long"))
             counts = batch.withColumn("batch", F.lit(batch_id).cast("long")).unionByName(
                 old.join(touched, keys, "left_semi"))
             latest = T.latest_per_key(counts, keys + [id_col], "batch").drop("batch")
             top = T.top_n(latest, n, tuple(keys), score=version, id_col=id_col).persist()
-            stored = (read_days(spark, f"{path}/top", days, batch_id, _schema(top)).drop("day")
-                      .join(touched, keys, "left_semi"))
-            last = stored.groupBy(*keys).agg(F.max("batch").alias("batch"))
-            prev = stored.join(last, keys + ["batch"]).select(
+            stored = top_store.read(spark, days, batch_id, top.schema).join(touched, keys, "left_semi")
+            prev = stored.select(
                 *keys, id_col, F.col(version).alias("c0"), F.col("row_num").alias("r0"))
             cur = top.select(*keys, id_col, F.col(version).alias("c1"), F.col("row_num").alias("r1"))
             j = cur.join(prev, keys + [id_col], "full_outer")
@@ -136,8 +108,8 @@ def topn_writer(path: str, n: int, id_col: str, keys: Sequence[str] = ("window_e
                                 .select(*keys, F.lit("-").alias("op"), id_col, F.col("c0").alias(version),
                                         F.col("r0").alias("row_num"))))
             _write(log, f"{path}/changelog", batch_id)
-            write_days(top, f"{path}/top", batch_id, keys[0])
-            write_days(batch, f"{path}/counts", batch_id, keys[0])
+            top_store.write(top, batch_id, days)
+            counts_store.write(batch, batch_id, days)
         finally:
             if top is not None:
                 top.unpersist()
@@ -148,11 +120,17 @@ def topn_writer(path: str, n: int, id_col: str, keys: Sequence[str] = ("window_e
 def report_writer(path: str, top_path: str, id_col: str, labels=T.ITEM_LABELS) -> Callable[[DataFrame, int], None]:
     """S11 as a sink: after :func:`topn_writer` (on ``top_path``) has taken the batch, write
     the text report of every window it touched."""
+    store = KeyedStore(path, ["window_end"])
+
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        touched = batch.select("window_end").distinct()
-        top = read_top(spark, top_path, id_col=id_col).join(touched, "window_end", "left_semi")
-        _write(T.ranking_report(top, id_col, labels), path, batch_id)
+        touched = batch.select("window_end").distinct().persist()
+        try:
+            days = [r[0] for r in touched.select(F.floor(F.col("window_end") / DAY_MS).cast("long")).distinct().collect()]
+            top = read_top(spark, top_path, id_col=id_col, days=days).join(touched, "window_end", "left_semi")
+            store.write(T.ranking_report(top, id_col, labels), batch_id)
+        finally:
+            touched.unpersist()
     return run
 
 
@@ -160,26 +138,30 @@ def late_writer(path: str, ts: str = "ts", bound="1 second", size="10 minutes",
                 lateness="1 minute") -> Callable[[DataFrame, int], None]:
     """Main and late rows of one run, in ``main`` and ``late`` folders. The watermark a
     batch runs with is the newest event time of the batches before it less ``bound``,
-    kept in ``marks`` (one row per batch)."""
+    kept in ``marks`` (one row, compacted)."""
     b = duration_us(bound)
 
+    marks = KeyedStore(f"{path}/marks", ["k"], {"u": F.max})
+
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        newest = None
-        if path_exists(spark, f"{path}/marks"):
-            newest = (spark.read.schema("u long, batch long").option("basePath", f"{path}/marks").parquet(f"{path}/marks")
-                      .where(F.col("batch") < batch_id).agg(F.max("u")).first()[0])
-        on_time, late = split_late(batch, None if newest is None else newest - b, ts, size, slide, lateness)
-        _write(on_time, f"{path}/main", batch_id)
-        _write(late, f"{path}/late", batch_id)
-        _write(batch.agg(F.max(epoch_us(ts)).alias("u")), f"{path}/marks", batch_id)
+        batch = batch.persist()
+        try:
+            known = marks.read(spark, "k int, u long", before=batch_id)
+            newest = None if known is None else known.first()["u"]
+            on_time, late = split_late(batch, None if newest is None else newest - b, ts, size, slide, lateness)
+            _write(on_time, f"{path}/main", batch_id)
+            _write(late, f"{path}/late", batch_id)
+            marks.write(batch.agg(F.max(epoch_us(ts)).alias("u")).select(F.lit(0).alias("k"), "u"), batch_id)
+        finally:
+            batch.unpersist()
     return run
 
 
 def read_top(spark: SparkSession, path: str, keys: Sequence[str] = ("window_end",),
-             id_col: str = "item_id") -> DataFrame:
-    """Newest top-n of every window from a :func:`topn_writer` folder."""
-    keys = list(keys)
-    top = spark.read.parquet(f"{path}/top").drop("day")
-    last = top.groupBy(*keys).agg(F.max("batch").alias("batch"))
-    return top.join(last, keys + ["batch"]).drop("batch")
+             id_col: str = "item_id", days=None) -> DataFrame:
+    """Newest top-n of every window (of those days) from a :func:`topn_writer` folder."""
+    _, top = top_stores(path, keys, id_col)
+    have = top._list(spark, "segment", "day=")
+    written = spark.read.parquet(f"{path}/top/segment").drop("day", "batch").schema
+    return top.read(spark, have if days is None else days, 1 << 62, written)

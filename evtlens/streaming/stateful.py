@@ -2,7 +2,7 @@
 (``transformWithState``, Row based, RocksDB state store).
 
 Shared shape (:class:`InOrderProcessor`): rows wait in a map state under their
-millisecond until the watermark has passed it; its timer then hands them to ``step`` in
+millisecond and number until the watermark has passed it; its timer then hands them to ``step`` in
 order of event time, so the outcome does not depend on how rows fell into micro-batches
 or on their order inside the watermark's bound. Timers that a row will need (period end,
 deadline) are registered when it arrives; they fire in order with the rows. A key's state
@@ -24,12 +24,13 @@ from typing import Iterator, Sequence
 from pyspark import cloudpickle
 
 from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import (
     ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues,
 )
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
-from evtlens.functions.time import duration_us
+from evtlens.functions.time import duration_us, epoch_us
 from evtlens.operators import patterns as P
 
 
@@ -47,9 +48,11 @@ def _time(u: int) -> _dt.datetime:
 
 
 def stateful_apply(df: DataFrame, keys: Sequence[str], processor: StatefulProcessor,
-                   output: StructType, mode: str = "Append", event_time: str = "") -> DataFrame:
+                   output: StructType, mode: str = "Append", event_time: str = "", initial: DataFrame | None = None) -> DataFrame:
     """Group by ``keys`` and run ``processor`` with event-time timers. ``event_time``
-    names the output column that carries event time on to later operators."""
+    names the output column that carries event time on to later operators. ``initial`` is a batch
+    table with the same keys whose rows the processor takes as its first state, so that a stream can go on
+    where a batch job stopped."""
     from evtlens.session import ship_package
     ship_package(df.sparkSession)
     # the processor is also unpickled by a driver-side Python process that does not see
@@ -59,7 +62,8 @@ def stateful_apply(df: DataFrame, keys: Sequence[str], processor: StatefulProces
     if "RocksDB" not in (conf.get("spark.sql.streaming.stateStore.providerClass", "") or ""):
         # transformWithState needs the RocksDB state store provider
         conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    return df.groupBy(*keys).transformWithState(processor, output, mode, "EventTime", None, event_time)
+    return df.groupBy(*keys).transformWithState(processor, output, mode, "EventTime",
+                                                None if initial is None else initial.groupBy(*keys), event_time)
 
 
 class InOrderProcessor(StatefulProcessor):
@@ -70,7 +74,9 @@ class InOrderProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getMapState("pending", "ms long", "rows string")
+        # a row each, under its millisecond and its number there: adding a row touches no other
+        self.pending = handle.getMapState("pending", "ms long, n long", "row string")
+        self.sizes = handle.getMapState("sizes", "ms long", "n long")
         self.open(handle)
 
     def timers(self, rec: list) -> Sequence[int]:
@@ -80,28 +86,34 @@ class InOrderProcessor(StatefulProcessor):
         return iter(())
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[Row]:
+        came: dict[int, list] = {}
+        wanted: set[int] = set()
         for r in rows:
             rec = self.record(r)
-            if rec is None:
-                continue
-            at = (rec[0] // 1000,)
-            known = self.pending.containsKey(at)
-            items = json.loads(self.pending.getValue(at)[0]) if known else []
-            items.append(rec)
-            self.pending.updateValue(at, (json.dumps(items),))
-            if not known:
-                self.handle.registerTimer(at[0] + 1)
-            for t in self.timers(rec):
-                self.handle.registerTimer(t)
+            if rec is not None:
+                came.setdefault(rec[0] // 1000, []).append(json.dumps(rec))
+                wanted.update(self.timers(rec))
+        for ms, recs in came.items():
+            n = self.sizes.getValue((ms,))[0] if self.sizes.containsKey((ms,)) else 0
+            for i, rec in enumerate(recs, n):
+                self.pending.updateValue((ms, i), (rec,))
+            self.sizes.updateValue((ms,), (n + len(recs),))
+            if not n:
+                wanted.add(ms + 1)
+        for t in wanted:
+            self.handle.registerTimer(t)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues: TimerValues,
                            expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
         t = expiredTimerInfo.getExpiryTimeInMs()
-        at = (t - 1,)
-        if self.pending.containsKey(at):
-            items = json.loads(self.pending.getValue(at)[0])
-            self.pending.removeKey(at)
+        ms = t - 1
+        if self.sizes.containsKey((ms,)):
+            items = []
+            for i in range(self.sizes.getValue((ms,))[0]):
+                items.append(json.loads(self.pending.getValue((ms, i))[0]))
+                self.pending.removeKey((ms, i))
+            self.sizes.removeKey((ms,))
             for rec in sorted(items, key=lambda x: x[:2]):
                 yield from self.step(key, rec)
         yield from self.on_time(key, t)
@@ -143,6 +155,15 @@ class ClickCapProcessor(InOrderProcessor):
     def _count(self, p: int) -> int:
         return self.counts.getValue((p,))[0] if self.counts.containsKey((p,)) else 0
 
+    def handleInitialState(self, key, initialState: Row, timerValues: TimerValues) -> None:
+        p = initialState["period"]
+        self.counts.updateValue((p,), (min(initialState["n"], self.cap + 1),))
+        if self.period is not None:
+            self.handle.registerTimer(self._period_end(p))
+
+    def _period_end(self, p: int) -> int:
+        return -(-((p + 1) * self.period - self.offset) // 1000)
+
     def record(self, r: Row):
         u = _us(r["ts"])
         if self._count(self._period(u)) > self.cap:
@@ -152,7 +173,7 @@ class ClickCapProcessor(InOrderProcessor):
     def timers(self, rec):
         if self.period is None:
             return ()
-        return (-(-((self._period(rec[0]) + 1) * self.period - self.offset) // 1000),)
+        return (self._period_end(self._period(rec[0])),)
 
     def step(self, key, rec):
         u, seq, province, city = rec
@@ -180,12 +201,72 @@ def _offset_us(zone_offset: str) -> int:
     return sign * (int(hh) * 3600 + int(mm) * 60) * 1_000_000
 
 
-def click_cap_stream(clicks: DataFrame, cap: int = 100, period="1 day", zone_offset="+08:00") -> DataFrame:
+def click_cap_stream(clicks: DataFrame, cap: int = 100, period="1 day", zone_offset="+08:00",
+                     initial: DataFrame | None = None) -> DataFrame:
     """D1/D2 as a stream; ``ts`` of the output carries event time, so windowed
-    aggregates can follow."""
+    aggregates can follow. ``initial``: what a batch job has counted (:func:`click_cap_state`)."""
     proc = ClickCapProcessor(cap, duration_us(period) if period else None, _offset_us(zone_offset),
                              P.MSG_BLACKLIST.format(cap=cap))
-    return stateful_apply(clicks, ["user_id", "ad_id"], proc, CLICK_OUT, event_time="ts")
+    return stateful_apply(clicks, ["user_id", "ad_id"], proc, CLICK_OUT, event_time="ts", initial=initial)
+
+
+def click_cap_state(clicks: DataFrame, cap: int = 100, period="1 day", zone_offset="+08:00") -> DataFrame:
+    """The state that :func:`click_cap_stream` has after these clicks: (user_id, ad_id, period, n), one
+    row per pair and period, counted with partial aggregates."""
+    at = F.lit(0).cast("long") if not period else F.floor((epoch_us("ts") + _offset_us(zone_offset)) / duration_us(period))
+    return (clicks.groupBy("user_id", "ad_id", at.alias("period")).agg(F.count(F.lit(1)).alias("n"))
+            .withColumn("n", F.least("n", F.lit(cap + 1).cast("long"))))
+
+
+# ------------------------------------------------------------------ in order: A9, W8
+
+FIRST_OUT = StructType([StructField("window_end", LongType()), StructField("bit", LongType()), StructField("ts", TimestampType())])
+ORDER_ROW_OUT = StructType([StructField("window_end", LongType()), StructField("seq", LongType()), StructField("ts", TimestampType())])
+
+
+class FirstSeenProcessor(InOrderProcessor):
+    """The first row of a (window_end, bit) in event time; the mark goes when the window is over."""
+
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getValueState("seen", "u long")
+
+    def record(self, r: Row):
+        return None if self.seen.exists() else [_us(r["ts"])]
+
+    def timers(self, rec):
+        return (rec[0] // 1000 + 1,)
+
+    def step(self, key, rec):
+        if not self.seen.exists():
+            self.seen.update((rec[0],))
+            self.handle.registerTimer(key[0] + 1)
+            yield Row(window_end=key[0], bit=key[1], ts=_time(rec[0]))
+
+    def on_time(self, key, t):
+        if t > key[0] and self.seen.exists():
+            self.seen.clear()
+        return iter(())
+
+
+class InOrderRowsProcessor(InOrderProcessor):
+    """The rows themselves, when the watermark has passed them."""
+
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        pass
+
+    def record(self, r: Row):
+        return [_us(r["ts"]), r["seq"]]
+
+    def step(self, key, rec):
+        yield Row(window_end=key[0], seq=rec[1], ts=_time(rec[0]))
+
+
+def first_seen_stream(rows: DataFrame) -> DataFrame:
+    return stateful_apply(rows, ["window_end", "bit"], FirstSeenProcessor(), FIRST_OUT, event_time="ts")
+
+
+def in_order_stream(rows: DataFrame) -> DataFrame:
+    return stateful_apply(rows, ["window_end", "salt"], InOrderRowsProcessor(), ORDER_ROW_OUT, event_time="ts")
 
 
 # ------------------------------------------------------------------ C1, C3, C4

@@ -15,16 +15,20 @@ from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from evtlens.operators import rank as T
 
+DAY_MS = 86_400_000
+
 
 class KeyedStore:
     """``keys`` -> one row. With ``merge`` (aggregates by column name) a new row is combined with the
-    stored one, otherwise it replaces it. Columns are those of the batches."""
+    stored one; otherwise the row with the greatest ``version`` stays, or without that the newest batch's.
+    Columns are those of the batches."""
 
-    def __init__(self, path: str, keys: Sequence[str], merge: dict | None = None, every: int = 10):
-        self.path, self.keys, self.merge, self.every = path, list(keys), merge, every
+    def __init__(self, path: str, keys: Sequence[str], merge: dict | None = None, every: int = 10, version: str | None = None):
+        self.path, self.keys, self.merge, self.every, self.version = path, list(keys), merge, every, version
 
     # ---- files
     def _fs(self, spark: SparkSession, sub: str = ""):
@@ -52,7 +56,8 @@ class KeyedStore:
     # ---- rows
     def _newest(self, rows: DataFrame) -> DataFrame:
         if self.merge is None:
-            return T.latest_per_key(rows, self.keys, "_batch").drop("_batch")
+            rows = rows.withColumn("_v", F.struct(self.version, "_batch") if self.version else F.col("_batch"))
+            return T.latest_per_key(rows, self.keys, "_v").drop("_batch", "_v")
         return rows.groupBy(*self.keys).agg(*[f(c).alias(c) for c, f in self.merge.items()])
 
     def read(self, spark: SparkSession, schema=None, before: int | None = None) -> DataFrame | None:
@@ -94,20 +99,86 @@ class KeyedStore:
                 self._drop(spark, f"current/{x}")
                 self._drop(spark, f"snapshot/{x}")
 
-    def newest_of(self, batch: DataFrame, version: str | None = None) -> DataFrame:
-        """One row per key of a batch, map-side combined: the newest by ``version``, merged, or (update-mode
-        output: one row per key already) any."""
-        if self.merge is not None:
-            return self._newest(batch)
-        if version is not None:
-            return T.latest_per_key(batch, self.keys, version)
-        return T.latest_per_key(batch.withColumn("_batch", F.lit(0)), self.keys, "_batch").drop("_batch")
+    def newest_of(self, batch: DataFrame) -> DataFrame:
+        """One row per key of a batch, combined map-side."""
+        return self._newest(batch.withColumn("_batch", F.lit(0).cast("long")))
+
+
+class DayStore:
+    """Rows under the day of a time column, for stores of which a batch touches few days: segments
+    ``segment/day=<d>/batch=<b>``, and when a day has ``every`` of them a snapshot ``snapshot/day=<d>/batch=<b>`` of
+    that day alone, published by the pointer file ``current/<d>/<b>``. ``resolve`` makes the rows that count out of rows with their
+    ``batch``. Reads list and read the wanted days only, a snapshot and fewer than ``every`` segments of each; the
+    order of writes and what stays for a repeated batch are those of :class:`KeyedStore`."""
+
+    def __init__(self, path: str, time_ms: str, resolve: Callable[[DataFrame], DataFrame], every: int = 10):
+        self.path, self.time, self.resolve, self.every = path, time_ms, resolve, every
 
+    def _list(self, spark: SparkSession, sub: str, prefix: str = "") -> list[int]:
+        p = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{sub}")
+        fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+        names = [x.getPath().getName() for x in fs.listStatus(p)] if fs.exists(p) else []
+        return sorted(int(x[len(prefix):]) for x in names if x.startswith(prefix) and x[len(prefix):].isdigit())
 
-def upsert(path: str, keys: Sequence[str], every: int = 10, merge: dict | None = None,
+    def _drop(self, spark: SparkSession, sub: str) -> None:
+        p = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{sub}")
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+    def parts(self, spark: SparkSession, day: int, before: int) -> tuple[int | None, list[int]]:
+        """The snapshot and the segments that a read of the day takes."""
+        base = max((x for x in self._list(spark, f"current/{day}") if x < before), default=None)
+        tail = [x for x in self._list(spark, f"segment/day={day}", "batch=") if (base is None or x > base) and x < before]
+        return base, tail
+
+    def read(self, spark: SparkSession, days, before: int, schema) -> DataFrame:
+        """What batches before ``before`` stored for these days (any container of day numbers); ``schema`` is that
+        of the rows written."""
+        kind = StructType([*schema.fields, StructField("day", LongType()), StructField("batch", LongType())])
+        found = None
+        have = [d for d in self._list(spark, "segment", "day=") if d in days]
+        chosen = {"snapshot": [], "segment": []}
+        for d in have:
+            base, tail = self.parts(spark, d, before)
+            chosen["snapshot"] += [] if base is None else [f"{self.path}/snapshot/day={d}/batch={base}"]
+            chosen["segment"] += [f"{self.path}/segment/day={d}/batch={x}" for x in tail]
+        for sub, paths in chosen.items():
+            if paths:
+                part = spark.read.schema(kind).option("basePath", f"{self.path}/{sub}").parquet(*paths)
+                found = part if found is None else found.unionByName(part)
+        if found is None:
+            return spark.createDataFrame([], schema)
+        return self.resolve(found.drop("day")).select(*[f.name for f in schema.fields])
+
+    def write(self, df: DataFrame, batch_id: int, days) -> None:
+        """Store the batch's rows, which lie in ``days``."""
+        spark, schema = df.sparkSession, df.schema
+        self._put(df, "segment", batch_id)
+        due = [d for d in days if len(self.parts(spark, d, batch_id + 1)[1]) >= self.every]
+        if due:
+            older = {d: max((x for x in self._list(spark, f"current/{d}") if x < batch_id), default=None) for d in due}
+            self._put(self.read(spark, due, batch_id + 1, schema), "snapshot", batch_id)
+            for d in due:
+                p = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/current/{d}/{batch_id}")
+                p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p, True).close()
+            for d, last in older.items():
+                if last is not None:
+                    for x in self._list(spark, f"segment/day={d}", "batch="):
+                        if x <= last:
+                            self._drop(spark, f"segment/day={d}/batch={x}")
+                    for x in self._list(spark, f"current/{d}"):
+                        if x < last:
+                            self._drop(spark, f"current/{d}/{x}")
+                            self._drop(spark, f"snapshot/day={d}/batch={x}")
+
+    def _put(self, df: DataFrame, sub: str, batch_id: int) -> None:
+        (df.withColumns({"day": F.floor(F.col(self.time) / DAY_MS).cast("long"), "batch": F.lit(batch_id).cast("long")})
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch").parquet(f"{self.path}/{sub}"))
+
+
+def upsert(path: str, keys: Sequence[str], every: int = 10, merge: dict | None = None, version: str | None = None,
            prepare: Callable[[DataFrame], DataFrame] | None = None) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` writer into a :class:`KeyedStore`."""
-    store = KeyedStore(path, keys, merge, every)
+    """``foreachBatch`` writer into a :class:`KeyedStore`; ``prepare`` makes its rows from those of the batch."""
+    store = KeyedStore(path, keys, merge, every, version)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         rows = batch if prepare is None else prepare(batch)
@@ -136,3 +207,29 @@ def refire(path: str, keys: Sequence[str], value: str = "cnt", every: int = 10)
         finally:
             batch.unpersist()
     return run
+
+
+def numbered(path: str, group: str, order: Sequence[str], every: int = 10, out: str = "cnt") -> Callable[[DataFrame, int], None]:
+    """Rows that come in event-time order over the batches (those of a batch all later than
+    those before) get their running number within ``group``: numbers inside the batch, split by second so that a busy
+    group is many tasks, plus the group's count so far, a :class:`KeyedStore` (``path/counts``). Rows go
+    to ``path/rows/batch=<id>``. ``order`` starts with the time column."""
+    from evtlens.operators.sequence import running_count
+    store = KeyedStore(f"{path}/counts", [group], None, every)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            rows = running_count(batch, [group], list(order), "_n", split="1 second")
+            known = store.read(batch.sparkSession, before=batch_id)
+            if known is None:
+                rows = rows.withColumn("_before", F.lit(0).cast("long"))
+            else:
+                rows = rows.join(known.select(group, F.col("n").alias("_before")), group, "left")
+            done = rows.withColumn(out, F.col("_n") + F.coalesce("_before", F.lit(0))).drop("_n", "_before")
+            done.write.mode("overwrite").parquet(f"{path}/rows/batch={batch_id}")
+            ends = batch.sparkSession.read.schema(done.schema).parquet(f"{path}/rows/batch={batch_id}")
+            store.write(ends.groupBy(group).agg(F.max(out).alias("n")), batch_id)
+        finally:
+            batch.unpersist()
+    return run

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from evtlens.streaming import sinks
+from evtlens.streaming import sinks, store
 from evtlens.streaming.eventtime import split_late
 from tests.streaming_util import scratch
 
@@ -73,14 +73,14 @@ def _state(spark, out):
     return top, log
 
 
-def _run(spark, out, fail_at=None):
+def _run(spark, out, fail_at=None, every=10):
     """All batches, each tried twice; the first try of one stops before one of its writes."""
-    fn = sinks.topn_writer(out, 2, "item_id")
+    fn = sinks.topn_writer(out, 2, "item_id", every=every)
     for i, rows in enumerate(BATCHES):
         df = spark.createDataFrame(rows, COUNTS)
         if fail_at and fail_at[0] == i:
-            names, left = ("_write", "write_days"), [fail_at[1]]
-            kept = {n: getattr(sinks, n) for n in names}
+            places, left = [(sinks, "_write"), (store.DayStore, "_put")], [fail_at[1]]
+            kept = [getattr(x, n) for x, n in places]
 
             def stopping(f):
                 def run(*args, **kw):
@@ -90,31 +90,49 @@ def _run(spark, out, fail_at=None):
                     return f(*args, **kw)
                 return run
 
-            for n in names:
-                setattr(sinks, n, stopping(kept[n]))
+            for (x, n), f in zip(places, kept):
+                setattr(x, n, stopping(f))
             try:
                 fn(df, i)
             except RuntimeError:
                 pass
             finally:
-                for n in names:
-                    setattr(sinks, n, kept[n])
+                for (x, n), f in zip(places, kept):
+                    setattr(x, n, f)
         fn(df, i)
         fn(df, i)
 
 
 def test_topn_writer_replays_give_the_same_store(spark):
     want = None
-    for fail_at in [None, (1, 0), (1, 1), (1, 2), (2, 1)]:
-        out = scratch() + "/top"
-        _run(spark, out, fail_at)
-        got = _state(spark, out)
-        want = want or got
-        assert got == want
+    for every, fails in ((10, [None, (1, 0), (1, 2)]), (1, [None, (1, 1), (1, 2), (1, 3), (2, 4)])):
+        for fail_at in fails:
+            out = scratch() + "/top"
+            _run(spark, out, fail_at, every)
+            got = _state(spark, out)
+            want = want or got
+            assert got == want
     assert [r for r in want[0] if r[0] == 1000] == [(1000, 2, 11, 1), (1000, 3, 9, 2)]
     assert not spark.sparkContext._jsc.sc().getRDDStorageInfo()      # nothing stays persisted
 
 
+def test_day_store_reads_a_snapshot_and_a_short_tail(spark):
+    out = scratch()
+    s = store.DayStore(out, "t", lambda rows: rows.groupBy("t", "k").agg(F.max_by("v", "batch").alias("v")).select("t", "k", "v"), every=3)
+    kind, want = "t bigint, k bigint, v bigint", {}
+    for b in range(10):
+        batch = [(1000, b % 4, b)] + ([(90_000_000, 7, b)] if b in (2, 6) else [])
+        want.update({(t, k): v for t, k, v in batch})
+        df = spark.createDataFrame(batch, kind)
+        s.write(df, b, {t // 86_400_000 for t, *_ in batch})
+        got = s.read(spark, [0, 1], b + 1, df.schema)
+        assert {(r.t, r.k): r.v for r in got.collect()} == want
+        assert all(len(s.parts(spark, d, b + 1)[1]) < 3 for d in (0, 1))
+    assert s.parts(spark, 0, 100)[0] == 8 and s.parts(spark, 1, 100) == (None, [2, 6])
+    assert {(r.t, r.k): r.v for r in s.read(spark, [0], 8, df.schema).collect()} == {(1000, 0): 4, (1000, 1): 5, (1000, 2): 6, (1000, 3): 7}
+    assert len(s._list(spark, "current/0")) == 2 and s.read(spark, [5], 9, df.schema).count() == 0
+
+
 def test_topn_writer_does_not_hide_read_errors(spark):
     out = scratch() + "/top"
     fn = sinks.topn_writer(out, 2, "item_id")
@@ -129,7 +147,7 @@ def test_topn_writer_reads_touched_days_only(spark):
     fn = sinks.topn_writer(out, 2, "item_id")
     fn(spark.createDataFrame([(1000, 1, 5)], COUNTS), 0)
     import glob
-    for f in glob.glob(f"{out}/counts/day=0/batch=0/*.parquet"):
+    for f in glob.glob(f"{out}/counts/segment/day=0/batch=0/*.parquet"):
         with open(f, "w") as x:
             x.write("not parquet")
     fn(spark.createDataFrame([(90_000_000, 1, 5)], COUNTS), 1)      # another day

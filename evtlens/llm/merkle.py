@@ -1,7 +1,9 @@
 """Document fingerprints: a Merkle tree over sentences, paragraphs and sections
 (DataFrame functions only).
 
-* Leaves: the clauses of each line (cut after . ! ? , ; : or | and a space), hashed.
+* Leaves: the clauses of each line (cut after . ! ? , ; : or | and a space, and after the clause marks of
+  scripts that need no space), hashed. A clause of more than LONGEST characters is cut on from its start, so that text
+  without marks has leaves of bounded length too; an edit moves the cuts up to the clause's end only.
 * A paragraph is a line; its node hashes its leaves.
 * A section is a run of paragraphs that ends after a paragraph whose hash starts with
   0 to 3. Borders depend on content only, so an insertion moves no later border.
@@ -25,7 +27,10 @@ from pyspark.sql import functions as F
 from .common import written
 
 LEAF, NODE = 12, 16       # hex digits kept of a leaf's and a node's hash
-CLAUSE_END = "([.!?,;:|]) "
+# Clause marks.
+CLAUSE_END = "([.!?,;:|] |[。．！？，、；：…؟،؛।॥။።])"
+LONGEST = 120
+LONG_CLAUSE = rf"([^\n]{{{LONGEST}}})([^\n])"
 
 
 def tree(text: Column) -> Column:
@@ -33,7 +38,7 @@ def tree(text: Column) -> Column:
     that the plan stays small however long the text is."""
     lines = F.split(text, "\n", -1)
     paragraphs = F.transform(lines, lambda p: F.array_join(F.transform(
-        F.split(F.regexp_replace(p, CLAUSE_END, "$1\n"), "\n", -1),
+        F.split(F.regexp_replace(F.regexp_replace(p, CLAUSE_END, "$1\n"), LONG_CLAUSE, "$1\n$2"), "\n", -1),
         lambda s: F.left(F.md5(s), F.lit(LEAF))), ","))
     # the paragraph's hash decides whether a section ends behind it
     marked = F.array_join(F.transform(paragraphs, lambda p: F.concat(

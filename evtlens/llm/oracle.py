@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .merkle import CLAUSE_END, LONG_CLAUSE
 from .quality import CLASSES, COMMON_WORDS, VOCABULARY
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -42,7 +43,8 @@ SELECT doc_id, size, source_size, target, (size * (whole + extra{rounds}::INT)):
 def op3() -> str:
     def tree(t: str) -> str:
         paragraphs = (f"list_transform(string_split({t}, chr(10)), lambda p: array_to_string(list_transform(string_split("
-                      r"regexp_replace(p, '([.!?,;:|]) ', '\1' || chr(10), 'g'), chr(10)), lambda s: left(md5(s), 12)), ','))")
+                      f"regexp_replace(regexp_replace(p, '{CLAUSE_END}', '\\1' || chr(10), 'g'), '{LONG_CLAUSE}', '\\1' || chr(10) || '\\2', 'g'), "
+                      "chr(10)), lambda s: left(md5(s), 12)), ','))")
         marked = (f"array_to_string(list_transform({paragraphs}, lambda p: p || CASE WHEN left(md5(p), 1) < '4' "
                   "THEN '|' ELSE ';' END), '')")
         sections = f"string_split(regexp_replace({marked}, '[|;]$', ''), '|')"

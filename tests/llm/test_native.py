@@ -88,6 +88,24 @@ def test_merkle(docs, rows):
     assert got[5]["fingerprint"] == got[20]["fingerprint"] != got[6]["fingerprint"]
 
 
+def test_merkle_likeness_without_clause_marks(spark):
+    """Half-edited texts without spaces or marks share half their leaves; leaf cuts lose no character."""
+    import random
+    rng = random.Random(3)
+    plain = "".join(chr(rng.randrange(0x4e00, 0x9fa0)) for _ in range(4000))
+    marked = "".join(chr(rng.randrange(0x4e00, 0x9fa0)) + ("。" if i % 17 == 0 else "，" if i % 11 == 0 else "") for i in range(3000))
+    other = "".join(chr(rng.randrange(0x0e01, 0x0e2f)) for _ in range(4000))
+    rows = [(1, plain), (2, other), (3, plain[::-1]), (4, marked), (5, "a" * 121), (6, "a" * 120), (7, "x" * 119 + ". y"), (8, "x" * 119 + ".y"), (9, "")]
+    got = {r["doc_id"]: r for r in merkle.compared(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [d for d in (1, 2, 4) if got[d]["near_edited"] <= 0.4 or got[d]["near_next"] >= 0.1] == [], {
+        d: (got[d]["near_edited"], got[d]["near_next"]) for d in (1, 2, 4)}
+    assert len({r["fingerprint"] for r in got.values()}) == len(rows)
+    for d, t in rows:
+        edited, after = brute.op3(rows)[d][1:]
+        assert abs(got[d]["near_edited"] - brute.likeness(t, edited)) < 1e-12
+        assert abs(got[d]["near_next"] - brute.likeness(t, after)) < 1e-12
+
+
 def test_merkle_locates_edits(spark):
     text = "\n".join(f"Line {i} has some words, and a clause." for i in range(30))
     new = text.replace("Line 17 has", "Line 17 had")

@@ -417,8 +417,7 @@ UNION ALL SELECT order_id, 'payed but not found created log', 'order-timeout' FR
         f"FROM capped WHERE n <= {a['cap'] + 1}")
     q["stateful_handover"] = q["stateful_apply"]
     q["final_flush"] = q["pv_total_simple"]
-    q["sink_console"] = with_(UB) + (
-        f"SELECT 'pv' AS label, count(DISTINCT u // {S_pv}) AS printed FROM ub WHERE {pv}")
+    q["sink_console"] = with_(UB) + f"SELECT 'pv' AS label, window_end, cnt FROM ({tumbling('ub', [], P.PV_WINDOW, pv)})"
     for name in ("province_ad_count", "login_fail_pairs", "cep_fail_next", "cep_fail_times3", "login_fail_timer",
                  "hot_pages_topn", "ranking_report", "tx_interval_join", "tx_full_match", "cep_order_pay", "cep_order_timeout",
                  "uv_running", "per_event_trigger"):

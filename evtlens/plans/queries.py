@@ -135,12 +135,11 @@ def sink_keyed_upsert(spark, sf):
 
 @query("sink_console")
 def sink_console(spark, sf):
-    """The labelled console sink at the end of the page-view stream; the rows it
-    printed, as the stream's progress reports them."""
-    progress = streams.run(spark, streams.events(spark, sf), lambda ev: jobs.pv_stream(
-        tables.user_behavior_from(ev), P.PV_WINDOW, P.STREAM_BOUND), lambda w: sinks.console(w, "pv"))
-    rows = sum(max(0, p["sink"]["numOutputRows"]) for p in progress)
-    return spark.createDataFrame([("pv", rows)], "label string, printed long")
+    """The labelled print sink at the end of the page-view stream; the rows it got."""
+    path = streams.folder(spark, "printed")
+    streams.each_batch(spark, streams.events(spark, sf), lambda ev: jobs.pv_stream(
+        tables.user_behavior_from(ev), P.PV_WINDOW, P.STREAM_BOUND), sinks.printed(path, "pv"))
+    return drop_sentinel(spark.read.parquet(path).select("label", "window_end", "cnt"))
 
 
 def _hot_items_top(spark, sf):

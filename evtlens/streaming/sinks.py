@@ -31,6 +31,20 @@ def console(writer, label: str, mode: str = "append"):
     return writer.format("console").outputMode(mode).option("truncate", "false").queryName(label).start()
 
 
+def printed(path: str, label: str, rows: int = 20) -> Callable[[DataFrame, int], None]:
+    """S9 as a ``foreachBatch`` sink that also keeps what it was given: prints the first ``rows`` of a batch under
+    the label, and writes all of them, labelled."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        labelled = batch.withColumn("label", F.lit(label)).persist()
+        try:
+            print(f"{label}, batch {batch_id}")
+            labelled.show(rows, truncate=False)
+            _write(labelled, path, batch_id)
+        finally:
+            labelled.unpersist()
+    return run
+
+
 def _write(batch: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
     w = batch.write.mode("overwrite")
     if partition_by:

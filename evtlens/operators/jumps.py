@@ -17,7 +17,11 @@ from pyspark.sql import functions as F
 from evtlens.session import cut_lineage
 
 
-def reachable(pointers: DataFrame, heads: DataFrame, key: Sequence[str], to: Sequence[str], rounds: int = 3) -> DataFrame:
+#: So many pointers (of three numbers) are joined by broadcast.
+FEW = 100_000
+
+
+def reachable(pointers: DataFrame, heads: DataFrame, key: Sequence[str], to: Sequence[str], rounds: int = 2) -> DataFrame:
     """The keys that chains from ``heads`` (rows of ``key`` columns) come to, heads left out.
 
     ``pointers`` has a row per key with a successor (columns ``key`` and ``to``, of the same
@@ -27,15 +31,19 @@ def reachable(pointers: DataFrame, heads: DataFrame, key: Sequence[str], to: Seq
     key, to = list(key), list(to)
     away = [f"_to_{c}" for c in key]
     p = pointers.select(*key, *[F.col(t).alias(a) for t, a in zip(to, away)])
-    start = heads.select(*key).withColumn("_new", F.lit(False))
-    marked, left = start, True
-    while left:
+    marked = heads.select(*key).withColumn("_new", F.lit(False))
+    n = p.count()
+    few = F.broadcast if n <= FEW else (lambda x: x)        # pointers only get fewer
+    while n:
         for _ in range(rounds):
-            step = marked.join(p, key).select(*[F.col(a).alias(c) for c, a in zip(key, away)], F.lit(True).alias("_new"))
+            step = marked.join(few(p), key).select(*[F.col(a).alias(c) for c, a in zip(key, away)], F.lit(True).alias("_new"))
             marked = marked.unionByName(step)
             ahead = p.select(*[F.col(c).alias(f"_at_{c}") for c in key], *[F.col(a).alias(f"_2{a}") for a in away])
             on = [F.col(a) == F.col(f"_at_{c}") for c, a in zip(key, away)]
-            p = p.join(ahead, on).select(*key, *[F.col(f"_2{a}").alias(a) for a in away])
-        marked, p = cut_lineage(marked, "jump-marks"), cut_lineage(p, "jump-pointers")
-        left = not p.isEmpty()
+            p = p.join(few(ahead), on).select(*key, *[F.col(f"_2{a}").alias(a) for a in away])
+        both = marked.select(*key, *[F.col(c).alias(a) for c, a in zip(key, away)], "_new").unionByName(
+            p.withColumn("_new", F.lit(None).cast("boolean")))                                  # one table of marks and pointers
+        both = cut_lineage(both, "jumps")
+        marked, p = both.where("_new is not null").select(*key, "_new"), both.where("_new is null").drop("_new")
+        n = p.count()
     return marked.where("_new").select(*key)

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from evtlens.functions.time import duration_us, format_window_end
+from evtlens.session import cut_lineage
 
 # Report layout of the ranking jobs.
 REPORT_HEADER = "==================================="
@@ -44,6 +45,7 @@ def top_n_segments(runs: DataFrame, n: int, slide, id_col: str = "item_id", scor
     rows are expanded. The bound comes from a partial top-n; what a block keeps of the change points is at most ``block`` + 1
     values, so no block with very many ids is one task before it is pruned."""
     L = duration_us(slide)
+    runs = cut_lineage(runs, "runs")             # they are read for the bound and for the ranking
     top = top_n(ranked_spans(runs, n, slide, id_col, score, block), n, ["_x"], score, id_col, rank_col)
     ends = F.sequence((F.col("_x.s") / 1000).cast("bigint"), ((F.col("_x.e") - L) / 1000).cast("bigint"), F.lit(L // 1000).cast("bigint"))
     return top.select(id_col, F.explode(ends).alias(end_col), score, rank_col)

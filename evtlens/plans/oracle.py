@@ -311,7 +311,10 @@ UNION ALL SELECT NULL, 'state', url, window_end, sum(n)::BIGINT FROM per GROUP B
     q["uv_bitmap"] = with_(UB) + (
         f"SELECT 'uv' AS url, (u - u % {S_pv} + {S_pv}) // 1000 AS window_end, "
         f"count(DISTINCT {HASH.format(c='user_id')}) AS cnt FROM ub WHERE {pv} GROUP BY 2")
-    q["uv_approx"] = q["uv_approx_stream"] = q["uv_exact"]
+    q["uv_approx"] = with_(UB) + (
+        f"SELECT 'uv' AS url, (u - u % {S_pv} + {S_pv}) // 1000 AS window_end, count(DISTINCT user_id) AS cnt, "
+        f"true AS within FROM ub WHERE {pv} GROUP BY 2")
+    q["uv_approx_stream"] = q["uv_exact"]
     q["uv_bitmap_stream"] = q["uv_bitmap"]
     q["uv_bitmap_rows"] = with_(UB, _uv_running()) + (
         "SELECT window_end, CASE WHEN bit > 0 THEN 1 + (bit - 1) // 32768 ELSE 0 END AS bucket, count(*)::BIGINT AS n_bits "

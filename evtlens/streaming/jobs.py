@@ -233,9 +233,9 @@ def uv_first_seen_stream(ub: DataFrame, size="1 hour", bound="0 seconds") -> Dat
     return stateful.first_seen_stream(pv.select((F.floor(F.unix_micros("ts") / S) * (S // 1000) + S // 1000).alias("window_end"), "bit", "ts"))
 
 
-def pv_in_order_stream(ub: DataFrame, size="1 hour", bound="0 seconds", salts: int = 32) -> DataFrame:
+def pv_in_order_stream(ub: DataFrame, size="1 hour", bound="0 seconds", salts: int = 1024) -> DataFrame:
     """W8 stream on every element, stage 1: the page views in event-time order over the micro-batches
-    -> (window_end, seq, ts), for ``store.numbered(path, "window_end", ["ts", "seq"])``. Keys are salted windows."""
+    -> (window_end, seq, ts), for ``store.numbered(path, "window_end", ["ts", "seq"])``. Rows are spread over ``salts`` keys."""
     from evtlens.streaming import stateful
     S = duration_us(size)
     pv = with_event_time(ub, "ts", bound).where(is_behavior("pv"))

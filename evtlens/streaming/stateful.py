@@ -1,14 +1,15 @@
 """U1 + streaming C1-C4, C7, D1/D2: keyed state with event-time timers
 (``transformWithState``, Row based, RocksDB state store).
 
-Shared shape (:class:`InOrderProcessor`): rows wait in a map state under their
-millisecond and number until the watermark has passed it; its timer then hands them to ``step`` in
-order of event time, so the outcome does not depend on how rows fell into micro-batches
-or on their order inside the watermark's bound. Timers that a row will need (period end,
-deadline) are registered when it arrives; they fire in order with the rows. A key's state
-is what the watermark's bound holds plus a few values, and the timers free both. Rows
-behind the watermark are dropped by the operator itself, so late-row routing (E4) must
-happen before it.
+Shared shape (:class:`InOrderProcessor`): rows wait in the key's state until the watermark
+has passed them; the key's one timer then hands all that are due to ``step`` in order of
+event time, so the outcome does not depend on how rows fell into micro-batches or on
+their order inside the watermark's bound. Deadlines that the key's own state sets (period
+end, time-out) are met in order with the rows. The state is read and written once a
+micro-batch: few waiting rows lie in the value itself, many in sorted runs of blocks that
+are merged block by block. A key's state is what the watermark's bound holds plus a few values,
+and the timer frees both. Rows behind the watermark are dropped by the operator itself, so
+late-row routing (E4) must happen before it.
 
 Batch forms live in :mod:`evtlens.operators.patterns`; after the final flush of
 :mod:`evtlens.streaming.eventtime` the streams have emitted the same rows.
@@ -17,6 +18,7 @@ Batch forms live in :mod:`evtlens.operators.patterns`; after the final flush of
 from __future__ import annotations
 
 import datetime as _dt
+import heapq
 import json
 import sys
 from typing import Iterator, Sequence
@@ -37,14 +39,17 @@ from evtlens.operators import patterns as P
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+_EPOCH = _dt.datetime(1970, 1, 1)
+_US = _dt.timedelta(microseconds=1)
+
+
 def _us(ts) -> int:
-    # Row values of TIMESTAMP columns are naive UTC datetimes (session zone UTC)
-    import calendar
-    return calendar.timegm(ts.timetuple()) * 1_000_000 + ts.microsecond
+    # Row values of TIMESTAMP columns are UTC datetimes, with or without a zone (session zone UTC)
+    return (ts.replace(tzinfo=None) - _EPOCH) // _US
 
 
 def _time(u: int) -> _dt.datetime:
-    return _dt.datetime(1970, 1, 1) + _dt.timedelta(microseconds=u)
+    return _EPOCH + _dt.timedelta(microseconds=u)
 
 
 def stateful_apply(df: DataFrame, keys: Sequence[str], processor: StatefulProcessor,
@@ -68,60 +73,123 @@ def stateful_apply(df: DataFrame, keys: Sequence[str], processor: StatefulProces
 
 class InOrderProcessor(StatefulProcessor):
     """Buffers rows until the watermark has passed them and steps through them in event
-    time. Subclasses give ``open`` (their states), ``record`` (what to keep of a row: a list
-    that starts with its time in microseconds; None drops it), ``timers`` (milliseconds
-    at which ``on_time`` is wanted), ``step`` and ``on_time``."""
+    time. Subclasses give ``record`` (what to keep of a row: a list that starts with its time
+    in microseconds; None drops it), ``step``, which changes the key's own state (a dict that JSON
+    can hold; empty: none), ``deadline`` (the millisecond at which that state wants ``on_time``;
+    None: never) and ``on_time``, which must move the deadline on.
+
+    A key has one value: its own state, up to ``TAIL`` waiting rows, the index of the runs and
+    the time of its timer. More rows than that are sorted, ``RUN`` at a time, and put in
+    blocks of ``BLOCK``, which are read one at a time when their rows are due."""
+
+    TAIL, RUN, BLOCK = 500, 20_000, 500
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        # a row each, under its millisecond and its number there: adding a row touches no other
-        self.pending = handle.getMapState("pending", "ms long, n long", "row string")
-        self.sizes = handle.getMapState("sizes", "ms long", "n long")
-        self.open(handle)
+        # {"own": ..., "tail": [rows], "runs": [[[first ms, block], ...], ...], "next": block, "timer": ms}
+        self.value = handle.getValueState("value", "v string")
+        self.blocks = handle.getMapState("blocks", "block long", "rows string")
+
+    def record(self, r: Row, own: dict) -> list | None:
+        raise NotImplementedError
 
-    def timers(self, rec: list) -> Sequence[int]:
-        return ()
+    def step(self, key, own: dict, rec: list) -> Iterator[Row]:
+        raise NotImplementedError
 
-    def on_time(self, key, t: int) -> Iterator[Row]:
+    def deadline(self, own: dict) -> int | None:
+        return None
+
+    def on_time(self, key, own: dict, t: int) -> Iterator[Row]:
         return iter(())
 
+    # ---- the key's value
+    def _load(self) -> dict:
+        found = self.value.get()
+        return json.loads(found[0]) if found else {"own": {}, "tail": [], "runs": [], "next": 0, "timer": None}
+
+    def _save(self, st: dict) -> None:
+        self.value.update((json.dumps(st, separators=(",", ":")),))
+
+    def _alarm(self, st: dict, t: int | None) -> None:
+        if t is not None and (st["timer"] is None or t < st["timer"]):
+            self.handle.registerTimer(t)
+            st["timer"] = t
+
+    def _spill(self, st: dict) -> None:
+        rows, run = sorted(st["tail"], key=_at), []
+        for at in range(0, len(rows), self.BLOCK):
+            part = rows[at:at + self.BLOCK]
+            self.blocks.updateValue((st["next"],), (json.dumps(part, separators=(",", ":")),))
+            run.append([part[0][0] // 1000, st["next"]])
+            st["next"] += 1
+        st["runs"].append(run)
+        st["tail"] = []
+
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[Row]:
-        came: dict[int, list] = {}
-        wanted: set[int] = set()
+        st, least, came = self._load(), None, False
         for r in rows:
-            rec = self.record(r)
-            if rec is not None:
-                came.setdefault(rec[0] // 1000, []).append(json.dumps(rec))
-                wanted.update(self.timers(rec))
-        for ms, recs in came.items():
-            n = self.sizes.getValue((ms,))[0] if self.sizes.containsKey((ms,)) else 0
-            for i, rec in enumerate(recs, n):
-                self.pending.updateValue((ms, i), (rec,))
-            self.sizes.updateValue((ms,), (n + len(recs),))
-            if not n:
-                wanted.add(ms + 1)
-        for t in wanted:
-            self.handle.registerTimer(t)
+            rec = self.record(r, st["own"])
+            if rec is None:
+                continue
+            came = True
+            st["tail"].append(rec)
+            if least is None or rec[0] < least:
+                least = rec[0]
+            if len(st["tail"]) >= self.RUN:
+                self._spill(st)
+        if came:
+            if len(st["tail"]) > self.TAIL:
+                self._spill(st)
+            self._alarm(st, least // 1000 + 1)
+            self._save(st)
         return iter(())
 
+    def _due(self, run: list, now: int) -> Iterator[list]:
+        """The run's rows before ``now``; ``run`` keeps the blocks that still have others."""
+        while run and run[0][0] < now:
+            block = run[0][1]
+            rows = json.loads(self.blocks.getValue((block,))[0])
+            n = next((i for i, rec in enumerate(rows) if rec[0] // 1000 >= now), len(rows))
+            yield from rows[:n]
+            if n < len(rows):
+                self.blocks.updateValue((block,), (json.dumps(rows[n:], separators=(",", ":")),))
+                run[0][0] = rows[n][0] // 1000
+                return
+            self.blocks.removeKey((block,))
+            run.pop(0)
+
     def handleExpiredTimer(self, key, timerValues: TimerValues,
                            expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
-        t = expiredTimerInfo.getExpiryTimeInMs()
-        ms = t - 1
-        if self.sizes.containsKey((ms,)):
-            items = []
-            for i in range(self.sizes.getValue((ms,))[0]):
-                items.append(json.loads(self.pending.getValue((ms, i))[0]))
-                self.pending.removeKey((ms, i))
-            self.sizes.removeKey((ms,))
-            for rec in sorted(items, key=lambda x: x[:2]):
-                yield from self.step(key, rec)
-        yield from self.on_time(key, t)
+        now = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        st = self._load()
+        if st["timer"] is None or st["timer"] > now:
+            return                     # an earlier one has been set since
+        own = st["own"]
+        tail = sorted((rec for rec in st["tail"] if rec[0] // 1000 < now), key=_at)
+        st["tail"] = [rec for rec in st["tail"] if rec[0] // 1000 >= now]
+        for rec in heapq.merge(*[self._due(run, now) for run in st["runs"]], tail, key=_at):
+            while (t := self.deadline(own)) is not None and t <= rec[0] // 1000:
+                yield from self.on_time(key, own, t)
+            yield from self.step(key, own, rec)
+        while (t := self.deadline(own)) is not None and t <= now:
+            yield from self.on_time(key, own, t)
+        st["runs"] = [run for run in st["runs"] if run]
+        if not own and not st["tail"] and not st["runs"]:
+            self.value.clear()
+            return
+        waiting = [rec[0] // 1000 + 1 for rec in st["tail"]] + [run[0][0] + 1 for run in st["runs"]]
+        wanted, st["timer"] = [*waiting, *([t] if (t := self.deadline(own)) is not None else [])], None
+        self._alarm(st, min(wanted, default=None))
+        self._save(st)
 
     def close(self) -> None:
         pass
 
 
+def _at(rec: list) -> list:
+    return rec[:2]
+
+
 def _seq(r: Row) -> int:
     return (r["seq"] if "seq" in r else 0) or 0
 
@@ -138,7 +206,7 @@ CLICK_OUT = StructType([StructField("user_id", LongType()), StructField("ad_id",
 class ClickCapProcessor(InOrderProcessor):
     """Count clicks per (user, ad) and calendar period; pass the first ``cap`` (route
     'main'), warn once at click cap + 1 (route 'blacklist'). Each period has a count of
-    its own, which the timer at the period's end removes."""
+    its own, which the deadline at the period's end removes."""
 
     def __init__(self, cap: int, period_us: int | None, offset_us: int, msg: str):
         self.cap = cap
@@ -146,52 +214,42 @@ class ClickCapProcessor(InOrderProcessor):
         self.offset = offset_us
         self.msg = msg
 
-    def open(self, handle: StatefulProcessorHandle) -> None:
-        self.counts = handle.getMapState("counts", "period long", "n long")
-
     def _period(self, u: int) -> int:
         return 0 if self.period is None else (u + self.offset) // self.period
 
-    def _count(self, p: int) -> int:
-        return self.counts.getValue((p,))[0] if self.counts.containsKey((p,)) else 0
-
     def handleInitialState(self, key, initialState: Row, timerValues: TimerValues) -> None:
-        p = initialState["period"]
-        self.counts.updateValue((p,), (min(initialState["n"], self.cap + 1),))
-        if self.period is not None:
-            self.handle.registerTimer(self._period_end(p))
+        st = self._load()
+        for p, n in json.loads(initialState["counts"]):
+            st["own"][str(p)] = min(n, self.cap + 1)
+        self._alarm(st, self.deadline(st["own"]))
+        self._save(st)
 
     def _period_end(self, p: int) -> int:
         return -(-((p + 1) * self.period - self.offset) // 1000)
 
-    def record(self, r: Row):
+    def record(self, r: Row, own):
         u = _us(r["ts"])
-        if self._count(self._period(u)) > self.cap:
+        if own.get(str(self._period(u)), 0) > self.cap:
             return None            # warned already; later clicks have no effect
         return [u, _seq(r), r["province"], r["city"] if "city" in r else None]
 
-    def timers(self, rec):
-        if self.period is None:
-            return ()
-        return (self._period_end(self._period(rec[0])),)
-
-    def step(self, key, rec):
+    def step(self, key, own, rec):
         u, seq, province, city = rec
-        p = self._period(u)
-        n = self._count(p)
+        p = str(self._period(u))
+        n = own.get(p, 0)
         if n > self.cap:
             return
-        self.counts.updateValue((p,), (n + 1,))
+        own[p] = n + 1
         main = n < self.cap
         yield Row(user_id=key[0], ad_id=key[1], province=province, city=city, seq=seq, ts=_time(u),
                   ts_ms=u // 1000, route="main" if main else "blacklist",
                   warning_msg=None if main else self.msg)
 
-    def on_time(self, key, t):
-        if self.period is not None:
-            p = (t * 1000 + self.offset) // self.period - 1      # the last period that ended by t
-            if self.counts.containsKey((p,)):
-                self.counts.removeKey((p,))
+    def deadline(self, own):
+        return self._period_end(min(map(int, own))) if own and self.period is not None else None
+
+    def on_time(self, key, own, t):
+        del own[str(min(map(int, own)))]
         return iter(())
 
 
@@ -204,9 +262,13 @@ def _offset_us(zone_offset: str) -> int:
 def click_cap_stream(clicks: DataFrame, cap: int = 100, period="1 day", zone_offset="+08:00",
                      initial: DataFrame | None = None) -> DataFrame:
     """D1/D2 as a stream; ``ts`` of the output carries event time, so windowed
-    aggregates can follow. ``initial``: what a batch job has counted (:func:`click_cap_state`)."""
+    aggregates can follow. ``initial``: what a batch job has counted (:func:`click_cap_state`); a pair's
+    periods are handed over in one row."""
     proc = ClickCapProcessor(cap, duration_us(period) if period else None, _offset_us(zone_offset),
                              P.MSG_BLACKLIST.format(cap=cap))
+    if initial is not None:
+        initial = initial.groupBy("user_id", "ad_id").agg(
+            F.to_json(F.collect_list(F.array(F.col("period").cast("long"), F.col("n").cast("long")))).alias("counts"))
     return stateful_apply(clicks, ["user_id", "ad_id"], proc, CLICK_OUT, event_time="ts", initial=initial)
 
 
@@ -224,49 +286,51 @@ FIRST_OUT = StructType([StructField("window_end", LongType()), StructField("bit"
 ORDER_ROW_OUT = StructType([StructField("window_end", LongType()), StructField("seq", LongType()), StructField("ts", TimestampType())])
 
 
-class FirstSeenProcessor(InOrderProcessor):
-    """The first row of a (window_end, bit) in event time; the mark goes when the window is over."""
+#: Keys that the rows of all windows are spread over: a key's state serves many rows of a
+#: micro-batch at once, and a busy window is many keys.
+SALTS = 1024
 
-    def open(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", "u long")
 
-    def record(self, r: Row):
-        return None if self.seen.exists() else [_us(r["ts"])]
+class FirstSeenProcessor(InOrderProcessor):
+    """The first row of a (window_end, bit) in event time; the marks go when the window is over."""
 
-    def timers(self, rec):
-        return (rec[0] // 1000 + 1,)
+    def record(self, r: Row, own):
+        if str(r["bit"]) in own.get(str(r["window_end"]), ()):
+            return None
+        return [_us(r["ts"]), r["window_end"], r["bit"]]
 
-    def step(self, key, rec):
-        if not self.seen.exists():
-            self.seen.update((rec[0],))
-            self.handle.registerTimer(key[0] + 1)
-            yield Row(window_end=key[0], bit=key[1], ts=_time(rec[0]))
+    def step(self, key, own, rec):
+        u, end, bit = rec
+        seen = own.setdefault(str(end), {})
+        if str(bit) not in seen:
+            seen[str(bit)] = 1
+            yield Row(window_end=end, bit=bit, ts=_time(u))
 
-    def on_time(self, key, t):
-        if t > key[0] and self.seen.exists():
-            self.seen.clear()
+    def deadline(self, own):
+        return min(map(int, own)) + 1 if own else None
+
+    def on_time(self, key, own, t):
+        del own[str(min(map(int, own)))]
         return iter(())
 
 
 class InOrderRowsProcessor(InOrderProcessor):
     """The rows themselves, when the watermark has passed them."""
 
-    def open(self, handle: StatefulProcessorHandle) -> None:
-        pass
+    def record(self, r: Row, own):
+        return [_us(r["ts"]), r["window_end"], r["seq"]]
 
-    def record(self, r: Row):
-        return [_us(r["ts"]), r["seq"]]
+    def step(self, key, own, rec):
+        yield Row(window_end=rec[1], seq=rec[2], ts=_time(rec[0]))
 
-    def step(self, key, rec):
-        yield Row(window_end=key[0], seq=rec[1], ts=_time(rec[0]))
 
-
-def first_seen_stream(rows: DataFrame) -> DataFrame:
-    return stateful_apply(rows, ["window_end", "bit"], FirstSeenProcessor(), FIRST_OUT, event_time="ts")
+def first_seen_stream(rows: DataFrame, salts: int = SALTS) -> DataFrame:
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("bit"), F.lit(salts)).cast("int"))
+    return stateful_apply(salted, ["salt"], FirstSeenProcessor(), FIRST_OUT, event_time="ts")
 
 
 def in_order_stream(rows: DataFrame) -> DataFrame:
-    return stateful_apply(rows, ["window_end", "salt"], InOrderRowsProcessor(), ORDER_ROW_OUT, event_time="ts")
+    return stateful_apply(rows, ["salt"], InOrderRowsProcessor(), ORDER_ROW_OUT, event_time="ts")
 
 
 # ------------------------------------------------------------------ C1, C3, C4
@@ -284,43 +348,45 @@ class ConsecutiveFailsProcessor(InOrderProcessor):
         self.limit = limit_us
         self.msg = msg
 
-    def open(self, handle: StatefulProcessorHandle) -> None:
-        self.fails = handle.getValueState("fails", "u string")
-
-    def record(self, r: Row):
+    def record(self, r: Row, own):
         return [_us(r["ts"]), _seq(r), r["login_state"] == "fail"]
 
-    def timers(self, rec):
-        return ((rec[0] + self.limit) // 1000 + 1,) if rec[2] else ()
-
-    def step(self, key, rec):
+    def step(self, key, own, rec):
         u, _, fail = rec
-        known = json.loads(self.fails.get()[0]) if self.fails.exists() else []
         if not fail:
-            if known:
-                self.fails.clear()
+            own.clear()
             return
-        known = [*known, u][-self.times:]
-        self.fails.update((json.dumps(known),))
+        own["fails"] = known = [*own.get("fails", ()), u][-self.times:]
         if len(known) == self.times and u - known[0] <= self.limit:
             yield Row(user_id=key[0], first_fail_time=known[0] // 1000, last_fail_time=u // 1000,
                       warning_msg=self.msg)
 
-    def on_time(self, key, t):
-        if self.fails.exists() and (json.loads(self.fails.get()[0])[-1] + self.limit) // 1000 < t:
-            self.fails.clear()
+    def deadline(self, own):
+        return (own["fails"][-1] + self.limit) // 1000 + 1 if own else None
+
+    def on_time(self, key, own, t):
+        own.clear()
         return iter(())
 
 
+def _columns(df: DataFrame, *names: str) -> DataFrame:
+    """Those of the columns that there are: each one of a row is converted for Python."""
+    return df.select(*[c for c in names if c in df.columns])
+
+
+def _login_columns(logins: DataFrame) -> DataFrame:
+    return _columns(logins, "user_id", "login_state", "ts", "seq")
+
+
 def login_fail_pairs_stream(logins: DataFrame, limit="2 seconds") -> DataFrame:
     """The limit is inclusive."""
-    return stateful_apply(logins, ["user_id"],
+    return stateful_apply(_login_columns(logins), ["user_id"],
                           ConsecutiveFailsProcessor(2, duration_us(limit), P.MSG_FAIL_PAIR), WARN_OUT)
 
 
 def cep_fail_times_stream(logins: DataFrame, times: int = 3, within="5 seconds") -> DataFrame:
     """C3 (``times=2``) / C4: ``within`` is exclusive."""
-    return stateful_apply(logins, ["user_id"], ConsecutiveFailsProcessor(
+    return stateful_apply(_login_columns(logins), ["user_id"], ConsecutiveFailsProcessor(
         times, duration_us(within) - 1, P.MSG_CEP_FAILS.format(n=times)), WARN_OUT)
 
 
@@ -340,42 +406,31 @@ class LoginFailTimerProcessor(InOrderProcessor):
         self.min_fails = min_fails
         self.msg = msg
 
-    def open(self, handle: StatefulProcessorHandle) -> None:
-        self.seg = handle.getValueState("seg", "first long, last long, n long")
-
-    def record(self, r: Row):
+    def record(self, r: Row, own):
         return [_us(r["ts"]), _seq(r), r["login_state"] == "fail"]
 
-    def timers(self, rec):
-        return ((rec[0] + self.limit) // 1000 + 1,) if rec[2] else ()
+    def deadline(self, own):
+        return (own["seg"][0] + self.limit) // 1000 + 1 if own else None
 
-    def _close(self, key, seg):
-        self.seg.clear()
-        if seg[2] >= self.min_fails:
-            yield Row(user_id=key[0], first_fail_time=seg[0] // 1000, last_fail_time=seg[1] // 1000,
-                      fail_count=seg[2], warning_msg=self.msg.format(n=seg[2]))
+    def on_time(self, key, own, t):
+        first, last, n = own.pop("seg")
+        if n >= self.min_fails:
+            yield Row(user_id=key[0], first_fail_time=first // 1000, last_fail_time=last // 1000,
+                      fail_count=n, warning_msg=self.msg.format(n=n))
 
-    def step(self, key, rec):
+    def step(self, key, own, rec):
         u, _, fail = rec
-        seg = tuple(self.seg.get()) if self.seg.exists() else None
-        if seg and u > seg[0] + self.limit:        # the rest of the span's last millisecond
-            yield from self._close(key, seg)
-            seg = None
+        if own and u > own["seg"][0] + self.limit:        # the rest of the span's last millisecond
+            yield from self.on_time(key, own, u // 1000)
         if fail:
-            self.seg.update((seg[0], u, seg[2] + 1) if seg else (u, u, 1))
-        elif seg:
-            self.seg.clear()
-
-    def on_time(self, key, t):
-        if self.seg.exists():
-            seg = tuple(self.seg.get())
-            if (seg[0] + self.limit) // 1000 < t:
-                yield from self._close(key, seg)
+            own["seg"] = [own["seg"][0], u, own["seg"][2] + 1] if own else [u, u, 1]
+        else:
+            own.clear()
 
 
 def login_fail_timer_stream(logins: DataFrame, limit="2 seconds", min_fails: int = 2) -> DataFrame:
     proc = LoginFailTimerProcessor(duration_us(limit), min_fails, P.MSG_FAIL_TIMER)
-    return stateful_apply(logins, ["user_id"], proc, TIMER_OUT)
+    return stateful_apply(_login_columns(logins), ["user_id"], proc, TIMER_OUT)
 
 
 # ------------------------------------------------------------------ C7
@@ -396,19 +451,13 @@ class OrderPayProcessor(InOrderProcessor):
         self.keep = within_us + wait_us
         self.m = dict(msgs)
 
-    def open(self, handle: StatefulProcessorHandle) -> None:
-        self.st = handle.getValueState("order", "created long, decided boolean, reported boolean, until long")
-
-    def record(self, r: Row):
+    def record(self, r: Row, own):
         kind = {"create": 0, "pay": 1}.get(r["event_type"])
         return None if kind is None else [_us(r["ts"]), kind]
 
-    def timers(self, rec):
-        return ((rec[0] + self.keep) // 1000 + 1,)
-
-    def step(self, key, rec):
+    def step(self, key, own, rec):
         u, kind = rec
-        created, decided, reported, until = self.st.get() if self.st.exists() else (None, False, False, 0)
+        created, decided, reported, until = own.get("order", (None, False, False, 0))
         if kind == 0:
             if created is None:
                 created, until = u, u + self.keep
@@ -422,19 +471,19 @@ class OrderPayProcessor(InOrderProcessor):
             ok = u - created < self.within
             yield Row(order_id=key[0], result_state=self.m["ok"] if ok else self.m["late"],
                       route="main" if ok else "order-timeout")
-        self.st.update((created, decided, reported, until))
+        own["order"] = [created, decided, reported, until]
+
+    def deadline(self, own):
+        return own["order"][3] // 1000 + 1 if own else None
 
-    def on_time(self, key, t):
-        if self.st.exists():
-            created, decided, _, until = self.st.get()
-            if until // 1000 < t:
-                self.st.clear()
-                if created is not None and not decided:
-                    yield Row(order_id=key[0], result_state=self.m["timeout"], route="order-timeout")
+    def on_time(self, key, own, t):
+        created, decided, _, _ = own.pop("order")
+        if created is not None and not decided:
+            yield Row(order_id=key[0], result_state=self.m["timeout"], route="order-timeout")
 
 
 def order_pay_classify_stream(events: DataFrame, within="15 minutes", wait="1 day") -> DataFrame:
     msgs = {"no_create": P.MSG_NO_CREATE, "ok": P.MSG_PAYED_OK, "late": P.MSG_PAYED_LATE,
             "timeout": P.MSG_TIMEOUT}
     proc = OrderPayProcessor(duration_us(within), duration_us(wait), msgs)
-    return stateful_apply(events, ["order_id"], proc, ORDER_OUT)
+    return stateful_apply(_columns(events, "order_id", "event_type", "ts"), ["order_id"], proc, ORDER_OUT)

@@ -15,8 +15,8 @@ strings of few different characters (rules, dots; under ``MIN_BITS`` a character
 between separators does.
 
 Identifiers come from the names that Python's standard library defines, cut into words, and from the corpus:
-:func:`corpus_identifiers` takes the words that stand in three or more different identifiers of a
-bounded sample of documents (``sample_docs`` with the least text hash), so that a secret with many copies is none.
+:func:`corpus_identifiers` takes the words that stand in three or more different identifiers of all
+documents, so that a secret with many copies is none.
 
 A string found novel is reported at all its places in the text, near a sensitive word or not.
 
@@ -226,16 +226,11 @@ def library_words() -> tuple[str, ...]:
     return tuple(sorted(often, key=lambda w: (-often[w], w))[:LIBRARY_WORDS])
 
 
-def corpus_identifiers(docs: DataFrame, *, text: str = "text", sample_docs: int = 2000, most: int = 1500) -> list[str]:
+def corpus_identifiers(docs: DataFrame, *, text: str = "text", most: int = 1500) -> list[str]:
     """The ``most`` frequent words that stand in three or more different identifiers (strings with an
-    underscore, dot, slash or inner capital) of the sampled documents."""
-    hashed = docs.where(F.col(text).isNotNull()).select(F.col(text).alias("text"), F.xxhash64(text).alias("h"))
-    last = hashed.select("h").orderBy("h").limit(sample_docs).agg(F.max("h")).first()[0]
-    if last is None:
-        return []
-    token = (hashed.where(F.col("h") <= last).distinct()
-             .select(F.explode(F.regexp_extract_all("text", F.lit(r"([A-Za-z]+(?:[_./-][A-Za-z0-9]+)+|[a-z]+(?:[A-Z][a-z]+)+)"), F.lit(1))).alias("t"))
-             .distinct())
+    underscore, dot, slash or inner capital) of the documents, all of which are read."""
+    token = (docs.select(F.explode(F.regexp_extract_all(
+        text, F.lit(r"([A-Za-z]+(?:[_./-][A-Za-z0-9]+)+|[a-z]+(?:[A-Z][a-z]+)+)"), F.lit(1))).alias("t")).distinct())
     parts = (token.select("t", F.explode(F.array_distinct(F.transform(F.regexp_extract_all("t", F.lit("([A-Z]?[a-z]{2,}|[A-Z]{3,})"), F.lit(1)),
                                                                         F.lower))).alias("w"))
              .groupBy("w").agg(F.count(F.lit(1)).alias("n")).where("n >= 3"))
@@ -275,12 +270,12 @@ def render(spans: list[tuple[int, int, int]]) -> str:
 
 
 def scan(docs: DataFrame, *, text: str = "text", carry: tuple[str, ...] = ("doc_id",),
-         dictionary: str = IDENTIFIERS, sample_docs: int = 2000) -> DataFrame:
+         dictionary: str = IDENTIFIERS) -> DataFrame:
     """carry columns, spans (array of kind, start, end, in order) and n_base, and the same
     rendered as text (``base``, ``all``)."""
     kinds = dict((f.name, f.dataType) for f in docs.schema)
     # once, on the driver: the same bytes for every task
-    learned = trained(dictionary, corpus_identifiers(docs, text=text, sample_docs=sample_docs))
+    learned = trained(dictionary, corpus_identifiers(docs, text=text))
 
     def run(batches):
         compressor_for = primed(learned)

@@ -4,6 +4,8 @@ import random
 import string
 import time
 
+from pyspark.sql import functions as F
+
 from evtlens.llm import secret_scan
 
 
@@ -105,3 +107,14 @@ def test_corpus_identifiers(spark):
     assert secret_scan.corpus_identifiers(df)[0] == "zorgblat"
     assert not {"vvxq", "plm", "lm", "pp"} & set(secret_scan.corpus_identifiers(df))     # one identifier, whatever its copies
     assert secret_scan.corpus_identifiers(df.limit(0)) == []
+
+
+def test_corpus_identifiers_come_from_all_documents(spark):
+    """More documents than any sample had; the identifiers stand in the few whose text hash is greatest."""
+    rows = spark.range(2600).selectExpr("concat('plain words ', id) AS text").orderBy(F.xxhash64("text").desc()).limit(2600)
+    last = [r["text"] for r in rows.limit(3).collect()]
+    df = rows.withColumn("text", F.when(F.col("text").isin(last), F.concat(F.lit("call zorgblat_"), F.regexp_extract("text", "[0-9]+", 0)))
+                         .otherwise(F.col("text")))
+    low = df.where("text LIKE 'plain%'").agg(F.sort_array(F.collect_list(F.xxhash64("text")))[1999]).first()[0]
+    df = df.unionByName(spark.range(200).selectExpr("concat('run quuxword_x', id) AS text").where(F.xxhash64("text") > low))
+    assert {"zorgblat", "quuxword"} <= set(secret_scan.corpus_identifiers(df))

@@ -128,3 +128,65 @@ def test_odd_input(spark, odd_docs, no_docs, model):
     assert tx.fit([("a b", 0, None)] * 20 + [("c d", 1, None)] * 4) is None
     same = tx.fit([("a b c", 0, None)] * 20 + [("d e f", 1, None)] * 20)       # copies only: nothing to keep apart
     assert predicted(same, ["d e f"])[0] >= 0.5 > predicted(same, ["a b c"])[0]
+
+
+def _corpus_tables(spark, rows):
+    return (spark.createDataFrame([(i, t, lang) for i, t, _, lang in rows], "doc_id long, text string, lang string"),
+            spark.createDataFrame([(i, y) for i, _, y, _ in rows], "doc_id long, toxic int"))
+
+
+def test_every_labelled_text_is_learnt_from(spark):
+    """Long ones too: the word that marks them occurs in no text below 200,000 characters."""
+    rng = random.Random(5)
+    clean = [t for _, t, y, _ in corpus(400, seed=6) if not y]
+    rows = [(i, t, 0, "en") for i, t in enumerate(clean[:100])]
+    for i in range(100, 112):
+        words = " ".join(rng.choice(clean) for _ in range(700)).split()
+        words.insert(rng.randrange(len(words)), "zorblat")
+        rows.append((i, " ".join(words), 1, "en"))
+    assert min(len(t) for _, t, y, _ in rows if y) > 200_000
+    model = tx.train(*_corpus_tables(spark, rows))
+    assert tx.hashed("zorblat")[0] in model.buckets
+    assert (predicted(model, [t for _, t, y, _ in rows if y]) >= 0.5).all() and (predicted(model, clean[150:200]) < 0.5).all()
+
+
+def test_training_in_parts_takes_all_texts_and_is_as_good(spark):
+    rows = corpus(1500)
+    docs, marks = _corpus_tables(spark, rows)
+    texts = tx.labelled(docs, marks)
+    got = texts.collect()
+    assert {r["key"] for r in got} == set(range(1500)) and len(got) == 1500
+    assert all(r["words"] == tx.hashed(rows[r["key"]][1]) and r["kept"] == tx.apart(rows[r["key"]][1].encode()) for r in got)
+    buckets = np.unique(np.concatenate([r["words"] for r in got])).astype(np.int64)
+    dealt = spark.read.parquet(tx._dealt(texts, buckets, ["en", "fr"], True, 3, 4)).collect()
+    assert sorted((r["y"], len(r["words"])) for r in dealt) == sorted((r["y"], len(r["words"])) for r in got)
+    assert {r["turn"] for r in dealt} == {-1, 0, 1, 2} and all(r["part"] // 4 == r["turn"] for r in dealt if r["turn"] >= 0)
+    one, two = (tx.train(docs, marks, part_docs=100, wide=4) for _ in range(2))
+    held = corpus(400, seed=9)
+    s, y = predicted(one, [t for _, t, _, _ in held]), np.array([r[2] for r in held])
+    assert ((s >= 0.5) == y)[y == 1].mean() > 0.95 and ((s >= 0.5) == y)[y == 0].mean() > 0.95
+    assert (s == predicted(two, [t for _, t, _, _ in held])).all()               # the order in which tasks end doesn't count
+
+
+def test_average_of_parts():
+    net, rng = tx.Net(3, 2, 2, 0.1, np.random.default_rng(1)), np.random.default_rng(2)
+    before, parts = net.emb.copy(), []
+    for texts, moved in ((30, [0, 1, 0, 3]), (10, [0, 0, 0, 1])):
+        emb = rng.standard_normal((4, 2)).astype(np.float32)
+        mine = tx.Net(3, 2, 2, 0.1, rng)
+        mine.emb, mine.gathered = emb, np.arange(4, dtype=np.float32) * texts
+        parts.append(mine.changed(np.array(moved), texts))
+    net.average(parts)
+    assert (net.emb[2] == before[2]).all() and (net.emb[0] == 0).all()
+    assert np.allclose(net.emb[1], parts[0]["emb"][0])                            # moved by one part only: not diluted
+    assert np.allclose(net.emb[3], (3 * parts[0]["emb"][1] + parts[1]["emb"][0]) / 4) and np.isclose(net.gathered[3], (3 * 90 + 30) / 4)
+    assert np.allclose(net.dense["v"], 0.75 * parts[0]["dense"]["v"] + 0.25 * parts[1]["dense"]["v"])
+
+
+def test_long_texts_are_learnt_in_pieces(monkeypatch):
+    docs = [np.random.default_rng(7).integers(0, 40, 90)]
+    net = tx.Net(39, 4, 3, 0.5, np.random.default_rng(3))
+    whole = net.spots(*tx.laid_out(docs))
+    monkeypatch.setattr(tx, "CHUNK", 8)
+    for (_, a), (_, b) in zip(whole, net.spots(*tx.laid_out(docs)), strict=True):
+        assert np.allclose(a, b)

@@ -31,11 +31,20 @@ def windowed_counts(df: DataFrame, keys, size, slide=None, ts: str = "ts",
 
 
 def item_view_count_stream(ub: DataFrame, size="1 hour", slide="5 minutes", bound="0 seconds") -> DataFrame:
-    """A1 stream; feed it to ``sinks.topn_writer`` for T1."""
+    """A1 stream; feed it to ``sinks.topn_writer`` for T1. Each row opens size / slide windows;
+    :func:`item_view_pane_stream` does not."""
     pv = with_event_time(ub, "ts", bound).where(is_behavior("pv"))
     return windowed_counts(pv, ["item_id"], size, slide)
 
 
+def item_view_pane_stream(ub: DataFrame, size="1 hour", slide="5 minutes", bound="0 seconds") -> DataFrame:
+    """A1 stream on panes: one state row per (item, pane), kept until the watermark has passed the pane's last
+    window. Run it in update mode into ``sinks.pane_topn_writer`` for T1. A row whose pane is still kept counts in
+    all of its windows."""
+    delay = duration_us(bound) + duration_us(size) - duration_us(slide)
+    return pane_count_stream(ub.where(is_behavior("pv")), ["item_id"], slide, bound=f"{delay} microseconds")
+
+
 def page_view_count_stream(logs: DataFrame, size="10 minutes", slide="5 seconds", bound="1 second",
                            lateness="0 seconds") -> DataFrame:
     """A3 stream; with ``lateness`` > 0 run it in update mode (E3) into

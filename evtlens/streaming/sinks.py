@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from evtlens.functions.time import duration_us, epoch_us
 from evtlens.operators import rank as T
+from evtlens.operators.windows import run_segments
+from evtlens.session import batch_session
 from evtlens.streaming.eventtime import split_late
 from evtlens.streaming.store import DAY_MS, DayStore, KeyedStore, upsert
 
@@ -109,19 +111,8 @@ def topn_writer(path: str, n: int, id_col: str, keys: Sequence[str] = ("window_e
                 old.join(touched, keys, "left_semi"))
             latest = T.latest_per_key(counts, keys + [id_col], "batch").drop("batch")
             top = T.top_n(latest, n, tuple(keys), score=version, id_col=id_col).persist()
-            stored = top_store.read(spark, days, batch_id, top.schema).join(touched, keys, "left_semi")
-            prev = stored.select(
-                *keys, id_col, F.col(version).alias("c0"), F.col("row_num").alias("r0"))
-            cur = top.select(*keys, id_col, F.col(version).alias("c1"), F.col("row_num").alias("r1"))
-            j = cur.join(prev, keys + [id_col], "full_outer")
-            same = F.col("c1").eqNullSafe(F.col("c0")) & F.col("r1").eqNullSafe(F.col("r0"))
-            log = (j.where(F.col("r1").isNotNull() & ~same)
-                   .select(*keys, F.lit("+").alias("op"), id_col, F.col("c1").alias(version),
-                           F.col("r1").alias("row_num"))
-                   .unionByName(j.where(F.col("r0").isNotNull() & ~same)
-                                .select(*keys, F.lit("-").alias("op"), id_col, F.col("c0").alias(version),
-                                        F.col("r0").alias("row_num"))))
-            _write(log, f"{path}/changelog", batch_id)
+            _write(_ranking_changes(top, top_store.read(spark, days, batch_id, top.schema), touched, keys, id_col, version),
+                   f"{path}/changelog", batch_id)
             top_store.write(top, batch_id, days)
             counts_store.write(batch, batch_id, days)
         finally:
@@ -131,6 +122,78 @@ def topn_writer(path: str, n: int, id_col: str, keys: Sequence[str] = ("window_e
     return run
 
 
+def _ranking_changes(top: DataFrame, stored: DataFrame, touched: DataFrame, keys: Sequence[str], id_col: str, version: str) -> DataFrame:
+    """The changelog from the stored rankings of the touched windows to ``top``."""
+    prev = stored.join(touched, list(keys), "left_semi").select(
+        *keys, id_col, F.col(version).alias("c0"), F.col("row_num").alias("r0"))
+    cur = top.select(*keys, id_col, F.col(version).alias("c1"), F.col("row_num").alias("r1"))
+    j = cur.join(prev, [*keys, id_col], "full_outer")
+    same = F.col("c1").eqNullSafe(F.col("c0")) & F.col("r1").eqNullSafe(F.col("r0"))
+    return (j.where(F.col("r1").isNotNull() & ~same)
+            .select(*keys, F.lit("+").alias("op"), id_col, F.col("c1").alias(version), F.col("r1").alias("row_num"))
+            .unionByName(j.where(F.col("r0").isNotNull() & ~same)
+                         .select(*keys, F.lit("-").alias("op"), id_col, F.col("c0").alias(version), F.col("r0").alias("row_num"))))
+
+
+def pane_topn_writer(path: str, n: int, id_col: str, size, slide, every: int = 10,
+                     then: Callable[[DataFrame, int], None] | None = None) -> Callable[[DataFrame, int], None]:
+    """T1/T3/T4 on panes: per micro-batch of the newest counts of (pane start ``_p`` in us, id), in update mode, store the
+    panes, rank the windows that hold one of them from runs of constant count (:func:`evtlens.operators.rank.top_n_segments`),
+    and write the new top-n rows and the changelog where :func:`topn_writer` does. A view is one stored row of its
+    pane, not one of every window; only the days that the touched windows reach are read. ``then`` gets the new top-n rows."""
+    S, L = duration_us(size), duration_us(slide)
+    end = ["window_end"]
+    panes = DayStore(f"{path}/panes", "_at", lambda rows: T.latest_per_key(rows, ["_p", id_col], "batch").drop("batch"), every)
+    _, top_store = top_stores(path, end, id_col, every)
+
+    def days_of(df: DataFrame, *ms) -> list[int]:
+        day = F.explode(F.sequence(*[F.floor(x / DAY_MS).cast("long") for x in ms]))
+        return [r[0] for r in df.select(day.alias("d")).distinct().collect()]
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch_session(batch.sparkSession)
+        batch = batch.withColumn("_at", F.floor(F.col("_p") / 1000)).persist()
+        try:
+            own = days_of(batch, F.col("_at"), F.col("_at"))
+            panes.write(batch, batch_id, own)
+            schema = batch.schema
+        finally:
+            batch.unpersist()
+        if not own:
+            return
+        new = spark.read.schema(schema).parquet(*[f"{path}/panes/segment/day={d}/batch={batch_id}" for d in own])
+        ends = F.explode(F.sequence(F.col("_p") + L, F.col("_p") + S, F.lit(L)))
+        touched = (new.select("_p").distinct().select(ends.alias("_e"))
+                   .select((F.col("_e") / 1000).cast("long").alias("window_end")).distinct().persist())
+        top = None
+        try:
+            near = days_of(touched, F.col("window_end") - S // 1000, F.col("window_end"))
+            known = panes.read(spark, near, batch_id + 1, schema)
+            runs = run_segments(known, S, L, [id_col], ["cnt"], "cnt")
+            top = (T.top_n_segments(runs, n, slide, id_col).join(touched, end, "left_semi")
+                   .select(id_col, *end, "cnt", "row_num").persist())
+            days = days_of(touched, F.col("window_end"), F.col("window_end"))
+            _write(_ranking_changes(top, top_store.read(spark, days, batch_id, top.schema), touched, end, id_col, "cnt"),
+                   f"{path}/changelog", batch_id)
+            top_store.write(top, batch_id, days)
+            if then is not None:
+                then(top, batch_id)
+        finally:
+            if top is not None:
+                top.unpersist()
+            touched.unpersist()
+    return run
+
+
+def top_reports(path: str, id_col: str, labels=T.ITEM_LABELS) -> Callable[[DataFrame, int], None]:
+    """S11 as a sink of the top-n rows of whole windows, as :func:`pane_topn_writer` hands them on."""
+    store = KeyedStore(path, ["window_end"])
+
+    def run(top: DataFrame, batch_id: int) -> None:
+        store.write(T.ranking_report(top, id_col, labels), batch_id)
+    return run
+
+
 def report_writer(path: str, top_path: str, id_col: str, labels=T.ITEM_LABELS) -> Callable[[DataFrame, int], None]:
     """S11 as a sink: after :func:`topn_writer` (on ``top_path``) has taken the batch, write
     the text report of every window it touched."""

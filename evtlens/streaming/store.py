@@ -20,6 +20,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from evtlens.operators import rank as T
 
 DAY_MS = 86_400_000
+FILES_PER_DAY = 4             # that a batch writes
 
 
 class KeyedStore:
@@ -171,8 +172,10 @@ class DayStore:
                             self._drop(spark, f"snapshot/day={d}/batch={x}")
 
     def _put(self, df: DataFrame, sub: str, batch_id: int) -> None:
+        # a few files a day, not one of every task for every day
+        share = F.pmod(F.hash(*df.columns), F.lit(FILES_PER_DAY))
         (df.withColumns({"day": F.floor(F.col(self.time) / DAY_MS).cast("long"), "batch": F.lit(batch_id).cast("long")})
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch").parquet(f"{self.path}/{sub}"))
+         .repartition("day", share).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch").parquet(f"{self.path}/{sub}"))
 
 
 def upsert(path: str, keys: Sequence[str], every: int = 10, merge: dict | None = None, version: str | None = None,

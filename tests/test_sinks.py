@@ -167,3 +167,32 @@ def test_late_writer_keeps_the_watermark_of_the_run(spark):
     main = sorted(r.s for r in spark.read.parquet(f"{out}/main").collect())
     late = sorted(r.s for r in spark.read.parquet(f"{out}/late").collect())
     assert main == [base, base + 2400, base + 3000] and late == [base + 2000]
+
+
+def test_pane_topn_writer_equals_the_ranking_of_all_views(spark):
+    """Panes in three updates, the last tried twice: rankings, changelog and reports of the newest counts, from one stored
+    row a pane (a row of every window before)."""
+    import random
+
+    from evtlens.operators import rank, windows
+    rng, L, kinds = random.Random(3), 300_000_000, "item_id bigint, _p bigint, cnt bigint"
+    out, newest, stored = scratch(), {}, 0
+    fn = sinks.pane_topn_writer(out, 3, "item_id", "1 hour", "5 minutes", then=sinks.top_reports(f"{out}/report", "item_id"))
+    for b in range(3):
+        rows = {(rng.choice([None, 1, 2, 3, 4, 5, 6]), (280 + rng.randrange(20)) * L): rng.randint(1 + 5 * b, 5 + 5 * b) for _ in range(25)}
+        newest |= rows
+        stored += len(rows)
+        for _ in range(1 + (b == 2)):
+            fn(spark.createDataFrame([(i, p, n) for (i, p), n in rows.items()], kinds), b)
+    views = spark.createDataFrame([(i, p // 1_000_000) for (i, p), n in newest.items() for _ in range(n)], "item_id bigint, s bigint")
+    counts = windows.sliding_agg(views.withColumn("ts", F.timestamp_seconds("s")), "ts", "1 hour", "5 minutes", ["item_id"], plan="window")
+    want = rank.top_n(counts, 3).select("window_end", "item_id", "cnt", "row_num").collect()
+    key = lambda r: (r["window_end"], r["row_num"])
+    got = sinks.read_top(spark, out).select("window_end", "item_id", "cnt", "row_num").collect()
+    assert sorted(got, key=key) == sorted(want, key=key) and len({r["window_end"] // store.DAY_MS for r in got}) == 2
+    net = (spark.read.parquet(f"{out}/changelog").groupBy("window_end", "item_id", "cnt", "row_num")
+           .agg(F.sum(F.when(F.col("op") == "+", 1).otherwise(-1)).alias("net")).where("net <> 0"))
+    assert {r["net"] for r in net.collect()} == {1} and net.count() == len(want)
+    reports = rank.ranking_report(spark.createDataFrame(want)).collect()
+    assert sorted(sinks.read_upserted(spark, f"{out}/report", ["window_end"]).collect()) == sorted(reports)
+    assert spark.read.parquet(f"{out}/panes/segment").count() == stored

@@ -1,5 +1,5 @@
 """U1 + streaming C1-C4, C7, D1/D2: keyed state with event-time timers
-(``transformWithState``, Row based, RocksDB state store).
+(``transformWithState``, RocksDB state store; Row based, C7 on frames).
 
 Shared shape (:class:`InOrderProcessor`): rows wait in the key's state until the watermark
 has passed them; the key's one timer then hands all that are due to ``step`` in order of
@@ -11,6 +11,9 @@ are merged block by block. A key's state is what the watermark's bound holds plu
 and the timer frees both. Rows behind the watermark are dropped by the operator itself, so
 late-row routing (E4) must happen before it.
 
+C7 has very many keys of few rows each, so the state of many orders is one key's
+(:class:`OrderShardProcessor`): the same waiting rows and deadlines, a column at a time.
+
 Batch forms live in :mod:`evtlens.operators.patterns`; after the final flush of
 :mod:`evtlens.streaming.eventtime` the streams have emitted the same rows.
 """
@@ -23,6 +26,9 @@ import json
 import sys
 from typing import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
+
 from pyspark import cloudpickle
 
 from pyspark.sql import DataFrame, Row
@@ -67,8 +73,9 @@ def stateful_apply(df: DataFrame, keys: Sequence[str], processor: StatefulProces
     if "RocksDB" not in (conf.get("spark.sql.streaming.stateStore.providerClass", "") or ""):
         # transformWithState needs the RocksDB state store provider
         conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    return df.groupBy(*keys).transformWithState(processor, output, mode, "EventTime",
-                                                None if initial is None else initial.groupBy(*keys), event_time)
+    rows = df.groupBy(*keys)
+    apply = rows.transformWithStateInPandas if getattr(processor, "FRAMES", False) else rows.transformWithState
+    return apply(processor, output, mode, "EventTime", None if initial is None else initial.groupBy(*keys), event_time)
 
 
 class InOrderProcessor(StatefulProcessor):
@@ -482,8 +489,260 @@ class OrderPayProcessor(InOrderProcessor):
             yield Row(order_id=key[0], result_state=self.m["timeout"], route="order-timeout")
 
 
-def order_pay_classify_stream(events: DataFrame, within="15 minutes", wait="1 day") -> DataFrame:
+#: A waiting row and an order's own state; ``opened``: there was a create, at ``created``.
+ORDER_ROW = np.dtype([("u", "<i8"), ("id", "<i8"), ("pay", "?")])
+ORDER_STATE = np.dtype([("id", "<i8"), ("created", "<i8"), ("until", "<i8"), ("opened", "?"), ("decided", "?"), ("reported", "?")])
+#: The shard of the orders without a number.
+NO_ORDER = -1
+
+
+class OrderShardProcessor(StatefulProcessor):
+    """The rules of :class:`OrderPayProcessor` for all orders of a shard (the key).
+
+    Rows wait as in :class:`InOrderProcessor`: few of them in the key's value, more in sorted runs of
+    blocks. The orders' own states lie in buckets of about ``FILL`` by the hash of their number, twice as many when
+    they are full; the value has each bucket's first deadline. So a micro-batch reads and writes the
+    blocks and buckets that it has rows or deadlines for, not the shard. The shard's one timer
+    hands on what is due, at most about ``DUE`` rows at once. Orders that a deadline divides between two of the
+    rows go through the rules row by row, the others together."""
+
+    FRAMES = True
+    TAIL, RUN, BLOCK, DUE, FILL = 1_000, 200_000, 8_000, 1_000_000, 512
+
+    def __init__(self, rules: OrderPayProcessor):
+        self.rules = rules
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        # {"runs": [[[first ms, block], ...], ...], "next": block, "timer": ms, "due": [ms or None of each bucket], "n": orders}
+        self.value = handle.getValueState("value", "v string, tail binary")
+        self.blocks = handle.getMapState("blocks", "block long", "rows binary")
+        self.orders = handle.getMapState("orders", "bucket long", "states binary")
+
+    # ---- the key's value
+    def _load(self) -> dict:
+        found = self.value.get()
+        if not found:
+            return {"runs": [], "next": 0, "timer": None, "due": [None], "n": 0, "tail": np.empty(0, ORDER_ROW)}
+        return {**json.loads(found[0]), "tail": np.frombuffer(found[1], ORDER_ROW)}
+
+    def _save(self, st: dict) -> None:
+        plain = {k: v for k, v in st.items() if k != "tail"}
+        self.value.update((json.dumps(plain, separators=(",", ":")), st["tail"].tobytes()))
+
+    def _alarm(self, st: dict, t: int | None) -> None:
+        if t is not None and (st["timer"] is None or t < st["timer"]):
+            self.handle.registerTimer(t)
+            st["timer"] = t
+
+    # ---- waiting rows
+    def _spill(self, st: dict) -> None:
+        rows, run = st["tail"][np.argsort(st["tail"]["u"], kind="stable")], []
+        for at in range(0, len(rows), self.BLOCK):
+            part = rows[at:at + self.BLOCK]
+            self.blocks.updateValue((st["next"],), (part.tobytes(),))
+            run.append([int(part["u"][0]) // 1000, st["next"]])
+            st["next"] += 1
+        st["runs"].append(run)
+        st["tail"] = rows[:0]
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        st, least, new, n = None, None, [], 0
+        for frame in rows:
+            kind = frame["kind"].to_numpy()
+            if (kind < -1).any():
+                raise ValueError("an order event without a time")
+            part = np.empty(int((kind >= 0).sum()), ORDER_ROW)
+            if not len(part):
+                continue
+            part["u"], part["id"], part["pay"] = (frame[c].to_numpy()[kind >= 0] for c in ("u", "order_id", "kind"))
+            st = st or self._load()
+            first = int(part["u"].min())
+            least = first if least is None else min(first, least)
+            new.append(part)
+            n += len(part)
+            if n >= self.RUN:
+                st["tail"], new, n = np.concatenate([st["tail"], *new]), [], 0
+                self._spill(st)
+        if st is not None:
+            st["tail"] = np.concatenate([st["tail"], *new])
+            if len(st["tail"]) > self.TAIL:
+                self._spill(st)
+            self._alarm(st, least // 1000 + 1)
+            self._save(st)
+        return iter(())
+
+    def _before(self, st: dict, now: int) -> np.ndarray:
+        """The waiting rows before ``now``; the others stay."""
+        early = st["tail"]["u"] < now * 1000
+        found, st["tail"] = [st["tail"][early]], st["tail"][~early]
+        for run in st["runs"]:
+            while run and run[0][0] < now:
+                block = run[0][1]
+                rows = np.frombuffer(self.blocks.getValue((block,))[0], ORDER_ROW)
+                n = int(np.searchsorted(rows["u"], now * 1000))
+                found.append(rows[:n])
+                if n < len(rows):
+                    self.blocks.updateValue((block,), (rows[n:].tobytes(),))
+                    run[0][0] = int(rows["u"][n]) // 1000
+                    break
+                self.blocks.removeKey((block,))
+                run.pop(0)
+        return np.concatenate(found)
+
+    # ---- the orders' own states
+    @staticmethod
+    def _bucket(ids: np.ndarray, n: int) -> np.ndarray:
+        return (ids.astype("u8") * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)).astype("i8") & (n - 1)
+
+    def _states(self, st: dict, buckets) -> np.ndarray:
+        return np.concatenate([np.empty(0, ORDER_STATE), *[
+            np.frombuffer(self.orders.getValue((b,))[0], ORDER_STATE) for b in buckets if st["due"][b] is not None]])
+
+    def _keep(self, st: dict, buckets: set, was: int, left: np.ndarray) -> None:
+        """``left`` in place of the ``was`` states that the buckets had."""
+        st["n"] += len(left) - was
+        n = m = len(st["due"])
+        while st["n"] > 2 * self.FILL * m:
+            m *= 2
+        if not st["n"]:
+            m = 1
+        if m != n:
+            others = [b for b in range(n) if b not in buckets]
+            left, buckets = np.concatenate([left, self._states(st, others)]), set(range(n))
+        had, st["due"] = st["due"], st["due"] if m == n else [None] * m
+        gone = {b for b in buckets if had[b] is not None}
+        for b in buckets if m == n else ():
+            st["due"][b] = None
+        at = self._bucket(left["id"], m)
+        order = np.argsort(at, kind="stable")
+        left, (found, first) = left[order], np.unique(at[order], return_index=True)
+        for b, part in zip(found.tolist(), np.split(left, first[1:])):
+            self.orders.updateValue((b,), (part.tobytes(),))
+            st["due"][b] = int(part["until"].min()) // 1000 + 1
+            gone.discard(b)
+        for b in gone:
+            self.orders.removeKey((b,))
+
+    def _advance(self, key, st: dict, now: int) -> pd.DataFrame | None:
+        """All rows and deadlines before ``now``."""
+        rows, m, keep = self._before(st, now), self.rules.m, self.rules.keep
+        buckets = set(np.unique(self._bucket(rows["id"], len(st["due"]))).tolist())
+        buckets |= {b for b, t in enumerate(st["due"]) if t is not None and t <= now}
+        if not buckets:
+            return None
+        old = self._states(st, buckets)
+        ids = np.unique(np.concatenate([old["id"], rows["id"]]))
+        own, known = np.zeros(len(ids), ORDER_STATE), np.zeros(len(ids), bool)
+        at = np.searchsorted(ids, old["id"])
+        own[at], own["id"], known[at] = old, ids, True
+        said: list[tuple] = []           # (orders, what is said, route)
+
+        rows = rows[np.lexsort((rows["pay"], rows["u"], rows["id"]))]
+        u, pay, g, i = rows["u"].copy(), rows["pay"].copy(), np.searchsorted(ids, rows["id"]), np.arange(len(rows))
+        first = np.ones(len(rows), bool)
+        first[1:] = g[1:] != g[:-1]
+        # the row that opens the order: before all of them, one of them, or none
+        opens = np.where(own["opened"], -1, len(rows))
+        creates = np.flatnonzero(~pay & ~own["opened"][g])
+        by, one = np.unique(g[creates], return_index=True)
+        opens[by] = creates[one]
+        created = own["created"].copy()
+        created[by] = u[opens[by]]
+        # until when the state before each row is kept; an order is divided where a row comes after that
+        inside = i > opens[g]
+        until = np.where(inside, created[g] + keep, np.where(first, own["until"][g], np.roll(u, 1) + keep))
+        over = (until // 1000 + 1 <= u // 1000) & (inside | ~first | known[g])
+        odd = np.zeros(len(ids), bool)
+        odd[g[over]] = True
+
+        plain = ~odd[g]
+        orphan = np.flatnonzero(pay & (i < opens[g]) & plain)
+        by = np.unique(g[orphan])
+        new = by[~own["reported"][by]]
+        said.append((ids[new], m["no_create"], "order-timeout"))
+        own["reported"][by] = True
+        own["until"][g[orphan]] = u[orphan] + keep       # the last one's stays
+        pays = np.flatnonzero(pay & inside & plain & ~own["decided"][g])
+        by, one = np.unique(g[pays], return_index=True)
+        ok = u[pays[one]] - created[by] < self.rules.within
+        said += [(ids[by[ok]], m["ok"], "main"), (ids[by[~ok]], m["late"], "order-timeout")]
+        own["decided"][by] = True
+        by = np.flatnonzero(~odd & (opens >= 0) & (opens < len(rows)))
+        own["created"][by], own["opened"][by], own["until"][by] = created[by], True, created[by] + keep
+        known[g[plain]] = True
+
+        each = np.flatnonzero(odd)
+        begin, end = np.searchsorted(g, each), np.searchsorted(g, each, side="right")
+        for k, a, b in zip(each.tolist(), begin.tolist(), end.tolist()):
+            self._one_by_one(own, known, k, u[a:b].tolist(), pay[a:b].tolist(), said)
+
+        over = known & (own["until"] // 1000 + 1 <= now)
+        said.append((ids[over & own["opened"] & ~own["decided"]], m["timeout"], "order-timeout"))
+        self._keep(st, buckets, len(old), own[known & ~over])
+        return self._frame(key, said)
+
+    def _one_by_one(self, own: np.ndarray, known: np.ndarray, k: int, u: list, pay: list, said: list) -> None:
+        o, rules, out = own[k], self.rules, []
+        state = {"order": [int(o["created"]) if o["opened"] else None, bool(o["decided"]), bool(o["reported"]),
+                           int(o["until"])]} if known[k] else {}
+        key = (int(o["id"]),)
+        for rec in zip(u, map(int, pay)):
+            while (t := rules.deadline(state)) is not None and t <= rec[0] // 1000:
+                out += rules.on_time(key, state, t)
+            out += rules.step(key, state, rec)
+        said += [(own["id"][k:k + 1], r.result_state, r.route) for r in out]
+        created, decided, reported, until = state["order"]
+        own[k] = (key[0], created or 0, until, created is not None, decided, reported)
+        known[k] = True
+
+    @staticmethod
+    def _frame(key, said: list) -> pd.DataFrame | None:
+        n = [len(x) for x, _, _ in said]
+        if not sum(n):
+            return None
+        ids = pd.Series(np.concatenate([x for x, _, _ in said]))
+        if key[0] == NO_ORDER:
+            ids = pd.Series([None] * len(ids), dtype="Int64")
+        text = [np.repeat(np.array([x[c] for x in said], dtype=object), n) for c in (1, 2)]
+        return pd.DataFrame({"order_id": ids, "result_state": text[0], "route": text[1]})
+
+    def handleExpiredTimer(self, key, timerValues: TimerValues,
+                           expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        st = self._load()
+        if st["timer"] is None or st["timer"] > now:
+            return                     # an earlier one has been set since
+        step = max(1, self.DUE // self.BLOCK)
+        firsts = sorted(t for run in st["runs"] for t, _ in run if t < now)
+        for until in [*firsts[step::step], now]:
+            if (out := self._advance(key, st, until)) is not None:
+                yield out
+            st["runs"] = [run for run in st["runs"] if run]
+        if not st["n"] and not len(st["tail"]) and not st["runs"]:
+            self.value.clear()
+            return
+        wanted = [run[0][0] + 1 for run in st["runs"]] + [t for t in st["due"] if t is not None]
+        if len(st["tail"]):
+            wanted.append(int(st["tail"]["u"].min()) // 1000 + 1)
+        st["timer"] = None
+        self._alarm(st, min(wanted))
+        self._save(st)
+
+    def close(self) -> None:
+        pass
+
+
+def order_pay_classify_stream(events: DataFrame, within="15 minutes", wait="1 day", shards: int = SALTS) -> DataFrame:
     msgs = {"no_create": P.MSG_NO_CREATE, "ok": P.MSG_PAYED_OK, "late": P.MSG_PAYED_LATE,
             "timeout": P.MSG_TIMEOUT}
-    proc = OrderPayProcessor(duration_us(within), duration_us(wait), msgs)
-    return stateful_apply(_columns(events, "order_id", "event_type", "ts"), ["order_id"], proc, ORDER_OUT)
+    rules = OrderPayProcessor(duration_us(within), duration_us(wait), msgs)
+    order, kind, u = F.col("order_id"), F.col("event_type"), epoch_us("ts")
+    kind = F.when(kind == "create", 0).when(kind == "pay", 1).otherwise(-1)
+    rows = events.select(
+        F.when(order.isNull(), NO_ORDER).otherwise(F.pmod(F.xxhash64(order), F.lit(shards))).cast("int").alias("shard"),
+        F.coalesce(order.cast("long"), F.lit(0)).alias("order_id"),
+        F.when((kind >= 0) & u.isNull(), -2).otherwise(kind).alias("kind"),
+        # the event time goes to Python as a number; with the column's metadata it is still held against the watermark
+        F.coalesce(u, F.lit(2 ** 63 - 1)).alias("u", metadata=events.schema["ts"].metadata))
+    return stateful_apply(rows, ["shard"], OrderShardProcessor(rules), ORDER_OUT)
